@@ -64,7 +64,9 @@ def admitted_keys(qualifying: DataFrame, admissions: DataFrame) -> DataFrame:
     Equals :func:`join_admissions` followed by a projection that drops the
     rating and a DISTINCT, for a fraction of the work.
     """
-    a = admissions.select(F.col("matching_id").alias("_a_match"), F.col("role_id").alias("_a_role"))
+    # De-duplicated keys: partial aggregation collapses a hot (match, role) pair
+    # map-side, and the shuffle it needs is the one the join needs.
+    a = admissions.select(F.col("matching_id").alias("_a_match"), F.col("role_id").alias("_a_role")).distinct()
     return qualifying.join(
         a, (qualifying["battleid"] == a["_a_match"]) & (qualifying["role_id"] == a["_a_role"]), "left_semi"
     )

@@ -130,16 +130,25 @@ def participant_detail(logs: Logs, p: RunParams, eligible: DataFrame) -> DataFra
     the role's rating (admissions in the date range), keyed by the match's
     qualifying date.
 
-    Two left joins; duplicates multiply (bag semantics).  The second join is
-    keyed on the participant side, so a missing participant cannot pick up a
-    rating.
+    Two left joins; duplicates multiply (bag semantics).  The rating join is
+    keyed on participant columns only and its equality rejects NULLs, so
+    ``(b LEFT JOIN e) LEFT JOIN m`` equals ``b LEFT JOIN (e LEFT JOIN m)``;
+    the second form is used.  ``e LEFT JOIN m`` is keyed on (match, role), so a
+    hot match spreads over its roles, and adaptive execution splits a hot
+    participant partition (the preserved side).  The join of the small eligible
+    set with the participant rows is the one where a single match can hold a
+    large share of the rows on the non-preserved side; it uses the skew-safe
+    inner + anti form of :func:`left_join`.
     """
+    b = eligible.select("pt_dt", "battleid")
+    e = in_log_window(logs.participants, p.start_date, p.end_date).select(
+        F.col("battleid").alias("e_battleid"), *participant_columns(exclude=("battleid",))
+    )
     m = in_log_window(logs.admissions, p.start_date, p.end_date).select(
         F.col("matching_id"), F.col("role_id").alias("m_role_id"), F.col("team_elo")
     )
-    rows = left_join(
-        expanded_participants(logs, p, eligible), m, [("e_battleid", "matching_id"), ("role_id", "m_role_id")]
-    )
+    em = left_join(e, m, [("e_battleid", "matching_id"), ("role_id", "m_role_id")], skew_safe=False)
+    rows = left_join(b, em, [("battleid", "e_battleid")])
     return rows.select("pt_dt", *DETAIL_RECORD)
 
 

@@ -45,10 +45,10 @@ WITH participants AS (
          CAST(CASE WHEN l_returnflag = 'R' THEN 8 ELSE 10 END AS INTEGER) AS usernum,
          CAST(l_linenumber AS INTEGER) AS modetid,
          CAST(l_partkey % 5 AS INTEGER) AS herotid,
-         CAST(round(l_extendedprice) AS BIGINT) AS gold,
-         CAST(round(l_discount * 100) AS BIGINT) AS score,
+         CAST(floor(l_extendedprice + 0.5) AS BIGINT) AS gold,
+         CAST(floor(l_discount * 100 + 0.5) AS BIGINT) AS score,
          CAST(l_quantity AS BIGINT) AS kill,
-         CASE WHEN l_returnflag = 'N' THEN NULL ELSE CAST(round(l_tax * 100) AS BIGINT) END AS death,
+         CASE WHEN l_returnflag = 'N' THEN NULL ELSE CAST(floor(l_tax * 100 + 0.5) AS BIGINT) END AS death,
          l_partkey AS assist,
          CAST(l_linenumber AS BIGINT) AS rank_tid,
          l_partkey % 11 AS towerkill,
@@ -60,7 +60,7 @@ WITH participants AS (
          CAST(l_linenumber % 2 AS BIGINT) AS triblekill,
          CASE WHEN l_linestatus = 'O' THEN NULL ELSE CAST(l_linenumber % 3 AS BIGINT) END AS quadrakill,
          CAST(CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END AS BIGINT) AS pentakill,
-         CAST(round(l_tax * 1000) AS BIGINT) AS healingtohero
+         CAST(floor(l_tax * 1000 + 0.5) AS BIGINT) AS healingtohero
   FROM lineitem
 ),
 matches AS (
@@ -69,7 +69,7 @@ matches AS (
          CAST(o_custkey % 7 + 1 AS INTEGER) AS modetid,
          o_orderpriority AS battletid,
          substr(CAST(o_orderdate AS VARCHAR), 1, 19) AS begintime,
-         CAST(round(o_totalprice) AS BIGINT) % 3600 AS playtime,
+         CAST(floor(o_totalprice + 0.5) AS BIGINT) % 3600 AS playtime,
          CAST(10 AS INTEGER) AS playersnum,
          CAST(CASE WHEN o_orderstatus = 'F' THEN 10 ELSE 8 END AS INTEGER) AS usernum,
          CAST(o_custkey % 3 AS INTEGER) AS fakeusernum,
@@ -83,7 +83,7 @@ matches AS (
 admissions AS (
   SELECT DISTINCT l_orderkey AS matching_id,
          l_suppkey AS role_id,
-         CAST(round(s_acctbal) AS BIGINT) AS team_elo,
+         CAST(floor(s_acctbal + 0.5) AS BIGINT) AS team_elo,
          substr(CAST(o_orderdate AS VARCHAR), 1, 19) AS logtime
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey
 ),

@@ -49,7 +49,8 @@ def _ts_text(c: Column) -> Column:
 
 
 def _rounded(c: Column) -> Column:
-    return F.round(c).cast("bigint")
+    # half-up rounding with primitive arithmetic (same formula in the oracle)
+    return F.floor(c + F.lit(0.5)).cast("bigint")
 
 
 def participants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,19 +121,20 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    # Rating and time depend only on the supplier and the order, so the
+    # distinct runs on the two keys (map-side) before the lookups.
+    pairs = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").distinct()
     su = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
     o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     return (
-        li.join(su, li.l_suppkey == su.s_suppkey)
-        .join(o, li.l_orderkey == o.o_orderkey)
+        pairs.join(su, pairs.l_suppkey == su.s_suppkey)
+        .join(o, pairs.l_orderkey == o.o_orderkey)
         .select(
             F.col("l_orderkey").alias("matching_id"),
             F.col("l_suppkey").alias("role_id"),
             _rounded(F.col("s_acctbal")).alias("team_elo"),
             _ts_text(F.col("o_orderdate")).alias("logtime"),
         )
-        .distinct()
     )
 
 
