@@ -30,9 +30,13 @@ def read_json_log(
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(good rows without the corrupt column, corrupt lines)``."""
+    """``(good rows without the corrupt column, corrupt rows)``.
+
+    The corrupt rows keep every column: a raw JSON scan may not be queried for
+    the corrupt-record column alone (the parser would skip it).
+    """
     good = df.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
-    bad = df.where(F.col(CORRUPT_COLUMN).isNotNull()).select(CORRUPT_COLUMN)
+    bad = df.where(F.col(CORRUPT_COLUMN).isNotNull())
     return good, bad
 
 
