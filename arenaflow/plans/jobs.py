@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +29,7 @@ from arenaflow.operators.filters import (
 )
 from arenaflow.operators.joins import admitted_keys, join_admissions, join_match_view, left_join
 from arenaflow.operators.projections import PARTICIPANT_FIELDS, participant_columns, participant_projection
+from arenaflow.operators.sizing import DEFAULT_MAX_BROADCAST_KEYS, checked_broadcast, materialize
 from arenaflow.params import RunParams
 from arenaflow.sources.fixtures import Logs
 
@@ -42,20 +42,44 @@ DETAIL_RECORD = (*PARTICIPANT_FIELDS, "team_elo")
 QUALIFIED_MATCH_COLUMNS = ("pt_dt", "pt_dt_date", "battleid", "keyversion", *TOTAL_FIELDS)
 
 
-def match_values(logs: Logs, p: RunParams, with_match_log: bool = False) -> DataFrame:
+def match_values(
+    logs: Logs, p: RunParams, with_match_log: bool = False, candidates: DataFrame | None = None
+) -> DataFrame:
     """Per-match values of the consolidated view whose date lies in the run range.
 
     The match log only contributes matches without participant rows, whose date
     is NULL and fails the range test, so it is skipped unless asked for; NULL
     match ids are dropped before the shuffle (they cannot join).
+
+    ``candidates`` (a broadcast set of match ids) restricts the aggregation to
+    the matches the caller will join with.  Whole matches are kept, so every
+    per-match value is unchanged, while the rows of all other matches are
+    dropped map-side instead of being aggregated and shuffled.
     """
-    view = match_view(
-        logs.participants, logs.matches if with_match_log else None, drop_null_ids=True
-    )
+    participants, matches = logs.participants, logs.matches if with_match_log else None
+    if candidates is not None:
+        participants = participants.join(candidates, "battleid", "left_semi")
+        matches = matches.join(candidates, "battleid", "left_semi") if matches is not None else None
+    view = match_view(participants, matches, drop_null_ids=True)
     return in_key_window(view, p.start_date, p.end_date)
 
 
-def qualified_matches(logs: Logs, p: RunParams, with_match_log: bool = False) -> DataFrame:
+def _candidates(rows: DataFrame, reduce_keys: bool, max_keys: int) -> tuple[DataFrame, DataFrame | None]:
+    """Materializes the qualifying rows and, when their match ids are few enough
+    to broadcast, returns that id set as well."""
+    if not reduce_keys:
+        return rows, None
+    saved = materialize(rows)
+    return saved, checked_broadcast(saved.select("battleid").distinct(), max_keys)
+
+
+def qualified_matches(
+    logs: Logs,
+    p: RunParams,
+    with_match_log: bool = False,
+    reduce_keys: bool = False,
+    max_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
+) -> DataFrame:
     """Distinct (date, match) pairs with a qualifying, admitted, rated participant,
     with the match's version and kill totals.
 
@@ -63,28 +87,44 @@ def qualified_matches(logs: Logs, p: RunParams, with_match_log: bool = False) ->
     role are not output, so the admission join is a semi join, and since the
     match values depend on the match id alone the DISTINCT runs on the two keys
     before the join with the view.
+
+    By default the view is aggregated over the whole participant log with a
+    map-side partial step (about one shuffled row per match), which is what a
+    run over months of history needs: its candidate set is far too large to
+    broadcast.  For a narrow run, ``reduce_keys`` writes the pairs to the
+    checkpoint folder and, if their match ids number at most ``max_keys``,
+    aggregates the view for those matches only (a broadcast semi join drops
+    all other rows before the shuffle).
     """
     tba = qualifying_participants(logs.participants, p).select(
         date_key("logtime").alias("pt_dt"), "role_id", "battleid"
     )
     tbb = rated_admissions(logs.admissions, p.team_elo)
     keys = admitted_keys(tba, tbb).select("pt_dt", "battleid").distinct()
-    out = join_match_view(keys, match_values(logs, p, with_match_log))
+    keys, candidates = _candidates(keys, reduce_keys, max_keys)
+    out = join_match_view(keys, match_values(logs, p, with_match_log, candidates))
     return out.select(
         "pt_dt", month_key("pt_dt").alias("pt_dt_date"), "battleid", "keyversion", *TOTAL_FIELDS
     )
 
 
-def qualified_participants(logs: Logs, p: RunParams, with_match_log: bool = False) -> DataFrame:
+def qualified_participants(
+    logs: Logs,
+    p: RunParams,
+    with_match_log: bool = False,
+    reduce_keys: bool = False,
+    max_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
+) -> DataFrame:
     """Distinct qualifying participant rows with rating and match values.
 
     A role admitted twice with different ratings gives two rows; exact
-    duplicates collapse.
+    duplicates collapse.  Key reduction as in :func:`qualified_matches`.
     """
     tba = participant_projection(qualifying_participants(logs.participants, p))
     tbb = rated_admissions(logs.admissions, p.team_elo)
     rated = join_admissions(tba, tbb).distinct()
-    out = join_match_view(rated, match_values(logs, p, with_match_log))
+    rated, candidates = _candidates(rated, reduce_keys, max_keys)
+    out = join_match_view(rated, match_values(logs, p, with_match_log, candidates))
     return out.select(
         "pt_dt", *PARTICIPANT_FIELDS, month_key("pt_dt").alias("pt_dt_date"), "team_elo",
         "keyversion", *TOTAL_FIELDS,
@@ -179,20 +219,17 @@ class ExportPaths:
 def run_match_exports(logs: Logs, p: RunParams, root: str, **sink_options) -> ExportPaths:
     """Writes the match records and the participant-detail records.
 
-    The eligible set feeds both exports; it is persisted (memory and disk, so a
-    lost executor only recomputes its blocks from lineage) instead of being
+    The eligible set feeds both exports; it is written once to the shared
+    checkpoint folder (surviving the loss of any executor) instead of being
     recomputed from the logs by the second write.
     """
     from arenaflow.sources.exports import write_keyed_text
 
-    eligible = eligible_matches(logs, p).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        paths = ExportPaths(p.export_path(root, "battle_info"), p.export_path(root, "player_info"))
-        write_keyed_text(packed_matches(eligible), paths.battle_info, **sink_options)
-        write_keyed_text(packed_players(participant_detail(logs, p, eligible)), paths.player_info, **sink_options)
-        return paths
-    finally:
-        eligible.unpersist()
+    eligible = materialize(eligible_matches(logs, p))
+    paths = ExportPaths(p.export_path(root, "battle_info"), p.export_path(root, "player_info"))
+    write_keyed_text(packed_matches(eligible), paths.battle_info, **sink_options)
+    write_keyed_text(packed_players(participant_detail(logs, p, eligible)), paths.player_info, **sink_options)
+    return paths
 
 
 def run_participant_export(logs: Logs, p: RunParams, root: str, **sink_options) -> str:

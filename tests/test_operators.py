@@ -210,3 +210,12 @@ def test_result_independent_of_input_partitioning(spark):
     from arenaflow.sources.fixtures import Logs
     shuffled = Logs(lg.participants.repartition(7), lg.matches.repartition(3), lg.admissions.repartition(5))
     assert rows(jobs.packed_matches(jobs.eligible_matches(shuffled, P))) == base
+
+
+@pytest.mark.parametrize("max_keys", [0, 1_000])
+def test_key_reduction_is_exact(spark, max_keys):
+    lg = _scenario(spark)
+    for fn in (jobs.qualified_matches, jobs.qualified_participants):
+        plain = rows(fn(lg, P))
+        assert rows(fn(lg, P, reduce_keys=True, max_keys=max_keys)) == plain
+        assert rows(fn(lg, P, with_match_log=True, reduce_keys=True, max_keys=max_keys)) == plain
