@@ -40,19 +40,19 @@ def _successor(text: str) -> str:
 def date_range(logtime, start: str, end: str, pushable: bool = True) -> Column:
     """Inclusive ``start <= date_key(logtime) <= end`` on ISO date strings.
 
-    ``substr`` is opaque to source filter pushdown, so when ``pushable`` the
-    implied bound ``start <= logtime < successor(end)`` on the raw column is
-    added.  It follows from the substring test for any string (a string is not
-    smaller than its prefix, and every string whose first ten characters are at
-    most ``end`` sorts before ``successor(end)``), so results are unchanged while
-    Parquet row groups / JSON rows outside the range are skipped at the scan.
+    ``substr`` is opaque to source filter pushdown.  For 10-character bounds the
+    test is rewritten exactly as ``start <= logtime < successor(end)`` on the raw
+    column, for any string: a string is not smaller than its first ten
+    characters, and a string whose first ten characters exceed ``end`` cannot
+    sort below ``successor(end)``.  The bound reaches Parquet row-group
+    statistics and JSON parsing, and the substring is never evaluated.
+    Other bounds (or ``pushable=False``) use the substring form.
     """
     c = _col(logtime)
+    if pushable and len(start) == 10 and len(end) == 10 and end[-1] < "\uffff":
+        return (c >= F.lit(start)) & (c < F.lit(_successor(end)))
     key = F.substring(c, 1, 10)
-    cond = (key >= F.lit(start)) & (key <= F.lit(end))
-    if pushable:
-        cond = (c >= F.lit(start)) & (c < F.lit(_successor(end))) & cond
-    return cond
+    return (key >= F.lit(start)) & (key <= F.lit(end))
 
 
 def valid_version(kv="keyversion") -> Column:

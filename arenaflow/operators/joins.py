@@ -31,6 +31,7 @@ def left_join(
     *either* side (an outer join can only split its preserved side) and lets it
     broadcast a small left side, and the anti join reads only the de-duplicated
     keys of the right side (map-side partial aggregation).
+    ``left`` is read twice: pass a materialized or cheap plan.
     Column names of the two sides must not clash.
     """
     if not skew_safe:

@@ -5,21 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arenaflow.session import ensure_checkpoint_dir
+from arenaflow.session import scratch_dir
 
 # Largest key set broadcast as a filter (8-byte ids: tens of MB per executor).
 DEFAULT_MAX_BROADCAST_KEYS = 2_000_000
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Writes ``df`` to the shared checkpoint folder and returns the saved copy.
+def materialize(df: DataFrame, purpose: str = "materialized") -> DataFrame:
+    """Writes ``df`` as Parquet under the shared checkpoint folder and returns
+    the read-back.
 
     Cuts the lineage (a lost executor re-reads the files instead of re-running
     the upstream joins) and lets the result feed several consumers without
-    recomputation.
+    recomputation.  One job, unlike an eager ``checkpoint()``, which computes
+    its input once to count it and again to write it.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_dir(spark, purpose)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def checked_broadcast(keys: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_KEYS) -> DataFrame | None:

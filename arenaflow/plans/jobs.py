@@ -151,21 +151,51 @@ def packed_participants(eligible_rows: DataFrame) -> DataFrame:
     return eligible_rows.select("pt_dt", pack(*PARTICIPANT_RECORD).alias("battle_info"))
 
 
-def expanded_participants(logs: Logs, p: RunParams, eligible: DataFrame) -> DataFrame:
+def _eligible_pairs(eligible: DataFrame, materialized: bool) -> DataFrame:
+    """The (date, match) pairs of the eligible set, written once to the
+    checkpoint folder unless the caller already materialized ``eligible``: the
+    skew-safe join reads its left side twice, and recomputing the qualifying
+    plan (scans, joins, the view aggregation) for each read would double the
+    cost of the whole job."""
+    pairs = eligible.select("pt_dt", "battleid")
+    return pairs if materialized else materialize(pairs)
+
+
+def _small_side(pairs: DataFrame, max_keys: int) -> DataFrame:
+    """The materialized eligible pairs, broadcast-hinted when their counted size
+    is within ``max_keys``: the inner branch of the skew-safe join then streams
+    the participant rows past the broadcast instead of shuffling them."""
+    hinted = checked_broadcast(pairs, max_keys)
+    return pairs if hinted is None else hinted
+
+
+def expanded_participants(
+    logs: Logs,
+    p: RunParams,
+    eligible: DataFrame,
+    materialized: bool = False,
+    max_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
+) -> DataFrame:
     """Each eligible (date, match) pair with every participant row of the match
     in the date range (left join: a match without rows keeps one NULL row).
 
     Output: ``pt_dt``, ``battleid`` of the eligible side, ``e_battleid`` and the
     participant fields of the joined row.
     """
-    b = eligible.select("pt_dt", "battleid")
+    b = _small_side(_eligible_pairs(eligible, materialized), max_keys)
     e = in_log_window(logs.participants, p.start_date, p.end_date).select(
         F.col("battleid").alias("e_battleid"), *participant_columns(exclude=("battleid",))
     )
     return left_join(b, e, [("battleid", "e_battleid")])
 
 
-def participant_detail(logs: Logs, p: RunParams, eligible: DataFrame) -> DataFrame:
+def participant_detail(
+    logs: Logs,
+    p: RunParams,
+    eligible: DataFrame,
+    materialized: bool = False,
+    max_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
+) -> DataFrame:
     """Every participant row (in the date range) of every eligible match, with
     the role's rating (admissions in the date range), keyed by the match's
     qualifying date.
@@ -180,7 +210,7 @@ def participant_detail(logs: Logs, p: RunParams, eligible: DataFrame) -> DataFra
     large share of the rows on the non-preserved side; it uses the skew-safe
     inner + anti form of :func:`left_join`.
     """
-    b = eligible.select("pt_dt", "battleid")
+    b = _small_side(_eligible_pairs(eligible, materialized), max_keys)
     e = in_log_window(logs.participants, p.start_date, p.end_date).select(
         F.col("battleid").alias("e_battleid"), *participant_columns(exclude=("battleid",))
     )
@@ -228,7 +258,8 @@ def run_match_exports(logs: Logs, p: RunParams, root: str, **sink_options) -> Ex
     eligible = materialize(eligible_matches(logs, p))
     paths = ExportPaths(p.export_path(root, "battle_info"), p.export_path(root, "player_info"))
     write_keyed_text(packed_matches(eligible), paths.battle_info, **sink_options)
-    write_keyed_text(packed_players(participant_detail(logs, p, eligible)), paths.player_info, **sink_options)
+    detail = participant_detail(logs, p, eligible, materialized=True)
+    write_keyed_text(packed_players(detail), paths.player_info, **sink_options)
     return paths
 
 

@@ -86,7 +86,7 @@ def export_readback(spark, sf_dir):
 def framed_sections(spark, sf_dir):
     """Conversations framed into gzip files (one per conversation), then each
     file's last section extracted by a distributed binary scan."""
-    conv = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+    conv = fixtures.table(spark, sf_dir, "conversations")
     return framed.conversation_sections(spark, conv, scratch_dir(spark, "framed"))
 
 

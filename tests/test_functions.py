@@ -58,7 +58,7 @@ def test_compact_dates(spark):
 
 
 @settings(max_examples=40, deadline=None)
-@given(st.lists(st.text(alphabet="0129-: :xé", min_size=0, max_size=21), min_size=1, max_size=30))
+@given(st.lists(st.text(alphabet="0123459-: :xé\uffff", min_size=0, max_size=21), min_size=1, max_size=30))
 def test_pushable_range_equals_substring_range(spark_session_for_hypothesis, values):
     spark = spark_session_for_hypothesis
     df = spark.createDataFrame([(v,) for v in values], "logtime string")
@@ -67,3 +67,17 @@ def test_pushable_range_equals_substring_range(spark_session_for_hypothesis, val
     assert sorted(r[0] for r in a) == sorted(r[0] for r in b)
     expected = [v for v in values if "2021-01-01" <= v[:10] <= "2021-02-09"]
     assert sorted(r[0] for r in a) == sorted(expected)
+
+
+def test_pushable_range_edges(spark):
+    values = [
+        "2021-01-01", "2021-01-00", "2021-01-0", "2021-01-01 00:00:00", "2020-12-31 23:59:59", "2021-02-09",
+        "2021-02-09 23:59:59", "2021-02-09￿", "2021-02-0:", "2021-02-1", "2021-02-10", "2021-02-09x", "2021",
+        "2021-01-01\x00", "", "2021-02-0", "2021-02-099",
+    ]
+    df = spark.createDataFrame([(v,) for v in values], "logtime string")
+    raw = df.where(date_range("logtime", "2021-01-01", "2021-02-09")).collect()
+    expected = sorted(v for v in values if "2021-01-01" <= v[:10] <= "2021-02-09")
+    assert sorted(r[0] for r in raw) == expected
+    text = df.where(date_range("logtime", "2021-01-01", "2021-02-09"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring" not in text
