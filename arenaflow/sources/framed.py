@@ -15,9 +15,11 @@ an error row instead of failing the job or silently truncating.
 from __future__ import annotations
 
 import gzip
+import io
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +37,11 @@ BAD_GZIP = "bad_gzip"
 
 _HEADER = struct.Struct("<i")
 
+
+def _header(length: int) -> bytes:
+    """Little-endian int32 length word (module-level, so task closures pickle it by reference)."""
+    return struct.pack("<i", length)
+
 SECTION_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -57,75 +64,144 @@ def encode_frames(payloads: Iterable[bytes | str | None]) -> bytes:
     return bytes(out)
 
 
-def decode_frames(data: bytes) -> tuple[str | None, int, str]:
-    """``(section_text, frame_count, status)`` of one uncompressed frame stream."""
-    pos, n = 0, len(data)
+def decode_stream(stream: BinaryIO) -> tuple[str | None, int, str]:
+    """``(section_text, frame_count, status)`` of an uncompressed frame stream,
+    read frame by frame: only the open section and the last closed one are held."""
     current: list[str] = []
     result: list[str] = []
     seen_marker = False
-    while pos < n:
-        if pos + 4 > n:
+    while True:
+        header = stream.read(4)
+        if not header:
+            break
+        if len(header) < 4:
             return None, 0, TRUNCATED_HEADER
-        (length,) = _HEADER.unpack_from(data, pos)
-        pos += 4
+        (length,) = _HEADER.unpack(header)
         if length == MARKER:
             seen_marker = True
             result, current = current, []
             continue
         if length < 0:
             return None, 0, BAD_LENGTH
-        if pos + length > n:
+        payload = stream.read(length) if length else b""
+        if len(payload) < length:
             return None, 0, TRUNCATED_PAYLOAD
         if seen_marker and length:
             try:
-                current.append(data[pos : pos + length].decode("utf-8"))
+                current.append(payload.decode("utf-8"))
             except UnicodeDecodeError:
                 return None, 0, BAD_UTF8
-        pos += length
     return "".join(t + "\n" for t in result), len(result), OK
 
 
-def decode_file(content: bytes) -> tuple[str | None, int, str]:
-    """Gunzip then :func:`decode_frames`."""
+def decode_frames(data: bytes) -> tuple[str | None, int, str]:
+    """:func:`decode_stream` over bytes in memory."""
+    return decode_stream(io.BytesIO(data))
+
+
+def decode_gzip_stream(raw: BinaryIO) -> tuple[str | None, int, str]:
+    """Gunzip on the fly, then :func:`decode_stream`."""
     try:
-        raw = gzip.decompress(content)
+        with gzip.GzipFile(fileobj=raw, mode="rb") as gz:
+            return decode_stream(gz)
     except (OSError, EOFError, zlib.error):
         return None, 0, BAD_GZIP
-    return decode_frames(raw)
 
 
-def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def decode_file(content: bytes) -> tuple[str | None, int, str]:
+    """Gunzip then :func:`decode_frames`."""
+    return decode_gzip_stream(io.BytesIO(content))
+
+
+def _arrow_uri(path: str) -> str:
+    # Spark reports local files as file:/path; pyarrow wants file:///path
+    if path.startswith("file:") and not path.startswith("file://"):
+        return "file://" + path[len("file:"):]
+    return path if "://" in path else "file://" + path
+
+
+def _decode_paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    from pyarrow import fs
+
+    for batch in batches:
+        decoded = []
+        for path in batch["path"]:
+            filesystem, fpath = fs.FileSystem.from_uri(_arrow_uri(path))
+            with filesystem.open_input_stream(fpath, compression=None) as raw:
+                decoded.append(decode_gzip_stream(raw))
+        yield _section_frame(batch["path"], decoded)
+
+
+def _decode_contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        decoded = [decode_file(bytes(c)) for c in batch["content"]]
-        yield pd.DataFrame(
-            {
-                "path": batch["path"],
-                "section_text": [d[0] for d in decoded],
-                "frame_count": [d[1] for d in decoded],
-                "status": [d[2] for d in decoded],
-            }
-        )
-
-
-def read_sections(spark: SparkSession, path: str, glob: str = "*.gz") -> DataFrame:
-    """One row per framed file under ``path``: ``(path, section_text, frame_count, status)``."""
+        yield _section_frame(batch["path"], [decode_file(bytes(c)) for c in batch["content"]])
+
+
+def _section_frame(paths, decoded) -> pd.DataFrame:
+    return pd.DataFrame(
+        {
+            "path": list(paths),
+            "section_text": [d[0] for d in decoded],
+            "frame_count": [d[1] for d in decoded],
+            "status": [d[2] for d in decoded],
+        }
+    )
+
+
+def read_sections(spark: SparkSession, path: str, glob: str = "*.gz", stream: bool = True) -> DataFrame:
+    """One row per framed file under ``path``: ``(path, section_text, frame_count, status)``.
+
+    The file listing is a ``binaryFile`` scan.  With ``stream`` (default) only
+    the paths are read from it and each task streams its files through gzip
+    frame by frame, so neither the compressed nor the decompressed file is held
+    in memory; otherwise the file contents come from the scan itself.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return files.select("path", "content").mapInPandas(_decode_batches, SECTION_SCHEMA)
+    if stream:
+        return files.select("path").mapInPandas(_decode_paths, SECTION_SCHEMA)
+    return files.select("path", "content").mapInPandas(_decode_contents, SECTION_SCHEMA)
 
 
-def _write_group(out_dir: str):
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+def _file_writer(out_dir: str):
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        pdf = pdf.sort_values("turn")
-        key = int(pdf["conv_id"].iloc[0])
-        body = encode_frames([None, *[t if t is not None else "" for t in pdf["text"]], None])
-        target = f"{out_dir.rstrip('/')}/conv_{key}.gz"
-        filesystem, fpath = fs.FileSystem.from_uri(target if "://" in target else "file://" + target)
-        # Deterministic bytes, so a retried task rewrites the same file.
-        with filesystem.open_output_stream(fpath, compression=None) as stream:
-            stream.write(gzip.compress(body, mtime=0))
-        return pd.DataFrame({"conv_id": [key], "file_bytes": [len(body)]})
+        state = {"key": None, "raw": None, "gz": None, "bytes": 0}
+        done: list[tuple[int, int]] = []
+
+        def close():
+            if state["gz"] is not None:
+                state["gz"].write(_header(MARKER))
+                state["bytes"] += 4
+                state["gz"].close()
+                state["raw"].close()
+                done.append((state["key"], state["bytes"]))
+                state.update(key=None, raw=None, gz=None, bytes=0)
+
+        def open_(key: int):
+            target = _arrow_uri(f"{out_dir.rstrip('/')}/conv_{key}.gz")
+            filesystem, fpath = fs.FileSystem.from_uri(target)
+            raw = filesystem.open_output_stream(fpath, compression=None)
+            # fixed header fields: a retried task rewrites identical bytes
+            gz = gzip.GzipFile(filename="", fileobj=raw, mode="wb", mtime=0)
+            gz.write(_header(MARKER))
+            state.update(key=key, raw=raw, gz=gz, bytes=4)
+
+        for batch in batches:
+            for key, text in zip(batch["conv_id"], batch["text"]):
+                key = int(key)
+                if key != state["key"]:
+                    close()
+                    open_(key)
+                data = (text if isinstance(text, str) else "").encode("utf-8")
+                state["gz"].write(_header(len(data)) + data)
+                state["bytes"] += 4 + len(data)
+            if done:
+                yield pd.DataFrame(done, columns=["conv_id", "file_bytes"])
+                done.clear()
+        close()
+        if done:
+            yield pd.DataFrame(done, columns=["conv_id", "file_bytes"])
 
     return write
 
@@ -134,12 +210,17 @@ def write_conversation_files(conversations: DataFrame, out_dir: str) -> int:
     """Writes one framed gzip file per conversation (marker, one frame per turn
     in turn order, marker) and returns the number of files.
 
-    Grouped by conversation, so each task builds only its own files; the only
-    value returned to the driver is the file count.
+    Rows are hash-partitioned by conversation and sorted by (conversation, turn)
+    within each task (an external, spilling sort); the writer then streams them
+    into one open gzip file at a time, so a long conversation is never held in
+    memory.  The only value returned to the driver is the file count.
     """
-    written = conversations.select("conv_id", "turn", "text").groupBy("conv_id").applyInPandas(
-        _write_group(out_dir), "conv_id long, file_bytes long"
+    ordered = (
+        conversations.select("conv_id", "turn", "text")
+        .repartition("conv_id")
+        .sortWithinPartitions("conv_id", "turn")
     )
+    written = ordered.mapInPandas(_file_writer(out_dir), "conv_id long, file_bytes long")
     return written.agg(F.count(F.lit(1))).first()[0]
 
 

@@ -47,8 +47,23 @@ def test_conversation_files_round_trip(spark):
     assert got == [(1, "first\nsecond\n", 2, OK), (2, "only ✓\n", 1, OK)]
 
 
-def test_bad_file_gives_error_row(spark, tmp_path):
+@pytest.mark.parametrize("stream", [True, False])
+def test_bad_file_gives_error_row(spark, tmp_path, stream):
     (tmp_path / "bad.gz").write_bytes(gzip.compress(encode_frames([M, "a"]) + b"\x05\x00\x00\x00ab"))
-    (tmp_path / "ok.gz").write_bytes(gzip.compress(encode_frames([M, "a", M])))
-    got = {r["path"].rsplit("/", 1)[1]: r["status"] for r in framed.read_sections(spark, str(tmp_path)).collect()}
-    assert got == {"bad.gz": TRUNCATED_PAYLOAD, "ok.gz": OK}
+    (tmp_path / "cut.gz").write_bytes(gzip.compress(encode_frames([M, "a", M]))[:-6])
+    (tmp_path / "ok.gz").write_bytes(gzip.compress(encode_frames([M, "a", "é", M, "tail"])))
+    out = framed.read_sections(spark, str(tmp_path), stream=stream).collect()
+    got = {r["path"].rsplit("/", 1)[1]: (r["section_text"], r["status"]) for r in out}
+    assert got == {"bad.gz": (None, TRUNCATED_PAYLOAD), "cut.gz": (None, BAD_GZIP), "ok.gz": ("a\né\n", OK)}
+
+
+def test_long_conversation_streams_through_one_file(spark):
+    from pyspark.sql import functions as F
+
+    turns = spark.range(0, 5000).select(
+        F.lit(7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"),
+        F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"),
+    )
+    out = framed.conversation_sections(spark, turns, scratch_dir(spark, "framed-long")).collect()
+    assert len(out) == 1 and out[0]["frame_count"] == 5000 and out[0]["status"] == OK
+    assert out[0]["section_text"] == "".join(f"t{i}\n" for i in range(5000))
