@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from arenaflow.session import scratch_dir
 
-# Largest key set broadcast as a filter (8-byte ids: tens of MB per executor).
-DEFAULT_MAX_BROADCAST_KEYS = 2_000_000
+# Largest key set broadcast as a filter or join side (tens of bytes per key in
+# the hashed relation: at most some tens of MB per executor).
+DEFAULT_MAX_BROADCAST_KEYS = 1_000_000
 
 
 def materialize(df: DataFrame, purpose: str = "materialized") -> DataFrame:
