@@ -12,9 +12,26 @@ from arenaflow.functions import date_range
 from arenaflow.params import RunParams
 
 
+# Name of the date partition column of landed logs (the date key of logtime).
+PARTITION_KEY = "pt_dt"
+
+
+def log_window(df: DataFrame, start: str, end: str, logtime: str = "logtime"):
+    """Condition ``start <= substr(logtime, 1, 10) <= end`` (pushable form).
+
+    When ``df`` carries the landing partition column ``pt_dt`` (by construction
+    the date key of ``logtime``), the same bounds on it are added, which is
+    exact and prunes whole date partitions at planning time.
+    """
+    cond = date_range(logtime, start, end)
+    if PARTITION_KEY in df.columns:
+        cond = cond & (F.col(PARTITION_KEY) >= F.lit(start)) & (F.col(PARTITION_KEY) <= F.lit(end))
+    return cond
+
+
 def in_log_window(df: DataFrame, start: str, end: str, logtime: str = "logtime") -> DataFrame:
     """Rows whose ``substr(logtime, 1, 10)`` lies in ``[start, end]`` (pushable form)."""
-    return df.where(date_range(logtime, start, end))
+    return df.where(log_window(df, start, end, logtime))
 
 
 def in_key_window(df: DataFrame, start: str, end: str, key: str = "pt_dt") -> DataFrame:
@@ -31,7 +48,7 @@ def qualifying_participants(participants: DataFrame, p: RunParams) -> DataFrame:
     full lobby, one of the modes, the hero, and the score floor."""
     return participants.where(
         F.col("battleid").isNotNull()
-        & date_range("logtime", p.start_date, p.end_date)
+        & log_window(participants, p.start_date, p.end_date)
         & (F.col("usernum") == F.lit(p.usernum))
         & F.col("modetid").isin(*p.modetids)
         & (F.col("herotid") == F.lit(p.hero_id))

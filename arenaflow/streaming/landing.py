@@ -87,10 +87,23 @@ def land_log(
     return writer.start()
 
 
-def read_landed(spark: SparkSession, target: str, schema: T.StructType, start: str | None = None,
-                end: str | None = None) -> DataFrame:
-    """Reads a landed log; a date range prunes ``pt_dt`` partitions."""
-    df = spark.read.parquet(target)
+def read_landed(
+    spark: SparkSession,
+    target: str,
+    schema: T.StructType,
+    start: str | None = None,
+    end: str | None = None,
+    keep_partition: bool = False,
+) -> DataFrame:
+    """Reads a landed log with its declared schema; a date range prunes ``pt_dt``
+    partitions.  ``keep_partition`` keeps the ``pt_dt`` column, so the job
+    filters on the run's date range prune partitions too."""
+    full = T.StructType(
+        list(schema.fields)
+        + [T.StructField("pt_dt", T.StringType()), T.StructField("batch_id", T.LongType())]
+    )
+    df = spark.read.schema(full).parquet(target)
     if start is not None and end is not None:
         df = df.where((F.col("pt_dt") >= F.lit(start)) & (F.col("pt_dt") <= F.lit(end)))
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    cols = [f.name for f in schema.fields] + (["pt_dt"] if keep_partition else [])
+    return df.select(*cols)

@@ -49,3 +49,34 @@ def test_replayed_batch_is_not_duplicated(spark):
     write(batch, 0)  # replay
     write(batch, 1)
     assert spark.read.parquet(target).count() == 8
+
+
+def test_jobs_prune_date_partitions_of_landed_logs(spark):
+    from arenaflow.params import RunParams
+    from arenaflow.plans import jobs
+    from arenaflow.schemas import ADMISSIONS, MATCHES
+    from arenaflow.sources.fixtures import Logs
+    from helpers import admission
+
+    lg = logs(
+        spark,
+        [participant(i, i, f"2021-0{1 + i % 3}-1{i % 4} 00:00:00") for i in range(12)],
+        admissions=[admission(i, i, 1500, f"2021-0{1 + i % 3}-1{i % 4} 00:00:00") for i in range(12)],
+    )
+    root = scratch_dir(spark, "landing-jobs")
+    for name, df, schema in (("p", lg.participants, PARTICIPANTS), ("a", lg.admissions, ADMISSIONS)):
+        src = f"{root}/src_{name}"
+        df.write.json(src)
+        land_log(spark, src, schema, f"{root}/{name}").awaitTermination(120)
+    landed = Logs(
+        read_landed(spark, f"{root}/p", PARTICIPANTS, keep_partition=True),
+        lg.matches,
+        read_landed(spark, f"{root}/a", ADMISSIONS, keep_partition=True),
+    )
+    p = RunParams("2021-02-01", "2021-02-28", 3, 1000, "1", "sdk", 2, version_cutoff="2021-01-01")
+    for fn in (lambda x: jobs.eligible_matches(x, p),
+               lambda x: jobs.participant_detail(x, p, jobs.eligible_matches(x, p))):
+        assert rows(fn(landed)) == rows(fn(lg))
+    q = jobs.qualified_matches(landed, p)
+    plan = q._sc._jvm.PythonSQLUtils.explainString(q._jdf.queryExecution(), "formatted")
+    assert re.search(r"PartitionFilters: \[[^\n]*pt_dt[^\n]*2021-02-01", plan)
