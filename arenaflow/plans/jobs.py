@@ -161,12 +161,25 @@ def _eligible_pairs(eligible: DataFrame, materialized: bool) -> DataFrame:
     return pairs if materialized else materialize(pairs)
 
 
-def _small_side(pairs: DataFrame, max_keys: int) -> DataFrame:
-    """The materialized eligible pairs, broadcast-hinted when their counted size
-    is within ``max_keys``: the inner branch of the skew-safe join then streams
-    the participant rows past the broadcast instead of shuffling them."""
+def _detail_inputs(logs: Logs, p: RunParams, eligible: DataFrame, materialized: bool, max_keys: int):
+    """The eligible pairs ``b`` and the participant rows ``e`` in the date range.
+
+    When the materialized pairs are within ``max_keys`` rows (exact count), ``b``
+    is broadcast-hinted, and ``e`` is reduced map-side to the eligible matches by
+    a broadcast semi join on their ids (rows of other matches can never reach
+    the result), so the joins that follow shuffle only eligible matches' rows.
+    Also returns the broadcast id set (or ``None``) for the rating side.
+    """
+    pairs = _eligible_pairs(eligible, materialized)
+    e = in_log_window(logs.participants, p.start_date, p.end_date).select(
+        F.col("battleid").alias("e_battleid"), *participant_columns(exclude=("battleid",))
+    )
     hinted = checked_broadcast(pairs, max_keys)
-    return pairs if hinted is None else hinted
+    if hinted is None:
+        return pairs, e, None
+    ids = F.broadcast(pairs.select(F.col("battleid").alias("_eligible_id")).distinct())
+    e = e.join(ids, e["e_battleid"] == ids["_eligible_id"], "left_semi")
+    return hinted, e, ids
 
 
 def expanded_participants(
@@ -182,10 +195,7 @@ def expanded_participants(
     Output: ``pt_dt``, ``battleid`` of the eligible side, ``e_battleid`` and the
     participant fields of the joined row.
     """
-    b = _small_side(_eligible_pairs(eligible, materialized), max_keys)
-    e = in_log_window(logs.participants, p.start_date, p.end_date).select(
-        F.col("battleid").alias("e_battleid"), *participant_columns(exclude=("battleid",))
-    )
+    b, e, _ids = _detail_inputs(logs, p, eligible, materialized, max_keys)
     return left_join(b, e, [("battleid", "e_battleid")])
 
 
@@ -208,15 +218,16 @@ def participant_detail(
     participant partition (the preserved side).  The join of the small eligible
     set with the participant rows is the one where a single match can hold a
     large share of the rows on the non-preserved side; it uses the skew-safe
-    inner + anti form of :func:`left_join`.
+    inner + anti form of :func:`left_join`.  With a small eligible set both
+    ``e`` and ``m`` are first reduced to the eligible matches (see
+    :func:`_detail_inputs`).
     """
-    b = _small_side(_eligible_pairs(eligible, materialized), max_keys)
-    e = in_log_window(logs.participants, p.start_date, p.end_date).select(
-        F.col("battleid").alias("e_battleid"), *participant_columns(exclude=("battleid",))
-    )
+    b, e, ids = _detail_inputs(logs, p, eligible, materialized, max_keys)
     m = in_log_window(logs.admissions, p.start_date, p.end_date).select(
         F.col("matching_id"), F.col("role_id").alias("m_role_id"), F.col("team_elo")
     )
+    if ids is not None:
+        m = m.join(ids, m["matching_id"] == ids["_eligible_id"], "left_semi")
     em = left_join(e, m, [("e_battleid", "matching_id"), ("role_id", "m_role_id")], skew_safe=False)
     rows = left_join(b, em, [("battleid", "e_battleid")])
     return rows.select("pt_dt", *DETAIL_RECORD)
