@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from arenaflow.functions import date_key, first_valid, month_key, valid_version, valid_version_ws
 from arenaflow.schemas import MATCH_ATTRIBUTES
@@ -146,7 +145,3 @@ def duplicate_audit(df: DataFrame, count: int, key: str = "battleid") -> DataFra
         .agg(F.count(F.lit(1)).alias("row_count"))
         .where(F.col("row_count") == F.lit(int(count)))
     )
-
-
-def typed_null(name: str, dtype: T.DataType) -> Column:
-    return F.lit(None).cast(dtype).alias(name)

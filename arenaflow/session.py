@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -54,6 +55,9 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unique folder under the shared checkpoint folder for intermediate files."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/arenaflow-scratch/{purpose}-{uuid.uuid4().hex}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file://", ""), exist_ok=True)
+    local = urlparse(path)
+    if local.scheme in ("", "file"):
+        # local folders are created up front (writers in Python tasks expect them);
+        # distributed file systems create parents on write
+        os.makedirs(local.path, exist_ok=True)
     return path
