@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
@@ -61,3 +64,34 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         # distributed file systems create parents on write
         os.makedirs(local.path, exist_ok=True)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes ``arenaflow`` importable in the Python workers (once per application).
+
+    Functions run by ``mapInPandas`` are pickled by reference to this package,
+    so the executors must be able to import it.  When the job is submitted with
+    ``--py-files`` this adds nothing new; otherwise the package sources are
+    zipped on the driver and distributed with ``addPyFile``, the same mechanism.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _dirs, files in sorted(os.walk(pkg)):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    data = buf.getvalue()
+    out = os.path.join(tempfile.gettempdir(), f"arenaflow-{hashlib.sha1(data).hexdigest()[:16]}.zip")
+    if not os.path.exists(out):
+        with open(out, "wb") as fh:
+            fh.write(data)
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)

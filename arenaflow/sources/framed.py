@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arenaflow.session import ship_package
+
 # The section marker and the status texts of the decoder.
 MARKER = -1
 OK = "ok"
@@ -156,6 +158,7 @@ def read_sections(spark: SparkSession, path: str, glob: str = "*.gz", stream: bo
     frame by frame, so neither the compressed nor the decompressed file is held
     in memory; otherwise the file contents come from the scan itself.
     """
+    ship_package(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     if stream:
         return files.select("path").mapInPandas(_decode_paths, SECTION_SCHEMA)
@@ -215,6 +218,7 @@ def write_conversation_files(conversations: DataFrame, out_dir: str) -> int:
     into one open gzip file at a time, so a long conversation is never held in
     memory.  The only value returned to the driver is the file count.
     """
+    ship_package(conversations.sparkSession)
     ordered = (
         conversations.select("conv_id", "turn", "text")
         .repartition("conv_id")
