@@ -30,7 +30,8 @@ def _logs(spark, args):
     if args.landed:
         from arenaflow.streaming.landing import read_landed
 
-        return Logs(*(read_landed(spark, getattr(args, n), s, keep_partition=True) for n, s in SCHEMAS.items()))
+        landed = (read_landed(spark, getattr(args, n), s, keep_partition=True) for n, s in SCHEMAS.items())
+        return Logs(*landed, date_partitioned=True)
     from arenaflow.sources.logs import read_json_log, split_corrupt
 
     return Logs(*(split_corrupt(read_json_log(spark, getattr(args, n), s))[0] for n, s in SCHEMAS.items()))

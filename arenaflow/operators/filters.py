@@ -12,26 +12,26 @@ from arenaflow.functions import date_range
 from arenaflow.params import RunParams
 
 
-# Name of the date partition column of landed logs (the date key of logtime).
-PARTITION_KEY = "pt_dt"
-
-
-def log_window(df: DataFrame, start: str, end: str, logtime: str = "logtime"):
+def log_window(df: DataFrame, start: str, end: str, logtime: str = "logtime", partition_key: str | None = None):
     """Condition ``start <= substr(logtime, 1, 10) <= end`` (pushable form).
 
-    When ``df`` carries the landing partition column ``pt_dt`` (by construction
-    the date key of ``logtime``), the same bounds on it are added, which is
-    exact and prunes whole date partitions at planning time.
+    ``partition_key`` names a date partition column that holds the date key of
+    ``logtime`` by construction (logs landed by :mod:`arenaflow.streaming`); the
+    same bounds on it are then added, which is exact and prunes whole date
+    partitions at planning time.  Do not pass a stored date that may differ from
+    the log time.
     """
     cond = date_range(logtime, start, end)
-    if PARTITION_KEY in df.columns:
-        cond = cond & (F.col(PARTITION_KEY) >= F.lit(start)) & (F.col(PARTITION_KEY) <= F.lit(end))
+    if partition_key is not None:
+        cond = cond & (F.col(partition_key) >= F.lit(start)) & (F.col(partition_key) <= F.lit(end))
     return cond
 
 
-def in_log_window(df: DataFrame, start: str, end: str, logtime: str = "logtime") -> DataFrame:
+def in_log_window(
+    df: DataFrame, start: str, end: str, logtime: str = "logtime", partition_key: str | None = None
+) -> DataFrame:
     """Rows whose ``substr(logtime, 1, 10)`` lies in ``[start, end]`` (pushable form)."""
-    return df.where(log_window(df, start, end, logtime))
+    return df.where(log_window(df, start, end, logtime, partition_key))
 
 
 def in_key_window(df: DataFrame, start: str, end: str, key: str = "pt_dt") -> DataFrame:
@@ -43,12 +43,12 @@ def in_key_window(df: DataFrame, start: str, end: str, key: str = "pt_dt") -> Da
     return df.where((F.col(key) >= F.lit(start)) & (F.col(key) <= F.lit(end)))
 
 
-def qualifying_participants(participants: DataFrame, p: RunParams) -> DataFrame:
+def qualifying_participants(participants: DataFrame, p: RunParams, partition_key: str | None = None) -> DataFrame:
     """Participant rows that qualify a match: known match id, date in range,
     full lobby, one of the modes, the hero, and the score floor."""
     return participants.where(
         F.col("battleid").isNotNull()
-        & log_window(participants, p.start_date, p.end_date)
+        & log_window(participants, p.start_date, p.end_date, partition_key=partition_key)
         & (F.col("usernum") == F.lit(p.usernum))
         & F.col("modetid").isin(*p.modetids)
         & (F.col("herotid") == F.lit(p.hero_id))

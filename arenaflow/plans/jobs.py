@@ -96,7 +96,7 @@ def qualified_matches(
     aggregates the view for those matches only (a broadcast semi join drops
     all other rows before the shuffle).
     """
-    tba = qualifying_participants(logs.participants, p).select(
+    tba = qualifying_participants(logs.participants, p, logs.partition_key).select(
         date_key("logtime").alias("pt_dt"), "role_id", "battleid"
     )
     tbb = rated_admissions(logs.admissions, p.team_elo)
@@ -120,7 +120,7 @@ def qualified_participants(
     A role admitted twice with different ratings gives two rows; exact
     duplicates collapse.  Key reduction as in :func:`qualified_matches`.
     """
-    tba = participant_projection(qualifying_participants(logs.participants, p))
+    tba = participant_projection(qualifying_participants(logs.participants, p, logs.partition_key))
     tbb = rated_admissions(logs.admissions, p.team_elo)
     rated = join_admissions(tba, tbb).distinct()
     rated, candidates = _candidates(rated, reduce_keys, max_keys)
@@ -171,7 +171,7 @@ def _detail_inputs(logs: Logs, p: RunParams, eligible: DataFrame, materialized:
     Also returns the broadcast id set (or ``None``) for the rating side.
     """
     pairs = _eligible_pairs(eligible, materialized)
-    e = in_log_window(logs.participants, p.start_date, p.end_date).select(
+    e = in_log_window(logs.participants, p.start_date, p.end_date, partition_key=logs.partition_key).select(
         F.col("battleid").alias("e_battleid"), *participant_columns(exclude=("battleid",))
     )
     hinted = checked_broadcast(pairs, max_keys)
@@ -205,6 +205,7 @@ def participant_detail(
     eligible: DataFrame,
     materialized: bool = False,
     max_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
+    admission_window: str = "logtime",
 ) -> DataFrame:
     """Every participant row (in the date range) of every eligible match, with
     the role's rating (admissions in the date range), keyed by the match's
@@ -221,9 +222,19 @@ def participant_detail(
     inner + anti form of :func:`left_join`.  With a small eligible set both
     ``e`` and ``m`` are first reduced to the eligible matches (see
     :func:`_detail_inputs`).
+
+    ``admission_window="pt_dt"`` is the warehouse dialect: admissions are
+    windowed on their stored date column (which may differ from the date of
+    ``logtime``) instead of on ``logtime``.
     """
     b, e, ids = _detail_inputs(logs, p, eligible, materialized, max_keys)
-    m = in_log_window(logs.admissions, p.start_date, p.end_date).select(
+    if admission_window == "logtime":
+        adm = in_log_window(logs.admissions, p.start_date, p.end_date, partition_key=logs.partition_key)
+    elif admission_window == "pt_dt":
+        adm = in_key_window(logs.admissions, p.start_date, p.end_date, "pt_dt")
+    else:
+        raise ValueError(f"admission_window must be 'logtime' or 'pt_dt', not {admission_window!r}")
+    m = adm.select(
         F.col("matching_id"), F.col("role_id").alias("m_role_id"), F.col("team_elo")
     )
     if ids is not None:

@@ -35,9 +35,21 @@ FIXTURE_AUDIT_COUNT = 7
 
 @dataclass(frozen=True)
 class Logs:
+    """The three logs of a run.
+
+    ``date_partitioned`` marks logs landed by :mod:`arenaflow.streaming`, whose
+    ``pt_dt`` column is the date key of ``logtime``; the jobs then add the run's
+    date range on it so whole partitions are pruned.
+    """
+
     participants: DataFrame
     matches: DataFrame
     admissions: DataFrame
+    date_partitioned: bool = False
+
+    @property
+    def partition_key(self) -> str | None:
+        return "pt_dt" if self.date_partitioned else None
 
 
 # Declared schemas of the test tables read here: no footer-reading job to

@@ -219,3 +219,25 @@ def test_key_reduction_is_exact(spark, max_keys):
         plain = rows(fn(lg, P))
         assert rows(fn(lg, P, reduce_keys=True, max_keys=max_keys)) == plain
         assert rows(fn(lg, P, with_match_log=True, reduce_keys=True, max_keys=max_keys)) == plain
+
+
+def test_detail_admission_window_on_stored_date(spark):
+    from arenaflow.sources.fixtures import Logs
+
+    lg = _scenario(spark)
+    # stored date of match 2's admission inside the range although its log time is not
+    # and the reverse for match 1: log time in range, stored date outside
+    adm = lg.admissions.withColumn(
+        "pt_dt",
+        F.when(F.col("matching_id") == 2, F.lit("2021-02-10"))
+        .when(F.col("matching_id") == 1, F.lit("2020-01-01"))
+        .otherwise(F.substring("logtime", 1, 10)),
+    )
+    stored = Logs(lg.participants, lg.matches, adm)
+    eligible = jobs.eligible_matches(stored, P)
+    by_log = rows(jobs.participant_detail(stored, P, eligible), "battleid", "role_id", "team_elo")
+    by_pt = rows(jobs.participant_detail(stored, P, eligible, admission_window="pt_dt"), "battleid", "role_id", "team_elo")
+    assert (2, 20, None) in by_log and (2, 20, 1100) in by_pt
+    assert (1, 10, 1500) in by_log and (1, 10, None) in by_pt and (1, 10, 1500) not in by_pt
+    with pytest.raises(ValueError):
+        jobs.participant_detail(stored, P, eligible, admission_window="other")

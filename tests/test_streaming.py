@@ -72,6 +72,7 @@ def test_jobs_prune_date_partitions_of_landed_logs(spark):
         read_landed(spark, f"{root}/p", PARTICIPANTS, keep_partition=True),
         lg.matches,
         read_landed(spark, f"{root}/a", ADMISSIONS, keep_partition=True),
+        date_partitioned=True,
     )
     p = RunParams("2021-02-01", "2021-02-28", 3, 1000, "1", "sdk", 2, version_cutoff="2021-01-01")
     for fn in (lambda x: jobs.eligible_matches(x, p),
