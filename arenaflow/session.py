@@ -69,17 +69,22 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
 _SHIPPED: set[str] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Makes ``arenaflow`` importable in the Python workers (once per application).
+def ship_package(spark: SparkSession) -> bool:
+    """Makes ``arenaflow`` importable in the Python workers of a local or
+    single-machine run (once per application); returns whether it shipped.
 
     Functions run by ``mapInPandas`` are pickled by reference to this package,
-    so the executors must be able to import it.  When the job is submitted with
-    ``--py-files`` this adds nothing new; otherwise the package sources are
-    zipped on the driver and distributed with ``addPyFile``, the same mechanism.
+    so the executors must be able to import it.  On a cluster the package is
+    submitted with ``--py-files``; when the shared folder is a distributed file
+    system nothing is done here.  Otherwise the package sources are zipped into
+    the shared scratch folder and distributed with ``addPyFile``.
     """
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
-        return
+        return True
+    root = ensure_checkpoint_dir(spark)
+    if urlparse(root).scheme not in ("", "file"):
+        return False
     pkg = os.path.dirname(os.path.abspath(__file__))
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
@@ -89,9 +94,10 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(folder, name)
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     data = buf.getvalue()
-    out = os.path.join(tempfile.gettempdir(), f"arenaflow-{hashlib.sha1(data).hexdigest()[:16]}.zip")
-    if not os.path.exists(out):
-        with open(out, "wb") as fh:
-            fh.write(data)
+    folder = urlparse(scratch_dir(spark, "pyfiles")).path
+    out = os.path.join(folder, f"arenaflow-{hashlib.sha1(data).hexdigest()[:16]}.zip")
+    with open(out, "wb") as fh:
+        fh.write(data)
     sc.addPyFile(out)
     _SHIPPED.add(sc.applicationId)
+    return True
