@@ -103,9 +103,7 @@ def qualified_matches(
     keys = admitted_keys(tba, tbb).select("pt_dt", "battleid").distinct()
     keys, candidates = _candidates(keys, reduce_keys, max_keys)
     out = join_match_view(keys, match_values(logs, p, with_match_log, candidates))
-    return out.select(
-        "pt_dt", month_key("pt_dt").alias("pt_dt_date"), "battleid", "keyversion", *TOTAL_FIELDS
-    )
+    return out.withColumn("pt_dt_date", month_key("pt_dt")).select(*QUALIFIED_MATCH_COLUMNS)
 
 
 def qualified_participants(

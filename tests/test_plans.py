@@ -64,3 +64,12 @@ def test_scans_are_column_pruned(spark, sf_small):
 def test_allow_list_semi_join_is_broadcast(spark, sf_small):
     text = _explain(QUERIES["version_allow_semi"](spark, sf_small), "formatted")
     assert "BroadcastHashJoin LeftSemi" in text or "BroadcastExchange" in text
+
+
+def test_detail_reduces_rows_to_eligible_matches_before_shuffling(spark, sf_small):
+    text = _explain(QUERIES["player_detail"](spark, sf_small), "formatted")
+    # participant and admission rows are cut to the eligible matches map-side
+    assert len(re.findall(r"BroadcastHashJoin LeftSemi", text)) >= 2
+    # the inner branch streams the participant rows past the broadcast pairs
+    assert re.search(r"BroadcastHashJoin Inner BuildLeft", text)
+    assert not any(n in text for n in PYTHON_NODES)
