@@ -98,6 +98,10 @@ def ship_package(spark: SparkSession) -> bool:
     out = os.path.join(folder, f"arenaflow-{hashlib.sha1(data).hexdigest()[:16]}.zip")
     with open(out, "wb") as fh:
         fh.write(data)
-    sc.addPyFile(out)
+    try:
+        sc.addPyFile(out)
+    except Exception as exc:  # the same archive was registered earlier (module reloaded)
+        if "already registered" not in str(exc):
+            raise
     _SHIPPED.add(sc.applicationId)
     return True
