@@ -73,3 +73,19 @@ def test_detail_reduces_rows_to_eligible_matches_before_shuffling(spark, sf_smal
     # the inner branch streams the participant rows past the broadcast pairs
     assert re.search(r"BroadcastHashJoin Inner BuildLeft", text)
     assert not any(n in text for n in PYTHON_NODES)
+
+
+def test_qualifying_filters_reach_the_json_scan(spark):
+    from arenaflow.operators import qualifying_participants
+    from arenaflow.sources import logs as logsrc
+
+    lg = logs(spark, [participant(1, 1, "2021-01-05 00:00:00")])
+    root = scratch_dir(spark, "plan-json")
+    glob = logsrc.write_json_tree(lg.participants, root)
+    good, _ = logsrc.split_corrupt(logsrc.read_json_log(spark, glob, PARTICIPANTS))
+    p = RunParams("2021-01-01", "2021-03-31", 3, 1000, "1,2", "sdk", 2)
+    text = _explain(qualifying_participants(good, p), "formatted")
+    pushed = " ".join(re.findall(r"PushedFilters: (.*)", text))
+    assert "Scan json" in text
+    assert "GreaterThanOrEqual(logtime,2021-01-01)" in pushed and "LessThan(logtime,2021-03-32)" in pushed
+    assert "EqualTo(herotid,3)" in pushed
