@@ -96,11 +96,11 @@ def qualified_matches(
     aggregates the view for those matches only (a broadcast semi join drops
     all other rows before the shuffle).
     """
-    tba = qualifying_participants(logs.participants, p, logs.partition_key).select(
+    qualifying = qualifying_participants(logs.participants, p, logs.partition_key).select(
         date_key("logtime").alias("pt_dt"), "role_id", "battleid"
     )
-    tbb = rated_admissions(logs.admissions, p.team_elo)
-    keys = admitted_keys(tba, tbb).select("pt_dt", "battleid").distinct()
+    rated_adm = rated_admissions(logs.admissions, p.team_elo)
+    keys = admitted_keys(qualifying, rated_adm).select("pt_dt", "battleid").distinct()
     keys, candidates = _candidates(keys, reduce_keys, max_keys)
     out = join_match_view(keys, match_values(logs, p, with_match_log, candidates))
     return out.withColumn("pt_dt_date", month_key("pt_dt")).select(*QUALIFIED_MATCH_COLUMNS)
@@ -118,9 +118,9 @@ def qualified_participants(
     A role admitted twice with different ratings gives two rows; exact
     duplicates collapse.  Key reduction as in :func:`qualified_matches`.
     """
-    tba = participant_projection(qualifying_participants(logs.participants, p, logs.partition_key))
-    tbb = rated_admissions(logs.admissions, p.team_elo)
-    rated = join_admissions(tba, tbb).distinct()
+    qualifying = participant_projection(qualifying_participants(logs.participants, p, logs.partition_key))
+    rated_adm = rated_admissions(logs.admissions, p.team_elo)
+    rated = join_admissions(qualifying, rated_adm).distinct()
     rated, candidates = _candidates(rated, reduce_keys, max_keys)
     out = join_match_view(rated, match_values(logs, p, with_match_log, candidates))
     return out.select(
@@ -160,24 +160,24 @@ def _eligible_pairs(eligible: DataFrame, materialized: bool) -> DataFrame:
 
 
 def _detail_inputs(logs: Logs, p: RunParams, eligible: DataFrame, materialized: bool, max_keys: int):
-    """The eligible pairs ``b`` and the participant rows ``e`` in the date range.
+    """The eligible pairs and the participant rows (``played``) in the date range.
 
-    When the materialized pairs are within ``max_keys`` rows (exact count), ``b``
-    is broadcast-hinted, and ``e`` is reduced map-side to the eligible matches by
+    When the materialized pairs are within ``max_keys`` rows (exact count), the
+    pairs are broadcast-hinted, and ``played`` is reduced map-side to the eligible matches by
     a broadcast semi join on their ids (rows of other matches can never reach
     the result), so the joins that follow shuffle only eligible matches' rows.
     Also returns the broadcast id set (or ``None``) for the rating side.
     """
     pairs = _eligible_pairs(eligible, materialized)
-    e = in_log_window(logs.participants, p.start_date, p.end_date, partition_key=logs.partition_key).select(
+    played = in_log_window(logs.participants, p.start_date, p.end_date, partition_key=logs.partition_key).select(
         F.col("battleid").alias("e_battleid"), *participant_columns(exclude=("battleid",))
     )
     hinted = checked_broadcast(pairs, max_keys)
     if hinted is None:
-        return pairs, e, None
+        return pairs, played, None
     ids = F.broadcast(pairs.select(F.col("battleid").alias("_eligible_id")).distinct())
-    e = e.join(ids, e["e_battleid"] == ids["_eligible_id"], "left_semi")
-    return hinted, e, ids
+    played = played.join(ids, played["e_battleid"] == ids["_eligible_id"], "left_semi")
+    return hinted, played, ids
 
 
 def expanded_participants(
@@ -193,8 +193,8 @@ def expanded_participants(
     Output: ``pt_dt``, ``battleid`` of the eligible side, ``e_battleid`` and the
     participant fields of the joined row.
     """
-    b, e, _ids = _detail_inputs(logs, p, eligible, materialized, max_keys)
-    return left_join(b, e, [("battleid", "e_battleid")])
+    pairs, played, _ids = _detail_inputs(logs, p, eligible, materialized, max_keys)
+    return left_join(pairs, played, [("battleid", "e_battleid")])
 
 
 def participant_detail(
@@ -211,34 +211,35 @@ def participant_detail(
 
     Two left joins; duplicates multiply (bag semantics).  The rating join is
     keyed on participant columns only and its equality rejects NULLs, so
-    ``(b LEFT JOIN e) LEFT JOIN m`` equals ``b LEFT JOIN (e LEFT JOIN m)``;
-    the second form is used.  ``e LEFT JOIN m`` is keyed on (match, role), so a
+    ``(pairs LEFT JOIN played) LEFT JOIN ratings`` equals
+    ``pairs LEFT JOIN (played LEFT JOIN ratings)``; the second form is used.
+    ``played LEFT JOIN ratings`` is keyed on (match, role), so a
     hot match spreads over its roles, and adaptive execution splits a hot
     participant partition (the preserved side).  The join of the small eligible
     set with the participant rows is the one where a single match can hold a
     large share of the rows on the non-preserved side; it uses the skew-safe
     inner + anti form of :func:`left_join`.  With a small eligible set both
-    ``e`` and ``m`` are first reduced to the eligible matches (see
+    ``played`` and ``ratings`` are first reduced to the eligible matches (see
     :func:`_detail_inputs`).
 
     ``admission_window="pt_dt"`` is the warehouse dialect: admissions are
     windowed on their stored date column (which may differ from the date of
     ``logtime``) instead of on ``logtime``.
     """
-    b, e, ids = _detail_inputs(logs, p, eligible, materialized, max_keys)
+    pairs, played, ids = _detail_inputs(logs, p, eligible, materialized, max_keys)
     if admission_window == "logtime":
         adm = in_log_window(logs.admissions, p.start_date, p.end_date, partition_key=logs.partition_key)
     elif admission_window == "pt_dt":
         adm = in_key_window(logs.admissions, p.start_date, p.end_date, "pt_dt")
     else:
         raise ValueError(f"admission_window must be 'logtime' or 'pt_dt', not {admission_window!r}")
-    m = adm.select(
+    ratings = adm.select(
         F.col("matching_id"), F.col("role_id").alias("m_role_id"), F.col("team_elo")
     )
     if ids is not None:
-        m = m.join(ids, m["matching_id"] == ids["_eligible_id"], "left_semi")
-    em = left_join(e, m, [("e_battleid", "matching_id"), ("role_id", "m_role_id")], skew_safe=False)
-    rows = left_join(b, em, [("battleid", "e_battleid")])
+        ratings = ratings.join(ids, ratings["matching_id"] == ids["_eligible_id"], "left_semi")
+    both = left_join(played, ratings, [("e_battleid", "matching_id"), ("role_id", "m_role_id")], skew_safe=False)
+    rows = left_join(pairs, both, [("battleid", "e_battleid")])
     return rows.select("pt_dt", *DETAIL_RECORD)
 
 

@@ -115,43 +115,43 @@ match_view AS (
     FROM matches
     UNION ALL
     SELECT battleid, pt_dt, keyversion, f1, f2, ft FROM pview
-  ) u
+  ) both_logs
   GROUP BY battleid
 ),
-tba_p AS (
+qual_rows AS (
   SELECT substr(logtime, 1, 10) AS pt_dt, battleid, role_id, {MEASURES}
   FROM participants
   WHERE battleid IS NOT NULL
     AND substr(logtime, 1, 10) >= '{S}' AND substr(logtime, 1, 10) <= '{E}'
     AND usernum = {P.usernum} AND modetid IN ({MODES}) AND herotid = {P.hero_id} AND score >= {P.score}
 ),
-tba_m AS (
+qual_keys AS (
   SELECT substr(logtime, 1, 10) AS pt_dt, role_id, battleid
   FROM participants
   WHERE battleid IS NOT NULL
     AND substr(logtime, 1, 10) >= '{S}' AND substr(logtime, 1, 10) <= '{E}'
     AND usernum = {P.usernum} AND modetid IN ({MODES}) AND herotid = {P.hero_id} AND score >= {P.score}
 ),
-tbb AS (
+rated_adm AS (
   SELECT matching_id, role_id, team_elo FROM admissions WHERE team_elo >= {P.team_elo}
 ),
-tbc AS (
+view_in_range AS (
   SELECT battleid, keyversion, faction_1_total_kill, faction_2_total_kill, faction_total_kill
   FROM match_view WHERE pt_dt >= '{S}' AND pt_dt <= '{E}'
 ),
 qualified_p AS (
-  SELECT DISTINCT tba_p.*, substr(tba_p.pt_dt, 1, 7) AS pt_dt_date, tbb.team_elo, tbc.keyversion,
-         tbc.faction_1_total_kill, tbc.faction_2_total_kill, tbc.faction_total_kill
-  FROM tba_p
-  JOIN tbb ON tba_p.battleid = tbb.matching_id AND tba_p.role_id = tbb.role_id
-  JOIN tbc ON tba_p.battleid = tbc.battleid
+  SELECT DISTINCT qual_rows.*, substr(qual_rows.pt_dt, 1, 7) AS pt_dt_date, rated_adm.team_elo, view_in_range.keyversion,
+         view_in_range.faction_1_total_kill, view_in_range.faction_2_total_kill, view_in_range.faction_total_kill
+  FROM qual_rows
+  JOIN rated_adm ON qual_rows.battleid = rated_adm.matching_id AND qual_rows.role_id = rated_adm.role_id
+  JOIN view_in_range ON qual_rows.battleid = view_in_range.battleid
 ),
 qualified_m AS (
-  SELECT DISTINCT tba_m.pt_dt, substr(tba_m.pt_dt, 1, 7) AS pt_dt_date, tba_m.battleid, tbc.keyversion,
-         tbc.faction_1_total_kill, tbc.faction_2_total_kill, tbc.faction_total_kill
-  FROM tba_m
-  JOIN tbb ON tba_m.battleid = tbb.matching_id AND tba_m.role_id = tbb.role_id
-  JOIN tbc ON tba_m.battleid = tbc.battleid
+  SELECT DISTINCT qual_keys.pt_dt, substr(qual_keys.pt_dt, 1, 7) AS pt_dt_date, qual_keys.battleid, view_in_range.keyversion,
+         view_in_range.faction_1_total_kill, view_in_range.faction_2_total_kill, view_in_range.faction_total_kill
+  FROM qual_keys
+  JOIN rated_adm ON qual_keys.battleid = rated_adm.matching_id AND qual_keys.role_id = rated_adm.role_id
+  JOIN view_in_range ON qual_keys.battleid = view_in_range.battleid
 ),
 eligible AS (
   SELECT * FROM qualified_m WHERE pt_dt < '{C}' AND keyversion IN ({ALLOW})
@@ -163,27 +163,27 @@ eligible_p AS (
   UNION
   SELECT * FROM qualified_p WHERE pt_dt >= '{C}'
 ),
-e_rows AS (
+window_rows AS (
   SELECT battleid, role_id, {MEASURES}
   FROM participants
   WHERE substr(logtime, 1, 10) >= '{S}' AND substr(logtime, 1, 10) <= '{E}'
 ),
-m_rows AS (
+window_ratings AS (
   SELECT matching_id, role_id, team_elo
   FROM admissions
   WHERE substr(logtime, 1, 10) >= '{S}' AND substr(logtime, 1, 10) <= '{E}'
 ),
 expanded AS (
-  SELECT b.pt_dt, b.battleid, e.battleid AS e_battleid, {", ".join("e." + c.strip() for c in DETAIL_FIELDS.split(","))}
-  FROM eligible b LEFT JOIN e_rows e ON b.battleid = e.battleid
+  SELECT el.pt_dt, el.battleid, pr.battleid AS e_battleid, {", ".join("pr." + c.strip() for c in DETAIL_FIELDS.split(","))}
+  FROM eligible el LEFT JOIN window_rows pr ON el.battleid = pr.battleid
 ),
 detail AS (
-  SELECT x.pt_dt, x.battleid, {", ".join("x." + c.strip() for c in DETAIL_FIELDS.split(","))}, m.team_elo
-  FROM expanded x LEFT JOIN m_rows m ON x.e_battleid = m.matching_id AND x.role_id = m.role_id
+  SELECT x.pt_dt, x.battleid, {", ".join("x." + c.strip() for c in DETAIL_FIELDS.split(","))}, ad.team_elo
+  FROM expanded x LEFT JOIN window_ratings ad ON x.e_battleid = ad.matching_id AND x.role_id = ad.role_id
 ),
 packed_m AS (
-  SELECT pt_dt, concat_ws(chr(1), {_nz("battleid, keyversion, faction_1_total_kill, faction_2_total_kill, faction_total_kill", "e")}) AS battle_info
-  FROM eligible e
+  SELECT pt_dt, concat_ws(chr(1), {_nz("battleid, keyversion, faction_1_total_kill, faction_2_total_kill, faction_total_kill", "el")}) AS battle_info
+  FROM eligible el
 ),
 packed_d AS (
   SELECT pt_dt, concat_ws(chr(1), {_nz("battleid, " + DETAIL_FIELDS + ", team_elo", "d")}) AS battle_info
@@ -224,7 +224,7 @@ def _wide(cut: bool) -> str:
     return "SELECT battleid, " + ", ".join(cols) + " FROM wide_u GROUP BY battleid"
 
 
-TBA_P_COLS = (
+QUAL_ROW_COLS = (
     "pt_dt, battleid, role_id, gold, score, kill, death, assist, rank_tid, continuekill, towerkill, creepkill, "
     "dmgtohero, dmgtotower, dmgreceived, magdmgreceived, doublekill, triblekill, quadrakill, pentakill, "
     "healingtohero, herotid, modetid, usernum"
@@ -258,8 +258,8 @@ FINAL = {
     "date_range_filter": (
         f"SELECT * FROM participants WHERE substr(logtime, 1, 10) >= '{S}' AND substr(logtime, 1, 10) <= '{E}'"
     ),
-    "participant_filter": "SELECT * FROM tba_p",
-    "admission_filter": "SELECT * FROM tbb",
+    "participant_filter": "SELECT * FROM qual_rows",
+    "admission_filter": "SELECT * FROM rated_adm",
     "admission_window": (
         "SELECT matching_id, role_id, team_elo, pt_dt FROM "
         "(SELECT *, substr(logtime, 1, 10) AS pt_dt FROM admissions) a "
@@ -289,18 +289,18 @@ FINAL = {
     "match_view_wide": _wide(cut=False),
     "first_token": _wide(cut=True),
     "duplicate_audit": (
-        "SELECT battleid, row_count FROM (SELECT battleid, count(*) AS row_count FROM e_rows GROUP BY battleid) t "
+        "SELECT battleid, row_count FROM (SELECT battleid, count(*) AS row_count FROM window_rows GROUP BY battleid) t "
         f"WHERE row_count = {FIXTURE_AUDIT_COUNT}"
     ),
     "join_admissions": (
-        "SELECT tba_p.*, tbb.team_elo FROM tba_p "
-        "JOIN tbb ON tba_p.battleid = tbb.matching_id AND tba_p.role_id = tbb.role_id"
+        "SELECT qual_rows.*, rated_adm.team_elo FROM qual_rows "
+        "JOIN rated_adm ON qual_rows.battleid = rated_adm.matching_id AND qual_rows.role_id = rated_adm.role_id"
     ),
     "join_match_view": (
-        "SELECT tba_p.*, tbb.team_elo, tbc.keyversion, tbc.faction_1_total_kill, tbc.faction_2_total_kill, "
-        "tbc.faction_total_kill FROM tba_p "
-        "JOIN tbb ON tba_p.battleid = tbb.matching_id AND tba_p.role_id = tbb.role_id "
-        "JOIN tbc ON tba_p.battleid = tbc.battleid"
+        "SELECT qual_rows.*, rated_adm.team_elo, view_in_range.keyversion, view_in_range.faction_1_total_kill, view_in_range.faction_2_total_kill, "
+        "view_in_range.faction_total_kill FROM qual_rows "
+        "JOIN rated_adm ON qual_rows.battleid = rated_adm.matching_id AND qual_rows.role_id = rated_adm.role_id "
+        "JOIN view_in_range ON qual_rows.battleid = view_in_range.battleid"
     ),
     "expand_participants": "SELECT * FROM expanded",
     "player_detail": "SELECT * FROM detail",

@@ -45,11 +45,11 @@ def _logs(spark: SparkSession, sf_dir: str) -> fixtures.Logs:
     return fixtures.load(spark, sf_dir)
 
 
-def _tba(spark, sf_dir):
+def _qualifying_rows(spark, sf_dir):
     return participant_projection(qualifying_participants(_logs(spark, sf_dir).participants, P))
 
 
-def _tbb(spark, sf_dir):
+def _rated_admission_rows(spark, sf_dir):
     return rated_admissions(_logs(spark, sf_dir).admissions, P.team_elo).select("matching_id", "role_id", "team_elo")
 
 
@@ -107,11 +107,11 @@ def date_range_filter(spark, sf_dir):
 
 
 def participant_filter(spark, sf_dir):
-    return _tba(spark, sf_dir)
+    return _qualifying_rows(spark, sf_dir)
 
 
 def admission_filter(spark, sf_dir):
-    return _tbb(spark, sf_dir)
+    return _rated_admission_rows(spark, sf_dir)
 
 
 def admission_window(spark, sf_dir):
@@ -187,11 +187,11 @@ def monthly_players(spark, sf_dir):
 # --- joins -------------------------------------------------------------------
 
 def join_admissions_q(spark, sf_dir):
-    return join_admissions(_tba(spark, sf_dir), _tbb(spark, sf_dir))
+    return join_admissions(_qualifying_rows(spark, sf_dir), _rated_admission_rows(spark, sf_dir))
 
 
 def join_match_view_q(spark, sf_dir):
-    rows = join_admissions(_tba(spark, sf_dir), _tbb(spark, sf_dir))
+    rows = join_admissions(_qualifying_rows(spark, sf_dir), _rated_admission_rows(spark, sf_dir))
     return join_match_view(rows, jobs.match_values(_logs(spark, sf_dir), P))
 
 
