@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arenaflow.session import scratch_dir
@@ -12,6 +12,15 @@ from arenaflow.session import scratch_dir
 DEFAULT_MAX_BROADCAST_KEYS = 1_000_000
 
 
+def materialize_at(df: DataFrame, purpose: str = "materialized") -> tuple[DataFrame, str]:
+    """Writes ``df`` as Parquet under the shared checkpoint folder; returns the
+    read-back and the folder (see :func:`remove_folder`)."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, purpose)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def materialize(df: DataFrame, purpose: str = "materialized") -> DataFrame:
     """Writes ``df`` as Parquet under the shared checkpoint folder and returns
     the read-back.
@@ -21,10 +30,15 @@ def materialize(df: DataFrame, purpose: str = "materialized") -> DataFrame:
     recomputation.  One job, unlike an eager ``checkpoint()``, which computes
     its input once to count it and again to write it.
     """
-    spark = df.sparkSession
-    path = scratch_dir(spark, purpose)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return materialize_at(df, purpose)[0]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a materialized folder through the Hadoop file system of its URI
+    (local, HDFS or object store alike), once nothing reads it any more."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
 def checked_broadcast(keys: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_KEYS) -> DataFrame | None:

@@ -29,7 +29,13 @@ from arenaflow.operators.filters import (
 )
 from arenaflow.operators.joins import admitted_keys, join_admissions, join_match_view, left_join
 from arenaflow.operators.projections import PARTICIPANT_FIELDS, participant_columns, participant_projection
-from arenaflow.operators.sizing import DEFAULT_MAX_BROADCAST_KEYS, checked_broadcast, materialize
+from arenaflow.operators.sizing import (
+    DEFAULT_MAX_BROADCAST_KEYS,
+    checked_broadcast,
+    materialize,
+    materialize_at,
+    remove_folder,
+)
 from arenaflow.params import RunParams
 from arenaflow.sources.fixtures import Logs
 
@@ -276,12 +282,15 @@ def run_match_exports(logs: Logs, p: RunParams, root: str, **sink_options) -> Ex
     """
     from arenaflow.sources.exports import write_keyed_text
 
-    eligible = materialize(eligible_matches(logs, p))
-    paths = ExportPaths(p.export_path(root, "battle_info"), p.export_path(root, "player_info"))
-    write_keyed_text(packed_matches(eligible), paths.battle_info, **sink_options)
-    detail = participant_detail(logs, p, eligible, materialized=True)
-    write_keyed_text(packed_players(detail), paths.player_info, **sink_options)
-    return paths
+    eligible, folder = materialize_at(eligible_matches(logs, p), "eligible")
+    try:
+        paths = ExportPaths(p.export_path(root, "battle_info"), p.export_path(root, "player_info"))
+        write_keyed_text(packed_matches(eligible), paths.battle_info, **sink_options)
+        detail = participant_detail(logs, p, eligible, materialized=True)
+        write_keyed_text(packed_players(detail), paths.player_info, **sink_options)
+        return paths
+    finally:
+        remove_folder(eligible.sparkSession, folder)
 
 
 def run_participant_export(logs: Logs, p: RunParams, root: str, **sink_options) -> str:

@@ -46,6 +46,9 @@ def test_keyed_text_sink_round_trip(spark):
     assert rows(back) == rows(jobs.packed_matches(jobs.eligible_matches(lg, P)))
     detail = exports.read_keyed_text(spark, paths.player_info)
     assert detail.count() == 3
+    # the materialized eligible set is removed once both exports are written
+    scratch = os.path.dirname(root)
+    assert not [d for d in os.listdir(scratch) if d.startswith("eligible-")]
     typed = exports.unpack(back, [("battleid", "bigint"), ("keyversion", "string")])
     assert rows(typed.select("battleid")) == [(1,), (2,), (3,)]
 
