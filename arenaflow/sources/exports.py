@@ -15,6 +15,12 @@ from pyspark.sql import types as T
 from arenaflow.functions import FIELD_SEPARATOR
 
 
+def rebalanced(records: DataFrame, key: str = "pt_dt", value: str = "battle_info") -> DataFrame:
+    """``(key, value)`` rows with a rebalance on ``key``: adaptive execution sizes
+    the write tasks (merging small dates, splitting a hot one)."""
+    return records.select(key, value).hint("rebalance", key)
+
+
 def write_keyed_text(
     records: DataFrame,
     path: str,
@@ -31,7 +37,7 @@ def write_keyed_text(
     into several, instead of sending a whole date to one task), and the writer
     sorts each task's rows by key so it keeps one file open at a time.
     """
-    out = records.select(key, value).hint("rebalance", key)
+    out = rebalanced(records, key, value)
     w = out.write.mode(mode).partitionBy(key).option("compression", compression)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))

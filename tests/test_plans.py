@@ -89,3 +89,11 @@ def test_qualifying_filters_reach_the_json_scan(spark):
     assert "Scan json" in text
     assert "GreaterThanOrEqual(logtime,2021-01-01)" in pushed and "LessThan(logtime,2021-03-32)" in pushed
     assert "EqualTo(herotid,3)" in pushed
+
+
+def test_sink_rebalances_on_the_date_key(spark):
+    from arenaflow.sources.exports import rebalanced
+
+    df = spark.createDataFrame([("2021-01-01", "a"), ("2021-01-02", "b")], "pt_dt string, battle_info string")
+    text = _explain(rebalanced(df), "formatted")
+    assert "REBALANCE_PARTITIONS_BY_COL" in text and "hashpartitioning(pt_dt" in text
