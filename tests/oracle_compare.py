@@ -29,6 +29,9 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -53,6 +56,11 @@ def compare(spark, con, name: str, sf_dir: str, query, sql: str) -> dict:
     d_cols = list(rel.columns)
     d_rows = [tuple(_norm(v) for v in r) for r in rel.fetchall()]
     out = {"name": name, "spark_rows": len(s_rows), "oracle_rows": len(d_rows), "spark_sec": round(t1 - t0, 2)}
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    d_types = dict(zip(d_cols, (str(t) for t in rel.types)))
+    type_diff = {c: (s_types[c], d_types.get(c)) for c in s_types if s_types[c] != d_types.get(c)}
+    if type_diff:
+        out["type_diff"] = type_diff
     if sorted(s_cols) != sorted(d_cols):
         out["ok"] = False
         out["why"] = f"columns differ: spark={s_cols} oracle={d_cols}"
@@ -61,8 +69,10 @@ def compare(spark, con, name: str, sf_dir: str, query, sql: str) -> dict:
     s_order = [s_cols.index(c) for c in sorted(s_cols)]
     s_sorted = sorted((tuple(r[i] for i in s_order) for r in s_rows), key=_key)
     d_sorted = sorted((tuple(r[i] for i in order) for r in d_rows), key=_key)
-    out["ok"] = s_sorted == d_sorted
-    if not out["ok"]:
+    out["ok"] = s_sorted == d_sorted and not type_diff
+    if type_diff:
+        out["why"] = f"column types differ (spark, oracle): {type_diff}"
+    elif not out["ok"]:
         diff_s = [r for r in s_sorted if r not in set(d_sorted)][:3]
         diff_d = [r for r in d_sorted if r not in set(s_sorted)][:3]
         out["why"] = f"values differ; cols={sorted(s_cols)} spark-only={diff_s} oracle-only={diff_d}"
