@@ -26,7 +26,7 @@ from arenaflow.operators.sizing import materialize
 from arenaflow.session import scratch_dir, ship_package
 
 __all__ = [
-    "WordHashes", "documents", "fold", "frequent_words", "hash_sample", "map_rows", "materialize", "once", "scratch_dir",
+    "WordHashes", "documents", "filter_texts", "fold", "frequent_words", "hash_sample", "map_rows", "materialize", "once", "scratch_dir",
     "shingle_hashes", "write_bytes",
 ]
 
@@ -63,6 +63,19 @@ def map_rows(df: DataFrame, start: Callable[[], Callable[[tuple], Iterable[tuple
     return df.mapInArrow(run, schema)
 
 
+def filter_texts(docs: DataFrame, start: Callable[[], Callable[[str | None], bool]]) -> DataFrame:
+    """The rows of ``docs`` whose text passes, all columns as they are; ``start()`` runs once a task."""
+    ship_package(docs.sparkSession)
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passes = start()
+        for batch in batches:
+            yield batch.filter(pa.array(list(map(passes, batch.column(place).to_pylist())), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True))
     return pa.RecordBatch.from_arrays(

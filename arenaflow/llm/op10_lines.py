@@ -180,16 +180,37 @@ def recurring_lines(
     return dropped.groupBy("doc_id", "doc_hash").agg(F.collect_set("line_no").alias("drops"))
 
 
-def line_dedup(docs: DataFrame, min_support: int = 3, depth: int = 4, similarity: float = 0.8, min_tokens: int = 3) -> DataFrame:
-    """``docs`` with shortened texts, and ``n_lines``, ``n_dropped`` (long; NULL text: 0)."""
-    drops = recurring_lines(docs, min_support, depth, similarity, min_tokens).select(
-        F.col("doc_id").alias("_id"), F.col("doc_hash").alias("_hash"), F.col("drops").alias("_drops")
+def _shortened(docs: DataFrame, **how) -> DataFrame:
+    """``row`` (all of ``docs``), ``text`` (shortened), ``n_lines``, ``n_dropped``."""
+    drops = recurring_lines(docs, **how).select(F.col("doc_id").alias("drop_id"), F.col("doc_hash").alias("drop_hash"), "drops")
+    # the row's own columns are folded into one, so their names can't clash
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("drop_id")) & (F.xxhash64("row.text") == F.col("drop_hash"))
+    lines = F.split("row.text", "\n", -1)
+    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("drops", i)), "\n")
+    return rows.join(drops, same, "left").select(
+        "row",
+        F.when(F.col("drops").isNull(), F.col("row.text")).otherwise(kept).alias("text"),
+        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"),
     )
-    joined = docs.join(drops, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left")
-    lines = F.split("text", "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_drops", i)), "\n")
-    text = F.when(F.col("_drops").isNull(), F.col("text")).otherwise(kept)
-    counted = joined.withColumns(
-        {"n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"), "n_dropped": F.coalesce(F.size("_drops"), F.lit(0)).cast("long"), "_text": text}
-    )
-    return counted.select(*(F.col("_text").alias("text") if c == "text" else c for c in docs.columns), "n_lines", "n_dropped")
+
+
+HOW = {"min_support": 3, "depth": 4, "similarity": 0.8, "min_tokens": 3}
+
+
+def line_dedup(docs: DataFrame, **how) -> DataFrame:
+    """``doc_id``, ``n_lines``, ``n_dropped`` (long; NULL text: 0), ``text`` as shortened.
+
+    ``how``: other values for ``min_support``, ``depth``, ``similarity`` or ``min_tokens``.
+    """
+    return _shortened(docs, **HOW | how).select(F.col("row.doc_id").cast("long").alias("doc_id"), "n_lines", "n_dropped", "text")
+
+
+def without_recurring_lines(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` with the shortened texts; ``n_chars``, if there, follows a text that lost lines."""
+    new = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        n_chars = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("row.n_chars"))
+        new["n_chars"] = n_chars.cast(docs.schema["n_chars"].dataType)
+    return _shortened(docs, **HOW | how).select(*(new.get(c, F.col("row")[c]).alias(c) for c in docs.columns))

@@ -15,7 +15,7 @@ Question and answer: an item's answer is its last sentence, the question what
 comes before it; an item of one sentence is split in the middle.
 
 Defined cases: an item that is NULL or has no words is never found; a NULL or empty text
-matches nothing; equal items are found each under its own id; repeated documents
+matches nothing; equal items are found each under its own id (NULL if it has none); repeated documents
 give repeated rows; extra columns are ignored.
 """
 
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arenaflow.llm.blockmax import BlockMaxIndex
-from arenaflow.llm.common import map_rows, once
+from arenaflow.llm.common import filter_texts, map_rows, once
 
 WORDS = re.compile(r"\w+")
 SENTENCES = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -107,7 +107,7 @@ class Searcher:
                 row = (self.ids[item], score, question, answer)
                 if min(question, answer) >= self.least and (item not in best or row[1:] > best[item][1:]):
                     best[item] = row
-        return sorted(best.values())
+        return [best[item] for item in sorted(best)]
 
 
 def benchmark_blocks(benchmark: DataFrame, shard_items: int, shard_bytes: int):
@@ -117,7 +117,7 @@ def benchmark_blocks(benchmark: DataFrame, shard_items: int, shard_bytes: int):
     blocks = max(-(-size["n"] // shard_items), -(-(size["bytes"] or 0) // shard_bytes))
     for k in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
-        yield sorted((r["item_id"] if r["item_id"] is not None else -1, r["text"]) for r in rows)
+        yield sorted(((r["item_id"], r["text"]) for r in rows), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
 def contaminated(
@@ -157,13 +157,12 @@ def decontaminated(
 
     A filter where the rows lie: each index block takes out what it finds.
     """
-    place = docs.columns.index("text")
     for items in benchmark_blocks(benchmark, shard_items, shard_bytes):
         searcher = _searcher(docs, items, threshold, least_overlap)
 
         def start(searcher=searcher):
             search = searcher()
-            return lambda row: () if search(row[place]) else (row,)
+            return lambda text: not search(text)
 
-        docs = map_rows(docs, start, docs.schema)
+        docs = filter_texts(docs, start)
     return docs

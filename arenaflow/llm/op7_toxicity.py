@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from arenaflow.llm.common import WORKER_CACHE, hash_sample, map_rows, materialize, once
+from arenaflow.llm.common import WORKER_CACHE, filter_texts, hash_sample, map_rows, materialize, once
 from arenaflow.session import ship_package
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -210,12 +210,9 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 def without_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, all columns as they are."""
     scorer = _shared(docs, model)
-    ship_package(docs.sparkSession)
-    place = docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         score = scorer()
-        for batch in batches:
-            yield batch.filter(pa.array([score(t) < 0.5 for t in batch.column(place).to_pylist()], pa.bool_()))
+        return lambda text: score(text) < 0.5
 
-    return docs.mapInArrow(run, docs.schema)
+    return filter_texts(docs, start)

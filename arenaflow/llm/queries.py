@@ -63,7 +63,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", "text")
+    return line_dedup(documents(spark, sf_dir))
 
 
 QUERIES = {

@@ -14,14 +14,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from arenaflow.llm.common import documents, materialize
 from arenaflow.llm.op3_decontamination import decontaminated
 from arenaflow.llm.op4_bpe import bpe_digests
 from arenaflow.llm.op6_neardup import without_near_duplicates
 from arenaflow.llm.op7_toxicity import without_toxic
-from arenaflow.llm.op10_lines import line_dedup
+from arenaflow.llm.op10_lines import without_recurring_lines
 from arenaflow.llm.queries import toxicity_model
 
 
@@ -32,11 +31,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of recurring templates go; no document goes.  ``n_chars`` follows the text."""
-    shortened = line_dedup(docs)
-    if "n_chars" in docs.columns:
-        n_chars = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        shortened = shortened.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
-    return shortened.select(docs.columns)
+    return without_recurring_lines(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

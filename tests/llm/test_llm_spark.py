@@ -1,0 +1,327 @@
+"""Every operator and stage on Spark: brute force, odd rows, empty tables, clashing names."""
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from arenaflow.llm import queries as q
+from arenaflow.llm.common import fold, frequent_words
+from arenaflow.llm.components import connected_components
+from arenaflow.llm.op1_quality import quality_rules
+from arenaflow.llm.op2_tokens import token_counts
+from arenaflow.llm.op3_decontamination import contaminated, decontaminated
+from arenaflow.llm.op4_bpe import bpe_digests, bpe_encode
+from arenaflow.llm.op5_licenses import BASE, TEMPLATES, license_scan
+from arenaflow.llm.op6_neardup import near_duplicates, without_near_duplicates
+from arenaflow.llm.op7_toxicity import score_toxicity, train_toxicity, without_toxic
+from arenaflow.llm.op8_language import identify_language
+from arenaflow.llm.op9_secrets import secret_scan
+from arenaflow.llm.op10_lines import cluster, line_dedup, parsed_lines, without_recurring_lines
+
+BYTE_BPE, WORD_BPE = (q.public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+CLASH = ["band", "node", "n", "label", "tokens", "line", "leaf", "template", "component", "drops", "row", "pattern", "quality", "_id", "_kept", "n_lines", "kept", "word", "a", "b"]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASH)
+LONG = " ".join(f"word{i % 7919}" for i in range(60_000))
+
+
+def table(spark, texts):
+    """Rows (doc_id, text, lang) with extra columns named like the operators' own."""
+    rows = [(i, t, la, None, len(t) if t is not None else None, *["x"] * len(CLASH)) for i, t, la in texts]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    copy = " ".join(f"same{i}" for i in range(80))
+    return table(
+        spark,
+        [(1, None, None), (2, "", "en"), (3, " \n\t ", "en"), (4, LONG, "en"), (5, copy, "en"), (5, copy, "en"), (6, copy, None),
+         (7, "one two", "fr"), (8, "one two", "fr"), (None, copy, "fr"), (None, None, None), (9, "\U0001f600 <|endoftext|> ünder the MIT License", "de")],
+    )
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return table(spark, [])
+
+
+def benchmark(spark, rows=((1, "alpha beta gamma delta. epsilon zeta eta."), (None, None), (2, ""))):
+    return spark.createDataFrame(list(rows), "item_id long, text string")
+
+
+def labels(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+@pytest.fixture(scope="module")
+def toxic_docs(spark):
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 7))) for _ in range(300)]
+    rows, marks = [], []
+    for i in range(400):
+        text = [rng.choice(words) for _ in range(rng.randint(20, 60))]
+        if i % 8 == 0:
+            text[3:3] = ["vilest", "foulish" + rng.choice(words)]
+        rows.append((i, " ".join(text), "en"))
+        marks.append((i, 1, int(i % 8 == 0)))
+    return table(spark, rows), labels(spark, marks)
+
+
+OPERATORS = {
+    "quality": quality_rules,
+    "tokens": lambda d: token_counts(d, WORD_BPE),
+    "contaminated": lambda d: contaminated(d, benchmark(d.sparkSession)),
+    "bpe": lambda d: bpe_digests(d, BYTE_BPE),
+    "encode": lambda d: bpe_encode(d, BYTE_BPE).select("doc_id", "decoded"),
+    "licenses": license_scan,
+    "neardup": near_duplicates,
+    "toxicity": lambda d: score_toxicity(d, train_toxicity(d, labels(d.sparkSession, [(7, 1, 1), (8, 1, 0), (8, 1, 0), (None, None, None)]), F.lit(True))),
+    "language": lambda d: identify_language(d, F.lit(True)),
+    "secrets": secret_scan,
+    "lines": line_dedup,
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_odd_rows(odd, name):
+    rows = OPERATORS[name](odd).collect()
+    ids = Counter(r["doc_id"] for r in rows)
+    assert ids == (Counter() if name == "contaminated" else Counter(r["doc_id"] for r in odd.select("doc_id").collect()))
+    repeated = [r for r in rows if r["doc_id"] == 5]
+    assert all(r == repeated[0] for r in repeated)
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_empty_table(none, name):
+    assert OPERATORS[name](none).collect() == []
+
+
+def test_odd_results(odd):
+    by = {r["doc_id"]: r for r in near_duplicates(odd).where("doc_id is not null").collect()}
+    assert (by[5]["component_id"], by[6]["component_id"], by[8]["component_id"]) == (5, 5, 7)
+    assert (by[1]["n_shingles"], by[2]["component_id"], by[3]["kept"], by[7]["n_shingles"]) == (0, 2, True, 1)
+    unnamed = near_duplicates(odd).where("doc_id is null").collect()
+    assert all(r["component_id"] is None and r["kept"] for r in unnamed)
+    tokens = {r["doc_id"]: r for r in token_counts(odd, WORD_BPE).collect()}
+    assert (tokens[1]["n_tokens"], tokens[1]["n_bytes"], tokens[4]["over_limit"]) == (0, 0, True)
+    language = {r["doc_id"]: r["lang_pred"] for r in identify_language(odd, F.lit(True)).collect()}
+    assert [language[i] for i in (1, 2, 3)] == ["und"] * 3 and language[4] != "und"
+    license_ = {r["doc_id"]: r for r in license_scan(odd).collect()}
+    # "ünder" is another word than "under": no base phrase, but three of the notice's four words stand in place
+    assert (license_[9]["n_base"], license_[9]["labels"], license_[9]["score"]) == (0, "mit", 0.75)
+    assert (license_[1]["n_words"], license_[1]["first_word"], license_[1]["score"]) == (0, None, 0.0)
+
+
+STAGE_INPUTS = ["odd", "none"]
+
+
+@pytest.mark.parametrize("which", STAGE_INPUTS)
+@pytest.mark.parametrize("stage", [s for s, _ in corpus_pipeline.STAGES])
+def test_stages_on_odd_rows(spark, sf_small, odd, none, which, stage):
+    docs = {"odd": odd, "none": none}[which]
+    out = dict(corpus_pipeline.STAGES)[stage](spark, docs, sf_small)
+    n = out.count()
+    if stage == corpus_pipeline.STAGES[-1][0]:
+        assert n == docs.count()
+        return
+    assert out.schema.names == docs.schema.names and out.dtypes == docs.dtypes
+    assert n == (0 if which == "none" else docs.count() - 2 * (stage == "near-dedup"))  # 6 and 8 go
+
+
+def test_frequent_words(spark):
+    docs = spark.createDataFrame([(None,), ("",), ("b a A a",), ("a c",)], "text string").repartition(3)
+    assert frequent_words(docs, 2) == ["a", "A"]
+    assert frequent_words(docs, 2, lower=True) == ["a", "b"]
+    assert frequent_words(docs.where("false"), 2) == []
+
+
+def near_copies(n_groups=30, seed=4):
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(2, 7))) for _ in range(3000)]
+    texts = []
+    for _ in range(n_groups):
+        base = [rng.choice(words) for _ in range(rng.choice([3, 6, 40, 120, 400]))]
+        for _ in range(rng.randint(1, 12)):
+            copy = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 60))):
+                copy[rng.randrange(len(copy))] = rng.choice(words)
+            texts.append(" ".join(copy).title() if rng.random() < 0.5 else " ".join(copy))
+    big = [rng.choice(words) for _ in range(150)]  # one large group of near copies
+    for i in range(150):
+        copy = list(big)
+        copy[rng.randrange(150)] = f"edit{i}"
+        texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    return texts
+
+
+def brute_components(texts, percent=85):
+    sets = {}
+    for i, t in enumerate(texts):
+        w = [x.lower() for x in re.findall(r"[^\x20\x09-\x0D]+", t)]
+        sets[i] = frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in sets:
+        for b in range(a):
+            inter = len(sets[a] & sets[b])
+            if inter and 100 * inter >= percent * len(sets[a] | sets[b]):
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: (len(sets[i]), root(i)) for i in sets}
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    texts = near_copies()
+    want = brute_components(texts)
+    docs = table(spark, [(i, t, "en") for i, t in enumerate(texts)]).repartition(5)
+    rows = near_duplicates(docs).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == want
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows)
+    kept = without_near_duplicates(docs)
+    assert sorted(r["doc_id"] for r in kept.select("doc_id").collect()) == sorted({c for _, c in want.values()})
+
+
+def test_components_of_chains_and_stars(spark):
+    chain = [(i, i + 1) for i in range(100, 160)]
+    star = [(500, i) for i in range(501, 540)] + [(i, i) for i in (700, 701)]
+    found = connected_components(spark.createDataFrame(chain + star, "a long, b long"))
+    want = {i: 100 for i in range(100, 161)} | {i: 500 for i in range(500, 540)}
+    assert {r["node"]: r["component"] for r in found.collect()} == want
+
+
+def test_licenses_equal_brute_force(spark):
+    lines = ["Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "Licensed under CC BY-NC 4.0.", "All rights reserved.",
+             "This work is licensed under the GNU General Public License, version 3.", "the mit license is under review", "apache", "cc by", "license Ünder the mit license"]
+    rng = random.Random(9)
+    texts = ["\n".join(rng.choice([*lines, "plain the words of under version"]) for _ in range(rng.randint(0, 8))) for _ in range(60)]
+    rows = {r["doc_id"]: r for r in license_scan(table(spark, [(i, t, None) for i, t in enumerate(texts)])).collect()}
+    notice = {"mit": "mit license", "gpl-3": "gnu general public license version 3", "all-rights-reserved": "all rights reserved"} | {la: p for p, la in BASE[1:]}
+    for i, text in enumerate(texts):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        places = [(k, la) for p, la in BASE for k in range(len(words)) if words[k : k + len(p.split())] == p.split()]
+        r = rows[i]
+        assert (r["n_words"], r["n_base"]) == (len(words), len(places))
+        assert (r["first_word"], r["last_word"]) == ((min(places)[0], max(places)[0]) if places else (None, None))
+        assert r["base_labels"] == ",".join(sorted({la for _, la in places}))
+        joined = f" {' '.join(words)} "
+        sure = {la for la, p in notice.items() if f" {p} " in joined and (la != "mit" or " the mit license " in joined)}
+        assert set(r["labels"].split(",")) - {""} == sure
+        assert (r["score"] > 0) == bool(sure) and 0 <= r["score"] <= 1
+    assert all(p in n for _, n, p in TEMPLATES)
+
+
+def brute_lines(texts, min_support=3, depth=4, similarity=0.8, min_tokens=3):
+    """Line dedup without Spark: exact lines, then whole leaves clustered in two steps."""
+    import numpy as np
+
+    parsed = {}
+    for i, t in texts.items():
+        parsed.setdefault(t, parsed_lines(None, t, zlib.crc32((t or "").encode()) << 7, depth, min_tokens))
+    lines = defaultdict(lambda: [None, 0, 0, None])
+    for i, t in sorted(texts.items()):
+        for _, _, _, leaf, line, tokens, before, after in parsed[t]:
+            x = lines[line]
+            x[0], x[1], x[2], x[3] = (leaf, tokens), x[1] | before, x[2] | after, i if x[3] is None else min(i, x[3])
+    leaves = defaultdict(list)
+    for line, x in lines.items():
+        leaves[x[0][0]].append((line, np.frombuffer(x[0][1], "<u2")))
+    template = {}
+    for rows in leaves.values():
+        parts = defaultdict(list)
+        for line, codes in sorted(rows, key=lambda r: r[0]):
+            parts[line % 8].append((line, codes))
+        local = [r for p in sorted(parts) for r in cluster(parts[p], similarity)]
+        heads = {name: codes for _, name, codes in local}
+        final = {line: name for line, name, _ in cluster(sorted(heads.items()), similarity)}
+        template |= {line: final[name] for line, name, _ in local}
+    groups = defaultdict(lambda: [0, 0, None])
+    for line, x in lines.items():
+        g = groups[template[line]]
+        g[0], g[1], g[2] = g[0] | x[1], g[1] | x[2], x[3] if g[2] is None else min(g[2], x[3])
+    out = {}
+    for i, t in texts.items():
+        drop = {r[2] for r in parsed[t] for g in [groups[template[r[4]]]] if min((g[0] & (2**64 - 1)).bit_count(), (g[1] & (2**64 - 1)).bit_count()) >= min_support and g[2] != i}
+        out[i] = "\n".join(x for k, x in enumerate(t.split("\n")) if k not in drop) if t is not None else None
+    return out
+
+
+def test_line_dedup_equals_brute_force(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(2000)]
+    shared = [" ".join(rng.choice(words) for _ in range(60)), "Sign up for our free letter", "Page {} of {} pages here", "Read {} now for more news"]
+    texts = {}
+    for i in range(120):
+        body = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 20))) for _ in range(rng.randint(1, 8))]
+        for s in shared:
+            if rng.random() < 0.4:
+                body.insert(rng.randint(0, len(body)), s.format(rng.choice([rng.randint(1, 99), rng.choice(words)]), rng.randint(1, 99)))
+        texts[i] = "\n".join(body)
+    copy = "\n".join(" ".join(rng.choice(words) for _ in range(9)) for _ in range(5))
+    texts |= {200 + i: copy for i in range(30)} | {300: None, 301: "", 302: "\n\n"}
+    docs = table(spark, [(i, t, None) for i, t in texts.items()]).repartition(4)
+    found = {r["doc_id"]: r for r in line_dedup(docs).collect()}
+    want = brute_lines(texts)
+    # the surroundings' hashes differ (they are only counted), so compare what is dropped
+    assert {i: r["text"] for i, r in found.items()} == want
+    assert all(found[200 + i]["n_dropped"] == 0 for i in range(30))  # copies keep their lines
+    passage = [i for i, t in texts.items() if t and shared[0] in t]
+    assert [i for i in passage if shared[0] in found[i]["text"]] == [min(passage)]
+    assert without_recurring_lines(docs).where(F.col("text").isNotNull() & (F.length("text") != F.col("n_chars"))).count() == 0
+
+
+def test_decontamination_on_spark(spark):
+    item = "alpha beta gamma delta. epsilon zeta eta."
+    docs = table(spark, [(1, f"x y {item} z", None), (2, "alpha beta", None), (1, f"x y {item} z", None), (3, None, None)])
+    for shard in (1, 100):
+        rows = contaminated(docs, benchmark(spark, [(7, item), (8, "quite other words. they are not there.")]), shard_items=shard).collect()
+        assert [(r["doc_id"], r["item_id"]) for r in rows] == [(1, 7), (1, 7)]
+        kept = decontaminated(docs, benchmark(spark, [(7, item), (8, "quite other words. they are not there.")]), shard_items=shard)
+        assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3]
+
+
+def test_toxicity_held_out(toxic_docs):
+    docs, marks = toxic_docs
+    model = train_toxicity(docs, marks, fold(5) != 0)
+    held = score_toxicity(docs, model).join(marks, "doc_id").where(fold(5) == 0)
+    wrong = held.where("predicted <> toxic").count()
+    assert held.count() > 50 and wrong <= 2
+    assert without_toxic(docs, model).where("doc_id % 8 = 0").count() <= 3
+    assert len(model.features) <= 4096
+
+
+def test_language_held_out(spark, sf_small):
+    found = q.op8_language(spark, sf_small).where("held_out").join(spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    right, n = found.where("lang = lang_pred").count(), found.count()
+    assert n > 20 and right >= 0.9 * n
+    assert found.where("score < 0 or score > 1").count() == 0
+
+
+def test_toxicity_ignores_held_out_labels(spark, toxic_docs):
+    docs, marks = toxic_docs
+    changed = marks.withColumn("toxic", F.when(fold(5) == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    a, b = (train_toxicity(docs, m, fold(5) != 0) for m in (marks, changed))
+    assert a.intercept == b.intercept and (a.weights == b.weights).all()
+
+
+@pytest.mark.parametrize("name", q.QUERIES)
+def test_queries_run_over_whole_tables(spark, sf_small, name):
+    n = spark.read.parquet(f"{sf_small}/documents.parquet").count()
+    rows = q.QUERIES[name](spark, sf_small).select("doc_id").collect()
+    assert len(rows) == n or name == "op3_decontamination"
+
+
+def test_pipeline_runs(spark, sf_small):
+    out = corpus_pipeline.run(spark, sf_small)
+    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert 0 < out.count() < spark.read.parquet(f"{sf_small}/documents.parquet").count()
