@@ -6,8 +6,8 @@
     python -m arenaflow land             --source GLOB --log participants|matches|admissions --target DIR
     python -m arenaflow framed           --path DIR --out DIR
 
-Log arguments are JSON globs (``root/*/*/*/*``) or, with ``--landed``, folders
-written by ``land``.  The session comes from ``SparkSession.builder`` (cluster
+Log arguments are JSON globs (``root/*/*/*/*``), with ``--landed`` folders
+written by ``land``, or with ``--tables`` names of catalog tables.  The session comes from ``SparkSession.builder`` (cluster
 settings apply); nothing is collected except the small QA tables.
 """
 
@@ -25,16 +25,20 @@ SCHEMAS = {"participants": PARTICIPANTS, "matches": MATCHES, "admissions": ADMIS
 
 
 def _logs(spark, args):
-    from arenaflow.sources.fixtures import Logs
+    from arenaflow.sources.logs import Logs, log_quality, read_json_log
 
+    if args.tables:
+        return Logs.from_tables(spark, *(getattr(args, n) for n in SCHEMAS))
     if args.landed:
         from arenaflow.streaming.landing import read_landed
 
         landed = (read_landed(spark, getattr(args, n), s, keep_partition=True) for n, s in SCHEMAS.items())
         return Logs(*landed, date_partitioned=True)
-    from arenaflow.sources.logs import read_json_log, split_corrupt
-
-    return Logs(*(split_corrupt(read_json_log(spark, getattr(args, n), s))[0] for n, s in SCHEMAS.items()))
+    if not args.no_report:
+        for n, s in SCHEMAS.items():
+            r = log_quality(read_json_log(spark, getattr(args, n), s)).first()
+            print(f"{n}: {r['lines']} lines, {r['corrupt_lines']} not JSON, {r['uncast_values']} values not of their type")
+    return Logs.from_json(spark, *(getattr(args, n) for n in SCHEMAS))
 
 
 def _job_parser(sub, name, help_):
@@ -42,6 +46,9 @@ def _job_parser(sub, name, help_):
     for n in SCHEMAS:
         p.add_argument(f"--{n}", required=True)
     p.add_argument("--landed", action="store_true", help="logs are landed Parquet folders")
+    p.add_argument("--tables", action="store_true", help="logs are catalog tables, by name")
+    p.add_argument("--no-report", action="store_true", help="skip the pass that counts unreadable lines and values")
+    p.add_argument("--overwrite", action="store_true", help="replace an export that is there")
     p.add_argument("--out", help="export root")
     p.add_argument("run", nargs=7, metavar="ARG", help="start end hero_id team_elo modetids sdk_version score")
     return p
@@ -76,12 +83,14 @@ def main(argv: list[str] | None = None) -> int:
     else:
         p = RunParams.from_argv(args.run)
         logs = _logs(spark, args)
+        mode = "overwrite" if args.overwrite else "errorifexists"
         if args.cmd == "match-export":
-            print(jobs.run_match_exports(logs, p, args.out))
+            print(jobs.run_match_exports(logs, p, args.out, mode=mode))
         elif args.cmd == "participant-export":
-            print(jobs.run_participant_export(logs, p, args.out))
+            print(jobs.run_participant_export(logs, p, args.out, mode=mode))
         else:
             for name, df in (("matches", jobs.monthly_match_counts(logs, p)),
+                             ("participants", jobs.monthly_participant_counts(logs, p)),
                              ("players", jobs.monthly_player_counts(logs, p))):
                 for r in df.orderBy("pt_dt_date").collect():
                     print(name, r["pt_dt_date"], r["record_count"])

@@ -10,7 +10,9 @@ from arenaflow.functions.columns import (
     iso_to_compact,
     month_key,
     null_to_empty,
+    number_text,
     pack,
+    pack_record,
     python_whitespace_class,
     valid_version,
     valid_version_ws,
@@ -26,7 +28,9 @@ __all__ = [
     "iso_to_compact",
     "month_key",
     "null_to_empty",
+    "number_text",
     "pack",
+    "pack_record",
     "python_whitespace_class",
     "valid_version",
     "valid_version_ws",

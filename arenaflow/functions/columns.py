@@ -7,9 +7,10 @@ whole-stage code generation; none calls back into Python.
 from __future__ import annotations
 
 import sys
+from collections.abc import Sequence
 from functools import lru_cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Record field separator (U+0001) and the spellings of a missing
@@ -64,8 +65,7 @@ def valid_version(kv="keyversion") -> Column:
     """
     c = _col(kv)
     trimmed = F.trim(c)
-    missing = c.isNull() | (c == "") | (F.length(trimmed) == 0) | trimmed.isin(*NULL_SPELLINGS)
-    return F.when(missing, F.lit(None).cast("string")).otherwise(c)
+    return F.when(~trimmed.isin("", *NULL_SPELLINGS), c)
 
 
 @lru_cache(maxsize=1)
@@ -117,11 +117,24 @@ def null_to_empty(c) -> Column:
     return F.coalesce(_col(c).cast("string"), F.lit(""))
 
 
+def number_text(c) -> Column:
+    """Text form of a double: without a fraction when it is integral, never in exponent form."""
+    n = _col(c).cast("decimal(38,6)")
+    whole = F.floor(n)
+    return F.when(n == whole, whole.cast("string")).otherwise(F.regexp_replace(n.cast("string"), "0+$", ""))
+
+
 def pack(*cols) -> Column:
     """U+0001-joined positional record; every field goes through :func:`null_to_empty`."""
     return F.concat_ws(FIELD_SEPARATOR, *[null_to_empty(c) for c in cols])
 
 
+def pack_record(df: DataFrame, fields: Sequence[str]) -> Column:
+    """:func:`pack` of columns of ``df``, its doubles in the form of :func:`number_text`."""
+    types = dict(df.dtypes)
+    return pack(*(number_text(f) if types[f] == "double" else f for f in fields))
+
+
 def compact_to_iso(c) -> Column:
     """``YYYYMMDD`` -> ``YYYY-MM-DD`` by slicing characters 1-4, 5-6, 7-8 (no validation)."""
     s = _col(c)

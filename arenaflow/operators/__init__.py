@@ -20,8 +20,8 @@ from arenaflow.operators.filters import (
     version_allowed,
     version_allowed_semi,
 )
-from arenaflow.operators.joins import admitted_keys, join_admissions, join_match_view, left_join
-from arenaflow.operators.projections import participant_projection, with_date_keys
+from arenaflow.operators.joins import admitted_keys, join_admissions, join_match_view, left_join, match_join
+from arenaflow.operators.projections import participant_projection
 from arenaflow.operators.setops import union_all, union_distinct
 
 __all__ = [
@@ -37,6 +37,7 @@ __all__ = [
     "join_admissions",
     "join_match_view",
     "left_join",
+    "match_join",
     "match_kill_totals",
     "match_view",
     "monthly_counts",
@@ -48,5 +49,4 @@ __all__ = [
     "union_distinct",
     "version_allowed",
     "version_allowed_semi",
-    "with_date_keys",
 ]

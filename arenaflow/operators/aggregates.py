@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from arenaflow.functions import date_key, first_valid, month_key, valid_version, valid_version_ws
+from arenaflow.functions import date_key, first_valid, month_key, number_text, valid_version, valid_version_ws
 from arenaflow.schemas import MATCH_ATTRIBUTES
 
 # Consolidated match record (per-match fields from the participant log).
@@ -76,10 +77,6 @@ def _participant_side(participants: DataFrame, marked: bool) -> list[Column]:
     ]
 
 
-def _as_text(c: Column, cut_at_comma: bool) -> Column:
-    return F.split_part(c, F.lit(","), F.lit(1)) if cut_at_comma else c
-
-
 def match_view(
     participants: DataFrame,
     matches: DataFrame | None = None,
@@ -122,13 +119,18 @@ def match_view(
         def pick(c: Column) -> Column:
             return first_valid(c).cast("string")
 
+    fractional = isinstance(participants.schema["kill"].dataType, T.DoubleType)
+
+    def total(c: str) -> Column:  # digits and a point: nothing to cut at a comma
+        return number_text(F.sum(c)) if fractional else F.sum(c).cast("string")
+
     aggs = [
         pick(F.col("_dt")).alias("pt_dt"),
         *([pick(F.col(a)).alias(a) for a in MATCH_ATTRIBUTES] if wide else []),
         pick(F.col("_kv")).alias("keyversion"),
-        _as_text(F.sum("_k1").cast("string"), cut_at_comma).alias("faction_1_total_kill"),
-        _as_text(F.sum("_k2").cast("string"), cut_at_comma).alias("faction_2_total_kill"),
-        _as_text(F.sum("_kt").cast("string"), cut_at_comma).alias("faction_total_kill"),
+        total("_k1").alias("faction_1_total_kill"),
+        total("_k2").alias("faction_2_total_kill"),
+        total("_kt").alias("faction_total_kill"),
     ]
     return rows.groupBy("battleid").agg(*aggs)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,9 +56,9 @@ def qualifying_participants(participants: DataFrame, p: RunParams, partition_key
     )
 
 
-def rated_admissions(admissions: DataFrame, min_elo: int) -> DataFrame:
+def rated_admissions(admissions: DataFrame, min_elo: float) -> DataFrame:
     """Admissions with a team rating at or above ``min_elo``."""
-    return admissions.where(F.col("team_elo") >= F.lit(int(min_elo)))
+    return admissions.where(F.col("team_elo") >= F.lit(min_elo))
 
 
 def version_allowed(df: DataFrame, allow_list: Sequence[str], column: str = "keyversion") -> DataFrame:
@@ -66,19 +66,17 @@ def version_allowed(df: DataFrame, allow_list: Sequence[str], column: str = "key
     return df.where(F.col(column).isin(*allow_list))
 
 
-def version_allowed_semi(
-    df: DataFrame, allow_list: Sequence[str], column: str = "keyversion", spark: SparkSession | None = None
-) -> DataFrame:
+def version_allowed_semi(df: DataFrame, allowed: DataFrame | Sequence[str], column: str = "keyversion") -> DataFrame:
     """Same rows as :func:`version_allowed`, with the allow-list as a table.
 
-    The list is a run parameter of bounded, known length, so it is broadcast
-    and the semi join runs map-side without shuffling ``df``.
+    ``allowed``: a one-column table of versions, of any size (adaptive execution
+    picks the join), or a list.
     """
-    spark = spark or df.sparkSession
-    allowed = spark.createDataFrame(
-        [(v,) for v in dict.fromkeys(allow_list)], T.StructType([T.StructField("_allowed", T.StringType())])
-    )
-    return df.join(F.broadcast(allowed), F.col(column) == F.col("_allowed"), "left_semi")
+    if not isinstance(allowed, DataFrame):
+        schema = T.StructType([T.StructField("allowed", T.StringType())])
+        allowed = df.sparkSession.createDataFrame([(v,) for v in dict.fromkeys(allowed)], schema)
+    allowed = allowed.select(F.col(allowed.columns[0]).alias("_allowed"))
+    return df.join(allowed, F.col(column) == F.col("_allowed"), "left_semi")
 
 
 def era_rule(

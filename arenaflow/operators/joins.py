@@ -16,32 +16,20 @@ def _cond(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]):
     return cond
 
 
-def left_join(
-    left: DataFrame,
-    right: DataFrame,
-    pairs: Sequence[tuple[str, str]],
-    skew_safe: bool = True,
-) -> DataFrame:
+def left_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """``left LEFT JOIN right`` on equal key pairs; output columns of both sides.
 
-    With ``skew_safe`` the join is computed as
-    ``(left INNER JOIN right) UNION ALL (left ANTI JOIN distinct right keys)``
-    with the right columns NULL in the second branch.  The result is the same
-    bag of rows, but the inner join lets adaptive execution split a hot key on
-    *either* side (an outer join can only split its preserved side) and lets it
-    broadcast a small left side, and the anti join reads only the de-duplicated
-    keys of the right side (map-side partial aggregation).
-    ``left`` is read twice: pass a materialized or cheap plan.
-    Column names of the two sides must not clash.
+    Column names of the two sides must not clash.  Adaptive execution splits a
+    hot key of the left (preserved) side only; where a right key can hold a large share of the
+    rows and no left row can miss, use :func:`match_join`.
     """
-    if not skew_safe:
-        return left.join(right, _cond(left, right, pairs), "left")
-    matched = left.join(right, _cond(left, right, pairs), "inner")
-    rkeys = [rk for _, rk in pairs]
-    keys = right.select(*rkeys).distinct()
-    missing = left.join(keys, _cond(left, keys, pairs), "left_anti")
-    pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    return matched.unionByName(missing.select("*", *pad))
+    return left.join(right, _cond(left, right, pairs), "left")
+
+
+def match_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Inner join on equal key pairs: adaptive execution may split a hot key of
+    either side, and may broadcast the smaller one."""
+    return left.join(right, _cond(left, right, pairs), "inner")
 
 
 def join_admissions(qualifying: DataFrame, admissions: DataFrame) -> DataFrame:

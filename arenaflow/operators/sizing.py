@@ -1,15 +1,10 @@
-"""Size-checked broadcast of a derived key set."""
+"""Intermediate results written to the shared scratch folder."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from arenaflow.session import scratch_dir
-
-# Largest key set broadcast as a filter or join side (tens of bytes per key in
-# the hashed relation: at most some tens of MB per executor).
-DEFAULT_MAX_BROADCAST_KEYS = 1_000_000
+from arenaflow.session import hadoop_path, scratch_dir
 
 
 def materialize_at(df: DataFrame, purpose: str = "materialized") -> tuple[DataFrame, str]:
@@ -28,7 +23,8 @@ def materialize(df: DataFrame, purpose: str = "materialized") -> DataFrame:
     Cuts the lineage (a lost executor re-reads the files instead of re-running
     the upstream joins) and lets the result feed several consumers without
     recomputation.  One job, unlike an eager ``checkpoint()``, which computes
-    its input once to count it and again to write it.
+    its input once to count it and again to write it.  The folder goes with the
+    application.
     """
     return materialize_at(df, purpose)[0]
 
@@ -36,18 +32,5 @@ def materialize(df: DataFrame, purpose: str = "materialized") -> DataFrame:
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Deletes a materialized folder through the Hadoop file system of its URI
     (local, HDFS or object store alike), once nothing reads it any more."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
-
-
-def checked_broadcast(keys: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_KEYS) -> DataFrame | None:
-    """``broadcast(keys)`` when ``keys`` has at most ``max_rows`` rows, else ``None``
-    (the caller keeps its shuffle-based plan).
-
-    ``keys`` should read a materialized result: it is evaluated twice, once by
-    the count and once to build the broadcast.
-    """
-    if keys.count() > max_rows:
-        return None
-    return F.broadcast(keys)
+    fs, found = hadoop_path(spark, path)
+    fs.delete(found, True)

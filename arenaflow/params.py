@@ -9,6 +9,7 @@ comparison in the plans is between ISO dates.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 import re
 from dataclasses import dataclass, field
 
@@ -127,6 +128,14 @@ def compact_date(value: str) -> str:
     return normalise_date(value).replace("-", "")
 
 
+def _threshold(value) -> int | float:
+    """A whole number as ``int``, any other as ``float``."""
+    number = float(value)
+    if not math.isfinite(number):
+        raise ValueError(f"not a number: {value!r}")
+    return int(number) if number.is_integer() else number
+
+
 def _int_list(value) -> tuple[int, ...]:
     if isinstance(value, str):
         parts = [p for p in (s.strip() for s in value.split(",")) if p]
@@ -147,10 +156,10 @@ class RunParams:
     start_date: str
     end_date: str
     hero_id: int
-    team_elo: int
+    team_elo: int | float
     modetids: tuple[int, ...]
     sdk_version: str
-    score: int
+    score: int | float
     version_cutoff: str = DEFAULT_VERSION_CUTOFF
     version_allow_list: tuple[str, ...] = field(default=DEFAULT_VERSION_ALLOW_LIST)
     usernum: int = EXPECTED_USERNUM
@@ -160,8 +169,8 @@ class RunParams:
         object.__setattr__(self, "end_date", normalise_date(self.end_date))
         object.__setattr__(self, "version_cutoff", normalise_date(self.version_cutoff))
         object.__setattr__(self, "hero_id", int(self.hero_id))
-        object.__setattr__(self, "team_elo", int(self.team_elo))
-        object.__setattr__(self, "score", int(self.score))
+        object.__setattr__(self, "team_elo", _threshold(self.team_elo))
+        object.__setattr__(self, "score", _threshold(self.score))
         object.__setattr__(self, "usernum", int(self.usernum))
         object.__setattr__(self, "modetids", _int_list(self.modetids))
         object.__setattr__(self, "version_allow_list", tuple(str(v) for v in self.version_allow_list))

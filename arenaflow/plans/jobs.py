@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arenaflow.functions import date_key, month_key, pack
+from arenaflow.functions import date_key, month_key, pack_record
 from arenaflow.operators.aggregates import TOTAL_FIELDS, match_view, monthly_counts
 from arenaflow.operators.filters import (
     era_rule,
@@ -27,17 +27,11 @@ from arenaflow.operators.filters import (
     qualifying_participants,
     rated_admissions,
 )
-from arenaflow.operators.joins import admitted_keys, join_admissions, join_match_view, left_join
+from arenaflow.operators.joins import admitted_keys, join_admissions, join_match_view, left_join, match_join
 from arenaflow.operators.projections import PARTICIPANT_FIELDS, participant_columns, participant_projection
-from arenaflow.operators.sizing import (
-    DEFAULT_MAX_BROADCAST_KEYS,
-    checked_broadcast,
-    materialize,
-    materialize_at,
-    remove_folder,
-)
+from arenaflow.operators.sizing import materialize_at, remove_folder
 from arenaflow.params import RunParams
-from arenaflow.sources.fixtures import Logs
+from arenaflow.sources.logs import Logs
 
 # Export record layouts, in field order.
 MATCH_RECORD = ("battleid", "keyversion", *TOTAL_FIELDS)
@@ -48,87 +42,46 @@ DETAIL_RECORD = (*PARTICIPANT_FIELDS, "team_elo")
 QUALIFIED_MATCH_COLUMNS = ("pt_dt", "pt_dt_date", "battleid", "keyversion", *TOTAL_FIELDS)
 
 
-def match_values(
-    logs: Logs, p: RunParams, with_match_log: bool = False, candidates: DataFrame | None = None
-) -> DataFrame:
+def match_values(logs: Logs, p: RunParams, with_match_log: bool = False) -> DataFrame:
     """Per-match values of the consolidated view whose date lies in the run range.
 
     The match log only contributes matches without participant rows, whose date
     is NULL and fails the range test, so it is skipped unless asked for; NULL
     match ids are dropped before the shuffle (they cannot join).
-
-    ``candidates`` (a broadcast set of match ids) restricts the aggregation to
-    the matches the caller will join with.  Whole matches are kept, so every
-    per-match value is unchanged, while the rows of all other matches are
-    dropped map-side instead of being aggregated and shuffled.
     """
-    participants, matches = logs.participants, logs.matches if with_match_log else None
-    if candidates is not None:
-        participants = participants.join(candidates, "battleid", "left_semi")
-        matches = matches.join(candidates, "battleid", "left_semi") if matches is not None else None
-    view = match_view(participants, matches, drop_null_ids=True)
+    view = match_view(logs.participants, logs.matches if with_match_log else None, drop_null_ids=True)
     return in_key_window(view, p.start_date, p.end_date)
 
 
-def _candidates(rows: DataFrame, reduce_keys: bool, max_keys: int) -> tuple[DataFrame, DataFrame | None]:
-    """Materializes the qualifying rows and, when their match ids are few enough
-    to broadcast, returns that id set as well."""
-    if not reduce_keys:
-        return rows, None
-    saved = materialize(rows)
-    return saved, checked_broadcast(saved.select("battleid").distinct(), max_keys)
-
-
-def qualified_matches(
-    logs: Logs,
-    p: RunParams,
-    with_match_log: bool = False,
-    reduce_keys: bool = False,
-    max_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
-) -> DataFrame:
+def qualified_matches(logs: Logs, p: RunParams, with_match_log: bool = False) -> DataFrame:
     """Distinct (date, match) pairs with a qualifying, admitted, rated participant,
     with the match's version and kill totals.
 
     The grain is match x date of the qualifying participant row.  The rating and
     role are not output, so the admission join is a semi join, and since the
     match values depend on the match id alone the DISTINCT runs on the two keys
-    before the join with the view.
-
-    By default the view is aggregated over the whole participant log with a
-    map-side partial step (about one shuffled row per match), which is what a
-    run over months of history needs: its candidate set is far too large to
-    broadcast.  For a narrow run, ``reduce_keys`` writes the pairs to the
-    checkpoint folder and, if their match ids number at most ``max_keys``,
-    aggregates the view for those matches only (a broadcast semi join drops
-    all other rows before the shuffle).
+    before the join with the view.  The view is aggregated over the whole
+    participant log with a map-side partial step (about one shuffled row per match).
     """
     qualifying = qualifying_participants(logs.participants, p, logs.partition_key).select(
         date_key("logtime").alias("pt_dt"), "role_id", "battleid"
     )
     rated_adm = rated_admissions(logs.admissions, p.team_elo)
     keys = admitted_keys(qualifying, rated_adm).select("pt_dt", "battleid").distinct()
-    keys, candidates = _candidates(keys, reduce_keys, max_keys)
-    out = join_match_view(keys, match_values(logs, p, with_match_log, candidates))
+    out = join_match_view(keys, match_values(logs, p, with_match_log))
     return out.withColumn("pt_dt_date", month_key("pt_dt")).select(*QUALIFIED_MATCH_COLUMNS)
 
 
-def qualified_participants(
-    logs: Logs,
-    p: RunParams,
-    with_match_log: bool = False,
-    reduce_keys: bool = False,
-    max_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
-) -> DataFrame:
+def qualified_participants(logs: Logs, p: RunParams, with_match_log: bool = False) -> DataFrame:
     """Distinct qualifying participant rows with rating and match values.
 
     A role admitted twice with different ratings gives two rows; exact
-    duplicates collapse.  Key reduction as in :func:`qualified_matches`.
+    duplicates collapse.
     """
     qualifying = participant_projection(qualifying_participants(logs.participants, p, logs.partition_key))
     rated_adm = rated_admissions(logs.admissions, p.team_elo)
     rated = join_admissions(qualifying, rated_adm).distinct()
-    rated, candidates = _candidates(rated, reduce_keys, max_keys)
-    out = join_match_view(rated, match_values(logs, p, with_match_log, candidates))
+    out = join_match_view(rated, match_values(logs, p, with_match_log))
     return out.select(
         "pt_dt", *PARTICIPANT_FIELDS, month_key("pt_dt").alias("pt_dt_date"), "team_elo",
         "keyversion", *TOTAL_FIELDS,
@@ -147,111 +100,66 @@ def eligible_participants(logs: Logs, p: RunParams) -> DataFrame:
 
 def packed_matches(eligible: DataFrame) -> DataFrame:
     """``(pt_dt, battle_info)`` 5-field match records."""
-    return eligible.select("pt_dt", pack(*MATCH_RECORD).alias("battle_info"))
+    return eligible.select("pt_dt", pack_record(eligible, MATCH_RECORD).alias("battle_info"))
 
 
 def packed_participants(eligible_rows: DataFrame) -> DataFrame:
     """``(pt_dt, battle_info)`` 28-field participant records."""
-    return eligible_rows.select("pt_dt", pack(*PARTICIPANT_RECORD).alias("battle_info"))
+    return eligible_rows.select("pt_dt", pack_record(eligible_rows, PARTICIPANT_RECORD).alias("battle_info"))
 
 
-def _eligible_pairs(eligible: DataFrame, materialized: bool) -> DataFrame:
-    """The (date, match) pairs of the eligible set, written once to the
-    checkpoint folder unless the caller already materialized ``eligible``: the
-    skew-safe join reads its left side twice, and recomputing the qualifying
-    plan (scans, joins, the view aggregation) for each read would double the
-    cost of the whole job."""
-    pairs = eligible.select("pt_dt", "battleid")
-    return pairs if materialized else materialize(pairs)
+def _played(logs: Logs, p: RunParams) -> DataFrame:
+    """Participant rows in the date range, the match id as ``e_battleid``."""
+    rows = in_log_window(logs.participants, p.start_date, p.end_date, partition_key=logs.partition_key)
+    return rows.select(F.col("battleid").alias("e_battleid"), *participant_columns(exclude=("battleid",)))
 
 
-def _detail_inputs(logs: Logs, p: RunParams, eligible: DataFrame, materialized: bool, max_keys: int):
-    """The eligible pairs and the participant rows (``played``) in the date range.
+def expanded_participants(logs: Logs, p: RunParams, eligible: DataFrame) -> DataFrame:
+    """Each eligible (date, match) pair with every participant row of the match in the date range.
 
-    When the materialized pairs are within ``max_keys`` rows (exact count), the
-    pairs are broadcast-hinted, and ``played`` is reduced map-side to the eligible matches by
-    a broadcast semi join on their ids (rows of other matches can never reach
-    the result), so the joins that follow shuffle only eligible matches' rows.
-    Also returns the broadcast id set (or ``None``) for the rating side.
-    """
-    pairs = _eligible_pairs(eligible, materialized)
-    played = in_log_window(logs.participants, p.start_date, p.end_date, partition_key=logs.partition_key).select(
-        F.col("battleid").alias("e_battleid"), *participant_columns(exclude=("battleid",))
-    )
-    hinted = checked_broadcast(pairs, max_keys)
-    if hinted is None:
-        return pairs, played, None
-    ids = F.broadcast(pairs.select(F.col("battleid").alias("_eligible_id")).distinct())
-    played = played.join(ids, played["e_battleid"] == ids["_eligible_id"], "left_semi")
-    return hinted, played, ids
-
-
-def expanded_participants(
-    logs: Logs,
-    p: RunParams,
-    eligible: DataFrame,
-    materialized: bool = False,
-    max_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
-) -> DataFrame:
-    """Each eligible (date, match) pair with every participant row of the match
-    in the date range (left join: a match without rows keeps one NULL row).
+    ``eligible`` comes from :func:`eligible_matches` of the same logs and run, so
+    the participant row that made a match eligible is itself in the date range
+    and the left join of the definition never misses: it is written as an inner
+    join, which cuts the participant rows to the eligible matches first and lets
+    adaptive execution split a hot match on either side.
 
     Output: ``pt_dt``, ``battleid`` of the eligible side, ``e_battleid`` and the
     participant fields of the joined row.
     """
-    pairs, played, _ids = _detail_inputs(logs, p, eligible, materialized, max_keys)
-    return left_join(pairs, played, [("battleid", "e_battleid")])
-
-
-def participant_detail(
-    logs: Logs,
-    p: RunParams,
-    eligible: DataFrame,
-    materialized: bool = False,
-    max_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
-    admission_window: str = "logtime",
-) -> DataFrame:
+    # The pairs come out of a join on the match id; dealing them anew makes this join shuffle
+    # both sides itself, which adaptive execution needs to split a hot match (or to broadcast them).
+    pairs = eligible.select("pt_dt", "battleid").hint("rebalance")
+    return match_join(pairs, _played(logs, p), [("battleid", "e_battleid")])
+
+
+def participant_detail(logs: Logs, p: RunParams, eligible: DataFrame, admission_window: str = "logtime") -> DataFrame:
     """Every participant row (in the date range) of every eligible match, with
     the role's rating (admissions in the date range), keyed by the match's
     qualifying date.
 
-    Two left joins; duplicates multiply (bag semantics).  The rating join is
-    keyed on participant columns only and its equality rejects NULLs, so
-    ``(pairs LEFT JOIN played) LEFT JOIN ratings`` equals
-    ``pairs LEFT JOIN (played LEFT JOIN ratings)``; the second form is used.
-    ``played LEFT JOIN ratings`` is keyed on (match, role), so a
-    hot match spreads over its roles, and adaptive execution splits a hot
-    participant partition (the preserved side).  The join of the small eligible
-    set with the participant rows is the one where a single match can hold a
-    large share of the rows on the non-preserved side; it uses the skew-safe
-    inner + anti form of :func:`left_join`.  With a small eligible set both
-    ``played`` and ``ratings`` are first reduced to the eligible matches (see
-    :func:`_detail_inputs`).
+    The participant rows are cut to the eligible matches (see
+    :func:`expanded_participants`) before the left join with the ratings, which
+    is keyed on (match, role), so a hot match spreads over its roles.
+    Duplicates multiply (bag semantics).  The plan is the same at every size.
 
     ``admission_window="pt_dt"`` is the warehouse dialect: admissions are
     windowed on their stored date column (which may differ from the date of
     ``logtime``) instead of on ``logtime``.
     """
-    pairs, played, ids = _detail_inputs(logs, p, eligible, materialized, max_keys)
     if admission_window == "logtime":
         adm = in_log_window(logs.admissions, p.start_date, p.end_date, partition_key=logs.partition_key)
     elif admission_window == "pt_dt":
         adm = in_key_window(logs.admissions, p.start_date, p.end_date, "pt_dt")
     else:
         raise ValueError(f"admission_window must be 'logtime' or 'pt_dt', not {admission_window!r}")
-    ratings = adm.select(
-        F.col("matching_id"), F.col("role_id").alias("m_role_id"), F.col("team_elo")
-    )
-    if ids is not None:
-        ratings = ratings.join(ids, ratings["matching_id"] == ids["_eligible_id"], "left_semi")
-    both = left_join(played, ratings, [("e_battleid", "matching_id"), ("role_id", "m_role_id")], skew_safe=False)
-    rows = left_join(pairs, both, [("battleid", "e_battleid")])
+    ratings = adm.select(F.col("matching_id"), F.col("role_id").alias("m_role_id"), F.col("team_elo"))
+    rows = left_join(expanded_participants(logs, p, eligible), ratings, [("e_battleid", "matching_id"), ("role_id", "m_role_id")])
     return rows.select("pt_dt", *DETAIL_RECORD)
 
 
 def packed_players(detail: DataFrame) -> DataFrame:
     """``(pt_dt, battle_info)`` 24-field participant-detail records."""
-    return detail.select("pt_dt", pack(*DETAIL_RECORD).alias("battle_info"))
+    return detail.select("pt_dt", pack_record(detail, DETAIL_RECORD).alias("battle_info"))
 
 
 def monthly_match_counts(logs: Logs, p: RunParams) -> DataFrame:
@@ -262,6 +170,12 @@ def monthly_player_counts(logs: Logs, p: RunParams) -> DataFrame:
     return monthly_counts(packed_players(participant_detail(logs, p, eligible_matches(logs, p))))
 
 
+def monthly_participant_counts(logs: Logs, p: RunParams) -> DataFrame:
+    """Eligible participants per month, each (month, match, role, version) counted once."""
+    rows = eligible_participants(logs, p).select("pt_dt_date", "battleid", "role_id", "keyversion").distinct()
+    return rows.groupBy("pt_dt_date").agg(F.count(F.lit(1)).alias("record_count"))
+
+
 def wide_match_view(logs: Logs, cut_at_comma: bool = False) -> DataFrame:
     """All match-log attributes plus the participant aggregates, one row per match."""
     return match_view(logs.participants, logs.matches, wide=True, cut_at_comma=cut_at_comma)
@@ -286,7 +200,7 @@ def run_match_exports(logs: Logs, p: RunParams, root: str, **sink_options) -> Ex
     try:
         paths = ExportPaths(p.export_path(root, "battle_info"), p.export_path(root, "player_info"))
         write_keyed_text(packed_matches(eligible), paths.battle_info, **sink_options)
-        detail = participant_detail(logs, p, eligible, materialized=True)
+        detail = participant_detail(logs, p, eligible)
         write_keyed_text(packed_players(detail), paths.player_info, **sink_options)
         return paths
     finally:

@@ -1,37 +1,44 @@
-"""Independent DuckDB SQL for every registered query (differential oracle).
+"""DuckDB SQL for every registered query: the differential oracle.
 
-Written in the two-level, union-of-branches style of the original SQL (inner
-aggregate, UNION ALL with the match log, outer aggregate; inner joins then
-DISTINCT; the era rule as two filtered branches), not derived from the Spark
-plans.  The first CTEs rebuild the three logs from the test tables with the
-same mapping as :mod:`arenaflow.sources.fixtures`.
+Written from the meaning of each query, not from the Spark plans: the logs are
+rebuilt from the test tables by the mapping of :mod:`arenaflow.sources.fixtures`;
+the consolidated view is a full join of the match log with one row per match
+of the participant log; a match qualifies by the existence of a fitting
+participant and admission; the era rule is one condition.
 """
 
 from __future__ import annotations
 
-from arenaflow.functions import python_whitespace_class
 from arenaflow.sources.fixtures import FIXTURE_AUDIT_COUNT, FIXTURE_LOOKUP_BATTLEID, FIXTURE_PARAMS as P
 
-S, E, C = P.start_date, P.end_date, P.version_cutoff
-MODES = ", ".join(str(m) for m in P.modetids)
-ALLOW = ", ".join(f"'{v}'" for v in P.version_allow_list)
-WS = python_whitespace_class()
-
+# The exported fields, in record order ('' marks an empty field).
 MEASURES = (
-    "gold, score, kill, death, assist, rank_tid, '' AS continuekill, towerkill, creepkill, dmgtohero, "
-    "dmgtotower, dmgreceived, magdmgreceived, '' AS doublekill, triblekill, quadrakill, pentakill, "
-    "healingtohero, herotid, modetid, usernum"
+    "gold", "score", "kill", "death", "assist", "rank_tid", "continuekill", "towerkill", "creepkill", "dmgtohero",
+    "dmgtotower", "dmgreceived", "magdmgreceived", "doublekill", "triblekill", "quadrakill", "pentakill",
+    "healingtohero", "herotid", "modetid", "usernum",
 )
-DETAIL_FIELDS = (
-    "role_id, gold, score, kill, death, assist, rank_tid, continuekill, towerkill, creepkill, dmgtohero, "
-    "dmgtotower, dmgreceived, magdmgreceived, doublekill, triblekill, quadrakill, pentakill, healingtohero, "
-    "herotid, modetid, usernum"
+EMPTY = ("continuekill", "doublekill")
+KILLS = ("faction_1_total_kill", "faction_2_total_kill", "faction_total_kill")
+MATCH_ATTRIBUTES = (
+    "gametype", "modetid", "battletid", "begintime", "playtime", "playersnum", "usernum",
+    "fakeusernum", "robotnum", "gather_report_sec", "illegal_player_1", "illegal_player_3",
 )
+# The code points that count as white space in a version.
+WHITE = r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+IN_RUN = f"BETWEEN '{P.start_date}' AND '{P.end_date}'"
+ALLOWED = ", ".join(f"'{v}'" for v in P.version_allow_list)
+FIELDS = ", ".join(f"'' AS {m}" if m in EMPTY else m for m in MEASURES)
+
 
+def _record(fields) -> str:
+    """A packed record: the fields as text, joined by U+0001, NULL as empty text."""
+    return "concat_ws(chr(1), " + ", ".join(f"ifnull(CAST({f} AS VARCHAR), '')" for f in fields) + ")"
 
-def _nz(cols: str, prefix: str) -> str:
-    """``coalesce(CAST(p.c AS VARCHAR), '')`` for each column, comma-joined."""
-    return ", ".join(f"coalesce(CAST({prefix}.{c.strip()} AS VARCHAR), '')" for c in cols.split(","))
+
+def _grouped(usable: str) -> str:
+    """First usable version of each match."""
+    return f"SELECT battleid, min({usable}) AS keyversion FROM participants GROUP BY ALL"
 
 
 BASE = f"""
@@ -40,7 +47,7 @@ WITH participants AS (
          l_suppkey AS role_id,
          substr(CAST(l_shipdate AS VARCHAR), 1, 19) AS logtime,
          CAST(CASE WHEN l_linestatus = 'F' THEN 1 WHEN l_returnflag = 'A' THEN NULL ELSE 2 END AS INTEGER) AS factionid,
-         CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN '' WHEN 3 THEN '   ' WHEN 4 THEN 'null'
+         CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN '' WHEN 3 THEN CASE WHEN l_orderkey % 2 = 0 THEN '   ' ELSE chr(9) END WHEN 4 THEN 'null'
               WHEN 5 THEN ' NULL ' ELSE 'v' || CAST(l_partkey % 7 AS VARCHAR) END AS keyversion,
          CAST(CASE WHEN l_returnflag = 'R' THEN 8 ELSE 10 END AS INTEGER) AS usernum,
          CAST(l_linenumber AS INTEGER) AS modetid,
@@ -78,248 +85,154 @@ matches AS (
          CASE WHEN o_custkey % 4 = 0 THEN CAST(o_custkey AS VARCHAR) || ',' || o_orderstatus END AS illegal_player_1,
          CAST(o_custkey % 10 AS VARCHAR) AS illegal_player_3
   FROM orders
-  WHERE o_orderkey % 5 <> 0
 ),
 admissions AS (
   SELECT DISTINCT l_orderkey AS matching_id,
          l_suppkey AS role_id,
          CAST(floor(s_acctbal + 0.5) AS BIGINT) AS team_elo,
-         substr(CAST(o_orderdate AS VARCHAR), 1, 19) AS logtime
+         substr(CAST(o_orderdate AS VARCHAR), 1, 19) AS logtime,
+         substr(CAST(o_orderdate + INTERVAL 1 DAY * (l_suppkey % 3 * 60) AS VARCHAR), 1, 10) AS pt_dt
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey
 ),
-valid_kv AS (
-  SELECT *, CASE WHEN keyversion IS NULL OR keyversion = '' OR length(trim(keyversion)) = 0
-                   OR trim(keyversion) = 'null' OR trim(keyversion) = 'Null' OR trim(keyversion) = 'NULL'
-                 THEN NULL ELSE keyversion END AS kv_ok
-  FROM participants
-),
-pview AS (
-  SELECT battleid,
-         min(substr(logtime, 1, 10)) AS pt_dt,
-         min(kv_ok) AS keyversion,
-         CAST(sum(CASE WHEN factionid = 1 THEN kill ELSE 0 END) AS BIGINT) AS f1,
-         CAST(sum(CASE WHEN factionid = 2 THEN kill ELSE 0 END) AS BIGINT) AS f2,
-         CAST(sum(kill) AS BIGINT) AS ft
-  FROM valid_kv GROUP BY battleid
-),
-match_view AS (
-  SELECT battleid,
-         min(pt_dt) AS pt_dt,
-         min(keyversion) AS keyversion,
-         CAST(min(f1) AS VARCHAR) AS faction_1_total_kill,
-         CAST(min(f2) AS VARCHAR) AS faction_2_total_kill,
-         CAST(min(ft) AS VARCHAR) AS faction_total_kill
-  FROM (
-    SELECT battleid, CAST(NULL AS VARCHAR) AS pt_dt, CAST(NULL AS VARCHAR) AS keyversion,
-           CAST(NULL AS BIGINT) AS f1, CAST(NULL AS BIGINT) AS f2, CAST(NULL AS BIGINT) AS ft
-    FROM matches
-    UNION ALL
-    SELECT battleid, pt_dt, keyversion, f1, f2, ft FROM pview
-  ) both_logs
-  GROUP BY battleid
-),
-qual_rows AS (
-  SELECT substr(logtime, 1, 10) AS pt_dt, battleid, role_id, {MEASURES}
-  FROM participants
-  WHERE battleid IS NOT NULL
-    AND substr(logtime, 1, 10) >= '{S}' AND substr(logtime, 1, 10) <= '{E}'
-    AND usernum = {P.usernum} AND modetid IN ({MODES}) AND herotid = {P.hero_id} AND score >= {P.score}
-),
-qual_keys AS (
-  SELECT substr(logtime, 1, 10) AS pt_dt, role_id, battleid
-  FROM participants
-  WHERE battleid IS NOT NULL
-    AND substr(logtime, 1, 10) >= '{S}' AND substr(logtime, 1, 10) <= '{E}'
-    AND usernum = {P.usernum} AND modetid IN ({MODES}) AND herotid = {P.hero_id} AND score >= {P.score}
-),
-rated_adm AS (
-  SELECT matching_id, role_id, team_elo FROM admissions WHERE team_elo >= {P.team_elo}
-),
-view_in_range AS (
-  SELECT battleid, keyversion, faction_1_total_kill, faction_2_total_kill, faction_total_kill
-  FROM match_view WHERE pt_dt >= '{S}' AND pt_dt <= '{E}'
-),
-qualified_p AS (
-  SELECT DISTINCT qual_rows.*, substr(qual_rows.pt_dt, 1, 7) AS pt_dt_date, rated_adm.team_elo, view_in_range.keyversion,
-         view_in_range.faction_1_total_kill, view_in_range.faction_2_total_kill, view_in_range.faction_total_kill
-  FROM qual_rows
-  JOIN rated_adm ON qual_rows.battleid = rated_adm.matching_id AND qual_rows.role_id = rated_adm.role_id
-  JOIN view_in_range ON qual_rows.battleid = view_in_range.battleid
-),
-qualified_m AS (
-  SELECT DISTINCT qual_keys.pt_dt, substr(qual_keys.pt_dt, 1, 7) AS pt_dt_date, qual_keys.battleid, view_in_range.keyversion,
-         view_in_range.faction_1_total_kill, view_in_range.faction_2_total_kill, view_in_range.faction_total_kill
-  FROM qual_keys
-  JOIN rated_adm ON qual_keys.battleid = rated_adm.matching_id AND qual_keys.role_id = rated_adm.role_id
-  JOIN view_in_range ON qual_keys.battleid = view_in_range.battleid
-),
-eligible AS (
-  SELECT * FROM qualified_m WHERE pt_dt < '{C}' AND keyversion IN ({ALLOW})
-  UNION ALL
-  SELECT * FROM qualified_m WHERE pt_dt >= '{C}'
-),
-eligible_p AS (
-  SELECT * FROM qualified_p WHERE pt_dt < '{C}' AND keyversion IN ({ALLOW})
-  UNION
-  SELECT * FROM qualified_p WHERE pt_dt >= '{C}'
-),
-window_rows AS (
-  SELECT battleid, role_id, {MEASURES}
+played AS (
+  SELECT *, left(logtime, 10) AS day,
+         CASE WHEN trim(keyversion, ' ') NOT IN ('', 'null', 'Null', 'NULL') THEN keyversion END AS usable
   FROM participants
-  WHERE substr(logtime, 1, 10) >= '{S}' AND substr(logtime, 1, 10) <= '{E}'
-),
-window_ratings AS (
-  SELECT matching_id, role_id, team_elo
-  FROM admissions
-  WHERE substr(logtime, 1, 10) >= '{S}' AND substr(logtime, 1, 10) <= '{E}'
 ),
-expanded AS (
-  SELECT el.pt_dt, el.battleid, pr.battleid AS e_battleid, {", ".join("pr." + c.strip() for c in DETAIL_FIELDS.split(","))}
-  FROM eligible el LEFT JOIN window_rows pr ON el.battleid = pr.battleid
+per_match AS (
+  SELECT battleid, min(day) AS pt_dt, min(usable) AS keyversion,
+         CAST(sum(kill * CAST(factionid IS NOT DISTINCT FROM 1 AS INTEGER)) AS BIGINT) AS faction_1_total_kill,
+         CAST(sum(kill * CAST(factionid IS NOT DISTINCT FROM 2 AS INTEGER)) AS BIGINT) AS faction_2_total_kill,
+         CAST(sum(kill) AS BIGINT) AS faction_total_kill
+  FROM played GROUP BY ALL
+),
+known AS (
+  SELECT *, {", ".join(f"CAST({k} AS VARCHAR) AS {k}_text" for k in KILLS)}
+  FROM (SELECT battleid, {", ".join(MATCH_ATTRIBUTES)} FROM matches) FULL JOIN per_match USING (battleid)
+),
+fitting AS (
+  SELECT day AS pt_dt, battleid, role_id, {FIELDS}
+  FROM played
+  WHERE day {IN_RUN} AND usernum = {P.usernum} AND list_contains({list(P.modetids)}, modetid)
+    AND herotid = {P.hero_id} AND score >= {P.score} AND battleid IS NOT NULL
+),
+rated AS (
+  SELECT matching_id AS battleid, role_id, team_elo FROM admissions WHERE team_elo >= {P.team_elo}
+),
+dated AS (
+  SELECT battleid, keyversion, {", ".join(f"{k}_text AS {k}" for k in KILLS)} FROM known WHERE pt_dt {IN_RUN}
+),
+match_days AS (
+  SELECT DISTINCT pt_dt, left(pt_dt, 7) AS pt_dt_date, battleid
+  FROM fitting f
+  WHERE EXISTS (FROM rated r WHERE r.battleid = f.battleid AND r.role_id = f.role_id)
+),
+qualified AS (SELECT * FROM match_days JOIN dated USING (battleid)),
+eligible AS (SELECT * FROM qualified WHERE pt_dt >= '{P.version_cutoff}' OR keyversion IN ({ALLOWED})),
+qualified_roles AS (
+  SELECT DISTINCT *, left(pt_dt, 7) AS pt_dt_date
+  FROM fitting JOIN rated USING (battleid, role_id) JOIN dated USING (battleid)
+),
+eligible_roles AS (SELECT * FROM qualified_roles WHERE pt_dt >= '{P.version_cutoff}' OR keyversion IN ({ALLOWED})),
+lineup AS (
+  SELECT e.pt_dt, e.battleid, p.battleid AS e_battleid, p.role_id, p.* EXCLUDE (battleid, role_id)
+  FROM eligible e JOIN (SELECT battleid, role_id, {FIELDS} FROM played WHERE day {IN_RUN}) p USING (battleid)
 ),
 detail AS (
-  SELECT x.pt_dt, x.battleid, {", ".join("x." + c.strip() for c in DETAIL_FIELDS.split(","))}, ad.team_elo
-  FROM expanded x LEFT JOIN window_ratings ad ON x.e_battleid = ad.matching_id AND x.role_id = ad.role_id
-),
-packed_m AS (
-  SELECT pt_dt, concat_ws(chr(1), {_nz("battleid, keyversion, faction_1_total_kill, faction_2_total_kill, faction_total_kill", "el")}) AS battle_info
-  FROM eligible el
-),
-packed_d AS (
-  SELECT pt_dt, concat_ws(chr(1), {_nz("battleid, " + DETAIL_FIELDS + ", team_elo", "d")}) AS battle_info
-  FROM detail d
-),
-wide_u AS (
-  SELECT battleid, CAST(NULL AS VARCHAR) AS pt_dt, gametype, modetid, battletid, begintime, playtime, playersnum,
-         usernum, fakeusernum, robotnum, gather_report_sec, illegal_player_1, illegal_player_3,
-         CAST(NULL AS VARCHAR) AS keyversion, CAST(NULL AS BIGINT) AS f1, CAST(NULL AS BIGINT) AS f2,
-         CAST(NULL AS BIGINT) AS ft
-  FROM matches
-  UNION
-  SELECT battleid, pt_dt, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
-         keyversion, f1, f2, ft
-  FROM pview
+  SELECT lineup.* EXCLUDE (e_battleid), team_elo
+  FROM lineup LEFT JOIN (FROM admissions WHERE left(logtime, 10) {IN_RUN}) a
+    ON (a.matching_id, a.role_id) = (lineup.battleid, lineup.role_id)
 )
 """
 
-WIDE_ATTRS = (
-    "gametype", "modetid", "battletid", "begintime", "playtime", "playersnum", "usernum",
-    "fakeusernum", "robotnum", "gather_report_sec", "illegal_player_1", "illegal_player_3",
-)
+DETAIL_RECORD = _record(("battleid", "role_id", *MEASURES, "team_elo"))
+MATCH_RECORD = _record(("battleid", "keyversion", *KILLS))
+ROLE_RECORD = _record(("battleid", "role_id", "keyversion", *MEASURES, "team_elo", *KILLS))
 
 
-def _wide(cut: bool) -> str:
-    if cut:
-        def pick(c, alias):
-            return f"split_part(string_agg(CAST({c} AS VARCHAR), ',' ORDER BY CAST({c} AS VARCHAR)), ',', 1) AS {alias}"
-    else:
-        def pick(c, alias):
-            return f"CAST(min({c}) AS VARCHAR) AS {alias}"
-    cols = [pick("pt_dt", "pt_dt")] + [pick(a, a) for a in WIDE_ATTRS] + [
-        pick("keyversion", "keyversion"),
-        pick("f1", "faction_1_total_kill"),
-        pick("f2", "faction_2_total_kill"),
-        pick("ft", "faction_total_kill"),
-    ]
-    return "SELECT battleid, " + ", ".join(cols) + " FROM wide_u GROUP BY battleid"
+def _wide(pattern: str) -> str:
+    """Every attribute of a match as text; ``pattern`` forms the text of a value."""
+    own = [pattern.format(c) + f" AS {c}" for c in ("pt_dt", *MATCH_ATTRIBUTES, "keyversion")]
+    kills = [pattern.format(f"{k}_text") + f" AS {k}" for k in KILLS]
+    return f"SELECT battleid, {', '.join(own + kills)} FROM known"
 
 
-QUAL_ROW_COLS = (
-    "pt_dt, battleid, role_id, gold, score, kill, death, assist, rank_tid, continuekill, towerkill, creepkill, "
-    "dmgtohero, dmgtotower, dmgreceived, magdmgreceived, doublekill, triblekill, quadrakill, pentakill, "
-    "healingtohero, herotid, modetid, usernum"
-)
-PACK_P = _nz(
-    "battleid, role_id, keyversion, gold, score, kill, death, assist, rank_tid, continuekill, towerkill, "
-    "creepkill, dmgtohero, dmgtotower, dmgreceived, magdmgreceived, doublekill, triblekill, quadrakill, "
-    "pentakill, healingtohero, herotid, modetid, usernum, team_elo, faction_1_total_kill, "
-    "faction_2_total_kill, faction_total_kill",
-    "t",
-)
+def _per_month(rows: str) -> str:
+    return f"SELECT left(pt_dt, 7) AS pt_dt_date, count(*) AS record_count FROM {rows} GROUP BY ALL"
+
+
+VIEW = f"SELECT battleid, pt_dt, keyversion, {', '.join(f'{k}_text AS {k}' for k in KILLS)} FROM known"
+# the JSON scan reads measures as doubles; line 3 of a match is written with half a point more
+DOUBLES = [m for m in MEASURES if m not in (*EMPTY, "herotid", "modetid", "usernum")]
+SCANNED = ", ".join(f"CAST({m} AS DOUBLE)" + (" + 0.5 * CAST(rank_tid = 3 AS INTEGER)" if m == "score" else "") + f" AS {m}" for m in DOUBLES)
 
 FINAL = {
-    "json_log_scan": "SELECT * FROM participants",
-    "sink_roundtrip": "SELECT pt_dt, battle_info FROM packed_m",
+    "json_log_scan": f"SELECT * REPLACE ({SCANNED}) FROM participants",
+    "catalog_scan": "FROM eligible",
+    "sink_roundtrip": f"SELECT pt_dt, {MATCH_RECORD} AS battle_info FROM eligible",
     "export_readback": (
-        "SELECT pt_dt, battleid, keyversion, CAST(faction_1_total_kill AS BIGINT) AS faction_1_total_kill, "
-        "CAST(faction_2_total_kill AS BIGINT) AS faction_2_total_kill, "
-        "CAST(faction_total_kill AS BIGINT) AS faction_total_kill FROM eligible"
+        "SELECT pt_dt, battleid, keyversion, " + ", ".join(f"CAST({k} AS BIGINT) AS {k}" for k in KILLS) + " FROM eligible"
     ),
     "framed_sections": (
-        "SELECT conv_id, coalesce(string_agg(CASE WHEN text <> '' THEN text || chr(10) END, '' ORDER BY turn), '') "
-        "AS section_text, CAST(count(CASE WHEN text <> '' THEN 1 END) AS BIGINT) AS frame_count, 'ok' AS status "
-        "FROM conversations GROUP BY conv_id"
-    ),
-    "participant_projection": f"SELECT substr(logtime, 1, 10) AS pt_dt, battleid, role_id, {MEASURES} FROM participants",
-    "date_month_keys": (
-        "SELECT battleid, role_id, substr(logtime, 1, 10) AS pt_dt, substr(substr(logtime, 1, 10), 1, 7) AS pt_dt_date "
-        "FROM participants"
+        "SELECT conv_id, ifnull(string_agg(text || chr(10), '' ORDER BY turn) FILTER (text <> ''), '') AS section_text, "
+        "count(*) FILTER (text <> '') AS frame_count, 'ok' AS status FROM conversations GROUP BY ALL"
     ),
-    "date_range_filter": (
-        f"SELECT * FROM participants WHERE substr(logtime, 1, 10) >= '{S}' AND substr(logtime, 1, 10) <= '{E}'"
-    ),
-    "participant_filter": "SELECT * FROM qual_rows",
-    "admission_filter": "SELECT * FROM rated_adm",
-    "admission_window": (
-        "SELECT matching_id, role_id, team_elo, pt_dt FROM "
-        "(SELECT *, substr(logtime, 1, 10) AS pt_dt FROM admissions) a "
-        f"WHERE pt_dt >= '{S}' AND pt_dt <= '{E}'"
+    # of two sections the last counts; a file that ends within a header gives no text
+    "framed_odd_sections": (
+        "SELECT conv_id, CASE WHEN conv_id % 3 <> 2 THEN ifnull(string_agg(text || chr(10), '' ORDER BY turn) FILTER (counts), '') END AS section_text, "
+        "CASE WHEN conv_id % 3 = 2 THEN 0 ELSE count(*) FILTER (counts) END AS frame_count, "
+        "CASE WHEN conv_id % 3 = 2 THEN 'truncated_header' ELSE 'ok' END AS status "
+        "FROM (SELECT *, text <> '' AND (turn > 1 OR conv_id % 3 <> 1 OR max(turn) OVER (PARTITION BY conv_id) < 1) AS counts FROM conversations) c "
+        "GROUP BY conv_id"
     ),
+    "participant_projection": f"SELECT day AS pt_dt, battleid, role_id, {FIELDS} FROM played",
+    "date_month_keys": "SELECT battleid, role_id, day AS pt_dt, left(day, 7) AS pt_dt_date FROM played",
+    "date_range_filter": f"SELECT * FROM participants WHERE left(logtime, 10) {IN_RUN}",
+    "participant_filter": "FROM fitting",
+    "admission_filter": "SELECT battleid AS matching_id, role_id, team_elo FROM rated",
+    "admission_window": f"SELECT matching_id, role_id, team_elo, pt_dt FROM admissions WHERE pt_dt {IN_RUN}",
     "point_lookup": f"SELECT DISTINCT * FROM participants WHERE battleid = {FIXTURE_LOOKUP_BATTLEID}",
     "compact_dates": (
-        "SELECT pt_dt, compact, concat_ws('-', substr(compact, 1, 4), substr(compact, 5, 2), substr(compact, 7, 2)) "
-        "AS iso_sliced, strftime(try_strptime(compact, '%Y%m%d'), '%Y-%m-%d') AS iso_checked FROM "
-        "(SELECT DISTINCT substr(logtime, 1, 10) AS pt_dt, replace(substr(logtime, 1, 10), '-', '') AS compact "
-        "FROM participants) d"
-    ),
-    "match_kill_totals": "SELECT battleid, f1 AS faction_1_total_kill, f2 AS faction_2_total_kill, ft AS faction_total_kill FROM pview",
-    "first_non_null": (
-        "SELECT battleid, min(substr(logtime, 1, 10)) AS pt_dt, min(keyversion) AS keyversion "
-        "FROM participants GROUP BY battleid"
+        "SELECT day AS pt_dt, strftime(CAST(day AS DATE), '%Y%m%d') AS compact, day AS iso_sliced, day AS iso_checked "
+        "FROM (SELECT DISTINCT day FROM played) d"
     ),
-    "first_valid_version": "SELECT battleid, min(kv_ok) AS keyversion FROM valid_kv GROUP BY battleid",
-    "first_valid_ws": (
-        "SELECT battleid, min(CASE WHEN keyversion IS NULL OR keyversion = '' "
-        f"OR regexp_matches(keyversion, '^{WS}+$') "
-        f"OR regexp_replace(keyversion, '^{WS}+|{WS}+$', '', 'g') IN ('null', 'Null', 'NULL') "
-        "THEN NULL ELSE keyversion END) AS keyversion FROM participants GROUP BY battleid"
+    "match_kill_totals": f"SELECT battleid, {', '.join(KILLS)} FROM per_match",
+    "first_non_null": "SELECT battleid, min(day) AS pt_dt, min(keyversion) AS keyversion FROM played GROUP BY ALL",
+    "first_valid_version": "SELECT battleid, keyversion FROM per_match",
+    "first_valid_ws": _grouped(
+        f"CASE WHEN regexp_replace(keyversion, '^{WHITE}+|{WHITE}+$', '', 'g') NOT IN ('', 'null', 'Null', 'NULL') THEN keyversion END"
     ),
-    "match_view": "SELECT * FROM match_view",
-    "match_view_in_range": f"SELECT * FROM match_view WHERE pt_dt >= '{S}' AND pt_dt <= '{E}'",
-    "match_view_wide": _wide(cut=False),
-    "first_token": _wide(cut=True),
+    "match_view": VIEW,
+    "match_view_in_range": f"{VIEW} WHERE pt_dt {IN_RUN}",
+    "match_view_wide": _wide("CAST({0} AS VARCHAR)"),
+    "first_token": _wide("split_part(CAST({0} AS VARCHAR), ',', 1)"),
     "duplicate_audit": (
-        "SELECT battleid, row_count FROM (SELECT battleid, count(*) AS row_count FROM window_rows GROUP BY battleid) t "
-        f"WHERE row_count = {FIXTURE_AUDIT_COUNT}"
-    ),
-    "join_admissions": (
-        "SELECT qual_rows.*, rated_adm.team_elo FROM qual_rows "
-        "JOIN rated_adm ON qual_rows.battleid = rated_adm.matching_id AND qual_rows.role_id = rated_adm.role_id"
-    ),
-    "join_match_view": (
-        "SELECT qual_rows.*, rated_adm.team_elo, view_in_range.keyversion, view_in_range.faction_1_total_kill, view_in_range.faction_2_total_kill, "
-        "view_in_range.faction_total_kill FROM qual_rows "
-        "JOIN rated_adm ON qual_rows.battleid = rated_adm.matching_id AND qual_rows.role_id = rated_adm.role_id "
-        "JOIN view_in_range ON qual_rows.battleid = view_in_range.battleid"
+        f"SELECT battleid, count(*) AS row_count FROM played WHERE day {IN_RUN} GROUP BY ALL HAVING count(*) = {FIXTURE_AUDIT_COUNT}"
     ),
-    "expand_participants": "SELECT * FROM expanded",
-    "player_detail": "SELECT * FROM detail",
-    "qualified_participants": "SELECT * FROM qualified_p",
-    "qualified_matches": "SELECT * FROM qualified_m",
-    "version_allow_list": f"SELECT * FROM qualified_m WHERE keyversion IN ({ALLOW})",
-    "version_allow_semi": f"SELECT * FROM qualified_m WHERE keyversion IN ({ALLOW})",
-    "era_rule": "SELECT * FROM eligible",
-    "union_all_branches": "SELECT * FROM eligible",
-    "union_distinct_branches": "SELECT * FROM eligible_p",
-    "packed_matches": "SELECT * FROM packed_m",
-    "packed_participants": f"SELECT pt_dt, concat_ws(chr(1), {PACK_P}) AS battle_info FROM eligible_p t",
-    "packed_players": "SELECT * FROM packed_d",
-    "monthly_matches": (
-        "SELECT substr(pt_dt, 1, 7) AS pt_dt_date, count(*) AS record_count FROM packed_m GROUP BY substr(pt_dt, 1, 7)"
+    "join_admissions": "FROM fitting JOIN rated USING (battleid, role_id)",
+    "join_match_view": "FROM fitting JOIN rated USING (battleid, role_id) JOIN dated USING (battleid)",
+    "expand_participants": "FROM lineup",
+    "left_join_miss": (
+        "SELECT m.battleid, gametype, p.battleid AS e_battleid, role_id, kill FROM matches m LEFT JOIN participants p USING (battleid)"
     ),
-    "monthly_players": (
-        "SELECT substr(pt_dt, 1, 7) AS pt_dt_date, count(*) AS record_count FROM packed_d GROUP BY substr(pt_dt, 1, 7)"
+    "player_detail": "FROM detail",
+    "detail_stored_date": (
+        f"SELECT lineup.* EXCLUDE (e_battleid), team_elo FROM lineup LEFT JOIN (FROM admissions WHERE pt_dt {IN_RUN}) a "
+        "ON (a.matching_id, a.role_id) = (lineup.battleid, lineup.role_id)"
     ),
+    "qualified_participants": "FROM qualified_roles",
+    "qualified_matches": "FROM qualified",
+    "version_allow_list": f"FROM qualified WHERE keyversion IN ({ALLOWED})",
+    "version_allow_semi": "FROM qualified WHERE keyversion BETWEEN 'v2' AND 'v4'",
+    "era_rule": "FROM eligible",
+    "union_all_branches": "FROM eligible",
+    "union_distinct_branches": "FROM eligible_roles",
+    "packed_matches": f"SELECT pt_dt, {MATCH_RECORD} AS battle_info FROM eligible",
+    "packed_participants": f"SELECT pt_dt, {ROLE_RECORD} AS battle_info FROM eligible_roles",
+    "packed_players": f"SELECT pt_dt, {DETAIL_RECORD} AS battle_info FROM detail",
+    "monthly_matches": _per_month("eligible"),
+    "monthly_participants": _per_month("(SELECT DISTINCT left(pt_dt, 7) AS pt_dt, battleid, role_id, keyversion FROM eligible_roles)"),
+    "monthly_players": _per_month("detail"),
 }
 
-ORACLE_SQL: dict[str, str] = {name: BASE + sql for name, sql in FINAL.items()}
+ORACLE_SQL: dict[str, str] = {name: BASE + (sql if sql.startswith("SELECT") else "SELECT * " + sql) for name, sql in FINAL.items()}

@@ -23,6 +23,7 @@ from arenaflow.operators import (
     in_log_window,
     join_admissions,
     join_match_view,
+    left_join,
     match_kill_totals,
     match_view,
     participant_projection,
@@ -41,7 +42,7 @@ from arenaflow.sources.fixtures import FIXTURE_AUDIT_COUNT, FIXTURE_LOOKUP_BATTL
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _logs(spark: SparkSession, sf_dir: str) -> fixtures.Logs:
+def _logs(spark: SparkSession, sf_dir: str) -> logsrc.Logs:
     return fixtures.load(spark, sf_dir)
 
 
@@ -56,14 +57,33 @@ def _rated_admission_rows(spark, sf_dir):
 # --- scans, sources, sinks -------------------------------------------------
 
 def json_log_scan(spark, sf_dir):
-    """Participant log written as a JSON-lines tree, read back through the glob
-    with the declared schema; corrupt lines are routed away from the rows."""
+    """Participant log written as a JSON-lines tree, some numbers in another JSON
+    form and some lines broken, read back through the glob: every line that is
+    JSON is a row, with all its values."""
     root = scratch_dir(spark, "json-log")
-    glob = logsrc.write_json_tree(_logs(spark, sf_dir).participants, root)
+    participants = _logs(spark, sf_dir).participants
+    text = F.to_json(F.struct(*participants.columns))
+    line = (
+        F.when(F.col("rank_tid") == 1, F.regexp_replace(text, r'"kill":(\d+)', r'"kill":$1.0'))
+        .when(F.col("rank_tid") == 2, F.regexp_replace(text, r'"(kill|usernum)":(\d+)', r'"$1":"$2"'))
+        .when(F.col("rank_tid") == 3, F.regexp_replace(text, r'"score":(\d+)', r'"score":$1.5'))
+        .when(F.col("rank_tid") == 7, F.concat(text, F.lit("\n{\"battleid\": 99, \"role_id\":")))
+        .otherwise(text)
+    )
+    glob = logsrc.write_json_tree(participants, root, line=line)
     good, _bad = logsrc.split_corrupt(logsrc.read_json_log(spark, glob, PARTICIPANTS))
     return good
 
 
+def catalog_scan(spark, sf_dir):
+    """The match export's eligible set, its logs read as named tables."""
+    lg = _logs(spark, sf_dir)
+    names = [f"arenaflow_{n}" for n in ("participants", "matches", "admissions")]
+    for name, df in zip(names, (lg.participants, lg.matches, lg.admissions), strict=True):
+        df.createOrReplaceTempView(name)
+    return jobs.eligible_matches(logsrc.Logs.from_tables(spark, *names), P)
+
+
 def _written_match_export(spark, sf_dir) -> str:
     root = scratch_dir(spark, "export")
     path = P.export_path(root, "battle_info")
@@ -90,6 +110,29 @@ def framed_sections(spark, sf_dir):
     return framed.conversation_sections(spark, conv, scratch_dir(spark, "framed"))
 
 
+def framed_odd_sections(spark, sf_dir):
+    """Files with frames outside the markers, several sections, or a cut header."""
+    conv = fixtures.table(spark, sf_dir, "conversations")
+    first, last = F.lit(-1).cast("bigint"), F.lit(1 << 40)
+    turns = conv.select("conv_id", (F.col("turn") * 2).alias("turn"), F.lit("frame").alias("kind"), "text")
+    ids = conv.select("conv_id").distinct()
+
+    def item(rows, turn, kind, text):
+        return rows.select("conv_id", turn.alias("turn"), F.lit(kind).alias("kind"), F.lit(text).alias("text"))
+
+    items = (
+        turns.unionAll(item(ids, first - 1, "frame", "stray"))
+        .unionAll(item(ids, first, "marker", None))
+        .unionAll(item(conv.where("turn = 1 AND conv_id % 3 = 1"), F.lit(3).cast("bigint"), "marker", None))
+        .unionAll(item(ids, last, "marker", None))
+        .unionAll(item(ids, last + 1, "frame", "tail"))
+        .unionAll(item(ids.where("conv_id % 3 = 2"), last + 2, "raw", "ab"))
+    )
+    out = scratch_dir(spark, "framed-odd")
+    framed.write_frame_files(items, out)
+    return framed.file_sections(spark, out)
+
+
 # --- projections and filters ----------------------------------------------
 
 def participant_projection_q(spark, sf_dir):
@@ -115,8 +158,8 @@ def admission_filter(spark, sf_dir):
 
 
 def admission_window(spark, sf_dir):
-    """Admissions stored with a date key column, filtered on that column."""
-    adm = _logs(spark, sf_dir).admissions.withColumn("pt_dt", date_key("logtime"))
+    """Admissions with a stored date, which may differ from their log time's, filtered on that date."""
+    adm = _logs(spark, sf_dir).admissions
     return in_key_window(adm, P.start_date, P.end_date).select("matching_id", "role_id", "team_elo", "pt_dt")
 
 
@@ -180,6 +223,10 @@ def monthly_matches(spark, sf_dir):
     return jobs.monthly_match_counts(_logs(spark, sf_dir), P)
 
 
+def monthly_participants(spark, sf_dir):
+    return jobs.monthly_participant_counts(_logs(spark, sf_dir), P)
+
+
 def monthly_players(spark, sf_dir):
     return jobs.monthly_player_counts(_logs(spark, sf_dir), P)
 
@@ -200,6 +247,19 @@ def expand_participants(spark, sf_dir):
     return jobs.expanded_participants(lg, P, jobs.eligible_matches(lg, P))
 
 
+def left_join_miss(spark, sf_dir):
+    """Every match of the match log with its participants' roles; a match without any keeps one row."""
+    lg = _logs(spark, sf_dir)
+    roles = lg.participants.select(F.col("battleid").alias("e_battleid"), "role_id", "kill")
+    return left_join(lg.matches.select("battleid", "gametype"), roles, [("battleid", "e_battleid")])
+
+
+def detail_stored_date(spark, sf_dir):
+    """Participant detail, its ratings windowed on the stored date."""
+    lg = _logs(spark, sf_dir)
+    return jobs.participant_detail(lg, P, jobs.eligible_matches(lg, P), admission_window="pt_dt")
+
+
 def player_detail(spark, sf_dir):
     lg = _logs(spark, sf_dir)
     return jobs.participant_detail(lg, P, jobs.eligible_matches(lg, P))
@@ -220,7 +280,10 @@ def version_allow_list(spark, sf_dir):
 
 
 def version_allow_semi(spark, sf_dir):
-    return version_allowed_semi(jobs.qualified_matches(_logs(spark, sf_dir), P), P.version_allow_list)
+    """The allow-list as a table: here the versions that the log has from v2 to v4."""
+    lg = _logs(spark, sf_dir)
+    listed = lg.participants.where(F.col("keyversion").between("v2", "v4")).select("keyversion").distinct()
+    return version_allowed_semi(jobs.qualified_matches(lg, P), listed)
 
 
 def era_rule(spark, sf_dir):
@@ -254,9 +317,11 @@ def packed_players(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "json_log_scan": json_log_scan,
+    "catalog_scan": catalog_scan,
     "sink_roundtrip": sink_roundtrip,
     "export_readback": export_readback,
     "framed_sections": framed_sections,
+    "framed_odd_sections": framed_odd_sections,
     "participant_projection": participant_projection_q,
     "date_month_keys": date_month_keys,
     "date_range_filter": date_range_filter,
@@ -277,7 +342,9 @@ QUERIES: dict[str, Query] = {
     "join_admissions": join_admissions_q,
     "join_match_view": join_match_view_q,
     "expand_participants": expand_participants,
+    "left_join_miss": left_join_miss,
     "player_detail": player_detail,
+    "detail_stored_date": detail_stored_date,
     "qualified_participants": qualified_participants,
     "qualified_matches": qualified_matches,
     "version_allow_list": version_allow_list,
@@ -289,5 +356,6 @@ QUERIES: dict[str, Query] = {
     "packed_participants": packed_participants,
     "packed_players": packed_players,
     "monthly_matches": monthly_matches,
+    "monthly_participants": monthly_participants,
     "monthly_players": monthly_players,
 }

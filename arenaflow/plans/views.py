@@ -13,7 +13,7 @@ from arenaflow.functions.columns import NULL_SPELLINGS, python_whitespace_class
 from arenaflow.operators import match_view
 from arenaflow.params import RunParams
 from arenaflow.plans import jobs
-from arenaflow.sources.fixtures import Logs
+from arenaflow.sources.logs import Logs
 
 
 def _spellings() -> str:
@@ -26,8 +26,7 @@ def sql_functions() -> dict[str, str]:
         "date_key": "(logtime STRING) RETURNS STRING RETURN substr(logtime, 1, 10)",
         "month_key": "(pt_dt STRING) RETURNS STRING RETURN substr(pt_dt, 1, 7)",
         "valid_version": (
-            "(kv STRING) RETURNS STRING RETURN CASE WHEN kv IS NULL OR kv = '' OR length(trim(kv)) = 0 "
-            f"OR trim(kv) IN ({_spellings()}) THEN NULL ELSE kv END"
+            f"(kv STRING) RETURNS STRING RETURN CASE WHEN trim(kv) NOT IN ('', {_spellings()}) THEN kv END"
         ),
         "valid_version_ws": (
             "(kv STRING) RETURNS STRING RETURN CASE WHEN kv IS NULL OR kv = '' "
@@ -65,6 +64,8 @@ def register_views(spark: SparkSession, logs: Logs, p: RunParams, prefix: str =
         "eligible_participants": jobs.eligible_participants(logs, p),
         "eligible_matches": eligible,
         "packed_matches": jobs.packed_matches(eligible),
+        "participant_detail": (detail := jobs.participant_detail(logs, p, eligible)),
+        "packed_players": jobs.packed_players(detail),
         "packed_participants": jobs.packed_participants(jobs.eligible_participants(logs, p)),
     }
     for name, df in views.items():

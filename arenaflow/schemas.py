@@ -1,8 +1,9 @@
 """Declared schemas of the three logs.
 
 Declaring types replaces schema inference: no extra pass over the input, and the
-text form of a number cannot drift between runs (a column inferred as double
-would print ``17.0``).
+type of a column cannot drift between runs.  Typed tables hold the measures as
+integers; a scan of raw JSON reads them as doubles (:func:`scanned_schema`), and
+the exports print an integral double without a fraction.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ MATCH_ATTRIBUTES = (
 )
 
 CORRUPT_COLUMN = "_corrupt_record"
+UNCAST_COLUMN = "_uncast"
 
 PARTICIPANTS = T.StructType(
     [
@@ -67,6 +69,10 @@ ADMISSIONS = T.StructType(
 )
 
 
-def with_corrupt_column(schema: T.StructType) -> T.StructType:
-    """``schema`` plus the string column that PERMISSIVE mode fills with bad lines."""
-    return T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+# Fields that a raw scan reads as doubles: a fraction must not cost the value.
+MEASURES = frozenset((*PARTICIPANT_MEASURES, "team_elo"))
+
+
+def scanned_schema(schema: T.StructType) -> T.StructType:
+    """The types that a scan of raw JSON lines gives the fields of ``schema``."""
+    return T.StructType([T.StructField(f.name, T.DoubleType() if f.name in MEASURES else f.dataType) for f in schema.fields])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import io
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -38,31 +39,48 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def may_use_own_folder(master: str) -> bool:
+    """Whether driver and executors are one process, so that a local folder is shared by all."""
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, as a full URI.
 
-    On a cluster this is set by the cluster and only read here.  When it is
-    unset (a local test session) a fresh local folder is created and set.
+    On a cluster the setting is read and never made up: a folder without a scheme is
+    taken on the default file system, and an unset one is an error.  Only a
+    ``local`` session (tests, the benchmark) gets a folder of its own.
     """
-    conf = spark.sparkContext.getConf()
-    root = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not may_use_own_folder(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="arenaflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
+    fs, path = hadoop_path(spark, root)
+    return fs.makeQualified(path).toString().rstrip("/")
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """``(file system, path)`` of a URI or of a path on the default file system."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new, unique folder under the shared checkpoint folder for intermediate files."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/arenaflow-scratch/{purpose}-{uuid.uuid4().hex}"
-    local = urlparse(path)
-    if local.scheme in ("", "file"):
-        # local folders are created up front (writers in Python tasks expect them);
-        # distributed file systems create parents on write
-        os.makedirs(local.path, exist_ok=True)
+    """A new, unique folder under the shared checkpoint folder for intermediate files.
+
+    All folders of an application lie in one, which Hadoop deletes when the
+    application ends.
+    """
+    own = f"{ensure_checkpoint_dir(spark)}/arenaflow-scratch/{spark.sparkContext.applicationId}"
+    path = f"{own}/{purpose}-{uuid.uuid4().hex}"
+    fs, made = hadoop_path(spark, path)
+    fs.mkdirs(made)
+    fs.deleteOnExit(hadoop_path(spark, own)[1])
     return path
 
 

@@ -28,14 +28,15 @@ def write_keyed_text(
     value: str = "battle_info",
     compression: str = "none",
     max_records_per_file: int | None = None,
-    mode: str = "overwrite",
+    mode: str = "errorifexists",
 ) -> None:
     """Writes ``value`` lines into ``path/<key>=<k>/`` directories.
 
     The records are rebalanced on the key (adaptive execution then merges small
     dates into one task and splits a date that holds a large share of the rows
     into several, instead of sending a whole date to one task), and the writer
-    sorts each task's rows by key so it keeps one file open at a time.
+    sorts each task's rows by key so it keeps one file open at a time.  An export
+    that is already there is an error unless ``mode="overwrite"`` asks for it to be replaced.
     """
     out = rebalanced(records, key, value)
     w = out.write.mode(mode).partitionBy(key).option("compression", compression)
@@ -50,11 +51,11 @@ def read_keyed_text(spark: SparkSession, path: str, key: str = "pt_dt", value: s
     Distributed: every file is a split; nothing is collected to the driver.
     """
     schema = T.StructType([T.StructField("value", T.StringType()), T.StructField(key, T.StringType())])
-    return spark.read.schema(schema).text(path).select(key, F.col("value").alias(value))
+    return spark.read.schema(schema).option("lineSep", "\n").text(path).select(key, F.col("value").alias(value))
 
 
 def unpack(records: DataFrame, fields: Sequence[tuple[str, str]], value: str = "battle_info") -> DataFrame:
-    """Splits U+0001 records into typed columns; an empty field reads as NULL.
+    """Splits U+0001 records into typed columns; an empty field, or one that is not of its type, reads as NULL.
 
     ``fields`` is ``[(name, spark_type), ...]`` in record order.  Every other
     column of ``records`` is kept in front.
@@ -63,6 +64,6 @@ def unpack(records: DataFrame, fields: Sequence[tuple[str, str]], value: str = "
     cols = []
     for i, (name, dtype) in enumerate(fields):
         raw = F.nullif(F.get(parts, F.lit(i)), F.lit(""))
-        cols.append((raw if dtype == "string" else raw.cast(dtype)).alias(name))
+        cols.append((raw if dtype == "string" else raw.try_cast(dtype)).alias(name))
     keep = [c for c in records.columns if c != value]
     return records.select(*keep, *cols)

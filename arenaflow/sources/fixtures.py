@@ -3,17 +3,16 @@
 The test data is a TPC-H-like star schema; this module derives the participant,
 match and admission logs from it with plain column expressions, so every query
 reads the given tables and its work grows with them.  The same mapping is
-written as SQL in :mod:`arenaflow.oracle` for the DuckDB differential check.
+written as SQL in :mod:`arenaflow.plans.oracle` for the DuckDB differential check.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arenaflow.params import RunParams
+from arenaflow.sources.logs import Logs
 
 # Parameters under which the test tables give non-empty results at every step.
 FIXTURE_PARAMS = RunParams(
@@ -33,25 +32,6 @@ FIXTURE_LOOKUP_BATTLEID = 7
 FIXTURE_AUDIT_COUNT = 7
 
 
-@dataclass(frozen=True)
-class Logs:
-    """The three logs of a run.
-
-    ``date_partitioned`` marks logs landed by :mod:`arenaflow.streaming`, whose
-    ``pt_dt`` column is the date key of ``logtime``; the jobs then add the run's
-    date range on it so whole partitions are pruned.
-    """
-
-    participants: DataFrame
-    matches: DataFrame
-    admissions: DataFrame
-    date_partitioned: bool = False
-
-    @property
-    def partition_key(self) -> str | None:
-        return "pt_dt" if self.date_partitioned else None
-
-
 # Declared schemas of the test tables read here: no footer-reading job to
 # infer them on every read.
 TABLE_SCHEMAS = {
@@ -71,9 +51,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_table = table
-
-
 def _ts_text(c: Column) -> Column:
     return F.substring(c.cast("string"), 1, 19)
 
@@ -84,7 +61,7 @@ def _rounded(c: Column) -> Column:
 
 
 def participants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem")
     line = F.col("l_linenumber")
     qty = F.col("l_quantity").cast("bigint")
     return li.select(
@@ -98,7 +75,8 @@ def participants(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("factionid"),
         F.when(line == 1, F.lit(None).cast("string"))
         .when(line == 2, F.lit(""))
-        .when(line == 3, F.lit("   "))
+        .when((line == 3) & (F.col("l_orderkey") % 2 == 0), F.lit("   "))
+        .when(line == 3, F.lit("\t"))
         .when(line == 4, F.lit("null"))
         .when(line == 5, F.lit(" NULL "))
         .otherwise(F.concat(F.lit("v"), (F.col("l_partkey") % 7).cast("string")))
@@ -130,10 +108,10 @@ def participants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders")
     cust = F.col("o_custkey")
     status = F.col("o_orderstatus")
-    return o.where(F.col("o_orderkey") % 5 != 0).select(
+    return o.select(
         F.col("o_orderkey").alias("battleid"),
         status.alias("gametype"),
         (cust % 7 + 1).cast("int").alias("modetid"),
@@ -153,9 +131,9 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Rating and time depend only on the supplier and the order, so the
     # distinct runs on the two keys (map-side) before the lookups.
-    pairs = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").distinct()
-    su = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
-    o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    pairs = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey").distinct()
+    su = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     return (
         pairs.join(su, pairs.l_suppkey == su.s_suppkey)
         .join(o, pairs.l_orderkey == o.o_orderkey)
@@ -164,6 +142,8 @@ def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_suppkey").alias("role_id"),
             _rounded(F.col("s_acctbal")).alias("team_elo"),
             _ts_text(F.col("o_orderdate")).alias("logtime"),
+            # the stored date of some admissions is another than that of their log time
+            F.substring((F.col("o_orderdate") + F.expr("INTERVAL 1 DAY") * (F.col("l_suppkey") % 3 * 60)).cast("string"), 1, 10).alias("pt_dt"),
         )
     )
 

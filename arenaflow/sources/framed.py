@@ -7,8 +7,8 @@ last marker: every marker publishes the text gathered since the previous
 marker and starts a new one, frames before the first marker and after the
 last one are dropped, every kept non-empty frame is followed by a newline.
 
-Each file is one row of a ``binaryFile`` scan (gzip is not splittable), and the
-decoding runs in Arrow batches through ``mapInPandas``; a malformed file yields
+Each file is one row of a ``binaryFile`` scan (gzip is not splittable), decoded
+in ``mapInPandas`` and given out file by file; a malformed file yields
 an error row instead of failing the job or silently truncating.
 """
 
@@ -116,7 +116,9 @@ def decode_file(content: bytes) -> tuple[str | None, int, str]:
 
 
 def _arrow_uri(path: str) -> str:
-    # Spark reports local files as file:/path; pyarrow wants file:///path
+    # Spark reports local files as file:/path, pyarrow wants file:///path; Hadoop's s3a is pyarrow's s3
+    if path.startswith(("s3a://", "s3n://")):
+        return "s3" + path[3:]
     if path.startswith("file:") and not path.startswith("file://"):
         return "file://" + path[len("file:"):]
     return path if "://" in path else "file://" + path
@@ -126,37 +128,31 @@ def _decode_paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     from pyarrow import fs
 
     for batch in batches:
-        decoded = []
         for path in batch["path"]:
             filesystem, fpath = fs.FileSystem.from_uri(_arrow_uri(path))
             with filesystem.open_input_stream(fpath, compression=None) as raw:
-                decoded.append(decode_gzip_stream(raw))
-        yield _section_frame(batch["path"], decoded)
+                yield _section_frame(path, decode_gzip_stream(raw))
 
 
 def _decode_contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield _section_frame(batch["path"], [decode_file(bytes(c)) for c in batch["content"]])
+        for path, content in zip(batch["path"], batch["content"], strict=True):
+            yield _section_frame(path, decode_file(content))
 
 
-def _section_frame(paths, decoded) -> pd.DataFrame:
-    return pd.DataFrame(
-        {
-            "path": list(paths),
-            "section_text": [d[0] for d in decoded],
-            "frame_count": [d[1] for d in decoded],
-            "status": [d[2] for d in decoded],
-        }
-    )
+def _section_frame(path: str, decoded: tuple[str | None, int, str]) -> pd.DataFrame:
+    """The result row of one file; one frame a file, so a task holds one section at a time."""
+    return pd.DataFrame([(path, *decoded)], columns=SECTION_SCHEMA.names)
 
 
-def read_sections(spark: SparkSession, path: str, glob: str = "*.gz", stream: bool = True) -> DataFrame:
+def read_sections(spark: SparkSession, path: str, glob: str = "*.gz", stream: bool = False) -> DataFrame:
     """One row per framed file under ``path``: ``(path, section_text, frame_count, status)``.
 
-    The file listing is a ``binaryFile`` scan.  With ``stream`` (default) only
-    the paths are read from it and each task streams its files through gzip
-    frame by frame, so neither the compressed nor the decompressed file is held
-    in memory; otherwise the file contents come from the scan itself.
+    The files come from a ``binaryFile`` scan, so any store that Spark reads will
+    do; a task holds an Arrow batch of compressed files and one decoded section.
+    With ``stream`` only the paths are read from the scan and each file is
+    streamed through gzip frame by frame by pyarrow (local, HDFS and S3 paths),
+    for files too large to be held whole.
     """
     ship_package(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
@@ -165,7 +161,7 @@ def read_sections(spark: SparkSession, path: str, glob: str = "*.gz", stream: bo
     return files.select("path", "content").mapInPandas(_decode_contents, SECTION_SCHEMA)
 
 
-def _file_writer(out_dir: str):
+def _file_writer(out_dir: str, enclosed: bool):
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
@@ -174,8 +170,8 @@ def _file_writer(out_dir: str):
 
         def close():
             if state["gz"] is not None:
-                state["gz"].write(_header(MARKER))
-                state["bytes"] += 4
+                if enclosed:
+                    put(_header(MARKER))
                 state["gz"].close()
                 state["raw"].close()
                 done.append((state["key"], state["bytes"]))
@@ -187,18 +183,22 @@ def _file_writer(out_dir: str):
             raw = filesystem.open_output_stream(fpath, compression=None)
             # fixed header fields: a retried task rewrites identical bytes
             gz = gzip.GzipFile(filename="", fileobj=raw, mode="wb", mtime=0)
-            gz.write(_header(MARKER))
-            state.update(key=key, raw=raw, gz=gz, bytes=4)
+            state.update(key=key, raw=raw, gz=gz, bytes=0)
+            if enclosed:
+                put(_header(MARKER))
+
+        def put(data: bytes):
+            state["gz"].write(data)
+            state["bytes"] += len(data)
 
         for batch in batches:
-            for key, text in zip(batch["conv_id"], batch["text"]):
+            for key, kind, text in zip(batch["conv_id"], batch["kind"], batch["text"], strict=True):
                 key = int(key)
                 if key != state["key"]:
                     close()
                     open_(key)
                 data = (text if isinstance(text, str) else "").encode("utf-8")
-                state["gz"].write(_header(len(data)) + data)
-                state["bytes"] += 4 + len(data)
+                put(_header(MARKER) if kind == "marker" else data if kind == "raw" else _header(len(data)) + data)
             if done:
                 yield pd.DataFrame(done, columns=["conv_id", "file_bytes"])
                 done.clear()
@@ -209,34 +209,44 @@ def _file_writer(out_dir: str):
     return write
 
 
-def write_conversation_files(conversations: DataFrame, out_dir: str) -> int:
-    """Writes one framed gzip file per conversation (marker, one frame per turn
-    in turn order, marker) and returns the number of files.
+def write_frame_files(items: DataFrame, out_dir: str, enclosed: bool = False) -> int:
+    """Writes one framed gzip file per ``conv_id`` from the rows ``conv_id``, ``turn``,
+    ``kind``, ``text`` in turn order, and returns the number of files.
+
+    ``kind``: ``frame`` (the text as a frame), ``marker``, or ``raw`` (the text's
+    bytes as they are).  ``enclosed`` puts a marker before and after.
 
     Rows are hash-partitioned by conversation and sorted by (conversation, turn)
     within each task (an external, spilling sort); the writer then streams them
     into one open gzip file at a time, so a long conversation is never held in
     memory.  The only value returned to the driver is the file count.
     """
-    ship_package(conversations.sparkSession)
+    ship_package(items.sparkSession)
     ordered = (
-        conversations.select("conv_id", "turn", "text")
+        items.select("conv_id", "turn", "kind", "text")
         .repartition("conv_id")
         .sortWithinPartitions("conv_id", "turn")
     )
-    written = ordered.mapInPandas(_file_writer(out_dir), "conv_id long, file_bytes long")
+    written = ordered.mapInPandas(_file_writer(out_dir, enclosed), "conv_id long, file_bytes long")
     return written.agg(F.count(F.lit(1))).first()[0]
 
 
-def conversation_sections(spark: SparkSession, conversations: DataFrame, out_dir: str) -> DataFrame:
-    """Frames the conversations to files, then extracts each file's section.
+def write_conversation_files(conversations: DataFrame, out_dir: str) -> int:
+    """One framed gzip file per conversation: marker, one frame per turn in turn order, marker."""
+    return write_frame_files(conversations.withColumn("kind", F.lit("frame")), out_dir, enclosed=True)
 
-    Returns ``(conv_id, section_text, frame_count, status)``.
-    """
-    write_conversation_files(conversations, out_dir)
+
+def file_sections(spark: SparkSession, out_dir: str) -> DataFrame:
+    """``(conv_id, section_text, frame_count, status)`` of the files in ``out_dir``."""
     return read_sections(spark, out_dir).select(
         F.regexp_extract("path", r"conv_(-?\d+)\.gz$", 1).cast("bigint").alias("conv_id"),
         "section_text",
         "frame_count",
         "status",
     )
+
+
+def conversation_sections(spark: SparkSession, conversations: DataFrame, out_dir: str) -> DataFrame:
+    """Frames the conversations to files, then extracts each file's section."""
+    write_conversation_files(conversations, out_dir)
+    return file_sections(spark, out_dir)

@@ -3,8 +3,9 @@
 The raw logs arrive as JSON files in a directory tree.  Scanning them for every
 run re-parses all history row by row and cannot prune by date.  This stage
 reads each new file exactly once (the file source tracks what it has read in
-its checkpoint), drops malformed lines into a quarantine table, and appends the
-parsed rows to Parquet partitioned by ``pt_dt`` (date key of ``logtime``), so
+its checkpoint), puts lines that are no JSON into a quarantine table, together
+with a note of every value that is not of its type (its row is landed with that
+value NULL), and appends the parsed rows to Parquet partitioned by ``pt_dt`` (date key of ``logtime``), so
 later runs read typed columns and prune partitions on the run's date range.
 
 Run it with ``available_now=True`` as a scheduled batch (processes everything
@@ -19,8 +20,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from arenaflow.functions import date_key
-from arenaflow.schemas import CORRUPT_COLUMN, with_corrupt_column
+from arenaflow.schemas import CORRUPT_COLUMN, UNCAST_COLUMN, scanned_schema
 from arenaflow.session import ensure_checkpoint_dir
+from arenaflow.sources.logs import raw_reader, typed
 
 
 def _write_batch(target: str, quarantine: str, fields: list[str]):
@@ -29,8 +31,10 @@ def _write_batch(target: str, quarantine: str, fields: list[str]):
         batch = batch.persist()
         try:
             good = batch.where(F.col(CORRUPT_COLUMN).isNull()).select(*fields, date_key("logtime").alias("pt_dt"))
-            bad = batch.where(F.col(CORRUPT_COLUMN).isNotNull()).select(
-                F.lit(batch_id).alias("batch_id"), F.col(CORRUPT_COLUMN).alias("line")
+            bad = batch.where(F.col(CORRUPT_COLUMN).isNotNull() | F.col(UNCAST_COLUMN).isNotNull()).select(
+                F.lit(batch_id).alias("batch_id"),
+                F.coalesce(CORRUPT_COLUMN, F.to_json(F.struct(*fields))).alias("line"),
+                F.col(UNCAST_COLUMN).alias("uncast"),
             )
             # Each micro-batch writes only its own (pt_dt, batch_id) partitions
             # with dynamic overwrite: a batch replayed after a failure between
@@ -71,15 +75,11 @@ def land_log(
     name = target.rstrip("/").replace("://", "_").replace("/", "_")
     checkpoint = checkpoint or f"{root}/arenaflow-landing/{name}"
     quarantine = quarantine or f"{target.rstrip('/')}_corrupt"
-    reader = (
-        spark.readStream.schema(with_corrupt_column(schema))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-    )
+    reader = raw_reader(spark.readStream, schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    fields = [f.name for f in schema.fields]
-    stream = reader.json(source).select(*fields, CORRUPT_COLUMN)
+    fields = schema.names
+    stream = typed(reader.json(source), schema)
     writer = stream.writeStream.foreachBatch(_write_batch(target, quarantine, fields)).option(
         "checkpointLocation", checkpoint
     )
@@ -99,7 +99,7 @@ def read_landed(
     partitions.  ``keep_partition`` keeps the ``pt_dt`` column, so the job
     filters on the run's date range prune partitions too."""
     full = T.StructType(
-        list(schema.fields)
+        list(scanned_schema(schema).fields)
         + [T.StructField("pt_dt", T.StringType()), T.StructField("batch_id", T.LongType())]
     )
     df = spark.read.schema(full).parquet(target)

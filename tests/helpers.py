@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from arenaflow.schemas import ADMISSIONS, MATCHES, PARTICIPANTS
-from arenaflow.sources.fixtures import Logs
+from arenaflow.sources.logs import Logs
 
 
 def participant(battleid, role_id, logtime, **kw):

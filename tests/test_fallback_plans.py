@@ -1,9 +1,9 @@
-"""The shuffle-only plans a large run takes (no broadcast anywhere, eligible set
-over the broadcast bound) give the same rows as the default plans."""
+"""The plans a large run takes (no broadcast anywhere) give the same rows as the default plans."""
 
 from arenaflow.plans import jobs
 from arenaflow.sources import fixtures
 from helpers import rows
+from test_plans import _explain
 from test_skew import conf
 
 NO_BROADCAST = {
@@ -23,17 +23,23 @@ def test_shuffle_only_plans_give_the_same_rows(spark, sf_small):
     with conf(spark, NO_BROADCAST):
         lg2 = fixtures.load(spark, sf_small)
         eligible2 = jobs.eligible_matches(lg2, p)
-        detail = jobs.participant_detail(lg2, p, eligible2, max_keys=0)
-        plan = detail._sc._jvm.PythonSQLUtils.explainString(detail._jdf.queryExecution(), "formatted")
-        assert "BroadcastHashJoin" not in plan
+        detail = jobs.participant_detail(lg2, p, eligible2)
+        assert "BroadcastHashJoin" not in _explain(detail, "formatted")
         assert rows(detail) == expected_detail
         assert rows(eligible2) == expected_eligible
         assert rows(jobs.eligible_participants(lg2, p)) == expected_participants
-        reduced = jobs.qualified_matches(lg2, p, reduce_keys=True, max_keys=0)
-        assert rows(era_rule_of(reduced, p)) == expected_eligible
 
 
-def era_rule_of(df, p):
-    from arenaflow.operators import era_rule
+def test_detail_cuts_to_eligible_matches_before_the_ratings(spark):
+    from helpers import admission, logs, participant
 
-    return era_rule(df, p.version_cutoff, p.version_allow_list)
+    lg = logs(spark, [participant(1, 1, "1997-01-05 00:00:00")], admissions=[admission(1, 1, 1500)])
+    p = fixtures.FIXTURE_PARAMS
+    with conf(spark, NO_BROADCAST):
+        detail = jobs.participant_detail(lg, p, spark.createDataFrame([], "pt_dt string, battleid long"))
+        text = detail._jdf.queryExecution().optimizedPlan().toString()
+        # one left join with the ratings above one inner join with the pairs; no anti join, one participant scan
+        assert text.index("Join LeftOuter") < text.index("Join Inner")
+        assert "LeftAnti" not in text and text.count("kill#") >= 1
+        full = _explain(detail, "formatted")
+        assert full.count("SortMergeJoin Inner") + full.count("SortMergeJoin (") <= 2

@@ -167,11 +167,10 @@ def test_participant_detail_left_joins(spark):
     assert {len(r["battle_info"].split("\u0001")) for r in packed} == {24}
 
 
-@pytest.mark.parametrize("skew_safe", [True, False])
-def test_left_join_true_miss(spark, skew_safe):
+def test_left_join_true_miss(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (2, "d")], "k long, l string")
     right = spark.createDataFrame([(2, 20), (2, 21), (3, 30), (None, 0)], "rk long, r int")
-    got = rows(left_join(left, right, [("k", "rk")], skew_safe=skew_safe), "k", "l", "rk", "r")
+    got = rows(left_join(left, right, [("k", "rk")]), "k", "l", "rk", "r")
     assert got == sorted(
         [(1, "a", None, None), (2, "b", 2, 20), (2, "b", 2, 21), (None, "c", None, None),
          (2, "d", 2, 20), (2, "d", 2, 21)],
@@ -207,22 +206,53 @@ def test_duplicate_audit_and_point_lookup(spark):
 def test_result_independent_of_input_partitioning(spark):
     lg = _scenario(spark)
     base = rows(jobs.packed_matches(jobs.eligible_matches(lg, P)))
-    from arenaflow.sources.fixtures import Logs
+    from arenaflow.sources.logs import Logs
     shuffled = Logs(lg.participants.repartition(7), lg.matches.repartition(3), lg.admissions.repartition(5))
     assert rows(jobs.packed_matches(jobs.eligible_matches(shuffled, P))) == base
 
 
-@pytest.mark.parametrize("max_keys", [0, 1_000])
-def test_key_reduction_is_exact(spark, max_keys):
+def test_match_log_changes_no_qualified_row(spark):
     lg = _scenario(spark)
     for fn in (jobs.qualified_matches, jobs.qualified_participants):
-        plain = rows(fn(lg, P))
-        assert rows(fn(lg, P, reduce_keys=True, max_keys=max_keys)) == plain
-        assert rows(fn(lg, P, with_match_log=True, reduce_keys=True, max_keys=max_keys)) == plain
+        assert rows(fn(lg, P, with_match_log=True)) == rows(fn(lg, P))
+
+
+def test_detail_equals_its_left_join_definition(spark):
+    """The job path's inner join and the left join of the definition give the same rows."""
+    lg = _scenario(spark)
+    pairs = jobs.eligible_matches(lg, P).select("pt_dt", "battleid")
+    by_definition = left_join(pairs, jobs._played(lg, P), [("battleid", "e_battleid")])
+    assert rows(jobs.expanded_participants(lg, P, jobs.eligible_matches(lg, P))) == rows(by_definition)
+
+
+def test_plan_functions_start_no_job(spark):
+    lg = _scenario(spark)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "plan functions")
+    try:
+        eligible = jobs.eligible_matches(lg, P)
+        for df in (jobs.participant_detail(lg, P, eligible), jobs.expanded_participants(lg, P, eligible),
+                   jobs.monthly_player_counts(lg, P), jobs.monthly_participant_counts(lg, P)):
+            assert df.columns
+        assert not tracker.getJobIdsForGroup("lazy")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_monthly_participants_count_each_once(spark):
+    lg = _scenario(spark)
+    distinct = jobs.eligible_participants(lg, P).select("pt_dt_date", "battleid", "role_id", "keyversion").distinct()
+    assert sum(r["record_count"] for r in jobs.monthly_participant_counts(lg, P).collect()) == distinct.count()
+
+
+def test_version_semi_join_takes_a_table(spark):
+    df = spark.createDataFrame([("a1",), ("b",), (None,), ("a1",)], "keyversion string")
+    table = spark.createDataFrame([("a1", ), ("c",), (None,), ("a1",)], "version string")
+    assert rows(version_allowed_semi(df, table)) == [("a1",), ("a1",)]
 
 
 def test_detail_admission_window_on_stored_date(spark):
-    from arenaflow.sources.fixtures import Logs
+    from arenaflow.sources.logs import Logs
 
     lg = _scenario(spark)
     # stored date of match 2's admission inside the range although its log time is not

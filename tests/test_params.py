@@ -24,6 +24,14 @@ def test_params_from_argv_and_paths():
     assert p.export_path("/x", "battle_total", compact=False) == "/x/battle_total/19/4.2.0/2021-06-01-2021-11-22/"
 
 
+def test_thresholds_may_have_a_fraction():
+    p = RunParams("2021-01-01", "2021-02-01", 1, "1000.5", "1", "s", "2.5")
+    assert (p.team_elo, p.score) == (1000.5, 2.5)
+    assert RunParams("2021-01-01", "2021-02-01", 1, "1e3", "1", "s", 3.0).team_elo == 1000
+    with pytest.raises(ValueError):
+        RunParams("2021-01-01", "2021-02-01", 1, 1, "1", "s", "nan")
+
+
 def test_params_reject_reversed_range():
     with pytest.raises(ValueError):
         RunParams("2021-02-01", "2021-01-01", 1, 1, "1", "s", 1)

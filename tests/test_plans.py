@@ -7,7 +7,7 @@ from arenaflow.plans import jobs
 from arenaflow.plans.registry import QUERIES
 from arenaflow.schemas import ADMISSIONS, MATCHES, PARTICIPANTS
 from arenaflow.session import scratch_dir
-from arenaflow.sources.fixtures import Logs
+from arenaflow.sources.logs import Logs
 from helpers import admission, logs, participant
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
@@ -61,18 +61,16 @@ def test_scans_are_column_pruned(spark, sf_small):
     assert schema == "struct<l_orderkey:bigint,l_quantity:double,l_returnflag:string,l_linestatus:string>"
 
 
-def test_allow_list_semi_join_is_broadcast(spark, sf_small):
-    text = _explain(QUERIES["version_allow_semi"](spark, sf_small), "formatted")
-    assert "BroadcastHashJoin LeftSemi" in text or "BroadcastExchange" in text
+def test_allow_list_semi_join_carries_no_hint(spark, sf_small):
+    plan = QUERIES["version_allow_semi"](spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftSemi" in plan and "strategy=broadcast" not in plan
 
 
-def test_detail_reduces_rows_to_eligible_matches_before_shuffling(spark, sf_small):
-    text = _explain(QUERIES["player_detail"](spark, sf_small), "formatted")
-    # participant and admission rows are cut to the eligible matches map-side
-    assert len(re.findall(r"BroadcastHashJoin LeftSemi", text)) >= 2
-    # the inner branch streams the participant rows past the broadcast pairs
-    assert re.search(r"BroadcastHashJoin Inner BuildLeft", text)
-    assert not any(n in text for n in PYTHON_NODES)
+def test_detail_joins_the_participants_once(spark, sf_small):
+    df = QUERIES["player_detail"](spark, sf_small)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and "Join LeftOuter" in plan
+    assert not any(n in _explain(df, "formatted") for n in PYTHON_NODES)
 
 
 def test_qualifying_filters_reach_the_json_scan(spark):
@@ -88,7 +86,8 @@ def test_qualifying_filters_reach_the_json_scan(spark):
     pushed = " ".join(re.findall(r"PushedFilters: (.*)", text))
     assert "Scan json" in text
     assert "GreaterThanOrEqual(logtime,2021-01-01)" in pushed and "LessThan(logtime,2021-03-32)" in pushed
-    assert "EqualTo(herotid,3)" in pushed
+    # numbers are read as text and converted above the scan, so that a mistyped one costs no row
+    assert "try_cast" in text and "herotid" in text
 
 
 def test_sink_rebalances_on_the_date_key(spark):

@@ -6,6 +6,7 @@ from arenaflow.session import scratch_dir
 from arenaflow.sources import logs as logsrc
 from arenaflow.streaming.landing import land_log, read_landed
 from helpers import logs, participant, rows
+from test_io import leaves
 
 
 def test_landing_is_incremental_and_prunes_dates(spark):
@@ -13,7 +14,7 @@ def test_landing_is_incremental_and_prunes_dates(spark):
     src = scratch_dir(spark, "landing-src")
     logsrc.write_json_tree(first.participants, f"{src}/batch1")
     target = scratch_dir(spark, "landing-out") + "/participants"
-    glob = f"{src}/*/*/*/*/*.json"
+    glob = f"{src}/*/*/*/*/*.txt"
 
     q = land_log(spark, glob, PARTICIPANTS, target)
     q.awaitTermination(120)
@@ -21,8 +22,8 @@ def test_landing_is_incremental_and_prunes_dates(spark):
 
     second = logs(spark, [participant(100 + i, i, "2021-03-05 00:00:00") for i in range(3)])
     logsrc.write_json_tree(second.participants, f"{src}/batch2")
-    leaf = sorted(d for d, _, files in os.walk(f"{src}/batch2") if any(f.endswith(".json") for f in files))[0]
-    with open(os.path.join(leaf, "bad.json"), "w") as fh:
+    leaf = leaves(f"{src}/batch2")[0]
+    with open(os.path.join(leaf, "bad.txt"), "w") as fh:
         fh.write("{not json\n")
     q = land_log(spark, glob, PARTICIPANTS, target)
     q.awaitTermination(120)
@@ -38,11 +39,13 @@ def test_landing_is_incremental_and_prunes_dates(spark):
 
 def test_replayed_batch_is_not_duplicated(spark):
     from arenaflow.streaming.landing import _write_batch
-    from arenaflow.schemas import CORRUPT_COLUMN
+    from arenaflow.schemas import CORRUPT_COLUMN, UNCAST_COLUMN
     from pyspark.sql import functions as F
 
     lg = logs(spark, [participant(i, i, "2021-01-05 00:00:00") for i in range(4)])
-    batch = lg.participants.withColumn(CORRUPT_COLUMN, F.lit(None).cast("string"))
+    batch = lg.participants.withColumn(CORRUPT_COLUMN, F.lit(None).cast("string")).withColumn(
+        UNCAST_COLUMN, F.lit(None).cast("array<string>")
+    )
     target = scratch_dir(spark, "landing-replay") + "/p"
     write = _write_batch(target, target + "_corrupt", [f.name for f in PARTICIPANTS.fields])
     write(batch, 0)
@@ -55,7 +58,7 @@ def test_jobs_prune_date_partitions_of_landed_logs(spark):
     from arenaflow.params import RunParams
     from arenaflow.plans import jobs
     from arenaflow.schemas import ADMISSIONS, MATCHES
-    from arenaflow.sources.fixtures import Logs
+    from arenaflow.sources.logs import Logs
     from helpers import admission
 
     lg = logs(
