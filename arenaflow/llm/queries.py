@@ -17,6 +17,9 @@ from arenaflow.llm.op7_toxicity import ToxicityModel, score_toxicity, train_toxi
 from arenaflow.llm.op8_language import identify_language
 from arenaflow.llm.op9_secrets import secret_scan
 from arenaflow.llm.op10_lines import line_dedup
+from arenaflow.llm.oracle import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES", "toxicity_model"]
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,4 +81,3 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_lines": op10_lines,
 }
-ORACLE_SQL: dict[str, str] = {}

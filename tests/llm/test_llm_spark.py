@@ -325,3 +325,11 @@ def test_pipeline_runs(spark, sf_small):
     out = corpus_pipeline.run(spark, sf_small)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert 0 < out.count() < spark.read.parquet(f"{sf_small}/documents.parquet").count()
+
+
+@pytest.mark.parametrize("name", sorted(q.ORACLE_SQL))
+def test_query_matches_oracle(spark, sf_small, name):
+    from oracle_compare import compare, duck
+
+    r = compare(spark, duck(sf_small), name, sf_small, q.QUERIES[name], q.ORACLE_SQL[name])
+    assert r["ok"], r.get("why")
