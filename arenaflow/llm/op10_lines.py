@@ -39,7 +39,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from arenaflow.llm.common import map_rows, materialize
 from arenaflow.session import ship_package
 
-DIGIT = re.compile(rb"\S*\d\S*")
+DIGIT = re.compile(rb"\d")
 FIELD = b"<*>"
 SLICES = 8
 LINES = T.StructType(
@@ -68,7 +68,9 @@ def parsed_lines(doc_id, text: str | None, doc_hash: int, depth: int, min_tokens
     """The rows of :data:`LINES` of a text."""
     rows = []
     for number, line in enumerate(text.encode().split(b"\n") if text else ()):
-        tokens = DIGIT.sub(FIELD, line).split()
+        tokens = line.split()
+        if DIGIT.search(line):
+            tokens = [FIELD if DIGIT.search(t) else t for t in tokens]
         if len(tokens) >= min_tokens:
             leaf = _hash(b"%d " % len(tokens) + b" ".join(tokens[:depth]))
             rows.append((number, leaf, _hash(b" ".join(tokens)), token_codes(tokens)))
