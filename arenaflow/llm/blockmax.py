@@ -13,10 +13,10 @@ from collections import Counter
 
 import numpy as np
 
-BLOCK = 16
+BLOCK = 2
 K1, B = 1.2, 0.75
 # Terms in more than this share of the items are bounded once for all passages.
-COMMON = 0.1
+COMMON = 0.05
 
 
 class BlockMaxIndex:
