@@ -22,6 +22,7 @@ give repeated rows; extra columns are ignored.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 import xxhash
@@ -127,10 +128,8 @@ def contaminated(
     """``doc_id``, ``item_id``, ``score`` (share of the item's own BM25 score), ``question_overlap``,
     ``answer_overlap``: one row for each document and item found in it, with its best passage."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    found = docs.sparkSession.createDataFrame([], SCHEMA)
-    for items in benchmark_blocks(benchmark, shard_items, shard_bytes):
-        found = found.union(_search(rows, items, threshold, least_overlap))
-    return found
+    found = [_search(rows, items, threshold, least_overlap) for items in benchmark_blocks(benchmark, shard_items, shard_bytes)]
+    return reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], SCHEMA)
 
 
 def _searcher(docs: DataFrame, items: list[tuple[int, str]], threshold: float, least_overlap: float):

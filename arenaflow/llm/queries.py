@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from arenaflow.llm.common import documents, fold
 from arenaflow.llm.op1_quality import quality_rules
