@@ -57,7 +57,7 @@ def test_replayed_batch_is_not_duplicated(spark):
 def test_jobs_prune_date_partitions_of_landed_logs(spark):
     from arenaflow.params import RunParams
     from arenaflow.plans import jobs
-    from arenaflow.schemas import ADMISSIONS, MATCHES
+    from arenaflow.schemas import ADMISSIONS
     from arenaflow.sources.logs import Logs
     from helpers import admission
 
