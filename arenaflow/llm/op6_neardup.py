@@ -2,17 +2,18 @@
 
 1. Every document gets the set of its five-word shingles (64-bit hashes), a
    128-bit hash of the whole set, MinHash samples cut into bands, and an odd
-   sketch: the samples folded into a parity bitmap.
+   sketch: one MinHash sample from each of 1,024 bins of the hash range, folded
+   into a parity bitmap.
 2. Documents with equal sets are one class, named by its smallest id; only
    classes go on.
 3. Classes that share a band are candidates.  First each band's members are
    paired with the band's smallest member.  The population count of the XOR of two odd
-   sketches estimates the similarity; pairs far below the threshold go, and the
+   sketches estimates the similarity; pairs clearly below the threshold go, and the
    rest are confirmed on their full sets.
 4. Confirmed links give components.  Then pairs that share a band but not a
-   component, and were not compared yet, are compared in the same way; so a
-   group of thousands of near copies costs one comparison per member and band,
-   not one per pair, and no link between components is lost.
+   component, and were not compared yet, are compared in the same way, each in
+   the first band they share; pairs within a component need no comparison, and
+   no link between components is lost.
 
 A pair at the threshold shares no band with probability (1 - 0.85**5)**25 = 4e-7.
 
@@ -38,11 +39,11 @@ from arenaflow.llm.components import connected_components
 WORDS = 5
 BANDS, ROWS = 25, 5
 SAMPLES = BANDS * ROWS
-SKETCH_BITS = 256
+BINS = 1024
+SKETCH_BITS = 1024
 SKETCH = [f"odd{i}" for i in range(SKETCH_BITS // 64)]
-# A pair is rejected unconfirmed if its sketches estimate less than the threshold by this much
-# (more than five standard deviations of the estimate).
-MARGIN = 0.25
+# A pair goes unconfirmed if its sketches differ in so many standard deviations more bits than expected.
+SIGMAS = 7.0
 _RNG = np.random.default_rng(20210601)
 _FACTORS = _RNG.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OFFSETS = _RNG.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2)
@@ -78,17 +79,33 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    """Parity of the number of samples that fall on each bit."""
-    numbered = samples + np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    places = (shingle_hashes(numbered, 1) >> np.uint64(32)).astype(np.int64) % SKETCH_BITS
+def odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity of the number of MinHash samples that fall on each bit; ``shingles`` sorted."""
+    _, first = np.unique(shingles % np.uint64(BINS), return_index=True)  # the smallest hash in each bin
+    places = (shingle_hashes(shingles[first], 1) >> np.uint64(32)).astype(np.int64) % SKETCH_BITS
     parity = np.bincount(places, minlength=SKETCH_BITS) & 1
     return np.packbits(parity.astype(np.uint8)).view("<i8")
 
 
-def sketch_limit(similarity: float) -> int:
-    """Most bits that sketches of sets of this similarity are expected to differ in."""
-    return int(SKETCH_BITS / 2 * (1 - np.exp(-4 * SAMPLES * (1 - similarity) / SKETCH_BITS)))
+def sketch_limit(n_a: Column, n_b: Column, similarity: float) -> Column:
+    """Most bits in which the sketches of sets of these sizes may differ at this similarity.
+
+    A set of ``n`` fills ``BINS * (1 - exp(-n / BINS))`` bins; of the union's
+    filled bins the share ``similarity`` has the same sample on both sides, and
+    every other sample flips a bit.  The limit is the expected number of
+    differing bits plus ``SIGMAS`` standard deviations.
+    """
+
+    def filled(n):
+        return BINS * (1 - F.exp(-n / F.lit(float(BINS))))
+
+    union = (n_a + n_b) / F.lit(1 + similarity)
+    flips = filled(n_a) + filled(n_b) - 2 * similarity * filled(union)
+    spread = 4 * similarity * (1 - similarity) * filled(union) * (1 - filled(union) / union)
+    load = flips / F.lit(float(SKETCH_BITS))
+    expected = SKETCH_BITS / 2 * (1 - F.exp(-2 * load))
+    variance = spread * F.exp(-4 * load) + SKETCH_BITS / 4 * (1 - F.exp(-4 * load) * (1 + 4 * load)) + 1
+    return expected + SIGMAS * F.sqrt(variance)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -104,7 +121,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 return
             samples = minhash(found)
             digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
-            yield doc_id, len(found), digest, text_hash, band_keys(samples).tolist(), *odd_sketch(samples).tolist()
+            yield doc_id, len(found), digest, text_hash, band_keys(samples).tolist(), *odd_sketch(found).tolist()
 
         return one
 
@@ -133,7 +150,7 @@ def _far(names_a: list[str], names_b: list[str]) -> Column:
 def _plausible(percent: int) -> Column:
     """Sizes allow the similarity, and the sketches do not speak clearly against it (columns of both sides)."""
     sizes = F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b")
-    near = _far([f"{c}_a" for c in SKETCH], [f"{c}_b" for c in SKETCH]) <= sketch_limit(percent / 100 - MARGIN)
+    near = _far([f"{c}_a" for c in SKETCH], [f"{c}_b" for c in SKETCH]) <= sketch_limit(F.col("n_a"), F.col("n_b"), percent / 100)
     return sizes & near
 
 
@@ -157,7 +174,7 @@ def near_duplicate_links(docs: DataFrame, found: DataFrame, classes: DataFrame,
     features = materialize(
         found.join(classes, "set_hash").where(F.col("doc_id") == F.col("node")).select("node", "n_shingles", "text_hash", "bands", *SKETCH), "classes"
     )
-    banded = features.select(F.explode("bands").alias("band"), "node")
+    banded = features.select(F.posexplode("bands").alias("place", "band"), "node")
     buckets = banded.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("center"), F.max("node").alias("last"))
     members = materialize(banded.join(buckets.where("center <> last").select("band", "center"), "band"), "members")
     wanted = members.select("node").distinct()
@@ -174,12 +191,19 @@ def near_duplicate_links(docs: DataFrame, found: DataFrame, classes: DataFrame,
     links = materialize(confirmed(plausible(first), sets, percent), "links")
     components = connected_components(links)
     # members of a band that are not in one component yet, the center's pairs having been compared
-    placed = members.join(components, "node", "left").select("band", "center", "node", F.coalesce("component", "node").alias("component"))
+    placed = members.join(components, "node", "left").select("place", "band", "center", "node", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
-    rest = materialize(placed.where("node <> center").join(mixed, "band", "left_semi").join(features.drop("text_hash", "bands"), "node"), "mixed-bands")
-    a = rest.select("band", F.col("component").alias("c_a"), F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), *(F.col(c).alias(f"{c}_a") for c in SKETCH))
-    b = rest.select("band", F.col("component").alias("c_b"), F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), *(F.col(c).alias(f"{c}_b") for c in SKETCH))
-    second = a.join(b, (a["band"] == b["band"]) & (F.col("c_a") < F.col("c_b")) & _plausible(percent)).select("a", "b").distinct()
+    rest = placed.where("node <> center").join(mixed, "band", "left_semi").join(features.drop("text_hash"), "node").drop("center")
+    rest = materialize(rest, "mixed-bands")
+
+    def side(x: str) -> DataFrame:
+        names = {"component": f"c_{x}", "node": x, "n_shingles": f"n_{x}", "bands": f"bands_{x}", **{c: f"{c}_{x}" for c in SKETCH}}
+        return rest.select("place", "band", *(F.col(c).alias(n) for c, n in names.items()))
+
+    shared_before = F.arrays_overlap(F.slice("bands_a", 1, F.col("place")), F.slice("bands_b", 1, F.col("place")))
+    a, b = side("a"), side("b").drop("place")
+    once_each = (F.col("c_a") < F.col("c_b")) & _plausible(percent) & ~shared_before
+    second = a.join(b, (a["band"] == b["band"]) & once_each).select("a", "b").distinct()
     more = materialize(confirmed(second, sets, percent), "links")
     return components if more.isEmpty() else connected_components(links.union(more))
 

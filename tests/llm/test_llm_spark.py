@@ -333,3 +333,41 @@ def test_query_matches_oracle(spark, sf_small, name):
 
     r = compare(spark, duck(sf_small), name, sf_small, q.QUERIES[name], q.ORACLE_SQL[name])
     assert r["ok"], r.get("why")
+
+
+def test_sketches_let_links_pass_and_hold_back_far_pairs(spark):
+    import numpy as np
+
+    from arenaflow.llm.op6_neardup import odd_sketch, sketch_limit
+
+    rng = np.random.default_rng(5)
+
+    def pair(union, share):
+        hashes = rng.integers(0, (1 << 64) - 1, union, dtype=np.uint64)  # even and odd: all bins
+        own = round(union * (1 - share))
+        a, b = np.sort(hashes[own // 2 :]), np.sort(np.concatenate([hashes[: own // 2], hashes[own:]]))
+        differ = np.bitwise_count(odd_sketch(a).view(np.uint64) ^ odd_sketch(b).view(np.uint64)).sum()
+        return union, share, len(a), len(b), int(differ)
+
+    rows = [pair(u, s) for u in (7, 40, 160, 700, 3000, 20_000) for s in (0.85, 0.95, 0.4) for _ in range(40)]
+    df = spark.createDataFrame(rows, "u long, share double, n_a long, n_b long, differ long")
+    passed = df.withColumn("passed", F.col("differ") <= sketch_limit(F.col("n_a"), F.col("n_b"), 0.85))
+    got = {(r["u"], r["share"]): r["n"] for r in passed.groupBy("u", "share").agg(F.sum(F.col("passed").cast("int")).alias("n")).collect()}
+    assert all(n == 40 for (_, s), n in got.items() if s >= 0.85)
+    assert all(n == 0 for (u, s), n in got.items() if s == 0.4 and u >= 160)
+
+
+def test_pairs_around_the_threshold_in_one_large_group(spark):
+    """Near copies with one to nine edits of one text: some link, some don't, all share bands."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    texts = []
+    for i in range(220):
+        copy = list(base)
+        for k in range(1 + i % 9):
+            copy[rng.randrange(150)] = f"e{i}x{k}"
+        texts.append(" ".join(copy))
+    want = brute_components(texts)
+    assert 5 < len({c for _, c in want.values()}) < 215
+    rows = near_duplicates(table(spark, [(i, t, "en") for i, t in enumerate(texts)])).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == want
