@@ -31,7 +31,7 @@ __all__ = [
 ]
 
 # Entries that one Python worker keeps of a word table (tens of MB at most).
-WORKER_CACHE = 500_000
+WORKER_CACHE = 300_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,13 +200,17 @@ def frequent_words(docs: DataFrame, k: int, lower: bool = False, capacity: int =
 
 _ONCE: dict = {}
 _LOCK = threading.Lock()
+# Tables that one Python worker keeps; a worker that serves many stages must not hold them all.
+TABLES = 2
 
 
 def once(key, make: Callable[[], object]):
-    """``make()`` once per Python process (reused workers keep their tables)."""
+    """``make()`` once per Python process (reused workers keep the tables used last)."""
     with _LOCK:
-        if key not in _ONCE:
-            if len(_ONCE) >= 8:
+        found = _ONCE.pop(key, None)
+        if found is None:
+            while len(_ONCE) >= TABLES:
                 _ONCE.pop(next(iter(_ONCE)))
-            _ONCE[key] = make()
-        return _ONCE[key]
+            found = make()
+        _ONCE[key] = found
+        return found
