@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arenaflow.session import ship_package
+from arenaflow.session import hadoop_path, ship_package
 
 # The section marker and the status texts of the decoder.
 MARKER = -1
@@ -222,6 +222,8 @@ def write_frame_files(items: DataFrame, out_dir: str, enclosed: bool = False) ->
     memory.  The only value returned to the driver is the file count.
     """
     ship_package(items.sparkSession)
+    fs, path = hadoop_path(items.sparkSession, out_dir)
+    out_dir = fs.makeQualified(path).toString()  # a path without a scheme means the default file system
     ordered = (
         items.select("conv_id", "turn", "kind", "text")
         .repartition("conv_id")

@@ -30,7 +30,8 @@ def test_views_answer_sql_in_the_original_style(spark):
     )
     register_functions(spark)
     names = register_views(spark, lg, P, prefix="t_")
-    assert "t_eligible_matches" in names
+    assert {"t_eligible_matches", "t_participant_detail", "t_packed_players"} <= set(names)
+    assert spark.table("t_packed_players").count() == spark.table("t_participant_detail").count() > 0
     # double-quoted text literals, as in the original SQL
     early = spark.sql('SELECT pt_dt, battleid FROM t_qualified_matches WHERE pt_dt < "2021-02-01" '
                       'AND keyversion IN ("a1", "a2") UNION ALL '
