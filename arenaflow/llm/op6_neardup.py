@@ -7,8 +7,8 @@
 2. Documents with equal sets are one class, named by its smallest id; only
    classes go on.
 3. Classes that share a band are candidates.  First each band's members are
-   paired with the band's smallest member.  The population count of the XOR of two odd
-   sketches estimates the similarity; pairs clearly below the threshold go, and the
+   paired with the band's smallest member.  The population count of the XOR of
+   two odd sketches estimates the similarity; pairs clearly below the threshold go, and the
    rest are confirmed on their full sets.
 4. Confirmed links give components.  Then pairs that share a band but not a
    component, and were not compared yet, are compared in the same way, each in
@@ -101,7 +101,10 @@ def sketch_limit(n_a: Column, n_b: Column, similarity: float) -> Column:
 
     union = (n_a + n_b) / F.lit(1 + similarity)
     flips = filled(n_a) + filled(n_b) - 2 * similarity * filled(union)
-    spread = 4 * similarity * (1 - similarity) * filled(union) * (1 - filled(union) / union)
+    hidden = 1 - filled(union) / union  # share of the union that is no bin's sample
+    # a sparse bin flips one bit, a crowded one two: half the spread at low load, all of it at high load
+    crowded = F.least(F.lit(1.0), 0.5 + 0.75 * hidden)
+    spread = 4 * similarity * (1 - similarity) * filled(union) * hidden * crowded
     load = flips / F.lit(float(SKETCH_BITS))
     expected = SKETCH_BITS / 2 * (1 - F.exp(-2 * load))
     variance = spread * F.exp(-4 * load) + SKETCH_BITS / 4 * (1 - F.exp(-4 * load) * (1 + 4 * load)) + 1
