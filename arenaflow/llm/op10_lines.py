@@ -6,17 +6,22 @@ its first ``depth`` tokens.  Within a leaf, lines whose tokens agree at
 ``similarity`` of the places share a template; the places where they differ are its
 variable fields.
 
-A template is recurring if it stands in different surroundings: at least
-``min_support`` different lines come before it and at least as many after it
-(the text's own hash stands in at the first and last line).  So the lines of
-copies of one document, which have the same neighbours everywhere, are left to near-dedup;
-a passage that documents share is not.  Of a recurring template the document with
-the smallest id keeps its lines; all others lose them.
-
-Neighbours are counted in two bitmaps of 64 hashed places, which merge map-side
-in constant size: a line that a third of all documents share is one row from each task.
-Leaves are clustered in two steps, in slices of a leaf and then over the slices'
-templates, so that no task gets a whole hot leaf of similar lines.
+Support is judged on runs of lines.  The context of a template reaches over all
+templates that always follow it, and over all that always come before it, so the
+lines of a passage share the surroundings of the whole passage.  A template is
+recurring if its run stands in different surroundings: at least ``min_support``
+different templates come before the run and at least as many after it (the
+text's own hash stands in at its first and last line); two are enough in a run of
+more than ``long_words`` words.  Texts that are nothing but the run count as one
+surrounding, so copies of one document are left to near-dedup.  So is a
+text with four fifths or more of its words in runs of only two surroundings: it
+is a near copy.  Of a recurring template the document with the smallest id keeps
+its lines; all others lose them.
+
+Neighbours are counted exactly, as different pairs of template and neighbour,
+which merge map-side.  Only leaves that stand in two different texts go on.  Leaves
+are clustered in two steps, in slices of a leaf and then over the slices'
+templates.
 
 Defined cases: a NULL text stays NULL and has no lines; lines of fewer than
 ``min_tokens`` tokens are never dropped; a text that loses all its lines becomes
@@ -44,6 +49,7 @@ FIELD = b"<*>"
 SLICES = 8
 LINES = T.StructType(
     [T.StructField("doc_id", T.LongType()), T.StructField("doc_hash", T.LongType()), T.StructField("line_no", T.IntegerType()),
+     T.StructField("n_lines", T.IntegerType()), T.StructField("n_words", T.IntegerType()),
      T.StructField("leaf", T.LongType()), T.StructField("line", T.LongType()), T.StructField("tokens", T.BinaryType()),
      T.StructField("before", T.LongType()), T.StructField("after", T.LongType())]
 )
@@ -64,8 +70,8 @@ def token_codes(tokens: list[bytes]) -> bytes:
     return np.array([0 if t == FIELD else (xxhash.xxh3_64_intdigest(t) & 0xFFFF) or 1 for t in tokens], "<u2").tobytes()
 
 
-def parsed_lines(doc_id, text: str | None, doc_hash: int, depth: int, min_tokens: int) -> list[tuple]:
-    """The rows of :data:`LINES` of a text."""
+def text_lines(text: str | None, depth: int, min_tokens: int) -> list[tuple[int, int, int, bytes]]:
+    """(number, leaf, line, tokens) of the lines of a text."""
     rows = []
     for number, line in enumerate(text.encode().split(b"\n") if text else ()):
         tokens = line.split()
@@ -74,6 +80,20 @@ def parsed_lines(doc_id, text: str | None, doc_hash: int, depth: int, min_tokens
         if len(tokens) >= min_tokens:
             leaf = _hash(b"%d " % len(tokens) + b" ".join(tokens[:depth]))
             rows.append((number, leaf, _hash(b" ".join(tokens)), token_codes(tokens)))
+    return rows
+
+
+def placed_lines(doc_id, text: str | None, doc_hash: int, depth: int, min_tokens: int) -> list[tuple]:
+    """The rows of :data:`LINES` of a text."""
+    rows = text_lines(text, depth, min_tokens)
+    keys = [doc_hash, *(r[2] for r in rows), doc_hash]
+    words = sum(len(r[3]) // 2 for r in rows)
+    return [(doc_id, doc_hash, row[0], len(rows), words, *row[1:], keys[i], keys[i + 2]) for i, row in enumerate(rows)]
+
+
+def parsed_lines(doc_id, text: str | None, doc_hash: int, depth: int, min_tokens: int) -> list[tuple]:
+    """A text's lines with the direct neighbours as bitmaps of 64 places (for comparisons in memory)."""
+    rows = text_lines(text, depth, min_tokens)
     keys = [doc_hash, *(r[2] for r in rows), doc_hash]
     return [(doc_id, doc_hash, *row, _bit(keys[i]), _bit(keys[i + 2])) for i, row in enumerate(rows)]
 
@@ -141,45 +161,99 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-def line_templates(lines: DataFrame, similarity: float) -> DataFrame:
-    """``line``, ``template``, ``before``, ``after``, ``first_doc`` of each different line."""
-    different = materialize(
-        lines.groupBy("leaf", "line").agg(
-            F.min("tokens").alias("tokens"), F.bit_or("before").alias("before"), F.bit_or("after").alias("after"),
-            F.min("doc_id").alias("first_doc"),
-        ),
-        "different-lines",
-    )
-    shared = different.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1").select("leaf")
-    several = different.join(shared, "leaf").withColumn("part", F.pmod("line", F.lit(SLICES)).cast("int"))
-    local = materialize(_clustered(several, similarity), "local-templates")
+def line_templates(different: DataFrame, similarity: float) -> DataFrame:
+    """``line``, ``template`` of the lines (``leaf``, ``line``, ``tokens``) that share their leaf with other lines."""
+    several = different.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1").select("leaf")
+    sliced = different.join(several, "leaf").withColumn("part", F.pmod("line", F.lit(SLICES)).cast("int"))
+    local = materialize(_clustered(sliced, similarity), "local-templates")
     heads = local.groupBy("leaf", "template").agg(F.min("tokens").alias("tokens"))  # the slices' templates, all fields known
     merged = _clustered(heads.select("leaf", F.lit(0).alias("part"), F.col("template").alias("line"), "tokens"), similarity)
-    names = local.select("line", F.col("template").alias("local")).join(
-        merged.select(F.col("line").alias("local"), "template"), "local"
-    ).select("line", "template")
-    return different.drop("leaf", "tokens").join(names, "line", "left").withColumn("template", F.coalesce("template", "line"))
+    names = local.select("line", F.col("template").alias("local")).join(merged.select(F.col("line").alias("local"), "template"), "local")
+    return materialize(names.select("line", "template"), "template-names")
+
+
+def chains(nodes: DataFrame, only: DataFrame) -> DataFrame:
+    """``template``, ``end``, ``steps``, ``beyond`` (words after the template) of the templates with
+    just one neighbour (``only``: ``template``, ``next``), by doubling of the way."""
+    words = nodes.select(F.col("template").alias("next"), F.col("words").alias("beyond"))
+    way = materialize(only.join(words, "next").select("template", F.col("next").alias("end"), F.lit(1).cast("long").alias("steps"), F.col("beyond").cast("long")), "ways")
+    while True:
+        further = way.select(
+            F.col("template").alias("end"), F.col("end").alias("end_2"), F.col("steps").alias("steps_2"), F.col("beyond").alias("beyond_2")
+        )
+        longer = materialize(way.join(further, "end", "left"), "longer-ways")
+        if longer.where("end_2 is not null and end_2 <> template").isEmpty():
+            return way
+        way = longer.select(
+            "template", F.coalesce("end_2", "end").alias("end"), (F.col("steps") + F.coalesce("steps_2", F.lit(0))).alias("steps"),
+            (F.col("beyond") + F.coalesce("beyond_2", F.lit(0))).alias("beyond"),
+        )
+
+
+def recurring_templates(found: DataFrame, names: DataFrame, min_support: int, long_words: int) -> DataFrame:
+    """``template``, ``keeper``, ``few`` (less than ``min_support`` surroundings) of the recurring templates in ``found``."""
+    nodes = materialize(
+        found.groupBy("template").agg(F.min("doc_id").alias("keeper"), F.max("words").alias("words"), F.min("doc_hash").alias("low"), F.max("doc_hash").alias("high"))
+        .where("low <> high").select("template", "keeper", "words"), "templates"
+    )
+    named = names.select(F.col("line").alias("key"), F.col("template").alias("named"))
+
+    def neighbours(side: str) -> DataFrame:
+        edge = F.col(side) == F.col("doc_hash")
+        pairs = found.join(nodes.select("template"), "template", "left_semi").select(
+            "template", F.col(side).alias("key"), edge.alias("edge"), F.when(edge, F.col("n_lines")).alias("n_lines")
+        ).distinct()
+        pairs = pairs.join(named, "key", "left").select("template", F.coalesce("named", "key").alias("key"), "edge", "n_lines")
+        return materialize(pairs.distinct(), f"{side}-neighbours")
+
+    def counted(pairs: DataFrame) -> DataFrame:
+        return pairs.groupBy("template").agg(F.count("*").alias("n"), F.min("key").alias("next"), F.max("edge").alias("edge"))
+
+    pairs = {"before": neighbours("before"), "after": neighbours("after")}
+    runs = nodes
+    for side, rows in pairs.items():
+        count = materialize(counted(rows), f"{side}-counts")
+        way = chains(nodes, count.where("n = 1 and not edge").select("template", "next"))
+        way = way.select("template", F.col("end").alias(f"{side}_end"), F.col("steps").alias(f"{side}_steps"), F.col("beyond").alias(f"{side}_words"))
+        runs = runs.join(way, "template", "left").withColumn(f"{side}_end", F.coalesce(f"{side}_end", "template"))
+        runs = runs.join(count.select(F.col("template").alias(f"{side}_end"), F.col("n").alias(f"n_{side}")), f"{side}_end")
+    zero = F.lit(0)
+    runs = materialize(
+        runs.withColumn("n_lines", (1 + F.coalesce("before_steps", zero) + F.coalesce("after_steps", zero)).cast("int"))
+        .withColumn("run_words", F.col("words") + F.coalesce("before_words", zero) + F.coalesce("after_words", zero)), "runs"
+    )
+    run = ["before_end", "after_end", "n_lines"]
+    # the texts that are nothing but the run: one row a text
+    first = pairs["before"].where("edge").select(F.col("template").alias("before_end"), "key", "n_lines")
+    last = pairs["after"].where("edge").select(F.col("template").alias("after_end"), "key")
+    whole = first.join(last, "key").groupBy(*run).agg(F.count("*").alias("whole"))
+    support = F.least("n_before", "n_after") - F.greatest(F.coalesce("whole", zero) - 1, zero)
+    return runs.join(whole, run, "left").where(support >= min_support).select("template", "keeper", F.lit(False).alias("few"))
 
 
 def recurring_lines(
-    docs: DataFrame, min_support: int, depth: int, similarity: float, min_tokens: int
+    docs: DataFrame, min_support: int, depth: int, similarity: float, min_tokens: int, long_words: int
 ) -> DataFrame:
     """``doc_id``, ``doc_hash`` (``xxhash64`` of the text), ``drops``: the numbers of the lines to drop."""
 
     def start():
-        return lambda row: parsed_lines(*row, depth, min_tokens)
+        return lambda row: placed_lines(*row, depth, min_tokens)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("doc_hash")).where(F.col("text").isNotNull())
     lines = materialize(map_rows(texts, start, LINES), "parsed-lines")
-    templates = line_templates(lines, similarity)
-    recurring = (
-        templates.groupBy("template")
-        .agg(F.bit_or("before").alias("before"), F.bit_or("after").alias("after"), F.min("first_doc").alias("keeper"))
-        .where((F.bit_count("before") >= min_support) & (F.bit_count("after") >= min_support))
-    )
-    wanted = templates.select("line", "template").join(recurring.select("template", "keeper"), "template").select("line", "keeper")
-    dropped = lines.select("doc_id", "doc_hash", "line_no", "line").join(wanted, "line").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-    return dropped.groupBy("doc_id", "doc_hash").agg(F.collect_set("line_no").alias("drops"))
+    leaves = lines.groupBy("leaf").agg(F.min("doc_hash").alias("low"), F.max("doc_hash").alias("high")).where("low <> high").select("leaf")
+    shared = materialize(lines.join(materialize(leaves, "shared-leaves"), "leaf", "left_semi"), "lines-of-shared-leaves")
+    different = materialize(shared.groupBy("leaf", "line").agg(F.min("tokens").alias("tokens")), "different-lines")
+    names = line_templates(different, similarity)
+    found = shared.withColumn("words", (F.octet_length("tokens") / 2).cast("int")).drop("leaf", "tokens").join(names, "line", "left")
+    found = materialize(found.withColumn("template", F.coalesce("template", "line")), "lines-with-templates")
+    recurring = materialize(recurring_templates(found, names, min_support, long_words), "recurring-templates")
+    dropped = found.select("doc_id", "doc_hash", "line_no", "n_words", "words", "template").join(recurring, "template").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    of_text = dropped.groupBy("doc_id", "doc_hash").agg(F.max("n_words").alias("n_words"), F.collect_set(F.struct("line_no", "words", "few")).alias("lines"))
+    few_words = F.aggregate(F.filter("lines", lambda x: x["few"]), F.lit(0).cast("long"), lambda n, x: n + x["words"])
+    near_copy = 5 * few_words >= 4 * F.col("n_words")
+    drops = F.transform(F.filter("lines", lambda x: ~(near_copy & x["few"])), lambda x: x["line_no"])
+    return of_text.select("doc_id", "doc_hash", drops.alias("drops")).where(F.size("drops") > 0)
 
 
 def _shortened(docs: DataFrame, **how) -> DataFrame:
@@ -190,7 +264,8 @@ def _shortened(docs: DataFrame, **how) -> DataFrame:
     same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("drop_id")) & (F.xxhash64("row.text") == F.col("drop_hash"))
     lines = F.split("row.text", "\n", -1)
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("drops", i)), "\n")
-    return rows.join(drops, same, "left").select(
+    # one plan at every size: the drops grow with the texts, so they are never broadcast
+    return rows.join(drops.hint("merge"), same, "left").select(
         "row",
         F.when(F.col("drops").isNull(), F.col("row.text")).otherwise(kept).alias("text"),
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
@@ -198,13 +273,13 @@ def _shortened(docs: DataFrame, **how) -> DataFrame:
     )
 
 
-HOW = {"min_support": 3, "depth": 4, "similarity": 0.8, "min_tokens": 3}
+HOW = {"min_support": 3, "depth": 4, "similarity": 0.8, "min_tokens": 3, "long_words": 50}
 
 
 def line_dedup(docs: DataFrame, **how) -> DataFrame:
     """``doc_id``, ``n_lines``, ``n_dropped`` (long; NULL text: 0), ``text`` as shortened.
 
-    ``how``: other values for ``min_support``, ``depth``, ``similarity`` or ``min_tokens``.
+    ``how``: other values for ``min_support``, ``depth``, ``similarity``, ``min_tokens`` or ``long_words``.
     """
     return _shortened(docs, **HOW | how).select(F.col("row.doc_id").cast("long").alias("doc_id"), "n_lines", "n_dropped", "text")
 

@@ -371,3 +371,30 @@ def test_pairs_around_the_threshold_in_one_large_group(spark):
     assert 5 < len({c for _, c in want.values()}) < 215
     rows = near_duplicates(table(spark, [(i, t, "en") for i, t in enumerate(texts)])).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == want
+
+
+def kept_texts(spark, texts, **how):
+    docs = table(spark, [(i, t, None) for i, t in texts.items()]).repartition(3)
+    return {r["doc_id"]: r["text"] for r in line_dedup(docs, **how).collect()}
+
+
+def random_lines(rng, n, size=9):
+    return [" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(size)) for _ in range(n)]
+
+
+def test_passages_of_several_lines_recur(spark):
+    rng = random.Random(11)
+    passages = [random_lines(rng, n) for n in (2, 3, 5)]
+    texts = {}
+    for i in range(30):
+        body = random_lines(rng, 4)
+        at = (0, 2, 4)[i % 3]  # header, inside, footer
+        texts[i] = "\n".join(body[:at] + passages[i % 2] + body[at:]) if i < 20 else "\n".join(passages[2] + body)
+    copies = random_lines(rng, 6)
+    texts |= {100 + i: "\n".join(copies) for i in range(5)}
+    texts |= {200 + i: "\n".join([*copies[:3], f"{copies[3]} {'x' * i}", *copies[4:]]) for i in range(1, 3)}
+    found = kept_texts(spark, texts)
+    for k, passage in enumerate(passages):
+        for line in passage:
+            assert [i for i, t in found.items() if line in t] == [(0, 1, 20)[k]]
+    assert all(found[100 + i] == texts[100 + i] for i in range(5))  # copies keep their lines
