@@ -228,7 +228,8 @@ def recurring_templates(found: DataFrame, names: DataFrame, min_support: int, lo
     last = pairs["after"].where("edge").select(F.col("template").alias("after_end"), "key")
     whole = first.join(last, "key").groupBy(*run).agg(F.count("*").alias("whole"))
     support = F.least("n_before", "n_after") - F.greatest(F.coalesce("whole", zero) - 1, zero)
-    return runs.join(whole, run, "left").where(support >= min_support).select("template", "keeper", F.lit(False).alias("few"))
+    enough = F.when(F.col("run_words") > long_words, F.lit(min(2, min_support))).otherwise(F.lit(min_support))
+    return runs.join(whole, run, "left").where(support >= enough).select("template", "keeper", (support < min_support).alias("few"))
 
 
 def recurring_lines(

@@ -398,3 +398,18 @@ def test_passages_of_several_lines_recur(spark):
         for line in passage:
             assert [i for i, t in found.items() if line in t] == [(0, 1, 20)[k]]
     assert all(found[100 + i] == texts[100 + i] for i in range(5))  # copies keep their lines
+
+
+def test_long_passages_of_two_documents_recur(spark):
+    rng = random.Random(12)
+    long, short = random_lines(rng, 6, 10), random_lines(rng, 2, 10)
+    texts = {i: "\n".join(random_lines(rng, 8) + p + random_lines(rng, 8)) for i, p in enumerate([long, long, short, short])}
+    copy = random_lines(rng, 20)
+    texts |= {10: "\n".join(copy), 11: "\n".join([*copy[:9], "an edited line", *copy[10:]])}
+    triples = [random_lines(rng, 1)[0] for _ in range(60)]
+    texts |= {100 + 3 * k + j: "\n".join([*random_lines(rng, 2), line, *random_lines(rng, 2)]) for k, line in enumerate(triples) for j in range(3)}
+    found = kept_texts(spark, texts)
+    assert all([i for i, t in found.items() if line in t] == [0] for line in long)
+    assert all(found[i] == texts[i] for i in (2, 3, 10, 11))  # short, and near copies
+    for k, line in enumerate(triples):
+        assert sorted(i for i, t in found.items() if line in t) == [100 + 3 * k]
