@@ -20,8 +20,10 @@ its lines; all others lose them.
 
 Neighbours are counted exactly, as different pairs of template and neighbour,
 which merge map-side.  Only leaves that stand in two different texts go on.  Leaves
-are clustered in two steps, in slices of a leaf and then over the slices'
-templates.
+are clustered in groups of about ``GROUP`` lines, as many as the leaf's counted size
+asks for, and the groups' templates again in rounds of such groups, split by
+other tokens each round, until a leaf is one group or no split merges more; so
+no task gets a whole hot leaf of similar lines.
 
 Defined cases: a NULL text stays NULL and has no lines; lines of fewer than
 ``min_tokens`` tokens are never dropped; a text that loses all its lines becomes
@@ -46,7 +48,8 @@ from arenaflow.session import ship_package
 
 DIGIT = re.compile(rb"\d")
 FIELD = b"<*>"
-SLICES = 8
+# Lines that are clustered together, about.
+GROUP = 256
 LINES = T.StructType(
     [T.StructField("doc_id", T.LongType()), T.StructField("doc_hash", T.LongType()), T.StructField("line_no", T.IntegerType()),
      T.StructField("n_lines", T.IntegerType()), T.StructField("n_words", T.IntegerType()),
@@ -161,15 +164,48 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-def line_templates(different: DataFrame, similarity: float) -> DataFrame:
+def line_templates(different: DataFrame, depth: int, similarity: float) -> DataFrame:
     """``line``, ``template`` of the lines (``leaf``, ``line``, ``tokens``) that share their leaf with other lines."""
     several = different.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1").select("leaf")
-    sliced = different.join(several, "leaf").withColumn("part", F.pmod("line", F.lit(SLICES)).cast("int"))
-    local = materialize(_clustered(sliced, similarity), "local-templates")
-    heads = local.groupBy("leaf", "template").agg(F.min("tokens").alias("tokens"))  # the slices' templates, all fields known
-    merged = _clustered(heads.select("leaf", F.lit(0).alias("part"), F.col("template").alias("line"), "tokens"), similarity)
-    names = local.select("line", F.col("template").alias("local")).join(merged.select(F.col("line").alias("local"), "template"), "local")
-    return materialize(names.select("line", "template"), "template-names")
+    heads = materialize(different.join(several, "leaf").select("leaf", "line", "tokens"), "shared-lines")
+    width = F.octet_length("tokens") / 2
+    # lines that agree at ``similarity`` of the places agree wholly in one of so many pieces
+    pieces = F.floor((1 - similarity) * width + 1e-9) + 1
+    names, turn, calm = None, 0, 0
+    while True:
+        hot = materialize(
+            heads.groupBy("leaf").agg(F.count("*").alias("n_leaf"), F.max(pieces).alias("pieces")).where(F.col("n_leaf") > GROUP), "hot-leaves"
+        )
+        size = hot.agg(F.sum("n_leaf").alias("n"), F.max("pieces").alias("pieces")).first()
+        keyed = heads.join(hot, "leaf", "left")
+        if size["n"] is None:
+            grouped = heads.withColumn("part", F.lit(0).cast("long"))
+        else:
+            length = F.ceil((width - depth) / F.col("pieces"))
+            start = 2 * (depth + F.pmod(F.lit(turn - 1), F.col("pieces")) * length) + 1
+            piece = F.substring("tokens", start.cast("int"), (2 * length).cast("int")) if turn else F.lit(None)
+            keyed = keyed.withColumn("piece", F.when(F.col("n_leaf").isNotNull(), F.xxhash64(piece)).otherwise(F.lit(0)))
+            counted = keyed.where("n_leaf is not null").groupBy("leaf", "piece").agg(F.ceil(F.count("*") / F.lit(GROUP)).alias("slices"))
+            salted = F.pmod(F.xxhash64("line", F.lit(turn)), F.coalesce("slices", F.lit(1)))
+            grouped = keyed.join(counted, ["leaf", "piece"], "left").withColumn("part", F.xxhash64("piece", salted))
+        local = materialize(_clustered(grouped, similarity), "local-templates")
+        if names is None:
+            names = local.select("line", "template")
+        else:
+            step = local.select(F.col("line").alias("head"), F.col("template").alias("merged"))
+            # leaves that were done before are not in ``heads`` any more
+            names = names.join(step, names["template"] == step["head"], "left").select("line", F.coalesce("merged", "template").alias("template"))
+            names = materialize(names, "template-names")
+        if size["n"] is None:
+            return names
+        heads = materialize(
+            local.join(hot.select("leaf"), "leaf", "left_semi").groupBy("leaf", "template").agg(F.min("tokens").alias("tokens"))
+            .select("leaf", F.col("template").alias("line"), "tokens"), "template-heads"
+        )
+        calm = calm + 1 if heads.count() == size["n"] else 0
+        if calm > size["pieces"]:
+            return names
+        turn += 1
 
 
 def chains(nodes: DataFrame, only: DataFrame) -> DataFrame:
@@ -245,7 +281,7 @@ def recurring_lines(
     leaves = lines.groupBy("leaf").agg(F.min("doc_hash").alias("low"), F.max("doc_hash").alias("high")).where("low <> high").select("leaf")
     shared = materialize(lines.join(materialize(leaves, "shared-leaves"), "leaf", "left_semi"), "lines-of-shared-leaves")
     different = materialize(shared.groupBy("leaf", "line").agg(F.min("tokens").alias("tokens")), "different-lines")
-    names = line_templates(different, similarity)
+    names = line_templates(different, depth, similarity)
     found = shared.withColumn("words", (F.octet_length("tokens") / 2).cast("int")).drop("leaf", "tokens").join(names, "line", "left")
     found = materialize(found.withColumn("template", F.coalesce("template", "line")), "lines-with-templates")
     recurring = materialize(recurring_templates(found, names, min_support, long_words), "recurring-templates")

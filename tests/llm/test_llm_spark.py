@@ -413,3 +413,21 @@ def test_long_passages_of_two_documents_recur(spark):
     assert all(found[i] == texts[i] for i in (2, 3, 10, 11))  # short, and near copies
     for k, line in enumerate(triples):
         assert sorted(i for i, t in found.items() if line in t) == [100 + 3 * k]
+
+
+def test_hot_leaf_is_clustered_in_bounded_groups(spark, monkeypatch):
+    from arenaflow.llm import op10_lines
+
+    sizes, clustered = [], op10_lines._clustered
+
+    def spy(lines, similarity):
+        sizes.append(lines.groupBy("leaf", "part").count().agg(F.max("count")).first()[0])
+        return clustered(lines, similarity)
+
+    monkeypatch.setattr(op10_lines, "_clustered", spy)
+    rng = random.Random(13)
+    kinds = [" ".join(random_lines(rng, 1, 12)) for _ in range(40)]
+    texts = {i: "\n".join(f"one same log start {rng.choice(kinds)} {x}" for x in random_lines(rng, 10, 1)) for i in range(800)}
+    found = kept_texts(spark, texts)
+    assert len(sizes) > 1 and max(sizes) < 2 * op10_lines.GROUP
+    assert sum(len(t) > 0 for t in found.values()) <= 40  # one keeper for each kind of line at most
