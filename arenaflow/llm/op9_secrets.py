@@ -32,12 +32,14 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # greedy and leftmost: the maximal runs of 16 or more
 KINDS = ("assign", "access", "hex", "pem", "jwt", "der", "openssh")
 
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]|\\+[nr])+)-----END \1-----")
+ESCAPED_BREAK = re.compile(r"\\+[nr]")  # as in JSON strings
 JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
 BASE64 = re.compile(r"[A-Za-z0-9+/]{32,}={0,2}")
-# Candidates of the last two kinds start like an encoded key: a DER sequence
-# with long or short length, or the key file's magic word.
-DER_START, OPENSSH_START, DER_HEX = ("MI", "ME", "MF", "MC", "MD"), "b3BlbnNzaC1rZXkt", "30"
+# Candidates of the last two kinds start, anywhere in a run, like an encoded key: a DER
+# sequence (byte 0x30, whose length tells the end), or the key file's magic word.
+DER_START, DER_HEX, HEX_RUN = re.compile(r"(?=M[A-P])"), re.compile(r"(?=30)"), re.compile(r"[0-9A-Fa-f]{64,}")
+OPENSSH_START = "b3BlbnNzaC1rZXkt"
 OPENSSH_MAGIC = b"openssh-key-v1\0"
 SIGNATURES = re.compile(r"(HS|RS|ES|PS)(256|384|512)|EdDSA|none")
 
@@ -99,6 +101,31 @@ def is_openssh_key(data: bytes) -> bool:
     return at + 4 <= len(data) and 1 <= int.from_bytes(data[at : at + 4], "big") <= 16
 
 
+def der_size(head: bytes) -> int | None:
+    """Bytes of the item that starts with ``head`` (six bytes or more), with its tag and length."""
+    n = head[1]
+    if n < 0x80:
+        return 2 + n
+    size = n & 0x7F
+    return 2 + size + int.from_bytes(head[2 : 2 + size], "big") if 1 <= size <= 4 else None
+
+
+def der_spans(run: str, starts: re.Pattern, decode, bits: int) -> list[tuple[int, int]]:
+    """(start, end) of the keys in a run of characters of ``bits`` bits each, from the left, not overlapping."""
+    found, free = [], 0
+    for m in starts.finditer(run):
+        at = m.start()
+        if at < free or 8 * 32 > bits * (len(run) - at) or not (head := decode(run[at : at + 48 // bits])) or len(head) < 6:
+            continue
+        size = der_size(head)
+        if size is None or size < 32 or (end := at - (-8 * size // bits)) > len(run):
+            continue
+        if (data := decode(run[at:end])) and is_der_key(data):
+            found.append((at, end))
+            free = end
+    return found
+
+
 def decoded(text: str, url: bool = False) -> bytes | None:
     text = text.rstrip("=")
     try:
@@ -140,7 +167,7 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     found = []
     if "-----BEGIN" in text:
         for m in PEM.finditer(text):
-            data = decoded("".join(m[2].split()))
+            data = decoded("".join(ESCAPED_BREAK.sub("", m[2]).split()))
             if data and (is_der_key(data) or is_openssh_key(data)):
                 found.append((m.start(), 3, m.end()))
     if "eyJ" in text:
@@ -150,19 +177,17 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
         run, at = m[0], m.start()
         if any(a <= at < b for a, b in blocks):
             continue
-        if run.startswith(OPENSSH_START):
-            if (data := decoded(run)) and is_openssh_key(data):
-                found.append((at, 6, m.end()))
-        elif run.startswith(DER_START):
-            if (data := decoded(run)) and is_der_key(data):
-                found.append((at, 5, m.end()))
-        elif run.startswith(DER_HEX) and len(run) % 2 == 0:
-            try:
-                data = bytes.fromhex(run)
-            except ValueError:
-                continue
-            if is_der_key(data):
-                found.append((at, 5, m.end()))
+        body = run.rstrip("=")
+        start = body.find(OPENSSH_START)
+        if start >= 0:
+            size = len(body) - start
+            data = decoded(body[start : start + size - (size % 4 == 1)])
+            if data and is_openssh_key(data):
+                found.append((at + start, 6, m.end()))
+                body = body[:start]
+        found += [(at + a, 5, m.end() if b == len(body) == len(run.rstrip("=")) else at + b) for a, b in der_spans(body, DER_START, decoded, 6)]
+        for h in HEX_RUN.finditer(body):
+            found += [(at + h.start() + a, 5, at + h.start() + b) for a, b in der_spans(h[0], DER_HEX, bytes.fromhex, 4)]
     return found
 
 

@@ -163,6 +163,33 @@ def test_structures_are_confirmed():
     assert kinds(token({"alg": "HS256", "typ": "JWT"})) == ["jwt"]
 
 
+def ec_key(oid, size):
+    """A bare private key on an elliptic curve (version, octets, curve, public point)."""
+    return der(0x30, der(2, b"\1"), der(4, b"\x5a" * size), der(0xA0, der(6, oid)), der(0xA1, der(3, b"\0\4" + b"\x3c" * 2 * size)))
+
+
+EC_KEYS = [ec_key(oid, size) for oid, size in ((b"\x2a\x86\x48\xce\x3d\x03\x01\x07", 32), (b"\x2b\x81\x04\x00\x0a", 32), (b"\x2b\x81\x04\x00\x21", 28))]
+
+
+def test_bare_elliptic_curve_keys_are_confirmed():
+    texts = [base64.b64encode(k).decode() for k in EC_KEYS]
+    assert [t[:3] for t in texts] == ["MHc", "MHQ", "MGg"]
+    for key, text in zip(EC_KEYS, texts, strict=True):
+        assert op9.joined(op9.confirmed_spans(f"k {text} e")) == f"der:2:{2 + len(text)}"
+        bare = text.rstrip("=")
+        assert op9.joined(op9.confirmed_spans(f"k9/{bare} e")) == f"der:3:{3 + len(bare)}"  # inside a run
+        assert kinds(f"0a{key.hex()}") == ["der"]
+    assert kinds("ab" + base64.b64encode(SSH_KEY).decode()) == ["openssh"]
+
+
+def test_keys_with_escaped_line_breaks_are_confirmed():
+    text = base64.b64encode(EC_KEYS[0]).decode()
+    for line_break in ("\\n", "\\\\n", "\\r\\n"):
+        block = line_break.join(["-----BEGIN EC PRIVATE KEY-----", text[:64], text[64:], "-----END EC PRIVATE KEY-----"])
+        found = op9.joined(op9.confirmed_spans('{"private_key": "' + block + line_break + '"}'))
+        assert found == f"pem:17:{17 + len(block)}"
+
+
 def test_broken_structures_are_not_reported():
     cut = base64.b64encode(RSA_KEY[:-3]).decode()
     assert kinds(cut) == []
