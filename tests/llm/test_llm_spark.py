@@ -431,3 +431,25 @@ def test_hot_leaf_is_clustered_in_bounded_groups(spark, monkeypatch):
     found = kept_texts(spark, texts)
     assert len(sizes) > 1 and max(sizes) < 2 * op10_lines.GROUP
     assert sum(len(t) > 0 for t in found.values()) <= 40  # one keeper for each kind of line at most
+
+
+def test_language_models_keep_all_grams(spark):
+    import numpy as np
+
+    from arenaflow.llm.kneser_ney import grams, symbols
+    from arenaflow.llm.op8_language import gram_counts, language_models
+
+    rng = random.Random(14)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(25_000)) for _ in range(10)]
+    counts = gram_counts(table(spark, [(i, t, "zh") for i, t in enumerate(texts)]))
+    keys = language_models(counts, ["zh"])["zh"].levels[4][0]
+    want = np.unique(np.concatenate([grams(symbols(t)) for t in texts]))
+    assert len(want) > 200_000 and (keys == want).all()
+
+
+def test_language_blocks_give_the_same_result(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    one, many = (identify_language(docs, F.lit(True), **how).orderBy("doc_id").collect() for how in ({}, {"block_grams": 1}))
+    plain = ("doc_id", "lang_pred", "cross_entropy", "rejected")
+    assert [[r[c] for c in plain] for r in one] == [[r[c] for c in plain] for r in many]
+    assert [r["score"] for r in one] == pytest.approx([r["score"] for r in many])
