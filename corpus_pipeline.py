@@ -35,8 +35,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates stays."""
-    return without_near_duplicates(docs)
+    """One document of each component of near duplicates (similarity of 0.8 or more) stays."""
+    return without_near_duplicates(docs, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -453,3 +453,12 @@ def test_language_blocks_give_the_same_result(spark, sf_small):
     plain = ("doc_id", "lang_pred", "cross_entropy", "rejected")
     assert [[r[c] for c in plain] for r in one] == [[r[c] for c in plain] for r in many]
     assert [r["score"] for r in one] == pytest.approx([r["score"] for r in many])
+
+
+def test_pipeline_drops_near_duplicates_from_080_on(spark, sf_small):
+    words = [f"word{i}" for i in range(104)]  # 100 shingles; two edits: 90 of 110 are shared
+    edited = [f"edit{i}" if i in (30, 70) else w for i, w in enumerate(words)]
+    docs = table(spark, [(1, " ".join(words), "en"), (2, " ".join(edited), "en")])
+    stage = dict(corpus_pipeline.STAGES)["near-dedup"]
+    assert [r["doc_id"] for r in stage(spark, docs, sf_small).collect()] == [1]
+    assert without_near_duplicates(docs).count() == 2
