@@ -279,7 +279,8 @@ def recurring_lines(
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("doc_hash")).where(F.col("text").isNotNull())
     lines = materialize(map_rows(texts, start, LINES), "parsed-lines")
     leaves = lines.groupBy("leaf").agg(F.min("doc_hash").alias("low"), F.max("doc_hash").alias("high")).where("low <> high").select("leaf")
-    shared = materialize(lines.join(materialize(leaves, "shared-leaves"), "leaf", "left_semi"), "lines-of-shared-leaves")
+    # never broadcast, as they grow with the lines
+    shared = materialize(lines.join(materialize(leaves, "shared-leaves").hint("merge"), "leaf", "left_semi"), "lines-of-shared-leaves")
     different = materialize(shared.groupBy("leaf", "line").agg(F.min("tokens").alias("tokens")), "different-lines")
     names = line_templates(different, depth, similarity)
     found = shared.withColumn("words", (F.octet_length("tokens") / 2).cast("int")).drop("leaf", "tokens").join(names, "line", "left")
