@@ -4,19 +4,40 @@ from __future__ import annotations
 
 import json
 import re
+from itertools import groupby
 
 import regex
 from tokenizers import Tokenizer
 
-# Texts whose characters all lie below this code point take the word-by-word
-# route (the tests compare it with the library over every one of them); a text
-# with any other character is encoded by the library itself, whose Unicode
+# Words whose characters all lie below this code point take the word-by-word
+# route (the tests compare it with the library over every one of them); words
+# with any other character are encoded by the library itself, whose Unicode
 # tables may be of another version than Python's.
 PLAIN_LIMIT = 0x0250
 NOT_PLAIN = re.compile(f"[^\x00-{chr(PLAIN_LIMIT - 1)}]")
+# A text may be cut before a space that follows a printable ASCII character: no
+# pre-token and no normalization of the known forms reaches across.
+CUT = re.compile(r"(?<=[!-~])(?= )")
 
-# The pre-token patterns of the two tokenizer kinds.
+# The pre-token pattern and the normalizer of the two tokenizer kinds.
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LOWER_CASE = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+
+
+def _form(data: dict) -> tuple[bool, str]:
+    """Whether the tokenizer file lower-cases, and its pre-token pattern; an error for any form not known here."""
+    normalizer, pre = data["normalizer"], data["pre_tokenizer"] or {}
+    if data["model"]["type"] == "BPE" and normalizer is None and pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]:
+        return False, BYTE_LEVEL_PATTERN
+    steps = pre.get("pretokenizers", [])
+    if (
+        normalizer == {"type": "Sequence", "normalizers": LOWER_CASE}
+        and [s["type"] for s in steps] == ["Split", "ByteLevel"]
+        and (steps[0]["behavior"], steps[0]["invert"], steps[1]["use_regex"], steps[1]["add_prefix_space"]) == ("Removed", True, False, False)
+    ):
+        return True, steps[0]["pattern"]["Regex"]
+    raise ValueError(f"unknown form of tokenizer: normalizer {normalizer}, pre-tokenizer {pre}")
+
 
 def byte_chars() -> list[str]:
     """The printable character that stands for each byte in a byte-level vocabulary:
@@ -45,11 +66,8 @@ class WordBpe:
         self.vocab: dict[str, int] = model["vocab"]
         self.special: dict[str, int] = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        pre = data["pre_tokenizer"]
-        self.lower = data["normalizer"] is not None
-        self.pattern = regex.compile(
-            pre["pretokenizers"][0]["pattern"]["Regex"] if pre["type"] == "Sequence" else BYTE_LEVEL_PATTERN
-        )
+        self.lower, pattern = _form(data)
+        self.pattern = regex.compile(pattern)
         self.chars = byte_chars()
         self.by_byte = str.maketrans(dict(enumerate(self.chars)))
 
@@ -58,6 +76,12 @@ class WordBpe:
         mapped = word.encode().decode("latin-1").translate(self.by_byte)
         return [t.id for t in self.library.model.tokenize(mapped)]
 
+    def parts(self, text: str) -> list[tuple[bool, str]]:
+        """The text cut where that is safe; True marks parts that are left to :meth:`library_ids`."""
+        if not NOT_PLAIN.search(text):
+            return [(False, text)]
+        return [(far, "".join(run)) for far, run in groupby(CUT.split(text), lambda x: NOT_PLAIN.search(x) is not None)]
+
     def segments(self, text: str) -> list[str]:
         """The text cut at special strings; odd places hold the special strings."""
         return self.split_special.split(text) if self.split_special else [text]

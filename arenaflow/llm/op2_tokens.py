@@ -58,10 +58,14 @@ class Lengths(dict):
 
     def count(self, text: str) -> int:
         """Tokens of a whole text."""
-        if NOT_PLAIN.search(text):
-            return len(self.bpe.library_ids(text))
-        parts = self.bpe.segments(text)
-        return len(parts) // 2 + sum(sum(map(self.__getitem__, self.bpe.pretokens(s))) for s in parts[::2])
+        total = 0
+        for far, part in self.bpe.parts(text):
+            if far:
+                total += len(self.bpe.library_ids(part))
+            else:
+                segments = self.bpe.segments(part)
+                total += len(segments) // 2 + sum(sum(map(self.__getitem__, self.bpe.pretokens(s))) for s in segments[::2])
+        return total
 
 
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048, table_words: int = 50_000) -> DataFrame:

@@ -79,14 +79,16 @@ class Encoder(dict):
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text."""
-        if NOT_PLAIN.search(text):
-            return np.array(self.bpe.library_ids(text), "<u4")
         out = []
-        for i, part in enumerate(self.bpe.segments(text)):
-            if i % 2:
-                out.append(struct.pack("<I", self.bpe.special[part]))
-            else:
-                out.extend(map(self.__getitem__, self.bpe.pretokens(part)))
+        for far, part in self.bpe.parts(text):
+            if far:
+                out.append(np.array(self.bpe.library_ids(part), "<u4").tobytes())
+                continue
+            for i, segment in enumerate(self.bpe.segments(part)):
+                if i % 2:
+                    out.append(struct.pack("<I", self.bpe.special[segment]))
+                else:
+                    out.extend(map(self.__getitem__, self.bpe.pretokens(segment)))
         return np.frombuffer(b"".join(out), "<u4")
 
     def decode(self, ids: np.ndarray) -> str:

@@ -16,6 +16,7 @@ from arenaflow.llm.op7_toxicity import ToxicityModel, score_toxicity, train_toxi
 from arenaflow.llm.op8_language import identify_language
 from arenaflow.llm.op9_secrets import secret_scan
 from arenaflow.llm.op10_lines import line_dedup
+from arenaflow.llm.op11_alignment import token_alignment
 from arenaflow.llm.oracle import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES", "toxicity_model"]
@@ -68,6 +69,10 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(documents(spark, sf_dir))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_tokens": op2_tokens,
@@ -79,4 +84,5 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_secrets": op9_secrets,
     "op10_lines": op10_lines,
+    "op11_alignment": op11_alignment,
 }
