@@ -85,4 +85,37 @@ SELECT doc_id, ifnull(n, 0) AS n_shingles, component_id, doc_id = component_id A
 FROM (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) c LEFT JOIN sizes USING (doc_id)
 """
 
-ORACLE_SQL = {"op5_licenses": LICENSES, "op6_neardup": NEAR_DUPLICATES}
+PHRASES = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+),
+texts AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM pieces),
+grams AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(words) - size + 2), lambda i: words[i : i + size - 1])) AS gram
+  FROM texts, range(1, 5) sizes(size) WHERE len(words) >= size
+),
+counted AS (SELECT lang, gram, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f) AS n FROM counted WHERE len(gram) = 1 GROUP BY ALL),
+candidates AS (SELECT lang, gram, f AS a FROM counted WHERE len(gram) > 1 AND f >= 30),
+cuts AS (SELECT *, unnest(range(1, len(gram))) AS k FROM candidates),
+scored AS (
+  SELECT c.lang, c.gram, a, k, x.f AS l, y.f AS r, CAST(2000000 AS HUGEINT) * a // (x.f + y.f) AS score
+  FROM cuts c
+  JOIN counted x ON x.lang = c.lang AND x.gram = c.gram[1 : k]
+  JOIN counted y ON y.lang = c.lang AND y.gram = c.gram[k + 1 : len(c.gram)]
+),
+best AS (FROM scored QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, a AS longer, unnest(flatten(list_transform(range(2, len(gram)), lambda m: list_transform(range(1, len(gram) - m + 2), lambda i: gram[i : i + m - 1])))) AS gram
+  FROM candidates
+),
+covered AS (SELECT lang, gram, max(longer) AS longer FROM inside GROUP BY ALL),
+kept AS (
+  SELECT best.*, array_to_string(gram, ' ') AS phrase FROM best LEFT JOIN covered USING (lang, gram) WHERE longer IS NULL OR 100 * longer < 80 * a
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE_SQL = {"op5_licenses": LICENSES, "op6_neardup": NEAR_DUPLICATES, "op13_phrases": PHRASES}

@@ -17,6 +17,8 @@ from arenaflow.llm.op8_language import identify_language
 from arenaflow.llm.op9_secrets import secret_scan
 from arenaflow.llm.op10_lines import line_dedup
 from arenaflow.llm.op11_alignment import token_alignment
+from arenaflow.llm.op12_boosted_quality import score_quality, train_quality
+from arenaflow.llm.op13_phrases import collocations
 from arenaflow.llm.oracle import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES", "toxicity_model"]
@@ -73,6 +75,16 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), fold(3) != 1)
+    return score_quality(docs, model).select("doc_id", (fold(3) == 1).alias("held_out"), "score", "predicted")
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_tokens": op2_tokens,
@@ -85,4 +97,6 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_lines": op10_lines,
     "op11_alignment": op11_alignment,
+    "op12_boosted_quality": op12_boosted_quality,
+    "op13_phrases": op13_phrases,
 }
