@@ -13,6 +13,7 @@ from arenaflow.functions.columns import (
     number_text,
     pack,
     pack_record,
+    plain_decimal,
     python_whitespace_class,
     valid_version,
     valid_version_ws,
@@ -31,6 +32,7 @@ __all__ = [
     "number_text",
     "pack",
     "pack_record",
+    "plain_decimal",
     "python_whitespace_class",
     "valid_version",
     "valid_version_ws",

@@ -117,11 +117,25 @@ def null_to_empty(c) -> Column:
     return F.coalesce(_col(c).cast("string"), F.lit(""))
 
 
+def plain_decimal(c, scale: int) -> Column:
+    """Text of a decimal of that scale, in any SQL mode: no exponent, no zeros at the end of the fraction."""
+    text = F.replace(F.format_number(_col(c), scale), F.lit(","), F.lit(""))
+    return F.regexp_replace(text, r"\.?0+$", "") if scale else text
+
+
 def number_text(c) -> Column:
-    """Text form of a double: without a fraction when it is integral, never in exponent form."""
-    n = _col(c).cast("decimal(38,6)")
-    whole = F.floor(n)
-    return F.when(n == whole, whole.cast("string")).otherwise(F.regexp_replace(n.cast("string"), "0+$", ""))
+    """Text form of a double that reads back as the same double.
+
+    Without a fraction when it is integral, without an exponent where 38 digits (18 of them after the
+    point) hold it; any other value in Spark's own text form (``1.0E40``).
+    """
+    n = _col(c)
+    whole, part = n.try_cast("decimal(38,0)"), n.try_cast("decimal(38,18)")
+    return (
+        F.when(whole.cast("double") == n, plain_decimal(whole, 0))
+        .when(part.cast("double") == n, plain_decimal(part, 18))
+        .otherwise(n.cast("string"))
+    )
 
 
 def pack(*cols) -> Column:

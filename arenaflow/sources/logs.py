@@ -3,8 +3,8 @@
 A JSON scan reads every field as text and converts it, so a number of an
 unexpected JSON form (``2.0``, ``"2"``, ``5.5``) costs at most that one value,
 never the row: ids and small integers become integers when the value is
-integral, measures become doubles.  A value that cannot be converted is NULL
-and its field is named in ``_uncast``; a line that is no JSON object is kept
+integral, measures become doubles.  A value that cannot be converted (an
+infinite one too) is NULL and its field is named in ``_uncast``; a line that is no JSON object is kept
 in ``_corrupt_record``.  :func:`log_quality` counts both.
 """
 
@@ -63,7 +63,7 @@ def _converted(text: Column, dtype: T.DataType) -> Column:
         return F.when(number == F.floor(number), number.try_cast(dtype))
     if isinstance(dtype, T.DoubleType):
         number = text.try_cast(dtype)
-        return F.when(~F.isnan(number), number)
+        return F.when(F.abs(number) < F.lit(float("inf")), number)  # not for NaN either, which is greater than all
     return text
 
 
