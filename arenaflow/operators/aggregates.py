@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arenaflow.functions import date_key, first_valid, month_key, number_text, valid_version, valid_version_ws
+from arenaflow.functions import date_key, first_valid, month_key, number_text, plain_decimal, valid_version, valid_version_ws
 from arenaflow.schemas import MATCH_ATTRIBUTES
 
 # Consolidated match record (per-match fields from the participant log).
@@ -53,6 +53,10 @@ def first_valid_version_ws(participants: DataFrame) -> DataFrame:
     return participants.groupBy("battleid").agg(first_valid(valid_version_ws("keyversion")).alias("keyversion"))
 
 
+# Inputs of the per-match aggregates of a participant row; the totals among them.
+_KEYS, _TOTALS = ("_dt", "_kv"), ("_k1", "_k2", "_kt")
+
+
 def _participant_side(participants: DataFrame, marked: bool) -> list[Column]:
     """Per-row inputs of the participant aggregates.
 
@@ -61,22 +65,115 @@ def _participant_side(participants: DataFrame, marked: bool) -> list[Column]:
     when a match has no participant row at all.
     """
     if marked:
-        return [
-            date_key("logtime").alias("_dt"),
-            valid_version("keyversion").alias("_kv"),
-            _side_kill(1).alias("_k1"),
-            _side_kill(2).alias("_k2"),
-            F.col("kill").alias("_kt"),
-        ]
+        values = (date_key("logtime"), valid_version("keyversion"), _side_kill(1), _side_kill(2), F.col("kill"))
+    else:
+        values = (F.lit(None).cast(t) for t in ("string", "string", "bigint", "bigint", "bigint"))
+    return [v.alias(n) for v, n in zip(values, (*_KEYS, *_TOTALS), strict=True)]
+
+
+def _is_double(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.DoubleType)
+
+
+def _total_state(c: str, fractional: bool) -> list[Column]:
+    """The mergeable state of the sum of an input.
+
+    Integers: their sum.  Doubles: sums in decimals, which no order of the rows can change; ``_fits``
+    tells whether 18 digits after the point held every value and the sum, ``_whole_fits`` whether 38
+    digits did.
+    """
+    if not fractional:
+        return [F.sum(c).alias(c)]
+    part, whole = F.col(c).try_cast("decimal(38,18)"), F.col(c).try_cast("decimal(38,0)")
+    none = F.count(c) == 0
     return [
-        F.lit(None).cast("string").alias("_dt"),
-        F.lit(None).cast("string").alias("_kv"),
-        F.lit(None).cast("bigint").alias("_k1"),
-        F.lit(None).cast("bigint").alias("_k2"),
-        F.lit(None).cast("bigint").alias("_kt"),
+        F.sum(c).alias(c),
+        F.try_sum(part).alias(f"{c}_part"),
+        (none | (F.bool_and(F.coalesce(part.cast("double") == F.col(c), F.col(c).isNull())) & F.try_sum(part).isNotNull())).alias(f"{c}_fits"),
+        F.try_sum(whole).alias(f"{c}_whole"),
+        (none | ((F.count(whole) == F.count(c)) & F.try_sum(whole).isNotNull())).alias(f"{c}_whole_fits"),
     ]
 
 
+def _merged_total(c: str, fractional: bool) -> list[Column]:
+    if not fractional:
+        return [F.sum(c).alias(c)]
+    merged = [F.sum(c).alias(c)]
+    for kind in ("part", "whole"):
+        value, fits = f"{c}_{kind}", f"{c}_fits" if kind == "part" else f"{c}_whole_fits"
+        total = F.try_sum(value)
+        merged += [total.alias(value), (F.bool_and(fits) & (total.isNotNull() | (F.count(value) == 0))).alias(fits)]
+    return merged
+
+
+def _total_text(c: str, fractional: bool) -> Column:
+    """Text of a total.  Only where a value or the sum passes 38 digits does it come from a sum of doubles,
+    whose last digits may follow the order of the rows."""
+    if not fractional:
+        return F.col(c).cast("string")
+    return (
+        F.when(F.col(f"{c}_fits"), plain_decimal(f"{c}_part", 18))
+        .when(F.col(f"{c}_whole_fits"), plain_decimal(f"{c}_whole", 0))
+        .otherwise(number_text(c))
+    )
+
+
+def match_states(participants: DataFrame | None, matches: DataFrame | None = None, wide: bool = False, as_text: bool = False) -> DataFrame:
+    """One row per match of the rows given: the mergeable state of every value of the
+    consolidated view (minima, sums), see :func:`merged_states` and :func:`view_of_states`.
+
+    Written as a single aggregation over the union of the raw rows of both logs (one shuffle, partial
+    aggregation map-side); the match-log rows add only NULL inputs.  ``as_text``
+    takes the minima in text order (the dialect that cuts at a comma).
+    """
+    if wide and matches is None:
+        raise ValueError("the wide view needs the match log")
+    attr_types = {f.name: f.dataType for f in matches.schema.fields} if wide else {}
+    attributes = MATCH_ATTRIBUTES if wide else ()
+    rows, fractional = None, False
+    if participants is not None:
+        rows = participants.select("battleid", *_participant_side(participants, True), *(F.lit(None).cast(attr_types[a]).alias(a) for a in attributes))
+        fractional = _is_double(participants, "kill")
+    if matches is not None:
+        own = matches.select("battleid", *_participant_side(matches, False), *attributes)
+        rows = own if rows is None else rows.unionByName(own)
+
+    def pick(c: str) -> Column:
+        return first_valid(F.col(c).cast("string") if as_text else F.col(c)).alias(c)
+
+    totals = [state for c in _TOTALS for state in _total_state(c, fractional)]
+    return rows.groupBy("battleid").agg(*map(pick, (*_KEYS, *attributes)), *totals)
+
+
+def _state_kind(states: DataFrame) -> tuple[list[str], bool]:
+    """The match attributes among the columns of states, and whether their totals are fractional."""
+    return [a for a in MATCH_ATTRIBUTES if a in states.columns], f"{_TOTALS[0]}_part" in states.columns
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """States of several parts of the logs as one state per match, whatever the parts and their order."""
+    attributes, fractional = _state_kind(states)
+    totals = [merged for c in _TOTALS for merged in _merged_total(c, fractional)]
+    return states.groupBy("battleid").agg(*(F.min(c).alias(c) for c in (*_KEYS, *attributes)), *totals)
+
+
+def view_of_states(states: DataFrame, cut_at_comma: bool = False) -> DataFrame:
+    """The consolidated view, every value as text, of states that are one per match."""
+    attributes, fractional = _state_kind(states)
+
+    def text(c: str) -> Column:
+        value = F.col(c).cast("string")
+        return F.split_part(value, F.lit(","), F.lit(1)) if cut_at_comma else value
+
+    return states.select(
+        "battleid",
+        text("_dt").alias("pt_dt"),
+        *(text(a).alias(a) for a in attributes),
+        text("_kv").alias("keyversion"),
+        *(_total_text(c, fractional).alias(name) for c, name in zip(_TOTALS, TOTAL_FIELDS, strict=True)),
+    )
+
+
 def match_view(
     participants: DataFrame,
     matches: DataFrame | None = None,
@@ -87,10 +184,8 @@ def match_view(
     """One row per match: the union of the match log and the per-match
     aggregates of the participant log, every value as text.
 
-    Written as a single aggregation over the union of the raw rows of both logs
-    (one shuffle, partial aggregation map-side) instead of aggregate -> union ->
-    aggregate; the match-log rows add only NULL inputs, so each value equals the
-    first non-NULL value of the two-level form.
+    A single aggregation over the raw rows of both logs (:func:`match_states`) instead of
+    aggregate -> union -> aggregate; each value equals the first non-NULL value of the two-level form.
 
     ``wide`` adds the match-log attributes.  ``cut_at_comma`` applies the other
     dialect's string aggregation, which keeps only the text before the first
@@ -99,40 +194,10 @@ def match_view(
     because a match known only to the match log has a NULL date.
     ``drop_null_ids`` removes the NULL match id group before the shuffle.
     """
-    if wide and matches is None:
-        raise ValueError("the wide view needs the match log")
-    attr_types = {f.name: f.dataType for f in matches.schema.fields} if wide else {}
-    p_cols = [F.col("battleid")] + _participant_side(participants, True)
-    p_cols += [F.lit(None).cast(attr_types[a]).alias(a) for a in MATCH_ATTRIBUTES] if wide else []
-    rows = participants.select(*p_cols)
-    if matches is not None:
-        m_cols = [F.col("battleid")] + _participant_side(matches, False)
-        m_cols += [F.col(a) for a in MATCH_ATTRIBUTES] if wide else []
-        rows = rows.unionByName(matches.select(*m_cols))
     if drop_null_ids:
-        rows = rows.where(F.col("battleid").isNotNull())
-
-    if cut_at_comma:
-        def pick(c: Column) -> Column:
-            return F.split_part(F.min(c.cast("string")), F.lit(","), F.lit(1))
-    else:
-        def pick(c: Column) -> Column:
-            return first_valid(c).cast("string")
-
-    fractional = isinstance(participants.schema["kill"].dataType, T.DoubleType)
-
-    def total(c: str) -> Column:  # digits and a point: nothing to cut at a comma
-        return number_text(F.sum(c)) if fractional else F.sum(c).cast("string")
-
-    aggs = [
-        pick(F.col("_dt")).alias("pt_dt"),
-        *([pick(F.col(a)).alias(a) for a in MATCH_ATTRIBUTES] if wide else []),
-        pick(F.col("_kv")).alias("keyversion"),
-        total("_k1").alias("faction_1_total_kill"),
-        total("_k2").alias("faction_2_total_kill"),
-        total("_kt").alias("faction_total_kill"),
-    ]
-    return rows.groupBy("battleid").agg(*aggs)
+        participants = participants.where(F.col("battleid").isNotNull())
+        matches = matches.where(F.col("battleid").isNotNull()) if matches is not None else None
+    return view_of_states(match_states(participants, matches, wide, as_text=cut_at_comma), cut_at_comma)
 
 
 def monthly_counts(df: DataFrame, date_col: str = "pt_dt") -> DataFrame:

@@ -27,6 +27,7 @@ from arenaflow.operators.filters import (
     qualifying_participants,
     rated_admissions,
 )
+from arenaflow.operators.keys import key_bitmap, maybe_among
 from arenaflow.operators.joins import admitted_keys, join_admissions, join_match_view, left_join, match_join
 from arenaflow.operators.projections import PARTICIPANT_FIELDS, participant_columns, participant_projection
 from arenaflow.operators.sizing import materialize_at, remove_folder
@@ -41,38 +42,51 @@ PARTICIPANT_RECORD = (
 DETAIL_RECORD = (*PARTICIPANT_FIELDS, "team_elo")
 QUALIFIED_MATCH_COLUMNS = ("pt_dt", "pt_dt_date", "battleid", "keyversion", *TOTAL_FIELDS)
 
+# Whether the qualifying jobs reduce the participant log to the candidate matches before aggregating it.
+REDUCE_KEYS = False
 
-def match_values(logs: Logs, p: RunParams, with_match_log: bool = False) -> DataFrame:
+
+def match_values(logs: Logs, p: RunParams, with_match_log: bool = False, candidates: DataFrame | None = None) -> DataFrame:
     """Per-match values of the consolidated view whose date lies in the run range.
 
     The match log only contributes matches without participant rows, whose date
     is NULL and fails the range test, so it is skipped unless asked for; NULL
     match ids are dropped before the shuffle (they cannot join).
+
+    ``candidates`` (with a column ``battleid``) are the matches that the caller will keep: rows of
+    other matches are dropped below the aggregation by a bitmap of bounded size, whole groups at a
+    time, so that only the candidates (and a few others) are aggregated and shuffled.  The
+    caller's join with the candidates makes the result exact.
     """
-    view = match_view(logs.participants, logs.matches if with_match_log else None, drop_null_ids=True)
-    return in_key_window(view, p.start_date, p.end_date)
+    participants, matches = logs.participants, logs.matches if with_match_log else None
+    if candidates is not None:
+        bitmap = key_bitmap(candidates, "battleid")
+        participants = maybe_among(participants, bitmap, "battleid")
+        matches = maybe_among(matches, bitmap, "battleid") if matches is not None else None
+    return in_key_window(match_view(participants, matches, drop_null_ids=True), p.start_date, p.end_date)
 
 
-def qualified_matches(logs: Logs, p: RunParams, with_match_log: bool = False) -> DataFrame:
+def qualified_matches(logs: Logs, p: RunParams, with_match_log: bool = False, reduce_keys: bool = REDUCE_KEYS) -> DataFrame:
     """Distinct (date, match) pairs with a qualifying, admitted, rated participant,
     with the match's version and kill totals.
 
     The grain is match x date of the qualifying participant row.  The rating and
     role are not output, so the admission join is a semi join, and since the
     match values depend on the match id alone the DISTINCT runs on the two keys
-    before the join with the view.  The view is aggregated over the whole
-    participant log with a map-side partial step (about one shuffled row per match).
+    before the join with the view.  The view is aggregated over the
+    participant log with a map-side partial step (about one shuffled row per match), with
+    ``reduce_keys`` over the rows of the candidate matches alone (see :func:`match_values`).
     """
     qualifying = qualifying_participants(logs.participants, p, logs.partition_key).select(
         date_key("logtime").alias("pt_dt"), "role_id", "battleid"
     )
     rated_adm = rated_admissions(logs.admissions, p.team_elo)
     keys = admitted_keys(qualifying, rated_adm).select("pt_dt", "battleid").distinct()
-    out = join_match_view(keys, match_values(logs, p, with_match_log))
+    out = join_match_view(keys, match_values(logs, p, with_match_log, keys if reduce_keys else None))
     return out.withColumn("pt_dt_date", month_key("pt_dt")).select(*QUALIFIED_MATCH_COLUMNS)
 
 
-def qualified_participants(logs: Logs, p: RunParams, with_match_log: bool = False) -> DataFrame:
+def qualified_participants(logs: Logs, p: RunParams, with_match_log: bool = False, reduce_keys: bool = REDUCE_KEYS) -> DataFrame:
     """Distinct qualifying participant rows with rating and match values.
 
     A role admitted twice with different ratings gives two rows; exact
@@ -81,21 +95,21 @@ def qualified_participants(logs: Logs, p: RunParams, with_match_log: bool = Fals
     qualifying = participant_projection(qualifying_participants(logs.participants, p, logs.partition_key))
     rated_adm = rated_admissions(logs.admissions, p.team_elo)
     rated = join_admissions(qualifying, rated_adm).distinct()
-    out = join_match_view(rated, match_values(logs, p, with_match_log))
+    out = join_match_view(rated, match_values(logs, p, with_match_log, rated if reduce_keys else None))
     return out.select(
         "pt_dt", *PARTICIPANT_FIELDS, month_key("pt_dt").alias("pt_dt_date"), "team_elo",
         "keyversion", *TOTAL_FIELDS,
     )
 
 
-def eligible_matches(logs: Logs, p: RunParams) -> DataFrame:
+def eligible_matches(logs: Logs, p: RunParams, reduce_keys: bool = REDUCE_KEYS) -> DataFrame:
     """Qualified matches that pass the version-era rule."""
-    return era_rule(qualified_matches(logs, p), p.version_cutoff, p.version_allow_list)
+    return era_rule(qualified_matches(logs, p, reduce_keys=reduce_keys), p.version_cutoff, p.version_allow_list)
 
 
-def eligible_participants(logs: Logs, p: RunParams) -> DataFrame:
+def eligible_participants(logs: Logs, p: RunParams, reduce_keys: bool = REDUCE_KEYS) -> DataFrame:
     """Qualified participants that pass the version-era rule."""
-    return era_rule(qualified_participants(logs, p), p.version_cutoff, p.version_allow_list)
+    return era_rule(qualified_participants(logs, p, reduce_keys=reduce_keys), p.version_cutoff, p.version_allow_list)
 
 
 def packed_matches(eligible: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ Written from the meaning of each query, not from the Spark plans: the logs are
 rebuilt from the test tables by the mapping of :mod:`arenaflow.sources.fixtures`;
 the consolidated view is a full join of the match log with one row per match
 of the participant log; a match qualifies by the existence of a fitting
-participant and admission; the era rule is one condition.
+participant and admission (a semi join); the era rule is one condition.
 """
 
 from __future__ import annotations
@@ -86,7 +86,7 @@ matches AS (
          CAST(o_custkey % 10 AS VARCHAR) AS illegal_player_3
   FROM orders
 ),
-admissions AS (
+admissions AS MATERIALIZED (
   SELECT DISTINCT l_orderkey AS matching_id,
          l_suppkey AS role_id,
          CAST(floor(s_acctbal + 0.5) AS BIGINT) AS team_elo,
@@ -124,11 +124,11 @@ dated AS (
 ),
 match_days AS (
   SELECT DISTINCT pt_dt, left(pt_dt, 7) AS pt_dt_date, battleid
-  FROM fitting f
-  WHERE EXISTS (FROM rated r WHERE r.battleid = f.battleid AND r.role_id = f.role_id)
+  FROM fitting
+  SEMI JOIN rated USING (battleid, role_id)
 ),
 qualified AS (SELECT * FROM match_days JOIN dated USING (battleid)),
-eligible AS (SELECT * FROM qualified WHERE pt_dt >= '{P.version_cutoff}' OR keyversion IN ({ALLOWED})),
+eligible AS MATERIALIZED (SELECT * FROM qualified WHERE pt_dt >= '{P.version_cutoff}' OR keyversion IN ({ALLOWED})),
 qualified_roles AS (
   SELECT DISTINCT *, left(pt_dt, 7) AS pt_dt_date
   FROM fitting JOIN rated USING (battleid, role_id) JOIN dated USING (battleid)
@@ -140,8 +140,8 @@ lineup AS (
 ),
 detail AS (
   SELECT lineup.* EXCLUDE (e_battleid), team_elo
-  FROM lineup LEFT JOIN (FROM admissions WHERE left(logtime, 10) {IN_RUN}) a
-    ON (a.matching_id, a.role_id) = (lineup.battleid, lineup.role_id)
+  FROM lineup LEFT JOIN (SELECT matching_id, role_id, team_elo FROM admissions WHERE left(logtime, 10) {IN_RUN}) a
+    ON a.matching_id = lineup.battleid AND a.role_id = lineup.role_id
 )
 """
 
@@ -165,9 +165,21 @@ VIEW = f"SELECT battleid, pt_dt, keyversion, {', '.join(f'{k}_text AS {k}' for k
 # the JSON scan reads measures as doubles; line 3 of a match is written with half a point more
 DOUBLES = [m for m in MEASURES if m not in (*EMPTY, "herotid", "modetid", "usernum")]
 SCANNED = ", ".join(f"CAST({m} AS DOUBLE)" + (" + 0.5 * CAST(rank_tid = 3 AS INTEGER)" if m == "score" else "") + f" AS {m}" for m in DOUBLES)
+SCANNED_PLAIN = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in DOUBLES)
+
+# what a raw line's odd number is worth as text, by the rank in the line; the fifth is infinite
+ODD_GOLD = (
+    "CASE rank_tid WHEN 1 THEN '1' || repeat('0', 33) WHEN 2 THEN '0.1234567' WHEN 3 THEN '0.0000001' WHEN 4 THEN '0' WHEN 5 THEN NULL "
+    "WHEN 6 THEN '1.0E40' WHEN 7 THEN '12.5' ELSE CAST(gold AS VARCHAR) END"
+)
 
 FINAL = {
     "json_log_scan": f"SELECT * REPLACE ({SCANNED}) FROM participants",
+    "json_odd_numbers": (
+        f"SELECT battleid, role_id, CAST(rank_tid AS DOUBLE) AS rank_tid, {_record(('battleid', 'role_id', ODD_GOLD, 'kill', 'death'))} AS record, "
+        "CASE WHEN rank_tid = 5 THEN 'gold' END AS uncast FROM participants"
+    ),
+    "indexed_date_range": f"SELECT * REPLACE ({SCANNED_PLAIN}) FROM participants WHERE left(logtime, 10) {IN_RUN}",
     "catalog_scan": "FROM eligible",
     "sink_roundtrip": f"SELECT pt_dt, {MATCH_RECORD} AS battle_info FROM eligible",
     "export_readback": (
@@ -205,6 +217,7 @@ FINAL = {
     "match_view": VIEW,
     "match_view_in_range": f"{VIEW} WHERE pt_dt {IN_RUN}",
     "match_view_wide": _wide("CAST({0} AS VARCHAR)"),
+    "incremental_match_view": _wide("CAST({0} AS VARCHAR)"),
     "first_token": _wide("split_part(CAST({0} AS VARCHAR), ',', 1)"),
     "duplicate_audit": (
         f"SELECT battleid, count(*) AS row_count FROM played WHERE day {IN_RUN} GROUP BY ALL HAVING count(*) = {FIXTURE_AUDIT_COUNT}"
@@ -217,14 +230,16 @@ FINAL = {
     ),
     "player_detail": "FROM detail",
     "detail_stored_date": (
-        f"SELECT lineup.* EXCLUDE (e_battleid), team_elo FROM lineup LEFT JOIN (FROM admissions WHERE pt_dt {IN_RUN}) a "
-        "ON (a.matching_id, a.role_id) = (lineup.battleid, lineup.role_id)"
+        f"SELECT lineup.* EXCLUDE (e_battleid), team_elo FROM lineup LEFT JOIN "
+        f"(SELECT matching_id, role_id, team_elo FROM admissions WHERE pt_dt {IN_RUN}) a "
+        "ON a.matching_id = lineup.battleid AND a.role_id = lineup.role_id"
     ),
     "qualified_participants": "FROM qualified_roles",
     "qualified_matches": "FROM qualified",
     "version_allow_list": f"FROM qualified WHERE keyversion IN ({ALLOWED})",
     "version_allow_semi": "FROM qualified WHERE keyversion BETWEEN 'v2' AND 'v4'",
     "era_rule": "FROM eligible",
+    "era_rule_reduced": "FROM eligible",
     "union_all_branches": "FROM eligible",
     "union_distinct_branches": "FROM eligible_roles",
     "packed_matches": f"SELECT pt_dt, {MATCH_RECORD} AS battle_info FROM eligible",

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenaflow.functions import compact_to_iso, compact_to_iso_checked, date_key, iso_to_compact, month_key
+from arenaflow.functions import compact_to_iso, compact_to_iso_checked, date_key, iso_to_compact, month_key, pack_record
 from arenaflow.operators import (
     duplicate_audit,
     era_rule_union,
@@ -34,10 +34,11 @@ from arenaflow.operators import (
     version_allowed_semi,
 )
 from arenaflow.plans import jobs
-from arenaflow.schemas import PARTICIPANTS
+from arenaflow.schemas import CORRUPT_COLUMN, PARTICIPANTS, UNCAST_COLUMN
 from arenaflow.session import scratch_dir
-from arenaflow.sources import exports, fixtures, framed, logs as logsrc
+from arenaflow.sources import exports, file_index, fixtures, framed, logs as logsrc
 from arenaflow.sources.fixtures import FIXTURE_AUDIT_COUNT, FIXTURE_LOOKUP_BATTLEID, FIXTURE_PARAMS as P
+from arenaflow.streaming import match_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +76,30 @@ def json_log_scan(spark, sf_dir):
     return good
 
 
+def json_odd_numbers(spark, sf_dir):
+    """Measures as raw JSON may spell them (huge, tiny, negative zero, infinite, a number as text), read back
+    and packed: what an export prints, and which fields were not of their type."""
+    participants = _logs(spark, sf_dir).participants
+    text = F.to_json(F.struct(*participants.columns))
+    spellings = {1: "1e33", 2: "0.1234567", 3: "1e-7", 4: "-0.0", 5: '"Infinity"', 6: "1e40", 7: '"12.50"'}
+    line = text
+    for rank, number in spellings.items():
+        line = F.when(F.col("rank_tid") == rank, F.regexp_replace(text, r'"gold":-?\d+', f'"gold":{number}')).otherwise(line)
+    glob = logsrc.write_json_tree(participants, scratch_dir(spark, "json-odd"), line=line)
+    found = logsrc.read_json_log(spark, glob, PARTICIPANTS)
+    fields = ("battleid", "role_id", "gold", "kill", "death")
+    return found.select("battleid", "role_id", "rank_tid", pack_record(found, fields).alias("record"), F.array_join(UNCAST_COLUMN, ",").alias("uncast"))
+
+
+def indexed_date_range(spark, sf_dir):
+    """The participant log as a JSON tree with a file index: a date range opens only the files that overlap it."""
+    root = scratch_dir(spark, "json-indexed")
+    glob = logsrc.write_json_tree(_logs(spark, sf_dir).participants, f"{root}/log")
+    file_index.update_index(spark, glob, f"{root}/index")
+    found = file_index.read_json_log_range(spark, glob, PARTICIPANTS, f"{root}/index", P.start_date, P.end_date)
+    return found.drop(UNCAST_COLUMN, CORRUPT_COLUMN)
+
+
 def catalog_scan(spark, sf_dir):
     """The match export's eligible set, its logs read as named tables."""
     lg = _logs(spark, sf_dir)
@@ -210,6 +235,21 @@ def match_view_wide(spark, sf_dir):
     return jobs.wide_match_view(_logs(spark, sf_dir))
 
 
+def incremental_match_view(spark, sf_dir):
+    """The wide match view kept by batches: both logs land in three batches each, a match's rows spread over
+    all of them; a batch is written twice, two are compacted, the last one arrives afterwards."""
+    lg, root = _logs(spark, sf_dir), scratch_dir(spark, "match-state")
+    batch = F.pmod(F.xxhash64("battleid", "modetid"), F.lit(3))
+    for log in match_state.LOGS:
+        rows = getattr(lg, log)
+        for k in (0, 1, 1):
+            match_state.write_batch_states(rows.where(batch == k), log, root, k)
+        match_state.compact_states(spark, root, log)
+        match_state.expire_states(spark, root, log)
+        match_state.write_batch_states(rows.where(batch == 2), log, root, 2)
+    return match_state.landed_match_view(spark, root)
+
+
 def first_token(spark, sf_dir):
     return jobs.wide_match_view(_logs(spark, sf_dir), cut_at_comma=True)
 
@@ -290,6 +330,11 @@ def era_rule(spark, sf_dir):
     return jobs.eligible_matches(_logs(spark, sf_dir), P)
 
 
+def era_rule_reduced(spark, sf_dir):
+    """The eligible matches, the participant log reduced to the candidate matches below the aggregation."""
+    return jobs.eligible_matches(_logs(spark, sf_dir), P, reduce_keys=True)
+
+
 def union_all_branches(spark, sf_dir):
     q = jobs.qualified_matches(_logs(spark, sf_dir), P)
     return era_rule_union(q, P.version_cutoff, P.version_allow_list, distinct=False)
@@ -317,6 +362,8 @@ def packed_players(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "json_log_scan": json_log_scan,
+    "json_odd_numbers": json_odd_numbers,
+    "indexed_date_range": indexed_date_range,
     "catalog_scan": catalog_scan,
     "sink_roundtrip": sink_roundtrip,
     "export_readback": export_readback,
@@ -337,6 +384,7 @@ QUERIES: dict[str, Query] = {
     "match_view": match_view_q,
     "match_view_in_range": match_view_in_range,
     "match_view_wide": match_view_wide,
+    "incremental_match_view": incremental_match_view,
     "first_token": first_token,
     "duplicate_audit": duplicate_audit_q,
     "join_admissions": join_admissions_q,
@@ -350,6 +398,7 @@ QUERIES: dict[str, Query] = {
     "version_allow_list": version_allow_list,
     "version_allow_semi": version_allow_semi,
     "era_rule": era_rule,
+    "era_rule_reduced": era_rule_reduced,
     "union_all_branches": union_all_branches,
     "union_distinct_branches": union_distinct_branches,
     "packed_matches": packed_matches,

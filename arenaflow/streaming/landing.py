@@ -23,9 +23,10 @@ from arenaflow.functions import date_key
 from arenaflow.schemas import CORRUPT_COLUMN, UNCAST_COLUMN, scanned_schema
 from arenaflow.session import ensure_checkpoint_dir
 from arenaflow.sources.logs import raw_reader, typed
+from arenaflow.streaming.match_state import write_batch_states
 
 
-def _write_batch(target: str, quarantine: str, fields: list[str]):
+def _write_batch(target: str, quarantine: str, fields: list[str], states: tuple[str, str] | None = None):
     def write(batch: DataFrame, batch_id: int) -> None:
         # The batch is read twice (rows and bad lines); keep it for the two writes.
         batch = batch.persist()
@@ -50,6 +51,9 @@ def _write_batch(target: str, quarantine: str, fields: list[str]):
             bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(
                 quarantine
             )
+            if states:  # last, so that a batch with states has its rows landed; replays replace them too
+                log, root = states
+                write_batch_states(batch.where(F.col(CORRUPT_COLUMN).isNull()).select(*fields), log, root, batch_id)
         finally:
             batch.unpersist()
 
@@ -65,9 +69,13 @@ def land_log(
     checkpoint: str | None = None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    states: tuple[str, str] | None = None,
 ) -> StreamingQuery:
     """Starts the landing stream for one log; returns the running query.
 
+    ``states=(log, root)`` also keeps the states of the consolidated match view of every batch
+    (see :mod:`arenaflow.streaming.match_state`), for the log ``participants`` or ``matches``.
+
     ``source`` is a directory or glob of JSON-lines files.  ``checkpoint``
     defaults to a folder under ``spark.checkpoint.dir`` derived from ``target``.
     """
@@ -80,7 +88,7 @@ def land_log(
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     fields = schema.names
     stream = typed(reader.json(source), schema)
-    writer = stream.writeStream.foreachBatch(_write_batch(target, quarantine, fields)).option(
+    writer = stream.writeStream.foreachBatch(_write_batch(target, quarantine, fields, states)).option(
         "checkpointLocation", checkpoint
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
