@@ -24,6 +24,22 @@ BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 LOWER_CASE = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 
 
+def plain_pattern(pattern: str) -> re.Pattern:
+    """The pattern for texts of plain characters alone, its classes (``\\p{L}``, ``\\p{N}``, ``\\s``) written out."""
+    plain = [chr(c) for c in range(PLAIN_LIMIT)]
+    members = {name: "".join(map(re.escape, filter(regex.compile(name).fullmatch, plain))) for name in (r"\p{L}", r"\p{N}", r"\s")}
+    out, inside = [], False
+    for token in re.findall(r"\\p\{\w\}|\\.|.", pattern):
+        if token in members:
+            token = members[token] if inside else f"[{members[token]}]"
+        elif token == r"\S":
+            token = f"[^{members[r'\s']}]"
+        elif token in "[]":
+            inside = token == "["
+        out.append(token)
+    return re.compile("".join(out))
+
+
 def _form(data: dict) -> tuple[bool, str]:
     """Whether the tokenizer file lower-cases, and its pre-token pattern; an error for any form not known here."""
     normalizer, pre = data["normalizer"], data["pre_tokenizer"] or {}
@@ -67,7 +83,7 @@ class WordBpe:
         self.special: dict[str, int] = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.lower, pattern = _form(data)
-        self.pattern = regex.compile(pattern)
+        self.pattern = plain_pattern(pattern)
         self.chars = byte_chars()
         self.by_byte = str.maketrans(dict(enumerate(self.chars)))
 

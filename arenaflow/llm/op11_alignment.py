@@ -29,7 +29,9 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
+from string import ascii_letters, punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -60,27 +62,32 @@ RESULT = T.StructType(
 
 
 class Words(dict):
-    """Piece of text -> its ids as bytes; bounded.  ``odd`` are the pieces whose tokens do not spell them."""
+    """Piece of text -> its ids as bytes; bounded.  ``odd`` are the pieces whose tokens do not spell them.
+
+    ``ids_of`` gives the ids of several pieces; the pieces that a text has and the cache has not are encoded together.
+    """
 
     def __init__(self, ids_of, spelled):
         super().__init__()
         self.ids_of, self.spelled, self.odd = ids_of, spelled, set()
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.ids_of(piece)
-        if b"".join(map(self.spelled.__getitem__, ids)) != piece.encode():
-            self.odd.add(piece)
-        found = np.array(ids, "<u4").tobytes()
-        if len(self) < WORKER_CACHE:
-            self[piece] = found
-        return found
-
     def of(self, pieces: list[str]) -> tuple[np.ndarray, bool]:
         """Ids of the pieces in order, and whether each is known to spell its piece."""
-        if len(self) >= WORKER_CACHE:
-            self.clear()
-            self.odd.clear()
-        ids = np.frombuffer(b"".join(map(self.__getitem__, pieces)), "<u4")
+        found = list(map(self.get, pieces))
+        if None in found:
+            at = [i for i, ids in enumerate(found) if ids is None]
+            if len(self) >= WORKER_CACHE:
+                self.clear()
+                self.odd.clear()
+                at = range(len(pieces))
+            missing = list(dict.fromkeys([pieces[i] for i in at]))
+            for piece, ids in zip(missing, self.ids_of(missing), strict=True):
+                if b"".join(map(self.spelled.__getitem__, ids)) != piece.encode():
+                    self.odd.add(piece)
+                self[piece] = array("I", ids).tobytes()
+            for i in at:
+                found[i] = self[pieces[i]]
+        ids = np.frombuffer(b"".join(found), "<u4")
         return ids, not self.odd or self.odd.isdisjoint(pieces)
 
 
@@ -91,8 +98,8 @@ class SideA:
         self.bpe = WordBpe(path)
         self.bpe.library.encode_special_tokens = True
         self.spelled = self.bpe.id_bytes()
-        self.words = Words(self.bpe.word_ids, self.spelled)
-        self.rest = Words(self.bpe.library_ids, self.spelled)
+        self.words = Words(lambda pieces: map(self.bpe.word_ids, pieces), self.spelled)
+        self.rest = Words(lambda parts: map(self.bpe.library_ids, parts), self.spelled)
 
     def ids(self, text: str) -> tuple[np.ndarray, bool]:
         found = [
@@ -104,12 +111,14 @@ class SideA:
 
 
 class SideB:
-    """Sentencepiece ids of a text, cut where no piece of the vocabulary can reach across:
-    before a run of spaces, and around line ends if these are always single bytes."""
+    """Sentencepiece ids of a text, cut where no piece of the vocabulary can reach across: before
+    a run of spaces, around line ends if these are always single bytes, and, for a piece not seen yet,
+    between a letter and a sign that no entry of the vocabulary joins."""
 
     def __init__(self, path: str):
         self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+        plain = [p for i, p in enumerate(names) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
         self.spelled = [
             bytes([int(m[1], 16)]) if model.is_byte(i) and (m := BYTE_PIECE.fullmatch(p)) else p.replace(SPACE, " ").encode()
             for i, p in enumerate(names)
@@ -118,13 +127,27 @@ class SideB:
         self.cuts = model.decode(model.encode("  a  b ")) == "  a  b " and not any(SPACE in p.lstrip(SPACE) for p in names)
         lines = self.cuts and not any("\n" in p for p in names) and [names[i] for i in model.encode("\n")] == [SPACE, "<0x0A>"]
         self.pieces = re.compile(r" +[^ \n]*|\n[^ \n]*" if lines else r" +[^ ]*")
-        self.words = Words(self._piece_ids, self.spelled)
-
-    def _piece_ids(self, piece: str) -> list[int]:
-        # the model puts a space in front (of anything but nothing): give it the one that is there, or take it away again
-        if piece == " ":
-            return [self.model.piece_to_id(SPACE)]
-        return self.model.encode(piece[1:]) if piece[0] == " " else self.model.encode(piece)[1:]
+        joined = {b for p in plain for a, b in zip(p, p[1:], strict=False) if a in ascii_letters}
+        signs = "".join(c for c in punctuation if lines and c not in joined)
+        self.ends = re.compile(f"([ \n][^ \n]*[A-Za-z])([{re.escape(signs)}]+)") if signs else None
+        self.words = Words(self._ids, self.spelled)
+        self.stems: dict[str, list[int]] = {}
+
+    def _ids(self, pieces: list[str]) -> list[list[int]]:
+        cut = [(m.groups() if self.ends and (m := self.ends.fullmatch(p)) else (p, "")) for p in pieces]
+        new = list({part for pair in cut for part in pair if part}.difference(self.stems))
+        if len(self.stems) + len(new) > WORKER_CACHE // 3:
+            self.stems.clear()
+            new = list({part for pair in cut for part in pair if part})
+        # the model puts a space in front of anything but nothing: give it the one that is there, or take
+        # it away again; a sign goes behind a line end, which is taken away too
+        kind = [" \n".find(p[0]) for p in new]
+        asked = [p[1:] if k == 0 else p if k == 1 else "\n" + p for k, p in zip(kind, new, strict=True)]
+        for p, k, ids in zip(new, kind, self.model.encode(asked, num_threads=1), strict=True):
+            self.stems[p] = ids if k == 0 else ids[1:] if k == 1 else ids[2:]
+        if " " in self.stems:
+            self.stems[" "] = [self.model.piece_to_id(SPACE)]
+        return [self.stems[a] + self.stems[b] if b else self.stems[a] for a, b in cut]
 
     def ids(self, text: str) -> tuple[np.ndarray, bool]:
         if self.cuts and SPACE not in text:  # the sign itself would count as a space
@@ -219,7 +242,7 @@ def _chunk_batch(row: tuple, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
 
-def aligned_chunks(docs: DataFrame, tokenizer_a: str, tokenizer_b: str, chunk_links: int = 1_000_000, batch_tokens: int = 200_000) -> DataFrame:
+def aligned_chunks(docs: DataFrame, tokenizer_a: str, tokenizer_b: str, chunk_links: int = 500_000, batch_tokens: int = 200_000) -> DataFrame:
     """One row a chunk: its documents' figures, its distinct id pairs with their
     numbers of links, and the links as places in these pairs (see :func:`_place`)."""
     ship_package(docs.sparkSession)
@@ -265,7 +288,7 @@ def pair_counts(chunks: DataFrame) -> DataFrame:
     return counted.select("pair", F.col("pair").bitwiseAND((1 << LEFT) - 1).alias("b"), "count")
 
 
-def token_alignment(docs: DataFrame, tokenizer_a: str, tokenizer_b: str, chunk_links: int = 1_000_000) -> DataFrame:
+def token_alignment(docs: DataFrame, tokenizer_a: str, tokenizer_b: str, chunk_links: int = 500_000) -> DataFrame:
     """``doc_id``, ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``n_best``, ``count_sum``, ``groups_sha256``.
 
     ``tokenizer_a`` is a byte-level ``tokenizers`` JSON file, ``tokenizer_b`` a sentencepiece model, by
