@@ -49,6 +49,7 @@ def _job_parser(sub, name, help_):
     p.add_argument("--tables", action="store_true", help="logs are catalog tables, by name")
     p.add_argument("--no-report", action="store_true", help="skip the pass that counts unreadable lines and values")
     p.add_argument("--overwrite", action="store_true", help="replace an export that is there")
+    p.add_argument("--publish", action="store_true", help="match-export: publish both exports together, readers follow a manifest")
     p.add_argument("--out", help="export root")
     p.add_argument("run", nargs=7, metavar="ARG", help="start end hero_id team_elo modetids sdk_version score")
     return p
@@ -84,7 +85,9 @@ def main(argv: list[str] | None = None) -> int:
         p = RunParams.from_argv(args.run)
         logs = _logs(spark, args)
         mode = "overwrite" if args.overwrite else "errorifexists"
-        if args.cmd == "match-export":
+        if args.cmd == "match-export" and args.publish:
+            print(jobs.publish_match_exports(logs, p, args.out))
+        elif args.cmd == "match-export":
             print(jobs.run_match_exports(logs, p, args.out, mode=mode))
         elif args.cmd == "participant-export":
             print(jobs.run_participant_export(logs, p, args.out, mode=mode))

@@ -142,7 +142,9 @@ def expanded_participants(logs: Logs, p: RunParams, eligible: DataFrame) -> Data
     """
     # The pairs come out of a join on the match id; dealing them anew makes this join shuffle
     # both sides itself, which adaptive execution needs to split a hot match (or to broadcast them).
-    pairs = eligible.select("pt_dt", "battleid").hint("rebalance")
+    pairs = eligible.select("pt_dt", "battleid")
+    if not logs.co_partitioned:
+        pairs = pairs.hint("rebalance")
     return match_join(pairs, _played(logs, p), [("battleid", "e_battleid")])
 
 
@@ -221,6 +223,24 @@ def run_match_exports(logs: Logs, p: RunParams, root: str, **sink_options) -> Ex
         remove_folder(eligible.sparkSession, folder)
 
 
+def publish_match_exports(logs: Logs, p: RunParams, root: str, **sink_options) -> dict:
+    """:func:`run_match_exports` as one publication: readers get both new exports or both old ones.
+
+    Returns the manifest (see :mod:`arenaflow.sources.publication`).
+    """
+    from arenaflow.sources.publication import publish
+
+    eligible, folder = materialize_at(eligible_matches(logs, p), "eligible")
+    try:
+        records = {
+            "battle_info": lambda: packed_matches(eligible),
+            "player_info": lambda: packed_players(participant_detail(logs, p, eligible)),
+        }
+        return publish(eligible.sparkSession, p, root, records, **sink_options)
+    finally:
+        remove_folder(eligible.sparkSession, folder)
+
+
 def run_participant_export(logs: Logs, p: RunParams, root: str, **sink_options) -> str:
     """Writes the 28-field participant records (ISO dates in the path)."""
     from arenaflow.sources.exports import write_keyed_text

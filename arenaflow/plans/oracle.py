@@ -185,6 +185,15 @@ FINAL = {
     "export_readback": (
         "SELECT pt_dt, battleid, keyversion, " + ", ".join(f"CAST({k} AS BIGINT) AS {k}" for k in KILLS) + " FROM eligible"
     ),
+    "published_exports": (
+        f"SELECT 'battle_info' AS export, pt_dt, {MATCH_RECORD} AS battle_info FROM eligible "
+        f"UNION ALL SELECT 'player_info', pt_dt, {DETAIL_RECORD} FROM detail"
+    ),
+    "verified_readback": (
+        "SELECT pt_dt, width, count(*) AS records, true AS file_of_date, 'same' AS status FROM ("
+        f"SELECT pt_dt, CAST({len(MEASURES) + 7} AS INTEGER) AS width FROM eligible_roles "
+        "UNION ALL SELECT left(begintime, 10), 2 FROM matches WHERE battleid % 50 = 0) r GROUP BY ALL"
+    ),
     "framed_sections": (
         "SELECT conv_id, ifnull(string_agg(text || chr(10), '' ORDER BY turn) FILTER (text <> ''), '') AS section_text, "
         "count(*) FILTER (text <> '') AS frame_count, 'ok' AS status FROM conversations GROUP BY ALL"
@@ -229,6 +238,8 @@ FINAL = {
         "SELECT m.battleid, gametype, p.battleid AS e_battleid, role_id, kill FROM matches m LEFT JOIN participants p USING (battleid)"
     ),
     "player_detail": "FROM detail",
+    "bucketed_admissions": "FROM fitting JOIN rated USING (battleid, role_id)",
+    "bucketed_detail": "FROM detail",
     "detail_stored_date": (
         f"SELECT lineup.* EXCLUDE (e_battleid), team_elo FROM lineup LEFT JOIN "
         f"(SELECT matching_id, role_id, team_elo FROM admissions WHERE pt_dt {IN_RUN}) a "

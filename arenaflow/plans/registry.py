@@ -7,7 +7,9 @@ a fresh folder under the shared checkpoint folder and return the read-back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +38,7 @@ from arenaflow.operators import (
 from arenaflow.plans import jobs
 from arenaflow.schemas import CORRUPT_COLUMN, PARTICIPANTS, UNCAST_COLUMN
 from arenaflow.session import scratch_dir
-from arenaflow.sources import exports, file_index, fixtures, framed, logs as logsrc
+from arenaflow.sources import bucketed, exports, file_index, fixtures, framed, logs as logsrc, publication, verified
 from arenaflow.sources.fixtures import FIXTURE_AUDIT_COUNT, FIXTURE_LOOKUP_BATTLEID, FIXTURE_PARAMS as P
 from arenaflow.streaming import match_state
 
@@ -128,6 +130,34 @@ def export_readback(spark, sf_dir):
     return exports.unpack(records, fields)
 
 
+def published_exports(spark, sf_dir):
+    """Both exports of a run, published together over an earlier publication, read through the manifest."""
+    lg, root = _logs(spark, sf_dir), scratch_dir(spark, "published")
+    publication.publish(spark, P, root, {n: lambda: lg.participants.select(F.lit("1999-01-01").alias("pt_dt"), F.lit("old").alias("battle_info"))
+                                         for n in ("battle_info", "player_info")})
+    jobs.publish_match_exports(lg, P, root)
+    publication.expire_publications(spark, P, root, ("battle_info", "player_info"))
+    both = publication.read_published(spark, P, root)
+    return reduce(DataFrame.unionAll, [df.select(F.lit(name).alias("export"), "pt_dt", "battle_info") for name, df in both.items()])
+
+
+def verified_readback(spark, sf_dir):
+    """Participant records written with fingerprints, checked and split on reading: counts by date, width and kind."""
+    path = f"{scratch_dir(spark, 'verified')}/battle_total"
+    lg = _logs(spark, sf_dir)
+    records = jobs.packed_participants(jobs.eligible_participants(lg, P))
+    odd = lg.matches.where("battleid % 50 = 0").select(date_key("begintime").alias("pt_dt"), pack_record(lg.matches, ("battleid", "gametype")).alias("battle_info"))
+    verified.write_verified_text(records.unionAll(odd), path)
+    fields = [(name, "string") for name in jobs.PARTICIPANT_RECORD]
+    good, wrong = verified.read_verified(spark, path, fields)
+    kinds = good.select("pt_dt", F.lit(len(fields)).alias("width"), "_file").unionAll(wrong.select("pt_dt", "_width", "_file"))
+    counts = kinds.groupBy("pt_dt", "width").agg(
+        F.count(F.lit(1)).alias("records"), F.bool_and(F.contains("_file", F.concat(F.lit("/pt_dt="), "pt_dt", F.lit("/")))).alias("file_of_date")
+    )
+    status = verified.check_export(spark, path).select(F.col("pt_dt").alias("_day"), "status")
+    return counts.join(status, F.col("pt_dt") == F.col("_day")).drop("_day")
+
+
 def framed_sections(spark, sf_dir):
     """Conversations framed into gzip files (one per conversation), then each
     file's last section extracted by a distributed binary scan."""
@@ -300,6 +330,26 @@ def detail_stored_date(spark, sf_dir):
     return jobs.participant_detail(lg, P, jobs.eligible_matches(lg, P), admission_window="pt_dt")
 
 
+def _bucketed(spark, sf_dir, hot_rows: int):
+    prefix = f"arenaflow_{uuid.uuid4().hex}"
+    bucketed.land_bucketed(spark, _logs(spark, sf_dir), prefix, scratch_dir(spark, "bucketed"), 8, hot_rows)
+    return bucketed.bucketed_logs(spark, prefix)
+
+
+def bucketed_admissions(spark, sf_dir):
+    """Qualifying participants with their ratings, over logs in buckets of the match id; matches of over six rows are kept apart."""
+    def job(lg):
+        qualifying = participant_projection(qualifying_participants(lg.participants, P))
+        return join_admissions(qualifying, rated_admissions(lg.admissions, P.team_elo).select("matching_id", "role_id", "team_elo"))
+
+    return bucketed.by_match(_bucketed(spark, sf_dir, 6), job)
+
+
+def bucketed_detail(spark, sf_dir):
+    """The participant detail over logs in buckets of the match id."""
+    return bucketed.by_match(_bucketed(spark, sf_dir, 6), lambda lg: jobs.participant_detail(lg, P, jobs.eligible_matches(lg, P)))
+
+
 def player_detail(spark, sf_dir):
     lg = _logs(spark, sf_dir)
     return jobs.participant_detail(lg, P, jobs.eligible_matches(lg, P))
@@ -367,6 +417,8 @@ QUERIES: dict[str, Query] = {
     "catalog_scan": catalog_scan,
     "sink_roundtrip": sink_roundtrip,
     "export_readback": export_readback,
+    "published_exports": published_exports,
+    "verified_readback": verified_readback,
     "framed_sections": framed_sections,
     "framed_odd_sections": framed_odd_sections,
     "participant_projection": participant_projection_q,
@@ -392,6 +444,8 @@ QUERIES: dict[str, Query] = {
     "expand_participants": expand_participants,
     "left_join_miss": left_join_miss,
     "player_detail": player_detail,
+    "bucketed_admissions": bucketed_admissions,
+    "bucketed_detail": bucketed_detail,
     "detail_stored_date": detail_stored_date,
     "qualified_participants": qualified_participants,
     "qualified_matches": qualified_matches,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arenaflow.functions import FIELD_SEPARATOR
+from arenaflow.session import hadoop_path
 
 
 def rebalanced(records: DataFrame, key: str = "pt_dt", value: str = "battle_info") -> DataFrame:
@@ -45,13 +46,20 @@ def write_keyed_text(
     w.text(path)
 
 
-def read_keyed_text(spark: SparkSession, path: str, key: str = "pt_dt", value: str = "battle_info") -> DataFrame:
+def read_keyed_text(spark: SparkSession, path: str, key: str = "pt_dt", value: str = "battle_info", lineage: str | None = None) -> DataFrame:
     """Reads an export back as ``(key, value)`` rows, the key kept as text.
 
-    Distributed: every file is a split; nothing is collected to the driver.
+    ``lineage`` names a further column with the path of the file that a record comes from.
+    Distributed: every file is a split; nothing is collected to the driver.  An export without any
+    record reads as no rows.
     """
+    fs, found = hadoop_path(spark, path)
+    if fs.exists(found) and not any(status.getPath().getName().startswith(f"{key}=") for status in fs.listStatus(found)):
+        names = (key, value, *([lineage] if lineage else []))
+        return spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in names]))
     schema = T.StructType([T.StructField("value", T.StringType()), T.StructField(key, T.StringType())])
-    return spark.read.schema(schema).option("lineSep", "\n").text(path).select(key, F.col("value").alias(value))
+    origin = [F.col("_metadata.file_path").alias(lineage)] if lineage else []
+    return spark.read.schema(schema).option("lineSep", "\n").text(path).select(key, F.col("value").alias(value), *origin)
 
 
 def unpack(records: DataFrame, fields: Sequence[tuple[str, str]], value: str = "battle_info") -> DataFrame:

@@ -26,13 +26,15 @@ class Logs:
 
     ``date_partitioned`` marks logs landed by :mod:`arenaflow.streaming`, whose
     ``pt_dt`` column is the date key of ``logtime``; the jobs then add the run's
-    date range on it so whole partitions are pruned.
+    date range on it so whole partitions are pruned.  ``co_partitioned`` marks logs in buckets
+    of the match id (:mod:`arenaflow.sources.bucketed`), which the jobs must not deal anew.
     """
 
     participants: DataFrame
     matches: DataFrame
     admissions: DataFrame
     date_partitioned: bool = False
+    co_partitioned: bool = False
 
     @property
     def partition_key(self) -> str | None:
