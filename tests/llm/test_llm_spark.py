@@ -294,6 +294,42 @@ def test_decontamination_on_spark(spark):
         assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3]
 
 
+def test_blocks_of_the_benchmark_change_no_score(spark):
+    """Hits and scores equal those of every item against every passage, for one block and for many."""
+    from arenaflow.llm.op3_decontamination import Searcher, overlap, shingles, split_item, text_words
+
+    rng = random.Random(21)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 5))) for _ in range(300)]
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(4, 30))) + ". " + " ".join(rng.choice(words) for _ in range(4)) + ".") for i in range(25)]
+    texts = []
+    for i in range(60):
+        text = [rng.choice(words) for _ in range(rng.randint(0, 200))]
+        for _ in range(rng.randint(0, 3)):
+            item = rng.choice(items)[1].split()
+            text[(at := rng.randint(0, len(text))) : at] = [w if rng.random() < 0.85 else rng.choice(words) for w in item]
+        texts.append((i, " ".join(text), None))
+    whole = Searcher.of(items, 0.5, 0.5)
+    step, want = whole.step, {}
+    for i, text, _ in texts:
+        tokens = text_words(text)
+        for start in range(0, len(tokens), step):
+            passage = tokens[start : start + 2 * step]
+            for k, (item, body) in enumerate(items):
+                score = sum(s for t in {whole.index.terms[w] for w in passage if w in whole.index.terms} for j, s in whole.index.postings[t] if j == k)
+                parts = [overlap(set(shingles(p)), shingles(passage), passage) for p in split_item(body)]
+                if score >= 0.5 and min(parts) >= 0.5 and (score, *parts) > want.get((i, item), ()):
+                    want[i, item] = (score, *parts)
+    docs, table_ = table(spark, texts).repartition(3), benchmark(spark, items)
+    assert len(want) > 20
+    for shard in (1_000, 5, 1):
+        found = {(r[0], r[1]): tuple(r[2:]) for r in contaminated(docs, table_, shard_items=shard).collect()}
+        assert found.keys() == want.keys()
+        assert all(found[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+        kept = decontaminated(docs, table_, shard_items=10 if shard == 1 else shard)
+        assert {r["doc_id"] for r in kept.collect()} == {i for i, _, _ in texts} - {i for i, _ in want}
+    assert decontaminated(docs, benchmark(spark, [])).count() == 60
+
+
 def test_toxicity_held_out(toxic_docs):
     docs, marks = toxic_docs
     model = train_toxicity(docs, marks, fold(5) != 0)
