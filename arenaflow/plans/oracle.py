@@ -167,6 +167,23 @@ DOUBLES = [m for m in MEASURES if m not in (*EMPTY, "herotid", "modetid", "usern
 SCANNED = ", ".join(f"CAST({m} AS DOUBLE)" + (" + 0.5 * CAST(rank_tid = 3 AS INTEGER)" if m == "score" else "") + f" AS {m}" for m in DOUBLES)
 SCANNED_PLAIN = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in DOUBLES)
 
+# which rules a participant row passes on the way to the match export, in order
+RULES = ("match_id", "date", "lobby", "mode", "hero", "score", "admitted", "rated", "match_date", "version")
+RULED = f"""(
+  SELECT day, battleid, ifnull(list_position(oks, false), {len(RULES) + 1}) AS step, oks FROM (
+    SELECT day, p.battleid, list_transform([
+      p.battleid IS NOT NULL, day {IN_RUN}, usernum = {P.usernum}, list_contains({list(P.modetids)}, modetid), herotid = {P.hero_id},
+      score >= {P.score}, s.matching_id IS NOT NULL, s.elo >= {P.team_elo}, m.pt_dt {IN_RUN}, day >= '{P.version_cutoff}' OR m.keyversion IN ({ALLOWED})
+    ], lambda x: ifnull(x, false)) AS oks
+    FROM played p
+    LEFT JOIN (SELECT matching_id, role_id, max(team_elo) AS elo FROM admissions GROUP BY ALL) s ON s.matching_id = p.battleid AND s.role_id = p.role_id
+    LEFT JOIN per_match m ON m.battleid = p.battleid
+  ) r
+)"""
+STEPS = [*RULES, "kept"]
+# rules that no row of the match passes
+NEVER = "concat_ws(',', " + ", ".join(f"CASE WHEN NOT bool_or(oks[{k}]) THEN '{rule}' END" for k, rule in enumerate(RULES, 1)) + ")"
+
 # what a raw line's odd number is worth as text, by the rank in the line; the fifth is infinite
 ODD_GOLD = (
     "CASE rank_tid WHEN 1 THEN '1' || repeat('0', 33) WHEN 2 THEN '0.1234567' WHEN 3 THEN '0.0000001' WHEN 4 THEN '0' WHEN 5 THEN NULL "
@@ -231,6 +248,15 @@ FINAL = {
     "duplicate_audit": (
         f"SELECT battleid, count(*) AS row_count FROM played WHERE day {IN_RUN} GROUP BY ALL HAVING count(*) = {FIXTURE_AUDIT_COUNT}"
     ),
+    "heavy_hitters": "SELECT rank_tid, count(*) AS row_count FROM participants GROUP BY ALL HAVING count(*) > (SELECT count(*) FROM participants) / 10",
+    "salted_rank_join": (
+        "SELECT battleid, role_id, rank_tid, kill, rank_tid AS r_rank, CAST(sum(kill) OVER (PARTITION BY rank_tid) AS BIGINT) AS rank_kills FROM participants"
+    ),
+    "drop_funnel": f"SELECT left(day, 7) AS pt_dt_date, {STEPS}[step] AS reason, count(*) AS row_count FROM {RULED} r GROUP BY ALL",
+    "match_reasons": (
+        f"SELECT battleid, count(*) AS row_count, count(*) FILTER (step = {len(STEPS)}) AS kept_rows, {STEPS}[max(step)] AS furthest, "
+        f"{NEVER} AS never_passed FROM {RULED} r WHERE battleid IS NOT NULL GROUP BY battleid"
+    ),
     "join_admissions": "FROM fitting JOIN rated USING (battleid, role_id)",
     "join_match_view": "FROM fitting JOIN rated USING (battleid, role_id) JOIN dated USING (battleid)",
     "expand_participants": "FROM lineup",

@@ -35,6 +35,8 @@ from arenaflow.operators import (
     version_allowed,
     version_allowed_semi,
 )
+from arenaflow.operators.funnel import drop_funnel, match_reasons, passed_rules
+from arenaflow.operators.heavy import heavy_hitters, salted_join
 from arenaflow.plans import jobs
 from arenaflow.schemas import CORRUPT_COLUMN, PARTICIPANTS, UNCAST_COLUMN
 from arenaflow.session import scratch_dir
@@ -289,6 +291,26 @@ def duplicate_audit_q(spark, sf_dir):
     return duplicate_audit(rows, FIXTURE_AUDIT_COUNT)
 
 
+def heavy_hitters_q(spark, sf_dir):
+    """The ranks that hold more than a tenth of all participant rows."""
+    return heavy_hitters(_logs(spark, sf_dir).participants, "rank_tid", 0.1)
+
+
+def salted_rank_join(spark, sf_dir):
+    """Participants beside the kills of all rows of their rank; the ranks with over a tenth of the rows are spread over salts."""
+    rows = _logs(spark, sf_dir).participants.select("battleid", "role_id", "rank_tid", "kill")
+    ranks = rows.groupBy(F.col("rank_tid").alias("r_rank")).agg(F.sum("kill").alias("rank_kills"))
+    return salted_join(rows, ranks, "rank_tid", "r_rank", heavy_hitters(rows, "rank_tid", 0.1))
+
+
+def drop_funnel_q(spark, sf_dir):
+    return drop_funnel(passed_rules(_logs(spark, sf_dir), P))
+
+
+def match_reasons_q(spark, sf_dir):
+    return match_reasons(passed_rules(_logs(spark, sf_dir), P))
+
+
 def monthly_matches(spark, sf_dir):
     return jobs.monthly_match_counts(_logs(spark, sf_dir), P)
 
@@ -439,6 +461,10 @@ QUERIES: dict[str, Query] = {
     "incremental_match_view": incremental_match_view,
     "first_token": first_token,
     "duplicate_audit": duplicate_audit_q,
+    "heavy_hitters": heavy_hitters_q,
+    "salted_rank_join": salted_rank_join,
+    "drop_funnel": drop_funnel_q,
+    "match_reasons": match_reasons_q,
     "join_admissions": join_admissions_q,
     "join_match_view": join_match_view_q,
     "expand_participants": expand_participants,
