@@ -51,10 +51,10 @@ _TOKEN = re.compile(rb"\n|[^ \n]+")
 _SLICE = 1 << 20  # bytes of a long text that are split into words at a time
 
 CHUNKS = T.StructType(
-    [T.StructField("chunk", T.StringType()), T.StructField("places", T.BinaryType()), T.StructField("langs", T.ArrayType(T.StringType())),
+    [T.StructField("places", T.BinaryType()), T.StructField("langs", T.ArrayType(T.StringType())),
      T.StructField("words", T.ArrayType(T.StringType())), T.StructField("times", T.ArrayType(T.LongType()))]
 )
-NUMBERED = T.StructType([T.StructField("numbers", T.BinaryType())])
+NUMBERED = T.StructType([T.StructField("width", T.LongType()), T.StructField("numbers", T.BinaryType())])
 FOUND = T.StructType([T.StructField(n, T.LongType()) for n in ("phrase", "next", "n")])
 TRIES = T.StructType([T.StructField("shard", T.LongType()), T.StructField("digits", T.LongType())] + [T.StructField(n, T.BinaryType()) for n in ("base", "check", "accept", "ids")])
 
@@ -95,11 +95,11 @@ class _Chunk:
     def row(self) -> tuple:
         places = np.concatenate(self.places)
         times = np.bincount(places, minlength=len(self.entries) + 1)[1:]
-        return uuid.uuid4().hex, places.tobytes(), [la for la, _ in self.entries], [w.decode() for _, w in self.entries], times
+        return places.tobytes(), [la for la, _ in self.entries], [w.decode() for _, w in self.entries], times
 
 
 def text_chunks(docs: DataFrame, chunk_words: int) -> DataFrame:
-    """One row a chunk: word places (0 ends a piece) and the chunk's dictionary with its counts."""
+    """One row a chunk: word places (0 ends a piece) and the chunk's dictionary with its counts; written."""
     ship_package(docs.sparkSession)
     schema = to_arrow_schema(CHUNKS)
 
@@ -117,7 +117,8 @@ def text_chunks(docs: DataFrame, chunk_words: int) -> DataFrame:
         if chunk.size:
             yield batch_of(chunk)
 
-    return docs.select(F.coalesce("lang", F.lit(UND)), "text").mapInArrow(run, CHUNKS)
+    chunks = docs.select(F.coalesce("lang", F.lit(UND)), "text").mapInArrow(run, CHUNKS)
+    return materialize(chunks.withColumn("chunk", F.monotonically_increasing_id()), "phrase-chunks")
 
 
 def numbered(rows: DataFrame, name: str, purpose: str) -> DataFrame:
@@ -140,7 +141,8 @@ def numbered(rows: DataFrame, name: str, purpose: str) -> DataFrame:
 
 
 def number_texts(chunks: DataFrame, frequent: DataFrame) -> DataFrame:
-    """The chunks' texts in the numbers of the frequent words; 0 for others and for ends of pieces, runs of 0 once."""
+    """The chunks' texts in the numbers of the frequent words, of ``width`` bytes each; 0 for others and for ends
+    of pieces, runs of 0 once."""
     asked = chunks.select("chunk", F.posexplode(F.arrays_zip("langs", "words")).alias("place", "entry"))
     answers = asked.select("chunk", "place", F.col("entry.langs").alias("lang"), F.col("entry.words").alias("word")).join(
         frequent.select("lang", "word", "number"), ["lang", "word"]
@@ -153,19 +155,26 @@ def number_texts(chunks: DataFrame, frequent: DataFrame) -> DataFrame:
         number[right.column("place").to_numpy() + 1] = right.column("number").to_numpy()
         text = number[places]
         keep = np.append(True, (text[1:] != 0) | (text[:-1] != 0))
-        return pa.table([pa.array([text[keep].astype("<i8").tobytes()], pa.binary())], schema=schema)
+        text = text[keep]
+        width = 4 if text.max(initial=0) < 1 << 32 else 8
+        return pa.table([pa.array([width]), pa.array([text.astype(f"<u{width}").tobytes()], pa.binary())], schema=schema)
 
     own = chunks.select(F.col("chunk").alias("own"), "places")
     return own.groupBy("own").cogroup(answers.groupBy("chunk")).applyInArrow(finish, NUMBERED)
 
 
-def _tally(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys of the pieces with their sums."""
-    found, at = np.unique(np.concatenate(keys), return_inverse=True)
-    return found, np.bincount(at, np.concatenate(counts), len(found)).astype(np.int64)
+def _pairs(row: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (row, word) pairs and how often each is there."""
+    if len(row) and max(row.max() >> 31, word.max() >> 32) == 0:  # both fit into one sortable number
+        key, n = np.unique(row << 32 | word, return_counts=True)
+        return key >> 32, key & 0xFFFFFFFF, n
+    order = np.lexsort((word, row))
+    row, word = row[order], word[order]
+    first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (word[1:] != word[:-1])))
+    return row[first], word[first], np.diff(np.append(first, len(row)))
 
 
-def scan(texts: DataFrame, finder, follow: bool, gather: int = 4_000_000) -> DataFrame:
+def scan(texts: DataFrame, finder, follow: bool, gather: int = 1_000_000) -> DataFrame:
     """``phrase``, ``next``, ``n``: how often each phrase that ``finder`` knows stands in the texts (``next`` 0),
     and, if ``follow``, how often each frequent word follows it.
 
@@ -184,16 +193,12 @@ def scan(texts: DataFrame, finder, follow: bool, gather: int = 4_000_000) -> Dat
         rows, words, size = [], [], 0
 
         def followers():
-            row, word = np.concatenate(rows), np.concatenate(words)
-            order = np.lexsort((word, row))
-            row, word = row[order], word[order]
-            first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (word[1:] != word[:-1])))
-            n = np.diff(np.append(first, len(row)))
-            return batches_of(row[first] if ids is None else ids[row[first]], word[first], n)
+            row, word, n = _pairs(np.concatenate(rows), np.concatenate(words))
+            return batches_of(row if ids is None else ids[row], word, n)
 
         for batch in batches:
-            for data in batch.column(0):
-                text = np.frombuffer(data.as_buffer(), "<i8")
+            for width, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                text = np.frombuffer(data.as_buffer(), f"<u{width}").astype(np.int64)
                 at, row, length = find(text)
                 if total is not None:
                     total += np.bincount(row, minlength=len(ids))
@@ -259,7 +264,7 @@ def count_level(texts: DataFrame, candidates: DataFrame, words: int, shard_phras
 def phrase_counts(docs: DataFrame, least: int, chunk_words: int, shard_phrases: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Word totals by language (``lang``, ``n``), frequent words (``lang``, ``word``, ``f``, ``number``), and
     phrases of 2 to ``LONGEST`` words (``numbers``, ``f``) with at least ``least`` occurrences."""
-    chunks = materialize(text_chunks(docs, chunk_words), "phrase-chunks")
+    chunks = text_chunks(docs, chunk_words)
     entry = F.explode(F.arrays_zip("langs", "times")).alias("e")
     totals = chunks.select(entry).groupBy(F.col("e.langs").alias("lang")).agg(F.sum("e.times").alias("n"))
     entry = F.explode(F.arrays_zip("langs", "words", "times")).alias("e")
