@@ -44,6 +44,8 @@ SKETCH_BITS = 1024
 SKETCH = [f"odd{i}" for i in range(SKETCH_BITS // 64)]
 # A pair goes unconfirmed if its sketches differ in so many standard deviations more bits than expected.
 SIGMAS = 7.0
+# Pairs of one document, or members of one band, that one task compares; more are dealt over several.
+SPREAD = 500
 _RNG = np.random.default_rng(20210601)
 _FACTORS = _RNG.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OFFSETS = _RNG.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2)
@@ -163,13 +165,27 @@ def _side(features: DataFrame, side: str) -> DataFrame:
     )
 
 
+def _upto(n: Column) -> Column:
+    """0, 1, ... n - 1."""
+    return F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` whose full sets have ``100 * intersection >= percent * union``."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
+    """The pairs ``a``, ``b`` whose full sets have ``100 * intersection >= percent * union``.
+
+    The set of an ``a`` with very many pairs (the center of a large band) is handed out in copies, one for
+    each ``SPREAD`` of them, so that its pairs are compared by many tasks.
+    """
+    hot = pairs.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > SPREAD).select("a", F.ceil(F.col("n") / SPREAD).cast("int").alias("copies"))
+    hot = materialize(hot, "hot-centers")  # at most one row for SPREAD pairs
+    dealt = pairs.join(hot, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("copies", F.lit(1))).alias("copy"))
+    left = sets.join(hot, sets["node"] == hot["a"], "left").select(
+        F.col("node").alias("a"), F.col("shingles").alias("set_a"), F.explode(_upto(F.coalesce("copies", F.lit(1)))).alias("copy")
+    )
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
     both = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - both
-    return pairs.join(left, "a").join(right, "b").where(F.lit(100) * both >= F.lit(percent) * union).select("a", "b").distinct()
+    return dealt.join(left, ["a", "copy"]).join(right, "b").where(F.lit(100) * both >= F.lit(percent) * union).select("a", "b").distinct()
 
 
 def near_duplicate_links(docs: DataFrame, found: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -199,14 +215,19 @@ def near_duplicate_links(docs: DataFrame, found: DataFrame, classes: DataFrame,
     rest = placed.where("node <> center").join(mixed, "band", "left_semi").join(features.drop("text_hash"), "node").drop("center")
     rest = materialize(rest, "mixed-bands")
 
+    # a large band is compared in blocks: its members are dealt over them on one side, and stand in each on the other
+    blocks = rest.groupBy("band").agg(F.ceil(F.count("*") / SPREAD).cast("int").alias("blocks"))
+    rest = rest.join(blocks, "band")
+
     def side(x: str) -> DataFrame:
         names = {"component": f"c_{x}", "node": x, "n_shingles": f"n_{x}", "bands": f"bands_{x}", **{c: f"{c}_{x}" for c in SKETCH}}
-        return rest.select("place", "band", *(F.col(c).alias(n) for c, n in names.items()))
+        block = F.pmod(F.xxhash64("node"), "blocks") if x == "a" else F.explode(_upto(F.col("blocks")))
+        return rest.select("place", "band", block.alias(f"block_{x}"), *(F.col(c).alias(n) for c, n in names.items()))
 
     shared_before = F.arrays_overlap(F.slice("bands_a", 1, F.col("place")), F.slice("bands_b", 1, F.col("place")))
     a, b = side("a"), side("b").drop("place")
     once_each = (F.col("c_a") < F.col("c_b")) & _plausible(percent) & ~shared_before
-    second = a.join(b, (a["band"] == b["band"]) & once_each).select("a", "b").distinct()
+    second = a.join(b, (a["band"] == b["band"]) & (F.col("block_a") == F.col("block_b")) & once_each).select("a", "b").distinct()
     more = materialize(confirmed(second, sets, percent), "links")
     return components if more.isEmpty() else connected_components(links.union(more))
 

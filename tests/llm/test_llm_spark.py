@@ -196,6 +196,16 @@ def test_near_duplicates_equal_brute_force(spark):
     assert sorted(r["doc_id"] for r in kept.select("doc_id").collect()) == sorted({c for _, c in want.values()})
 
 
+@pytest.mark.parametrize("spread", [1, 3])
+def test_hot_centers_and_bands_are_spread_without_losing_links(spark, monkeypatch, spread):
+    from arenaflow.llm import op6_neardup
+
+    monkeypatch.setattr(op6_neardup, "SPREAD", spread)
+    texts = near_copies(n_groups=12, seed=5)
+    rows = near_duplicates(table(spark, [(i, t, "en") for i, t in enumerate(texts)])).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == brute_components(texts)
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(500, i) for i in range(501, 540)] + [(i, i) for i in (700, 701)]
@@ -225,6 +235,36 @@ def test_licenses_equal_brute_force(spark):
     assert all(p in n for _, n, p in TEMPLATES)
 
 
+def test_licenses_in_texts_that_repeat_a_word(spark):
+    rng = random.Random(10)
+    vocabulary = sorted({w for _, n, _ in TEMPLATES for w in n.split()})
+    texts = ["reserved " * 300_000, "all rights " * 200_000 + "reserved", "all all rights rights reserved reserved " * 3]
+    texts += [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 60))) for _ in range(100)]
+    texts += [" ".join([rng.choice(vocabulary)] * rng.randint(1, 30) + n.split() + [rng.choice(vocabulary)] * 5) for _, n, _ in TEMPLATES for _ in range(4)]
+    docs = table(spark, [(i, t, None) for i, t in enumerate(texts)])
+    from arenaflow.llm.op5_licenses import rare_words
+
+    lookups, found = rare_words(docs), {r["doc_id"]: r for r in license_scan(docs).collect()}
+    for i, text in enumerate(texts):
+        words, labels, best = text.split(), set(), 0.0
+        counts = [Counter() for _ in TEMPLATES]
+        for place, w in enumerate(words):
+            for k, (_, notice, _) in enumerate(TEMPLATES):
+                if w in lookups[k]:
+                    counts[k].update(place - at for at, x in enumerate(notice.split()) if x == w)
+        for (label, notice, phrase), lookup, count in zip(TEMPLATES, lookups, counts, strict=True):
+            notice, phrase = notice.split(), phrase.split()
+            offset = next(k for k in range(len(notice)) if notice[k : k + len(phrase)] == phrase)
+            postings = sum(w in lookup for w in notice)
+            for start, n in count.items():
+                if 2 * n >= postings and start + offset >= 0 and words[start + offset : start + offset + len(phrase)] == phrase:
+                    share = sum(0 <= start + j < len(words) and words[start + j] == w for j, w in enumerate(notice)) / len(notice)
+                    labels.add(label)
+                    best = max(best, share)
+        labels |= {la for p, la in BASE if f" {p} " in f" {text} "}
+        assert set(found[i]["labels"].split(",")) - {""} == labels and found[i]["score"] == pytest.approx(best)
+
+
 def brute_lines(texts, min_support=3, depth=4, similarity=0.8, min_tokens=3):
     """Line dedup without Spark: exact lines, then whole leaves clustered in two steps."""
     import numpy as np
