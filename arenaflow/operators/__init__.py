@@ -2,6 +2,7 @@
 
 from arenaflow.operators.aggregates import (
     duplicate_audit,
+    first_earliest,
     first_non_null,
     first_valid_version,
     first_valid_version_ws,
@@ -29,6 +30,7 @@ __all__ = [
     "duplicate_audit",
     "era_rule",
     "era_rule_union",
+    "first_earliest",
     "first_non_null",
     "first_valid_version",
     "first_valid_version_ws",

@@ -42,6 +42,21 @@ def first_non_null(participants: DataFrame) -> DataFrame:
     )
 
 
+def first_earliest(participants: DataFrame) -> DataFrame:
+    """First non-NULL date key and first usable version per match, taken as the one with the earliest log time.
+
+    The other reading of "first in the group".  Of equal log times the smaller value counts, a
+    row without a log time comes after all others.  Bounded state (the least pair), combined map-side.
+    """
+    def earliest(value: Column) -> Column:
+        undated = F.col("logtime").isNull()
+        return F.min(F.when(value.isNotNull(), F.struct(undated.alias("undated"), F.col("logtime"), value.alias("value"))))["value"]
+
+    return participants.groupBy("battleid").agg(
+        earliest(date_key("logtime")).alias("pt_dt"), earliest(valid_version("keyversion")).alias("keyversion")
+    )
+
+
 def first_valid_version(participants: DataFrame) -> DataFrame:
     """First usable version per match: blank and null-spelled values count as missing."""
     return participants.groupBy("battleid").agg(first_valid(valid_version("keyversion")).alias("keyversion"))

@@ -215,6 +215,10 @@ FINAL = {
         "SELECT conv_id, ifnull(string_agg(text || chr(10), '' ORDER BY turn) FILTER (text <> ''), '') AS section_text, "
         "count(*) FILTER (text <> '') AS frame_count, 'ok' AS status FROM conversations GROUP BY ALL"
     ),
+    "framed_split_sections": (
+        "SELECT conv_id, ifnull(string_agg(text || chr(10), '' ORDER BY turn) FILTER (text <> ''), '') AS section_text, "
+        "count(*) FILTER (text <> '') AS frame_count, 'ok' AS status FROM conversations GROUP BY ALL"
+    ),
     # of two sections the last counts; a file that ends within a header gives no text
     "framed_odd_sections": (
         "SELECT conv_id, CASE WHEN conv_id % 3 <> 2 THEN ifnull(string_agg(text || chr(10), '' ORDER BY turn) FILTER (counts), '') END AS section_text, "
@@ -236,6 +240,9 @@ FINAL = {
     ),
     "match_kill_totals": f"SELECT battleid, {', '.join(KILLS)} FROM per_match",
     "first_non_null": "SELECT battleid, min(day) AS pt_dt, min(keyversion) AS keyversion FROM played GROUP BY ALL",
+    "first_earliest": (
+        "SELECT battleid, min(day) AS pt_dt, first(usable ORDER BY logtime, usable) FILTER (usable IS NOT NULL) AS keyversion FROM played GROUP BY ALL"
+    ),
     "first_valid_version": "SELECT battleid, keyversion FROM per_match",
     "first_valid_ws": _grouped(
         f"CASE WHEN regexp_replace(keyversion, '^{WHITE}+|{WHITE}+$', '', 'g') NOT IN ('', 'null', 'Null', 'NULL') THEN keyversion END"

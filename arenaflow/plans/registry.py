@@ -18,6 +18,7 @@ from arenaflow.functions import compact_to_iso, compact_to_iso_checked, date_key
 from arenaflow.operators import (
     duplicate_audit,
     era_rule_union,
+    first_earliest,
     first_non_null,
     first_valid_version,
     first_valid_version_ws,
@@ -37,10 +38,11 @@ from arenaflow.operators import (
 )
 from arenaflow.operators.funnel import drop_funnel, match_reasons, passed_rules
 from arenaflow.operators.heavy import heavy_hitters, salted_join
+from arenaflow.operators.sizing import materialize
 from arenaflow.plans import jobs
 from arenaflow.schemas import CORRUPT_COLUMN, PARTICIPANTS, UNCAST_COLUMN
 from arenaflow.session import scratch_dir
-from arenaflow.sources import bucketed, exports, file_index, fixtures, framed, logs as logsrc, publication, verified
+from arenaflow.sources import bucketed, exports, file_index, fixtures, framed, framed_split, logs as logsrc, publication, verified
 from arenaflow.sources.fixtures import FIXTURE_AUDIT_COUNT, FIXTURE_LOOKUP_BATTLEID, FIXTURE_PARAMS as P
 from arenaflow.streaming import match_state
 
@@ -167,6 +169,16 @@ def framed_sections(spark, sf_dir):
     return framed.conversation_sections(spark, conv, scratch_dir(spark, "framed"))
 
 
+def framed_split_sections(spark, sf_dir):
+    """Conversations framed into gzip files of members of two turns; each file's last section put together from its members."""
+    out = scratch_dir(spark, "framed-split")
+    conv = fixtures.table(spark, sf_dir, "conversations")
+    framed.write_frame_files(conv.withColumn("kind", F.lit("frame")), out, enclosed=True, member_frames=2)
+    index = materialize(framed_split.index_members(spark, out), "framed-index")
+    conv_id = F.regexp_extract("path", r"conv_(-?\d+)\.gz$", 1).cast("bigint").alias("conv_id")
+    return framed_split.split_sections(index).select(conv_id, "section_text", "frame_count", "status")
+
+
 def framed_odd_sections(spark, sf_dir):
     """Files with frames outside the markers, several sections, or a cut header."""
     conv = fixtures.table(spark, sf_dir, "conversations")
@@ -245,6 +257,10 @@ def first_non_null_q(spark, sf_dir):
     return first_non_null(_logs(spark, sf_dir).participants)
 
 
+def first_earliest_q(spark, sf_dir):
+    return first_earliest(_logs(spark, sf_dir).participants)
+
+
 def first_valid_version_q(spark, sf_dir):
     return first_valid_version(_logs(spark, sf_dir).participants)
 
@@ -442,6 +458,7 @@ QUERIES: dict[str, Query] = {
     "published_exports": published_exports,
     "verified_readback": verified_readback,
     "framed_sections": framed_sections,
+    "framed_split_sections": framed_split_sections,
     "framed_odd_sections": framed_odd_sections,
     "participant_projection": participant_projection_q,
     "date_month_keys": date_month_keys,
@@ -453,6 +470,7 @@ QUERIES: dict[str, Query] = {
     "compact_dates": compact_dates,
     "match_kill_totals": match_kill_totals_q,
     "first_non_null": first_non_null_q,
+    "first_earliest": first_earliest_q,
     "first_valid_version": first_valid_version_q,
     "first_valid_ws": first_valid_ws,
     "match_view": match_view_q,

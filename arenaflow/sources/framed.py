@@ -115,7 +115,8 @@ def decode_file(content: bytes) -> tuple[str | None, int, str]:
     return decode_gzip_stream(io.BytesIO(content))
 
 
-def _arrow_uri(path: str) -> str:
+def arrow_uri(path: str) -> str:
+    """A path of Spark's as pyarrow wants it."""
     # Spark reports local files as file:/path, pyarrow wants file:///path; Hadoop's s3a is pyarrow's s3
     if path.startswith(("s3a://", "s3n://")):
         return "s3" + path[3:]
@@ -129,7 +130,7 @@ def _decode_paths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for batch in batches:
         for path in batch["path"]:
-            filesystem, fpath = fs.FileSystem.from_uri(_arrow_uri(path))
+            filesystem, fpath = fs.FileSystem.from_uri(arrow_uri(path))
             with filesystem.open_input_stream(fpath, compression=None) as raw:
                 yield _section_frame(path, decode_gzip_stream(raw))
 
@@ -161,11 +162,11 @@ def read_sections(spark: SparkSession, path: str, glob: str = "*.gz", stream: bo
     return files.select("path", "content").mapInPandas(_decode_contents, SECTION_SCHEMA)
 
 
-def _file_writer(out_dir: str, enclosed: bool):
+def _file_writer(out_dir: str, enclosed: bool, member_frames: int | None):
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        state = {"key": None, "raw": None, "gz": None, "bytes": 0}
+        state = {"key": None, "raw": None, "gz": None, "bytes": 0, "frames": 0}
         done: list[tuple[int, int]] = []
 
         def close():
@@ -175,18 +176,20 @@ def _file_writer(out_dir: str, enclosed: bool):
                 state["gz"].close()
                 state["raw"].close()
                 done.append((state["key"], state["bytes"]))
-                state.update(key=None, raw=None, gz=None, bytes=0)
+                state.update(key=None, raw=None, gz=None, bytes=0, frames=0)
 
         def open_(key: int):
-            target = _arrow_uri(f"{out_dir.rstrip('/')}/conv_{key}.gz")
+            target = arrow_uri(f"{out_dir.rstrip('/')}/conv_{key}.gz")
             filesystem, fpath = fs.FileSystem.from_uri(target)
             raw = filesystem.open_output_stream(fpath, compression=None)
-            # fixed header fields: a retried task rewrites identical bytes
-            gz = gzip.GzipFile(filename="", fileobj=raw, mode="wb", mtime=0)
-            state.update(key=key, raw=raw, gz=gz, bytes=0)
+            state.update(key=key, raw=raw, gz=member(raw), bytes=0, frames=0)
             if enclosed:
                 put(_header(MARKER))
 
+        def member(raw) -> gzip.GzipFile:
+            # fixed header fields: a retried task rewrites identical bytes
+            return gzip.GzipFile(filename="", fileobj=raw, mode="wb", mtime=0)
+
         def put(data: bytes):
             state["gz"].write(data)
             state["bytes"] += len(data)
@@ -198,7 +201,11 @@ def _file_writer(out_dir: str, enclosed: bool):
                     close()
                     open_(key)
                 data = (text if isinstance(text, str) else "").encode("utf-8")
+                if member_frames and state["frames"] == member_frames:
+                    state["gz"].close()
+                    state.update(gz=member(state["raw"]), frames=0)
                 put(_header(MARKER) if kind == "marker" else data if kind == "raw" else _header(len(data)) + data)
+                state["frames"] += 1
             if done:
                 yield pd.DataFrame(done, columns=["conv_id", "file_bytes"])
                 done.clear()
@@ -209,12 +216,14 @@ def _file_writer(out_dir: str, enclosed: bool):
     return write
 
 
-def write_frame_files(items: DataFrame, out_dir: str, enclosed: bool = False) -> int:
+def write_frame_files(items: DataFrame, out_dir: str, enclosed: bool = False, member_frames: int | None = None) -> int:
     """Writes one framed gzip file per ``conv_id`` from the rows ``conv_id``, ``turn``,
     ``kind``, ``text`` in turn order, and returns the number of files.
 
     ``kind``: ``frame`` (the text as a frame), ``marker``, or ``raw`` (the text's
-    bytes as they are).  ``enclosed`` puts a marker before and after.
+    bytes as they are).  ``enclosed`` puts a marker before and after.  ``member_frames``
+    begins a new gzip member after so many rows, so that :mod:`arenaflow.sources.framed_split` can
+    decode one file by several tasks.
 
     Rows are hash-partitioned by conversation and sorted by (conversation, turn)
     within each task (an external, spilling sort); the writer then streams them
@@ -229,7 +238,7 @@ def write_frame_files(items: DataFrame, out_dir: str, enclosed: bool = False) ->
         .repartition("conv_id")
         .sortWithinPartitions("conv_id", "turn")
     )
-    written = ordered.mapInPandas(_file_writer(out_dir, enclosed), "conv_id long, file_bytes long")
+    written = ordered.mapInPandas(_file_writer(out_dir, enclosed, member_frames), "conv_id long, file_bytes long")
     return written.agg(F.count(F.lit(1))).first()[0]
 
 

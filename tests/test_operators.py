@@ -271,3 +271,17 @@ def test_detail_admission_window_on_stored_date(spark):
     assert (1, 10, 1500) in by_log and (1, 10, None) in by_pt and (1, 10, 1500) not in by_pt
     with pytest.raises(ValueError):
         jobs.participant_detail(stored, P, eligible, admission_window="other")
+
+
+def test_first_earliest_follows_the_log_time(spark):
+    from arenaflow.operators import first_earliest
+
+    lg = logs(spark, [
+        participant(1, 1, "2021-03-02 10:00:00", keyversion="a"), participant(1, 2, "2021-03-01 10:00:00", keyversion="z"),
+        participant(1, 3, "2021-02-01 10:00:00", keyversion=" "), participant(1, 4, None, keyversion="0"),
+        participant(2, 1, "2021-03-01 10:00:00", keyversion="y"), participant(2, 2, "2021-03-01 10:00:00", keyversion="x"),
+        participant(3, 1, None, keyversion="only"), participant(4, 1, "2021-03-01 10:00:00", keyversion=None), participant(None, 1, "2021-03-09 10:00:00"),
+    ])
+    assert rows(first_earliest(lg.participants)) == sorted(
+        [(1, "2021-02-01", "z"), (2, "2021-03-01", "x"), (3, None, "only"), (4, "2021-03-01", None), (None, "2021-03-09", "v1")], key=repr
+    )
