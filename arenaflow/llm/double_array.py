@@ -19,7 +19,7 @@ RADIX = 1 << BITS
 def digits_of(words: np.ndarray, digits: int) -> np.ndarray:
     """``words`` (n x k) as n x (k * digits) digits, the highest first."""
     shifts = np.arange(digits - 1, -1, -1) * BITS
-    return ((words[:, :, None] >> shifts) & (RADIX - 1)).reshape(len(words), -1)
+    return np.concatenate([((column[:, None] >> shifts) & (RADIX - 1)).astype(np.int16) for column in words.T], 1)
 
 
 @dataclass
@@ -37,7 +37,7 @@ class DoubleArray:
         digits = max(1, -(-int(phrases.max(initial=1)).bit_length() // BITS))
         path = digits_of(phrases, digits)
         order = np.lexsort(path.T[::-1])
-        path = path[order]
+        path = np.ascontiguousarray(path[order].T)
         place = _Places(4 * RADIX)
         state = np.zeros(n, np.int64)
         base, check = {}, {}
@@ -47,9 +47,9 @@ class DoubleArray:
         for level in range(k * digits):
             # a child begins where the path up to here changes; its parent's state is known
             child = new.copy()
-            child[1:] |= path[1:, level] != path[:-1, level]
+            child[1:] |= path[level, 1:] != path[level, :-1]
             at = np.flatnonzero(child)
-            parent, digit = state[at], path[at, level]
+            parent, digit = state[at], path[level, at].astype(np.int64)
             first = np.flatnonzero(np.append(True, new[at][1:]))  # the parents' first children
             of_parent = place.fit(digit, first)
             slot = np.repeat(of_parent, np.diff(np.append(first, len(at)))) + digit

@@ -13,8 +13,8 @@
    gathers what may follow the phrases it finds, the candidates of the next level.  The tasks' counts are summed.
 3. Cuts, scores, contained phrases and ranks are joins and aggregations over the counted phrases.
 
-A trie of n phrases has at most 4 * 3 * n states in arrays of bounded size, so each broadcast is
-bounded by ``shard_phrases``; a larger corpus takes more shards, one pass each, by the same plan.
+A trie of n phrases has at most n states for each digit of its words (two a word up to 4,000,000 frequent words), in
+arrays of less than twice as many places, so each broadcast is bounded by ``shard_phrases``; a larger corpus takes more shards, one pass each, by the same plan.
 
 Defined cases: a NULL text counts as empty, a NULL lang as ``und``; pieces and phrases never
 reach across documents; equal scores go by count, then by the phrase; repeated rows
@@ -174,7 +174,7 @@ def _pairs(row: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return row[first], word[first], np.diff(np.append(first, len(row)))
 
 
-def scan(texts: DataFrame, finder, follow: bool, gather: int = 1_000_000) -> DataFrame:
+def scan(texts: DataFrame, finder, follow: bool, gather: int = 500_000) -> DataFrame:
     """``phrase``, ``next``, ``n``: how often each phrase that ``finder`` knows stands in the texts (``next`` 0),
     and, if ``follow``, how often each frequent word follows it.
 
@@ -298,7 +298,7 @@ def score_of(a: Column, both: Column, scale: int = 2_000_000) -> Column:
 
 
 def collocations(
-    docs: DataFrame, least: int = 30, top: int = 2_000, chunk_words: int = 1_000_000, shard_phrases: int = 500_000, contained_percent: int = 80,
+    docs: DataFrame, least: int = 30, top: int = 2_000, chunk_words: int = 400_000, shard_phrases: int = 200_000, contained_percent: int = 80,
 ) -> DataFrame:
     """``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``: each language's first ``top`` phrases."""
     totals, frequent, counted = phrase_counts(docs, least, chunk_words, shard_phrases)
@@ -311,7 +311,7 @@ def collocations(
     for side, name in (("first", "l"), ("rest", "r")):
         cuts = cuts.join(parts.select(F.col("part").alias(side), F.col("f").alias(name)), side)
     scored = cuts.select("numbers", F.col("f").alias("a"), F.struct(score_of(F.col("f"), F.col("l") + F.col("r")).alias("score"), "k", "l", "r").alias("cut"))
-    best = scored.groupBy("numbers").agg(F.max("a").alias("a"), F.min("cut").alias("cut"))
+    best = materialize(scored.groupBy("numbers").agg(F.max("a").alias("a"), F.min("cut").alias("cut")), "scored-phrases")
     # phrases inside longer ones that are nearly as frequent
     inside = phrases.where(size > 2).select(
         "f", F.explode(F.expr(
@@ -322,7 +322,8 @@ def collocations(
     kept = best.join(covered, "numbers", "left").where(
         F.col("longer").isNull() | (F.col("longer").cast("decimal(20,0)") * 100 < F.col("a").cast("decimal(20,0)") * contained_percent)
     )
-    spelled = phrases.select("numbers", F.posexplode("numbers").alias("place", "number")).join(frequent.select("number", "lang", "word"), "number")
+    kept = materialize(kept, "kept-phrases")
+    spelled = kept.select("numbers", F.posexplode("numbers").alias("place", "number")).join(frequent.select("number", "lang", "word"), "number")
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "word"))), lambda x: x["word"]), " ")
     spelled = spelled.groupBy("numbers").agg(F.first("lang").alias("lang"), text.alias("phrase"))
     rows = kept.join(spelled, "numbers").select("lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("cut.score").alias("score"))

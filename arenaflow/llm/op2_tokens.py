@@ -12,7 +12,9 @@ odds of about 5e-9 per 10^11 different pre-tokens and table entry.)
 
 Defined cases: a NULL text counts as empty (0 bytes, 0 tokens); special strings
 inside a text are one token each, as the library's default has it; texts of any
-length are counted whole; repeated rows each get their row.
+length are counted whole; exactly ``limit`` tokens are not over it; repeated rows each get their row; an empty table gives
+an empty result; extra columns, whatever their names, are ignored.  Words with characters from
+``PLAIN_LIMIT`` on are counted by the library (see ``bpe.py``).
 """
 
 from __future__ import annotations

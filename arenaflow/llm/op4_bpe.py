@@ -8,7 +8,9 @@ bounded cache.  The lexicon changes only the speed, never the ids.
 
 Defined cases: a NULL text counts as empty (no ids, empty decoded text); special
 strings inside a text are their single id, as the library's default has it;
-texts of any length are encoded whole; repeated rows each get their row.
+texts of any length are encoded whole; repeated rows each get their row; an empty table gives an empty result; extra
+columns, whatever their names, are ignored.  Words with characters from ``PLAIN_LIMIT`` on are encoded by the
+library (see ``bpe.py``).
 """
 
 from __future__ import annotations

@@ -15,8 +15,8 @@ labels.  At most ``max_features`` features are broadcast.
 
 Defined cases: a NULL or empty text gets the score of a text without features;
 without any positive example all scores are 0; exact copies in a sample count
-once; repeated label rows of a document count once; repeated documents each get
-their row; extra columns are ignored.
+once; repeated label rows of a document count once; a score of exactly 0.5 is predicted toxic; repeated documents
+each get their row; an empty table gives an empty result; extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

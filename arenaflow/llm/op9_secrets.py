@@ -9,7 +9,7 @@ Kinds, in the order used for ties: assign, access, hex, pem, jwt, der, openssh.
 Positions are code points, end exclusive.  Defined cases: a NULL text counts as
 empty; texts are scanned whole; matches that fail a length test are dropped
 after they have consumed their characters (leftmost, non-overlapping per kind);
-repeated rows each get their row.
+repeated rows each get their row; an empty table gives an empty result; extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
