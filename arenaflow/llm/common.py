@@ -149,6 +149,10 @@ _SUMMARY = T.StructType(
 )
 
 
+# Summaries that one task of a later round merges.
+MERGED = 16
+
+
 def _summary(counts: Counter, k: int) -> tuple[list[str], list[int]]:
     top = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:k]
     return [w for w, _ in top], [c for _, c in top]
@@ -167,7 +171,7 @@ def frequent_words(docs: DataFrame, k: int, lower: bool = False, capacity: int =
 
     Every text is counted where it lies: a task keeps at most ``capacity`` counts
     (the lower half goes when there are more) and hands on one row with its ``k``
-    most frequent words.  These rows are merged in two steps, read one after the
+    most frequent words.  These rows are merged in rounds, about ``MERGED`` a task, read one after the
     other into as many counts; no word is shuffled by itself.  The counts of rare
     words may be low by the pruning; callers use the list to fill a lookup table
     that changes their speed, never their result.
@@ -192,8 +196,10 @@ def frequent_words(docs: DataFrame, k: int, lower: bool = False, capacity: int =
         yield _batch([_summary(counts, k)], schema)
 
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
-    first = docs.select("text").mapInArrow(count, _SUMMARY)
-    merged = first.repartition(parts).mapInArrow(merge, _SUMMARY).repartition(1).mapInArrow(merge, _SUMMARY)
+    merged = docs.select("text").mapInArrow(count, _SUMMARY).repartition(parts).mapInArrow(merge, _SUMMARY)
+    while parts > 1:
+        parts = max(1, parts // MERGED)
+        merged = merged.repartition(parts).mapInArrow(merge, _SUMMARY)
     rows = merged.collect()
     return list(rows[0]["words"]) if rows else []
 
