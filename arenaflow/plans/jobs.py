@@ -123,9 +123,9 @@ def packed_participants(eligible_rows: DataFrame) -> DataFrame:
 
 
 def _played(logs: Logs, p: RunParams) -> DataFrame:
-    """Participant rows in the date range, the match id as ``e_battleid``."""
+    """Participant rows in the date range, the match id as ``played_battleid``."""
     rows = in_log_window(logs.participants, p.start_date, p.end_date, partition_key=logs.partition_key)
-    return rows.select(F.col("battleid").alias("e_battleid"), *participant_columns(exclude=("battleid",)))
+    return rows.select(F.col("battleid").alias("played_battleid"), *participant_columns(exclude=("battleid",)))
 
 
 def expanded_participants(logs: Logs, p: RunParams, eligible: DataFrame) -> DataFrame:
@@ -137,7 +137,7 @@ def expanded_participants(logs: Logs, p: RunParams, eligible: DataFrame) -> Data
     join, which cuts the participant rows to the eligible matches first and lets
     adaptive execution split a hot match on either side.
 
-    Output: ``pt_dt``, ``battleid`` of the eligible side, ``e_battleid`` and the
+    Output: ``pt_dt``, ``battleid`` of the eligible side, ``played_battleid`` and the
     participant fields of the joined row.
     """
     # The pairs come out of a join on the match id; dealing them anew makes this join shuffle
@@ -145,7 +145,7 @@ def expanded_participants(logs: Logs, p: RunParams, eligible: DataFrame) -> Data
     pairs = eligible.select("pt_dt", "battleid")
     if not logs.co_partitioned:
         pairs = pairs.hint("rebalance")
-    return match_join(pairs, _played(logs, p), [("battleid", "e_battleid")])
+    return match_join(pairs, _played(logs, p), [("battleid", "played_battleid")])
 
 
 def participant_detail(logs: Logs, p: RunParams, eligible: DataFrame, admission_window: str = "logtime") -> DataFrame:
@@ -168,8 +168,8 @@ def participant_detail(logs: Logs, p: RunParams, eligible: DataFrame, admission_
         adm = in_key_window(logs.admissions, p.start_date, p.end_date, "pt_dt")
     else:
         raise ValueError(f"admission_window must be 'logtime' or 'pt_dt', not {admission_window!r}")
-    ratings = adm.select(F.col("matching_id"), F.col("role_id").alias("m_role_id"), F.col("team_elo"))
-    rows = left_join(expanded_participants(logs, p, eligible), ratings, [("e_battleid", "matching_id"), ("role_id", "m_role_id")])
+    ratings = adm.select(F.col("matching_id"), F.col("role_id").alias("rated_role_id"), F.col("team_elo"))
+    rows = left_join(expanded_participants(logs, p, eligible), ratings, [("played_battleid", "matching_id"), ("role_id", "rated_role_id")])
     return rows.select("pt_dt", *DETAIL_RECORD)
 
 

@@ -135,11 +135,11 @@ qualified_roles AS (
 ),
 eligible_roles AS (SELECT * FROM qualified_roles WHERE pt_dt >= '{P.version_cutoff}' OR keyversion IN ({ALLOWED})),
 lineup AS (
-  SELECT e.pt_dt, e.battleid, p.battleid AS e_battleid, p.role_id, p.* EXCLUDE (battleid, role_id)
+  SELECT e.pt_dt, e.battleid, p.battleid AS played_battleid, p.role_id, p.* EXCLUDE (battleid, role_id)
   FROM eligible e JOIN (SELECT battleid, role_id, {FIELDS} FROM played WHERE day {IN_RUN}) p USING (battleid)
 ),
 detail AS (
-  SELECT lineup.* EXCLUDE (e_battleid), team_elo
+  SELECT lineup.* EXCLUDE (played_battleid), team_elo
   FROM lineup LEFT JOIN (SELECT matching_id, role_id, team_elo FROM admissions WHERE left(logtime, 10) {IN_RUN}) a
     ON a.matching_id = lineup.battleid AND a.role_id = lineup.role_id
 )
@@ -268,13 +268,13 @@ FINAL = {
     "join_match_view": "FROM fitting JOIN rated USING (battleid, role_id) JOIN dated USING (battleid)",
     "expand_participants": "FROM lineup",
     "left_join_miss": (
-        "SELECT m.battleid, gametype, p.battleid AS e_battleid, role_id, kill FROM matches m LEFT JOIN participants p USING (battleid)"
+        "SELECT m.battleid, gametype, p.battleid AS played_battleid, role_id, kill FROM matches m LEFT JOIN participants p USING (battleid)"
     ),
     "player_detail": "FROM detail",
     "bucketed_admissions": "FROM fitting JOIN rated USING (battleid, role_id)",
     "bucketed_detail": "FROM detail",
     "detail_stored_date": (
-        f"SELECT lineup.* EXCLUDE (e_battleid), team_elo FROM lineup LEFT JOIN "
+        f"SELECT lineup.* EXCLUDE (played_battleid), team_elo FROM lineup LEFT JOIN "
         f"(SELECT matching_id, role_id, team_elo FROM admissions WHERE pt_dt {IN_RUN}) a "
         "ON a.matching_id = lineup.battleid AND a.role_id = lineup.role_id"
     ),

@@ -358,8 +358,8 @@ def expand_participants(spark, sf_dir):
 def left_join_miss(spark, sf_dir):
     """Every match of the match log with its participants' roles; a match without any keeps one row."""
     lg = _logs(spark, sf_dir)
-    roles = lg.participants.select(F.col("battleid").alias("e_battleid"), "role_id", "kill")
-    return left_join(lg.matches.select("battleid", "gametype"), roles, [("battleid", "e_battleid")])
+    roles = lg.participants.select(F.col("battleid").alias("played_battleid"), "role_id", "kill")
+    return left_join(lg.matches.select("battleid", "gametype"), roles, [("battleid", "played_battleid")])
 
 
 def detail_stored_date(spark, sf_dir):

@@ -221,7 +221,7 @@ def test_detail_equals_its_left_join_definition(spark):
     """The job path's inner join and the left join of the definition give the same rows."""
     lg = _scenario(spark)
     pairs = jobs.eligible_matches(lg, P).select("pt_dt", "battleid")
-    by_definition = left_join(pairs, jobs._played(lg, P), [("battleid", "e_battleid")])
+    by_definition = left_join(pairs, jobs._played(lg, P), [("battleid", "played_battleid")])
     assert rows(jobs.expanded_participants(lg, P, jobs.eligible_matches(lg, P))) == rows(by_definition)
 
 
