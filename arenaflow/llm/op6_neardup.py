@@ -176,6 +176,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     The set of an ``a`` with very many pairs (the center of a large band) is handed out in copies, one for
     each ``SPREAD`` of them, so that its pairs are compared by many tasks.
     """
+    pairs = materialize(pairs, "pairs")
     hot = pairs.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > SPREAD).select("a", F.ceil(F.col("n") / SPREAD).cast("int").alias("copies"))
     hot = materialize(hot, "hot-centers")  # at most one row for SPREAD pairs
     dealt = pairs.join(hot, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("copies", F.lit(1))).alias("copy"))
