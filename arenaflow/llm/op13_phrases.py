@@ -3,8 +3,8 @@
 1. Texts become word numbers.  A task gathers documents into *chunks* of about
    ``chunk_words`` words with a dictionary of their own; only the dictionaries are shuffled, to
    count every word of every language and to number those with at least ``least`` occurrences
-   (a phrase with as many has no rarer word).  The numbers come back to the
-   chunk that asked, so no vocabulary is broadcast.
+   (a phrase with as many has no rarer word).  The numbers are broadcast in shards of
+   ``shard_words`` words and put into the chunks' dictionaries where these lie.
 2. Level by level, k = 2, 3, 4: the Apriori-safe candidates (their first k - 1 words are a frequent
    phrase, their last word is frequent, and the sums of what the chunks hold reach ``least``) are
    cut by hash into *shards* of about ``shard_phrases`` phrases.  Each shard is compiled into a
@@ -38,6 +38,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from arenaflow.llm.common import materialize, once
 from arenaflow.llm.double_array import DoubleArray
+from arenaflow.operators.sizing import materialize_at, remove_folder
 from arenaflow.session import ship_package
 
 LONGEST = 4
@@ -98,8 +99,8 @@ class _Chunk:
         return places.tobytes(), [la for la, _ in self.entries], [w.decode() for _, w in self.entries], times
 
 
-def text_chunks(docs: DataFrame, chunk_words: int) -> DataFrame:
-    """One row a chunk: word places (0 ends a piece) and the chunk's dictionary with its counts; written."""
+def text_chunks(docs: DataFrame, chunk_words: int) -> tuple[DataFrame, str]:
+    """One row a chunk: word places (0 ends a piece) and the chunk's dictionary with its counts; written, with its folder."""
     ship_package(docs.sparkSession)
     schema = to_arrow_schema(CHUNKS)
 
@@ -117,8 +118,7 @@ def text_chunks(docs: DataFrame, chunk_words: int) -> DataFrame:
         if chunk.size:
             yield batch_of(chunk)
 
-    chunks = docs.select(F.coalesce("lang", F.lit(UND)), "text").mapInArrow(run, CHUNKS)
-    return materialize(chunks.withColumn("chunk", F.monotonically_increasing_id()), "phrase-chunks")
+    return materialize_at(docs.select(F.coalesce("lang", F.lit(UND)), "text").mapInArrow(run, CHUNKS), "phrase-chunks")
 
 
 def numbered(rows: DataFrame, name: str, purpose: str) -> DataFrame:
@@ -140,27 +140,56 @@ def numbered(rows: DataFrame, name: str, purpose: str) -> DataFrame:
     )
 
 
-def number_texts(chunks: DataFrame, frequent: DataFrame) -> DataFrame:
+def number_texts(chunks: DataFrame, frequent: DataFrame, shard_words: int) -> DataFrame:
     """The chunks' texts in the numbers of the frequent words, of ``width`` bytes each; 0 for others and for ends
-    of pieces, runs of 0 once."""
-    asked = chunks.select("chunk", F.posexplode(F.arrays_zip("langs", "words")).alias("place", "entry"))
-    answers = asked.select("chunk", "place", F.col("entry.langs").alias("lang"), F.col("entry.words").alias("word")).join(
-        frequent.select("lang", "word", "number"), ["lang", "word"]
-    )
-    schema = to_arrow_schema(NUMBERED)
+    of pieces, runs of 0 once; written.
+
+    The vocabulary goes out in shards of ``shard_words`` words, one after the other.  Each numbers its words in the chunks'
+    dictionaries where these lie; nothing is shuffled.
+    """
+    spark = chunks.sparkSession
+    ship_package(spark)
+    last = frequent.agg(F.max("number")).first()[0] or 0
+    rows, folder = chunks.select("places", "langs", "words", F.lit(b"").alias("known")), None
+    for first in range(1, max(last, 1) + 1, shard_words):
+        vocabulary: dict[str, dict[str, int]] = {}
+        for r in frequent.where(F.col("number").between(first, first + shard_words - 1)).toLocalIterator():  # one shard
+            vocabulary.setdefault(r["lang"], {})[r["word"]] = r["number"]
+        shared, key, final = spark.sparkContext.broadcast(vocabulary), uuid.uuid4().hex, first + shard_words > last
+        schema = NUMBERED if final else rows.schema
+        arrow = to_arrow_schema(schema)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, key=key, final=final, arrow=arrow) -> Iterator[pa.RecordBatch]:
+            numbers = once(("vocabulary", key), lambda: shared.value)
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    row = batch.slice(k, 1)
+                    places, langs, words, known = (c[0] for c in row.columns)
+                    number = np.frombuffer(known.as_py(), "<i8").copy() if known.as_py() else np.zeros(len(words), np.int64)
+                    langs, words = langs.as_py(), words.as_py()
+                    found = np.fromiter((numbers.get(la, _NOTHING).get(w, 0) for la, w in zip(langs, words, strict=True)), np.int64, len(words))
+                    number += found
+                    if final:
+                        row = _numbered_row(np.append(0, number)[np.frombuffer(places.as_buffer(), "<u4")], arrow)
+                    else:
+                        row = pa.RecordBatch.from_arrays([*row.columns[:3], pa.array([number.tobytes()], pa.binary())], schema=arrow)
+                    yield row
+
+        rows, written = materialize_at(rows.mapInArrow(run, schema), "phrase-texts")
+        shared.unpersist()
+        if folder is not None:
+            remove_folder(spark, folder)
+        folder = written
+    return rows
+
+
+_NOTHING: dict[str, int] = {}
 
-    def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        places = np.frombuffer(left.column("places")[0].as_py(), "<u4")
-        number = np.zeros(int(places.max(initial=0)) + 1, np.int64)
-        number[right.column("place").to_numpy() + 1] = right.column("number").to_numpy()
-        text = number[places]
-        keep = np.append(True, (text[1:] != 0) | (text[:-1] != 0))
-        text = text[keep]
-        width = 4 if text.max(initial=0) < 1 << 32 else 8
-        return pa.table([pa.array([width]), pa.array([text.astype(f"<u{width}").tobytes()], pa.binary())], schema=schema)
 
-    own = chunks.select(F.col("chunk").alias("own"), "places")
-    return own.groupBy("own").cogroup(answers.groupBy("chunk")).applyInArrow(finish, NUMBERED)
+def _numbered_row(text: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
+    text = text[np.append(True, (text[1:] != 0) | (text[:-1] != 0))] if len(text) else text
+    width = 4 if text.max(initial=0) < 1 << 32 else 8
+    return pa.RecordBatch.from_arrays([pa.array([width]), pa.array([text.astype(f"<u{width}").tobytes()], pa.binary())], schema=schema)
 
 
 def _pairs(row: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -174,7 +203,7 @@ def _pairs(row: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return row[first], word[first], np.diff(np.append(first, len(row)))
 
 
-def scan(texts: DataFrame, finder, follow: bool, gather: int = 500_000) -> DataFrame:
+def scan(texts: DataFrame, finder, follow: bool, gather: int = 2_000_000) -> DataFrame:
     """``phrase``, ``next``, ``n``: how often each phrase that ``finder`` knows stands in the texts (``next`` 0),
     and, if ``follow``, how often each frequent word follows it.
 
@@ -261,16 +290,17 @@ def count_level(texts: DataFrame, candidates: DataFrame, words: int, shard_phras
     return reduce(DataFrame.unionAll, passes) if passes else spark.createDataFrame([], FOUND)
 
 
-def phrase_counts(docs: DataFrame, least: int, chunk_words: int, shard_phrases: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, least: int, chunk_words: int, shard_phrases: int, shard_words: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Word totals by language (``lang``, ``n``), frequent words (``lang``, ``word``, ``f``, ``number``), and
     phrases of 2 to ``LONGEST`` words (``numbers``, ``f``) with at least ``least`` occurrences."""
-    chunks = text_chunks(docs, chunk_words)
+    chunks, folder = text_chunks(docs, chunk_words)
     entry = F.explode(F.arrays_zip("langs", "times")).alias("e")
-    totals = chunks.select(entry).groupBy(F.col("e.langs").alias("lang")).agg(F.sum("e.times").alias("n"))
+    totals = materialize(chunks.select(entry).groupBy(F.col("e.langs").alias("lang")).agg(F.sum("e.times").alias("n")), "phrase-totals")
     entry = F.explode(F.arrays_zip("langs", "words", "times")).alias("e")
     counted = chunks.select(entry).groupBy(F.col("e.langs").alias("lang"), F.col("e.words").alias("word")).agg(F.sum("e.times").alias("f"))
     frequent = materialize(numbered(counted.where(F.col("f") >= least), "number", "frequent-words"), "numbered-words")
-    texts = materialize(number_texts(chunks, frequent), "phrase-texts")
+    texts = number_texts(chunks, frequent, shard_words)
+    remove_folder(chunks.sparkSession, folder)  # nothing reads the dictionaries again
 
     def words():  # level 1: the words themselves, by their numbers
         def find(text):
@@ -298,10 +328,11 @@ def score_of(a: Column, both: Column, scale: int = 2_000_000) -> Column:
 
 
 def collocations(
-    docs: DataFrame, least: int = 30, top: int = 2_000, chunk_words: int = 400_000, shard_phrases: int = 200_000, contained_percent: int = 80,
+    docs: DataFrame, least: int = 30, top: int = 2_000, chunk_words: int = 1_000_000, shard_phrases: int = 200_000, shard_words: int = 500_000,
+    contained_percent: int = 80,
 ) -> DataFrame:
     """``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``: each language's first ``top`` phrases."""
-    totals, frequent, counted = phrase_counts(docs, least, chunk_words, shard_phrases)
+    totals, frequent, counted = phrase_counts(docs, least, chunk_words, shard_phrases, shard_words)
     phrases = materialize(counted, "counted-phrases")
     parts = frequent.select(F.array("number").alias("part"), "f").unionAll(phrases.select(F.col("numbers").alias("part"), "f"))
     size = F.size("numbers")

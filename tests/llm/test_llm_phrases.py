@@ -95,7 +95,7 @@ def found_rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("how", [{}, {"chunk_words": 50, "shard_phrases": 40}, {"top": 5}])
+@pytest.mark.parametrize("how", [{}, {"chunk_words": 50, "shard_phrases": 40, "shard_words": 6}, {"top": 5}])
 def test_collocations_equal_brute_force(spark, how):
     rng = random.Random(5)
     common = ["of the", "New York City", "in the middle of", "É tude", "a", "b", "a a a a", "the", "of", "in", "x y", " z z"]
