@@ -27,8 +27,8 @@ from arenaflow.operators.filters import (
     qualifying_participants,
     rated_admissions,
 )
-from arenaflow.operators.keys import key_bitmap, maybe_among
 from arenaflow.operators.joins import admitted_keys, join_admissions, join_match_view, left_join, match_join
+from arenaflow.operators.keys import key_bitmap, maybe_among
 from arenaflow.operators.projections import PARTICIPANT_FIELDS, participant_columns, participant_projection
 from arenaflow.operators.sizing import materialize_at, remove_folder
 from arenaflow.params import RunParams
@@ -42,7 +42,7 @@ PARTICIPANT_RECORD = (
 DETAIL_RECORD = (*PARTICIPANT_FIELDS, "team_elo")
 QUALIFIED_MATCH_COLUMNS = ("pt_dt", "pt_dt_date", "battleid", "keyversion", *TOTAL_FIELDS)
 
-# Whether the qualifying jobs reduce the participant log to the candidate matches before aggregating it.
+# Whether the qualifying jobs reduce the participant log to the candidate matches before aggregating it, unless told.
 REDUCE_KEYS = False
 
 
