@@ -31,7 +31,7 @@ __all__ = [
 ]
 
 # Entries that one Python worker keeps of a word table (tens of MB at most).
-WORKER_CACHE = 300_000
+WORKER_CACHE = 200_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

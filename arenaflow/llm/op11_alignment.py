@@ -42,11 +42,12 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from arenaflow.llm.bpe import WordBpe
-from arenaflow.llm.common import WORKER_CACHE, materialize, once
+from arenaflow.llm.common import materialize, once
 from arenaflow.session import ship_package
 
 SPACE = "▁"  # sentencepiece's sign for a space
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
+CACHE = 300_000  # pieces that a worker keeps for each side
 LEFT = 32  # an id pair is (A id << LEFT) + B id
 
 CHUNKS = T.StructType(
@@ -76,7 +77,7 @@ class Words(dict):
         found = list(map(self.get, pieces))
         if None in found:
             at = [i for i, ids in enumerate(found) if ids is None]
-            if len(self) >= WORKER_CACHE:
+            if len(self) >= CACHE:
                 self.clear()
                 self.odd.clear()
                 at = range(len(pieces))
@@ -136,7 +137,7 @@ class SideB:
     def _ids(self, pieces: list[str]) -> list[list[int]]:
         cut = [(m.groups() if self.ends and (m := self.ends.fullmatch(p)) else (p, "")) for p in pieces]
         new = list({part for pair in cut for part in pair if part}.difference(self.stems))
-        if len(self.stems) + len(new) > WORKER_CACHE // 3:
+        if len(self.stems) + len(new) > CACHE // 3:
             self.stems.clear()
             new = list({part for pair in cut for part in pair if part})
         # the model puts a space in front of anything but nothing: give it the one that is there, or take
