@@ -8,8 +8,8 @@ costs going along with the texts.  So a worker holds the models of one block: a
 language is never split, and the largest one bounds a block from below.  A text takes
 the language of the lowest length-normalised cross-entropy.
 
-Rejection: on a bounded sample of training documents the cross-entropy under the
-document's own language is measured; a text that costs more than its mean plus
+Rejection: of every training document the cross-entropy under its
+own language is measured; a text that costs more than their mean plus
 ``reject_sigmas`` standard deviations is marked ``rejected``.  The score is the
 softmax of the negative cross-entropies, with that limit as one more class.
 
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from arenaflow.llm.common import hash_sample, materialize, once
+from arenaflow.llm.common import materialize, once
 from arenaflow.llm.kneser_ney import KneserNey, grams, symbols
 from arenaflow.session import ship_package
 
@@ -128,55 +128,43 @@ class Scorer:
             out[i] = row
 
 
-def _gathered(df: DataFrame, scorer_of) -> DataFrame:
-    """``df`` with the costs of one more block of languages at the end of ``costs``."""
-    arrow = to_arrow_schema(df.schema)
+def _gathered(df: DataFrame, scorer_of, last: bool) -> DataFrame:
+    """``df`` with the costs of one more block of languages at the end of ``costs``; the ``last`` one leaves the texts out."""
+    schema = T.StructType(df.schema.fields[1:]) if last else df.schema
+    arrow = to_arrow_schema(schema)
+    place = arrow.get_field_index("costs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = scorer_of()
         for batch in batches:
             new = scorer(batch.column(0).to_pylist())
             costs = [[] if c is None else old + c.tolist() for old, c in zip(batch.column(1).to_pylist(), new, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(costs, arrow.field(1).type), *batch.columns[2:]], schema=arrow)
+            text = [] if last else [batch.column(0)]
+            yield pa.RecordBatch.from_arrays([*text, pa.array(costs, arrow.field(place).type), *batch.columns[2:]], schema=arrow)
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(run, schema)
 
 
-def _score(scorers: list, langs: list[str], df: DataFrame, keep: list[str], schema: T.StructType, row) -> DataFrame:
-    """Rows ``keep`` + scored columns; ``row(langs, costs)`` gives the latter's values."""
+def text_costs(scorers: list, df: DataFrame, keep: list[str]) -> DataFrame:
+    """``costs`` of every text of ``df`` under the languages of all blocks in order (empty without a letter) and the
+    columns ``keep``; written after each block, so no stage holds the models of two."""
     ship_package(df.sparkSession)
-    arrow = to_arrow_schema(schema)
     rows = df.select("text", F.array().cast("array<double>").alias("costs"), *keep)
-    for scorer_of in scorers[:-1]:  # written after each block, so no stage holds the models of two
-        rows = materialize(_gathered(rows, scorer_of), "language-costs")
-    last = scorers[-1]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = last()
-        for batch in batches:
-            new = scorer(batch.column(0).to_pylist())
-            before = batch.column(1).to_pylist()
-            costs = [None if c is None else np.concatenate([old, c]) for old, c in zip(before, new, strict=True)]
-            made = list(zip(*(row(langs, c) for c in costs), strict=True))
-            if made:
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[2:], *(pa.array(v, f.type) for v, f in zip(made, list(arrow)[len(keep) :], strict=True))], schema=arrow
-                )
-
-    return rows.mapInArrow(run, schema)
+    for scorer_of in scorers[:-1]:
+        rows = materialize(_gathered(rows, scorer_of, False), "language-costs")
+    return materialize(_gathered(rows, scorers[-1], True), "language-costs")
 
 
 def identify_language(
-    docs: DataFrame, training: Column, block_grams: int = 4_000_000, calibration_rows: int = 4_000,
-    reject_sigmas: float = 4.0, temperature: float = 0.15,
+    docs: DataFrame, training: Column, block_grams: int = 4_000_000, reject_sigmas: float = 4.0, temperature: float = 0.15,
 ) -> DataFrame:
     """``doc_id``, ``lang_pred``, ``score``, ``cross_entropy``, ``rejected``.
 
     ``training``: the condition on ``docs`` (with ``lang``) that picks the rows to learn from.
     """
     spark = docs.sparkSession
-    known = docs.where(training & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = materialize(gram_counts(known), "language-grams")
+    learned = training & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    counts = materialize(gram_counts(docs.where(learned)), "language-grams")
     blocks = language_blocks(counts, block_grams)
     names = [la for block in blocks for la in block]
     doc_id = T.StructField("doc_id", T.LongType())
@@ -184,7 +172,7 @@ def identify_language(
         [doc_id, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
          T.StructField("cross_entropy", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
     )
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.when(learned, F.col("lang")).alias("own"))
     if not blocks:
         return rows.select(
             "doc_id", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"),
@@ -198,25 +186,30 @@ def identify_language(
 
     scorers = [scorer_of(block) for block in blocks]
 
-    def own(langs, costs):
-        return ([float("nan")] * len(langs) if costs is None else costs.tolist(),)
-
-    cost_type = T.StructType([T.StructField("lang", T.StringType()), T.StructField("costs", T.ArrayType(T.DoubleType()))])
-    measured = _score(scorers, names, hash_sample(known, "text", calibration_rows), ["lang"], cost_type, own)
-    place = F.array_position(F.array(*map(F.lit, names)), F.col("lang")).cast("int")
+    scored = text_costs(scorers, rows, ["doc_id", "own"])
+    place = F.array_position(F.array(*map(F.lit, names)), F.col("own")).cast("int")
     cost = F.get("costs", place - 1)
+    measured = scored.where(F.col("own").isNotNull()).select(F.col("own").alias("lang"), cost.alias("cost")).where(F.col("cost").isNotNull())
     limits = {
         r["lang"]: r["mean"] + reject_sigmas * (r["deviation"] or 0.0) + 0.5
-        for r in measured.where(~F.isnan(cost)).groupBy("lang").agg(F.avg(cost).alias("mean"), F.stddev_pop(cost).alias("deviation")).collect()
+        for r in measured.groupBy("lang").agg(F.avg("cost").alias("mean"), F.stddev_pop("cost").alias("deviation")).collect()
     }
     widest = max(limits.values(), default=12.0)
+    arrow = to_arrow_schema(result)
 
-    def predict(langs, costs):
-        if costs is None:
+    def predict(costs):
+        if not costs:
             return UNDETERMINED, 0.0, None, True
+        costs = np.array(costs)
         best = int(np.argmin(costs))
-        limit = limits.get(langs[best], widest)
+        limit = limits.get(names[best], widest)
         weights = np.exp((costs[best] - np.append(costs, limit)) / temperature)
-        return langs[best], float(1 / weights.sum()) if math.isfinite(weights.sum()) else 0.0, float(costs[best]), bool(costs[best] > limit)
+        return names[best], float(1 / weights.sum()) if math.isfinite(weights.sum()) else 0.0, float(costs[best]), bool(costs[best] > limit)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = list(zip(*map(predict, batch.column(1).to_pylist()), strict=True))
+            if made:
+                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, f.type) for v, f in zip(made, list(arrow)[1:], strict=True))], schema=arrow)
 
-    return _score(scorers, names, rows, ["doc_id"], result, predict)
+    return scored.select("doc_id", "costs").mapInArrow(run, result)

@@ -92,6 +92,17 @@ def test_predictions_follow_the_plain_models(spark):
             assert found[i]["cross_entropy"] == pytest.approx(min(costs.values()))
 
 
+def test_limits_come_from_every_training_text(spark):
+    rng = random.Random(9)
+    texts = [" ".join("".join(rng.choice("abcd") for _ in range(4)) for _ in range(rng.randint(1, 12))) for _ in range(4_300)]
+    df = spark.createDataFrame([(i, t, "aa") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    found = identify_language(df, F.lit(True)).collect()
+    costs = np.array([r["cross_entropy"] for r in found])
+    limit = costs.mean() + 4.0 * costs.std() + 0.5
+    want = [1 / (1 + math.exp((c - limit) / 0.15)) for c in costs]
+    assert [r["score"] for r in found] == pytest.approx(want, rel=1e-9)
+
+
 # --- secrets --------------------------------------------------------------------------
 
 VALUE = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
