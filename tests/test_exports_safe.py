@@ -198,6 +198,18 @@ def halves(spark):
     bucketed.drop_bucketed(spark, prefix)
 
 
+def test_buckets_follow_the_rows(spark):
+    lg = logs(spark, [participant(b, r, "2021-03-05 10:00:00") for b in range(40) for r in range(3)] + [participant(77, r, "2021-03-05 10:00:00") for r in range(30)],
+              admissions=[admission(b, 0, 1500, "2021-03-05 09:00:00") for b in range(40)])
+    for name, rows_, want in (("few", 50, 3), ("many", 10, 12), ("none", 1_000_000, 2)):  # 120 rows that are not of a hot match
+        prefix = f"arenaflow_buckets_{name}"
+        bucketed.land_bucketed(spark, lg, prefix, scratch_dir(spark, "buckets"), 2, hot_rows=20, bucket_rows=rows_)
+        shown = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {prefix}_participants").collect()}
+        assert shown["Num Buckets"] == str(want)
+        assert spark.table(f"{prefix}_participants").count() == 120 and spark.table(f"{prefix}_participants_hot").count() == 30
+        bucketed.drop_bucketed(spark, prefix)
+
+
 def _jobs():
     return {
         "admissions": lambda lg: join_admissions(lg.participants.select("battleid", "role_id"), lg.admissions),
