@@ -34,6 +34,25 @@ def test_json_tree_scan_routes_corrupt_lines(spark):
     assert len(bad_rows) == 1 and bad_rows[0][CORRUPT_COLUMN].startswith('{"battleid": 99')
 
 
+def test_compressed_json_tree_reads_the_same(spark):
+    lg = logs(spark, [participant(i, i, f"2021-0{1 + i % 3}-05 00:00:00") for i in range(12)] + [participant(99, 1, None)])
+    plain, packed = (logsrc.write_json_tree(lg.participants, scratch_dir(spark, f"json-{c}"), compression=c) for c in ("none", "gzip"))
+    assert packed.endswith(".txt.gz")
+    found = [logsrc.read_json_log(spark, glob, PARTICIPANTS) for glob in (plain, packed)]
+    assert rows(found[0]) == rows(found[1]) and found[1].count() == 13
+    with pytest.raises(ValueError):
+        logsrc.write_json_tree(lg.participants, scratch_dir(spark, "json-odd"), compression="zip")
+
+
+def test_export_written_where_its_rows_lie(spark):
+    df = spark.range(0, 4000, 1, 4).select(F.lit("2021-01-01").alias("pt_dt"), F.lit("old").alias("battle_info"))
+    path = scratch_dir(spark, "in-place")
+    exports.write_keyed_text(df, f"{path}/out", rebalance=False)
+    folder = f"{path}/out/pt_dt=2021-01-01".removeprefix("file:")
+    assert sum(f.endswith(".txt") for f in os.listdir(folder)) == 4  # a task each, however alike the records
+    assert exports.read_keyed_text(spark, f"{path}/out").count() == 4000
+
+
 def test_keyed_text_sink_round_trip(spark):
     lg = logs(
         spark,
