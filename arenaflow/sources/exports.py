@@ -30,6 +30,7 @@ def write_keyed_text(
     compression: str = "none",
     max_records_per_file: int | None = None,
     mode: str = "errorifexists",
+    rebalance: bool = True,
 ) -> None:
     """Writes ``value`` lines into ``path/<key>=<k>/`` directories.
 
@@ -38,8 +39,11 @@ def write_keyed_text(
     into several, instead of sending a whole date to one task), and the writer
     sorts each task's rows by key so it keeps one file open at a time.  An export
     that is already there is an error unless ``mode="overwrite"`` asks for it to be replaced.
+
+    Adaptive execution splits by compressed bytes, so a few dates of much alike records would still land in
+    a task or two: for these ``rebalance=False`` writes every row where it lies, one file a task and date.
     """
-    out = rebalanced(records, key, value)
+    out = rebalanced(records, key, value) if rebalance else records.select(key, value)
     w = out.write.mode(mode).partitionBy(key).option("compression", compression)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
