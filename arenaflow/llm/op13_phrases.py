@@ -31,6 +31,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +51,7 @@ _FOLD = bytes.maketrans(
 )
 _TOKEN = re.compile(rb"\n|[^ \n]+")
 _SLICE = 1 << 20  # bytes of a long text that are split into words at a time
+PART = 250_000  # numbers of a chunk that are searched for phrases at a time
 
 CHUNKS = T.StructType(
     [T.StructField("places", T.BinaryType()), T.StructField("langs", T.ArrayType(T.StringType())),
@@ -110,13 +112,15 @@ def text_chunks(docs: DataFrame, chunk_words: int) -> tuple[DataFrame, str]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = _Chunk()
         for batch in batches:
-            for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                chunk.add(lang, text)
-                if chunk.size >= chunk_words or chunk.bytes >= 8 * chunk_words:
-                    yield batch_of(chunk)
-                    chunk = _Chunk()
+            for k in range(0, batch.num_rows, 200):  # few texts at a time as Python objects
+                for lang, text in zip(*(c.to_pylist() for c in batch.slice(k, 200).columns), strict=True):
+                    chunk.add(lang, text)
+                    if chunk.size >= chunk_words or chunk.bytes >= 8 * chunk_words:
+                        yield batch_of(chunk)
+                        chunk = _Chunk()
         if chunk.size:
             yield batch_of(chunk)
+        pa.default_memory_pool().release_unused()  # the worker serves later stages too
 
     return materialize_at(docs.select(F.coalesce("lang", F.lit(UND)), "text").mapInArrow(run, CHUNKS), "phrase-chunks")
 
@@ -145,35 +149,35 @@ def number_texts(chunks: DataFrame, frequent: DataFrame, shard_words: int) -> Da
     of pieces, runs of 0 once; written.
 
     The vocabulary goes out in shards of ``shard_words`` words, one after the other.  Each numbers its words in the chunks'
-    dictionaries where these lie; nothing is shuffled.
+    dictionaries where these lie; nothing is shuffled.  Shards and dictionaries stay Arrow arrays in the tasks, which
+    take a few bytes a word beside its letters.
     """
     spark = chunks.sparkSession
     ship_package(spark)
     last = frequent.agg(F.max("number")).first()[0] or 0
     rows, folder = chunks.select("places", "langs", "words", F.lit(b"").alias("known")), None
     for first in range(1, max(last, 1) + 1, shard_words):
-        vocabulary: dict[str, dict[str, int]] = {}
-        for r in frequent.where(F.col("number").between(first, first + shard_words - 1)).toLocalIterator():  # one shard
-            vocabulary.setdefault(r["lang"], {})[r["word"]] = r["number"]
-        shared, key, final = spark.sparkContext.broadcast(vocabulary), uuid.uuid4().hex, first + shard_words > last
+        shard = frequent.where(F.col("number").between(first, first + shard_words - 1)).select("lang", "word", "number").toArrow()  # one shard
+        shard = shard.sort_by("number")
+        entries = _entries(shard["lang"].combine_chunks(), shard["word"].combine_chunks())
+        shared, key, final = spark.sparkContext.broadcast(entries), uuid.uuid4().hex, first + shard_words > last
         schema = NUMBERED if final else rows.schema
         arrow = to_arrow_schema(schema)
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, key=key, final=final, arrow=arrow) -> Iterator[pa.RecordBatch]:
-            numbers = once(("vocabulary", key), lambda: shared.value)
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, key=key, first=first, final=final, arrow=arrow) -> Iterator[pa.RecordBatch]:
+            vocabulary = once(("vocabulary", key), lambda: shared.value)
             for batch in batches:
                 for k in range(batch.num_rows):
                     row = batch.slice(k, 1)
                     places, langs, words, known = (c[0] for c in row.columns)
-                    number = np.frombuffer(known.as_py(), "<i8").copy() if known.as_py() else np.zeros(len(words), np.int64)
-                    langs, words = langs.as_py(), words.as_py()
-                    found = np.fromiter((numbers.get(la, _NOTHING).get(w, 0) for la, w in zip(langs, words, strict=True)), np.int64, len(words))
-                    number += found
+                    at = pc.index_in(_entries(langs.values, words.values), value_set=vocabulary).cast(pa.int64())
+                    number = pc.fill_null(pc.add(at, first), 0).to_numpy(zero_copy_only=False)
+                    if known.as_py():
+                        number = number + np.frombuffer(known.as_buffer(), "<i8")
                     if final:
-                        row = _numbered_row(np.append(0, number)[np.frombuffer(places.as_buffer(), "<u4")], arrow)
+                        yield from _numbered_rows(np.append(0, number)[np.frombuffer(places.as_buffer(), "<u4")], arrow)
                     else:
-                        row = pa.RecordBatch.from_arrays([*row.columns[:3], pa.array([number.tobytes()], pa.binary())], schema=arrow)
-                    yield row
+                        yield pa.RecordBatch.from_arrays([*row.columns[:3], pa.array([number.tobytes()], pa.binary())], schema=arrow)
 
         rows, written = materialize_at(rows.mapInArrow(run, schema), "phrase-texts")
         shared.unpersist()
@@ -183,13 +187,20 @@ def number_texts(chunks: DataFrame, frequent: DataFrame, shard_words: int) -> Da
     return rows
 
 
-_NOTHING: dict[str, int] = {}
+def _entries(langs: pa.Array, words: pa.Array) -> pa.Array:
+    """Language and word as one text each; no word holds a line end, so none stands for two pairs."""
+    text = pa.large_string()
+    return pc.binary_join_element_wise(langs.cast(text), words.cast(text), pa.scalar("\n", text))
 
 
-def _numbered_row(text: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
+def _numbered_rows(text: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The numbers of a chunk in rows of about ``PART`` of them, cut behind ends of pieces."""
     text = text[np.append(True, (text[1:] != 0) | (text[:-1] != 0))] if len(text) else text
     width = 4 if text.max(initial=0) < 1 << 32 else 8
-    return pa.RecordBatch.from_arrays([pa.array([width]), pa.array([text.astype(f"<u{width}").tobytes()], pa.binary())], schema=schema)
+    ends = np.flatnonzero(text == 0) + 1
+    cuts = np.unique(ends[np.searchsorted(ends, np.arange(PART, ends[-1], PART))]) if len(ends) else ends
+    for part in np.split(text, cuts):
+        yield pa.RecordBatch.from_arrays([pa.array([width]), pa.array([part.astype(f"<u{width}").tobytes()], pa.binary())], schema=schema)
 
 
 def _pairs(row: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -203,7 +214,7 @@ def _pairs(row: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return row[first], word[first], np.diff(np.append(first, len(row)))
 
 
-def scan(texts: DataFrame, finder, follow: bool, gather: int = 2_000_000) -> DataFrame:
+def scan(texts: DataFrame, finder, follow: bool, gather: int = 500_000) -> DataFrame:
     """``phrase``, ``next``, ``n``: how often each phrase that ``finder`` knows stands in the texts (``next`` 0),
     and, if ``follow``, how often each frequent word follows it.
 
