@@ -13,6 +13,7 @@ from __future__ import annotations
 import threading
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -27,17 +28,37 @@ from arenaflow.session import scratch_dir, ship_package
 
 __all__ = [
     "WordHashes", "documents", "filter_texts", "fold", "frequent_words", "hash_sample", "map_rows", "materialize", "once", "scratch_dir",
-    "shingle_hashes", "write_bytes",
+    "shingle_hashes", "small_batches", "write_bytes",
 ]
 
 # Entries that one Python worker keeps of a word table (tens of MB at most).
 WORKER_CACHE = 200_000
 
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "2m") -> Iterator[None]:
+    """Arrow batches of about ``size`` (one row at least) for the Python code that runs meanwhile.
+
+    Spark's own bounds are 10,000 rows and 64 MB.  A batch lies in buffers outside the JVM's heap several times, which
+    double as they grow, and in the worker.
+    """
+    before = spark.conf.get(BATCH_CONF, None)
+    spark.conf.set(BATCH_CONF, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_CONF)
+        else:
+            spark.conf.set(BATCH_CONF, before)
+
+
 def map_rows(df: DataFrame, start: Callable[[], Callable[[tuple], Iterable[tuple]]], schema: T.StructType) -> DataFrame:
     """``mapInArrow`` over rows: ``start()`` runs once a task and returns a function
     from the tuple of an input row to its output tuples.
@@ -210,12 +231,12 @@ _LOCK = threading.Lock()
 TABLES = 2
 
 
-def once(key, make: Callable[[], object]):
-    """``make()`` once per Python process (reused workers keep the tables used last)."""
+def once(key, make: Callable[[], object], tables: int = TABLES):
+    """``make()`` once per Python process (reused workers keep the ``tables`` tables used last)."""
     with _LOCK:
         found = _ONCE.pop(key, None)
         if found is None:
-            while len(_ONCE) >= TABLES:
+            while len(_ONCE) >= tables:
                 _ONCE.pop(next(iter(_ONCE)))
             found = make()
         _ONCE[key] = found

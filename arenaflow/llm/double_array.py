@@ -53,7 +53,7 @@ class DoubleArray:
             first = np.flatnonzero(np.append(True, new[at][1:]))  # the parents' first children
             of_parent = place.fit(digit, first)
             slot = np.repeat(of_parent, np.diff(np.append(first, len(at)))) + digit
-            links.append((parent[first], of_parent, slot, parent))
+            links.append(tuple(x.astype(np.int32) for x in (parent[first], of_parent, slot, parent)))
             state = np.repeat(slot, np.diff(np.append(at, n)))
             new = child
         size = place.size + RADIX

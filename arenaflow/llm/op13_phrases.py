@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from arenaflow.llm.common import materialize, once
+from arenaflow.llm.common import materialize, once, small_batches
 from arenaflow.llm.double_array import DoubleArray
 from arenaflow.operators.sizing import materialize_at, remove_folder
 from arenaflow.session import ship_package
@@ -78,7 +78,8 @@ class _Chunk:
 
     def __init__(self):
         self.langs: dict[str, dict[bytes, int]] = {}
-        self.entries: list[tuple[str, bytes]] = []
+        self.entry_langs: list[str] = []
+        self.entry_words: list[bytes] = []
         self.places: list[np.ndarray] = []
         self.size = self.bytes = 0
 
@@ -88,17 +89,29 @@ class _Chunk:
         for word in words_of(text):
             place = known.get(word)
             if place is None:
-                self.entries.append((lang, word))
-                place = known[word] = len(self.entries)
+                self.entry_langs.append(lang)
+                self.entry_words.append(word)
+                place = known[word] = len(self.entry_words)
                 self.bytes += len(word)
             out.append(place)
         self.places.append(np.array([*out, 0], "<u4"))
         self.size += len(out) + 1
 
-    def row(self) -> tuple:
+    def row(self) -> tuple[pa.Array, ...]:
         places = np.concatenate(self.places)
-        times = np.bincount(places, minlength=len(self.entries) + 1)[1:]
-        return places.tobytes(), [la for la, _ in self.entries], [w.decode() for _, w in self.entries], times
+        times = np.bincount(places, minlength=len(self.entry_words) + 1)[1:]
+        words = pa.array(self.entry_words, pa.binary()).cast(pa.string())
+        return _one_binary(places), *(_one_list(x) for x in (pa.array(self.entry_langs, pa.string()), words, pa.array(times, pa.int64())))
+
+
+def _one_binary(values: np.ndarray) -> pa.Array:
+    """One binary value that is the array's memory, not a copy."""
+    values = np.ascontiguousarray(values)
+    return pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(np.array([0, values.nbytes], np.int32)), pa.py_buffer(values)])
+
+
+def _one_list(values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
 def text_chunks(docs: DataFrame, chunk_words: int) -> tuple[DataFrame, str]:
@@ -107,7 +120,7 @@ def text_chunks(docs: DataFrame, chunk_words: int) -> tuple[DataFrame, str]:
     schema = to_arrow_schema(CHUNKS)
 
     def batch_of(chunk: _Chunk) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(chunk.row(), schema, strict=True)], schema=schema)
+        return pa.RecordBatch.from_arrays([v.cast(f.type) for v, f in zip(chunk.row(), schema, strict=True)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = _Chunk()
@@ -122,7 +135,7 @@ def text_chunks(docs: DataFrame, chunk_words: int) -> tuple[DataFrame, str]:
             yield batch_of(chunk)
         pa.default_memory_pool().release_unused()  # the worker serves later stages too
 
-    return materialize_at(docs.select(F.coalesce("lang", F.lit(UND)), "text").mapInArrow(run, CHUNKS), "phrase-chunks")
+    return materialize_at(docs.select(F.coalesce("lang", F.lit(UND)), "text").mapInArrow(run, CHUNKS), "phrase-chunks", large_rows=True)
 
 
 def numbered(rows: DataFrame, name: str, purpose: str) -> DataFrame:
@@ -138,7 +151,8 @@ def numbered(rows: DataFrame, name: str, purpose: str) -> DataFrame:
     for p in sorted(sizes):
         starts.append((p, before))
         before += sizes[p]
-    firsts = spark.createDataFrame(starts, "_part long, _before long")
+    # from an Arrow table, since a list goes through Python workers of another kind, which stay beside those in use
+    firsts = spark.createDataFrame(pa.table({k: pa.array(v, pa.int64()) for k, v in (("_part", [p for p, _ in starts]), ("_before", [n for _, n in starts]))}))
     return written.join(F.broadcast(firsts), part == F.col("_part")).select(
         *rows.columns, (F.col("_before") + F.col("_row").bitwiseAND((1 << 33) - 1) + 1).alias(name)
     )
@@ -165,7 +179,7 @@ def number_texts(chunks: DataFrame, frequent: DataFrame, shard_words: int) -> Da
         arrow = to_arrow_schema(schema)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, key=key, first=first, final=final, arrow=arrow) -> Iterator[pa.RecordBatch]:
-            vocabulary = once(("vocabulary", key), lambda: shared.value)
+            vocabulary = once(("vocabulary", key), lambda: shared.value, tables=1)
             for batch in batches:
                 for k in range(batch.num_rows):
                     row = batch.slice(k, 1)
@@ -179,7 +193,7 @@ def number_texts(chunks: DataFrame, frequent: DataFrame, shard_words: int) -> Da
                     else:
                         yield pa.RecordBatch.from_arrays([*row.columns[:3], pa.array([number.tobytes()], pa.binary())], schema=arrow)
 
-        rows, written = materialize_at(rows.mapInArrow(run, schema), "phrase-texts")
+        rows, written = materialize_at(rows.mapInArrow(run, schema), "phrase-texts", large_rows=True)
         shared.unpersist()
         if folder is not None:
             remove_folder(spark, folder)
@@ -266,9 +280,8 @@ def tries_of(candidates: DataFrame, shards: int) -> DataFrame:
     def compile_shard(rows: pa.Table) -> pa.Table:
         phrases = np.array(rows.column("numbers").combine_chunks().flatten()).reshape(rows.num_rows, -1)
         trie = DoubleArray.build(phrases)
-        arrays = [x.tobytes() for x in (trie.base, trie.check, trie.accept, rows.column("phrase").to_numpy().astype("<i8"))]
-        values = [rows.column("shard")[0].as_py(), trie.digits, *arrays]
-        return pa.table([pa.array([v], f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
+        arrays = [_one_binary(x) for x in (trie.base, trie.check, trie.accept, rows.column("phrase").to_numpy().astype("<i8"))]
+        return pa.table([pa.array([rows.column("shard")[0].as_py()]), pa.array([trie.digits]), *arrays], schema=schema)
 
     shard = F.pmod(F.xxhash64("numbers"), F.lit(shards)).alias("shard")
     return candidates.select(shard, "phrase", "numbers").groupBy("shard").applyInArrow(compile_shard, TRIES)
@@ -278,7 +291,7 @@ def count_level(texts: DataFrame, candidates: DataFrame, words: int, shard_phras
     """``phrase``, ``next``, ``n`` of the candidates of one level (see :func:`scan`), written; one pass a shard."""
     spark = texts.sparkSession
     shards = max(1, -(-candidates.count() // shard_phrases))
-    tries = materialize(tries_of(candidates, shards), f"phrase-tries-{words}")
+    tries = materialize_at(tries_of(candidates, shards), f"phrase-tries-{words}", large_rows=True)[0]
     passes = []
     for shard in range(shards):
         found = tries.where(F.col("shard") == shard).collect()  # one trie: bounded by the size of a shard
@@ -293,12 +306,12 @@ def count_level(texts: DataFrame, candidates: DataFrame, words: int, shard_phras
                 arrays = [np.frombuffer(t[n], np.int32) for n in ("base", "check", "accept")]
                 return DoubleArray(words, t["digits"], *arrays), np.frombuffer(t["ids"], "<i8")
 
-            trie, ids = once(("phrases", key), load)
+            trie, ids = once(("phrases", key), load, tables=1)
             return lambda text: (*trie.find(text), words), ids
 
         passes.append(materialize(scan(texts, finder, words < LONGEST).where(F.col("n") >= least), f"phrases-{words}"))
         shared.unpersist()
-    return reduce(DataFrame.unionAll, passes) if passes else spark.createDataFrame([], FOUND)
+    return reduce(DataFrame.unionAll, passes) if passes else spark.createDataFrame(to_arrow_schema(FOUND).empty_table())
 
 
 def phrase_counts(docs: DataFrame, least: int, chunk_words: int, shard_phrases: int, shard_words: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -343,7 +356,8 @@ def collocations(
     contained_percent: int = 80,
 ) -> DataFrame:
     """``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``: each language's first ``top`` phrases."""
-    totals, frequent, counted = phrase_counts(docs, least, chunk_words, shard_phrases, shard_words)
+    with small_batches(docs.sparkSession):
+        totals, frequent, counted = phrase_counts(docs, least, chunk_words, shard_phrases, shard_words)
     phrases = materialize(counted, "counted-phrases")
     parts = frequent.select(F.array("number").alias("part"), "f").unionAll(phrases.select(F.col("numbers").alias("part"), "f"))
     size = F.size("numbers")

@@ -7,12 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from arenaflow.session import hadoop_path, scratch_dir
 
 
-def materialize_at(df: DataFrame, purpose: str = "materialized") -> tuple[DataFrame, str]:
+# For rows of a MB and more.  Parquet looks at the size of pages and row groups only after 100 rows by default, and
+# compresses and decompresses a page in buffers of its size outside the heap; row groups bound what a reader holds.
+LARGE_ROWS = {
+    "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "10000",
+    "parquet.block.size.row.check.min": "1", "parquet.block.size": str(16 << 20),
+}
+
+
+def materialize_at(df: DataFrame, purpose: str = "materialized", large_rows: bool = False) -> tuple[DataFrame, str]:
     """Writes ``df`` as Parquet under the shared checkpoint folder; returns the
     read-back and the folder (see :func:`remove_folder`)."""
     spark = df.sparkSession
     path = scratch_dir(spark, purpose)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**LARGE_ROWS if large_rows else {}).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -1,5 +1,6 @@
 """Phrase collocations: tries against dictionaries, the operator against a plain version."""
 
+import glob
 import random
 import re
 from collections import Counter, defaultdict
@@ -10,6 +11,7 @@ import pytest
 from arenaflow.llm import queries as q
 from arenaflow.llm.double_array import DoubleArray
 from arenaflow.llm.op13_phrases import collocations, score_of, words_of
+from arenaflow.operators.sizing import materialize_at
 from pyspark.sql import functions as F
 
 
@@ -127,3 +129,85 @@ def test_empty_table(spark):
 def test_query_equals_brute_force(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     assert found_rows(q.op13_phrases(spark, sf_small)) == brute([(r["lang"], r["text"]) for r in docs.collect()])
+
+
+def test_python_gets_small_batches(spark, tmp_path, monkeypatch):
+    """Spark's own bound, 64 MB of rows at once, took much of an executor's memory on several GB."""
+    from arenaflow.llm.common import BATCH_CONF
+
+    kind = type(spark.range(1))
+    plain = kind.mapInArrow
+
+    def watched(self, func, schema, *args, **kwargs):
+        def run(batches):
+            def seen():
+                for batch in batches:
+                    with open(f"{tmp_path}/sizes", "a") as out:
+                        out.write(f"{batch.num_rows} {batch.nbytes}\n")
+                    yield batch
+
+            yield from func(seen())
+
+        return plain(self, run, schema, *args, **kwargs)
+
+    monkeypatch.setattr(kind, "mapInArrow", watched)
+    text = "one two three. " * 4_000
+    docs = spark.range(100).select(F.lit(text).alias("text"), F.lit("en").alias("lang")).coalesce(1)
+    before = spark.conf.get(BATCH_CONF, None)
+    assert found_rows(collocations(docs, chunk_words=100_000_000)) == brute([("en", text)] * 100)
+    sizes = [tuple(map(int, line.split())) for line in open(f"{tmp_path}/sizes")]
+    assert len(sizes) > 4 and all(n == 1 or size < 4_000_000 for n, size in sizes)
+    assert spark.conf.get(BATCH_CONF, None) == before
+
+
+def test_small_batches_restore_a_setting(spark):
+    from arenaflow.llm.common import BATCH_CONF, small_batches
+
+    before = spark.conf.get(BATCH_CONF, None)
+    spark.conf.set(BATCH_CONF, "5m")
+    try:
+        with pytest.raises(ZeroDivisionError), small_batches(spark):
+            assert spark.conf.get(BATCH_CONF) == "2m"
+            1 / 0
+        assert spark.conf.get(BATCH_CONF) == "5m"
+    finally:
+        spark.conf.unset(BATCH_CONF) if before is None else spark.conf.set(BATCH_CONF, before)
+
+
+def first_page(path):
+    """Uncompressed bytes of the first page of the first column: the second number of its header."""
+    import pyarrow.parquet as pq
+
+    at = pq.ParquetFile(path).metadata.row_group(0).column(0).data_page_offset
+    data, numbers = open(path, "rb").read()[at : at + 24], []
+    while len(numbers) < 2:  # each field: its kind, then a zigzag number of seven bits a byte
+        value, shift, data = 0, 0, data[1:]
+        while True:
+            value |= (data[0] & 127) << shift
+            more, shift, data = data[0] & 128, shift + 7, data[1:]
+            if not more:
+                break
+        numbers.append(value >> 1)
+    return numbers[1]
+
+
+def test_large_rows_get_small_pages(spark):
+    """A page of 100 rows of a MB is compressed in buffers of its size outside the heap."""
+    rows = spark.range(0, 60, 1, 1).select(F.expr("cast(repeat(uuid(), 8000) as binary)").alias("numbers"))
+    pages = []
+    for large in (False, True):
+        read, folder = materialize_at(rows, "large-rows", large_rows=large)
+        (path,) = glob.glob(folder.removeprefix("file:") + "/part-*")
+        pages.append(first_page(path))
+        assert read.count() == 60 and read.select(F.sum(F.length("numbers"))).first()[0] == 60 * 8000 * 36
+    assert pages[0] > 8_000_000 and pages[1] < 2_500_000
+
+
+def test_a_worker_keeps_as_many_tables_as_asked(monkeypatch):
+    from arenaflow.llm import common
+
+    monkeypatch.setattr(common, "_ONCE", {})
+    for key in "abc":
+        common.once(key, lambda: key)
+    assert list(common._ONCE) == ["b", "c"]
+    assert common.once("d", lambda: list(common._ONCE), tables=1) == [] and list(common._ONCE) == ["d"]
