@@ -175,6 +175,7 @@ def number_texts(chunks: DataFrame, frequent: DataFrame, shard_words: int) -> Da
         shard = shard.sort_by("number")
         entries = _entries(shard["lang"].combine_chunks(), shard["word"].combine_chunks())
         shared, key, final = spark.sparkContext.broadcast(entries), uuid.uuid4().hex, first + shard_words > last
+        del shard, entries
         schema = NUMBERED if final else rows.schema
         arrow = to_arrow_schema(schema)
 
@@ -192,9 +193,10 @@ def number_texts(chunks: DataFrame, frequent: DataFrame, shard_words: int) -> Da
                         yield from _numbered_rows(np.append(0, number)[np.frombuffer(places.as_buffer(), "<u4")], arrow)
                     else:
                         yield pa.RecordBatch.from_arrays([*row.columns[:3], pa.array([number.tobytes()], pa.binary())], schema=arrow)
+            pa.default_memory_pool().release_unused()
 
         rows, written = materialize_at(rows.mapInArrow(run, schema), "phrase-texts", large_rows=True)
-        shared.unpersist()
+        shared.destroy()  # written, so nothing reads it again; the driver holds its blocks until then
         if folder is not None:
             remove_folder(spark, folder)
         folder = written
@@ -297,8 +299,8 @@ def count_level(texts: DataFrame, candidates: DataFrame, words: int, shard_phras
         found = tries.where(F.col("shard") == shard).collect()  # one trie: bounded by the size of a shard
         if not found:
             continue
-        trie = found[0].asDict()
-        shared, key = spark.sparkContext.broadcast(trie), uuid.uuid4().hex
+        shared, key = spark.sparkContext.broadcast(found[0].asDict()), uuid.uuid4().hex
+        del found
 
         def finder(shared=shared, key=key):
             def load():
@@ -310,7 +312,7 @@ def count_level(texts: DataFrame, candidates: DataFrame, words: int, shard_phras
             return lambda text: (*trie.find(text), words), ids
 
         passes.append(materialize(scan(texts, finder, words < LONGEST).where(F.col("n") >= least), f"phrases-{words}"))
-        shared.unpersist()
+        shared.destroy()
     return reduce(DataFrame.unionAll, passes) if passes else spark.createDataFrame(to_arrow_schema(FOUND).empty_table())
 
 
